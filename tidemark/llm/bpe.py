@@ -22,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .kernel import Words, pieces, text_bytes
+from .kernel import Words, pieces, spread, text_bytes
 
 #: Fixed value: the pre-token pattern of byte-level BPE vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -192,12 +192,6 @@ class Coder:
         return self.spelled.joined(np.asarray(ids, np.int64)).tobytes().decode("utf-8", "replace")
 
 
-def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Indices of the runs starts[i] .. starts[i] + sizes[i] - 1, one run after the other."""
-    ends = np.cumsum(sizes)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
-
-
 class Ragged:
     """Byte strings by number, to be joined many at a time."""
 

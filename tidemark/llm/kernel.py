@@ -135,6 +135,12 @@ def windows(hashes: np.ndarray, doc: np.ndarray, k: int) -> tuple[np.ndarray, np
     return at, mix(out[at])
 
 
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Indices of the runs starts[i] .. starts[i] + sizes[i] - 1, one run after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of at most `most` bytes of text each; a longer text is a slice by itself."""
     for batch in batches:
@@ -148,3 +154,22 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 4
             hi = max(lo + 1, int(np.searchsorted(total, base + most, "right")))
             yield batch.slice(lo, hi - lo)
             lo = hi
+
+
+def sorted_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """From a stream sorted by the key, the rows of each key as one table."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(batch.schema.get_field_index(key)).to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if held and keys[a] != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = keys[a]
+    if held:
+        yield pa.Table.from_batches(held)
