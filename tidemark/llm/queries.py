@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, quality, repeats, secrets, urls
+from . import bpe, jaccard, mixing, quality, repeats, secrets, urls
 from .common import table
 
 
@@ -35,6 +35,10 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -49,4 +53,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": urls.ORACLE, "op3_substring_dedup": repeats.ORACLE}
+    return {"op1_url_filter": urls.ORACLE, "op3_substring_dedup": repeats.ORACLE, "op5_mixing": mixing.oracle()}
