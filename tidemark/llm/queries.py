@@ -7,14 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, mixing, quality, repeats, secrets, toxicity, urls
+from . import bpe, jaccard, lm, mixing, quality, repeats, secrets, toxicity, urls
 from .common import table
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,6 +43,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("byte_bpe_50k.tiktoken"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
