@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import Coder
+from .bpe import LONG_PIECE, Coder
 from .common import sum_blocks
 from .kernel import pieces, scan, text_bytes
 from .repeats import BUCKET, CHUNK, LEAST_CHUNK, SOME_CHUNKS, WORD_BYTES
@@ -43,7 +43,10 @@ CLASSES = 65
 #: Share of its windows that a partition trains on, at least so many steps, groups a step.
 TRAINED, LEAST_STEPS, BATCH, MOST_WEIGHT = 32, 80, 128, 4096
 SCALE = 1 << 24
-GROUPS = 4096
+GROUPS = 512
+LARGEST_LOGIT = np.float32(80)
+#: Pieces of text remembered in a worker, twice over.
+REMEMBERED = 200_000
 _U = np.uint64
 
 
@@ -59,12 +62,25 @@ class Subwords(Coder):
         self.added = {}
         with open(ranks, "rb") as f:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.piece = tiktoken.Encoding("own", pat_str=self.pattern.pattern, mergeable_ranks=table, special_tokens={}).encode_ordinary
+        self.library = tiktoken.Encoding("own", pat_str=self.pattern.pattern, mergeable_ranks=table, special_tokens={}).encode_ordinary
         last = [x[-1] | 0x20 if 0x41 <= x[-1] <= 0x5A else x[-1] for x in (s or b"\0" for s in self.strings)]
         kind = [b - 0x61 if 0x61 <= b <= 0x7A else 26 + (b & 3) if b >= 0x80 else 30 if 0x30 <= b <= 0x39 else 31 for b in last]
         self.classes = np.array([2 * k + s.startswith(b" ") for k, s in zip(kind, self.strings, strict=True)], np.int64)
 
 
+    def piece(self, text: str) -> list[int]:
+        got = self.words.get(text)
+        if got is None:
+            got = self.old_words.get(text)
+            if got is None:
+                got = self.library(text)
+            if len(text) <= LONG_PIECE:
+                if len(self.words) >= REMEMBERED:
+                    self.old_words, self.words = self.words, {}
+                self.words[text] = got
+        return got
+
+
 @functools.lru_cache(maxsize=1)
 def subwords(path: str, ranks: str) -> Subwords:
     return Subwords(path, ranks)
@@ -197,6 +213,10 @@ class Scorer:
         self.v = np.vstack([p["e"] @ p["v"], np.zeros((1, WIDTH), np.float32)])
         self.h = np.vstack([p["e"] @ p["h"] + p["b"], np.zeros((1, CLASSES), np.float32)])
         self.o = p["o"]
+        # bounds of the logits by class; beyond LARGEST_LOGIT, which no trained model came near, all shrink alike
+        most = np.abs(self.h).max() + np.abs(self.v).max() * np.abs(self.o).sum(0).max()
+        if most > LARGEST_LOGIT:
+            self.h, self.o = self.h * (LARGEST_LOGIT / most), self.o * (LARGEST_LOGIT / most)
         members = np.bincount(classes, minlength=KINDS)
         totals = np.bincount(classes, counts, KINDS)
         self.within = np.log10((counts + 0.5) / (totals + 0.5 * members)[classes])
@@ -219,10 +239,8 @@ class Scorer:
             logits += self.h[q.ravel()]
             real = t.ravel() < PAD
             hit = logits[np.arange(len(logits)), np.where(real, t.ravel(), 0)]
-            top = logits.max(1)
-            logits -= top[:, None]
-            np.exp(logits, out=logits)
-            each = np.where(real, (hit - top - np.log(logits.sum(1))) / np.float32(np.log(10)), 0).astype(np.float64)
+            np.exp(logits, out=logits)  # the tables' entries are at most LARGEST_LOGIT, which float32 can hold
+            each = np.where(real, (hit - np.log(logits.sum(1))) / np.float32(np.log(10)), 0).astype(np.float64)
             total += np.bincount(of[lo : lo + GROUPS], each.reshape(-1, STEP).sum(1), docs)
         return total
 
