@@ -173,3 +173,24 @@ def sorted_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Tabl
             last = keys[a]
     if held:
         yield pa.Table.from_batches(held)
+
+
+def aligned(batches: Iterator[pa.RecordBatch], key: str, rows: int = 8192) -> Iterator[pa.Table]:
+    """A stream sorted by the key in tables of about `rows` rows that no key is cut by."""
+    held: list[pa.RecordBatch] = []
+    count = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        count += batch.num_rows
+        if count >= rows:
+            table = pa.Table.from_batches(held)
+            keys = table[key].to_numpy()
+            cut = int(np.searchsorted(keys, keys[-1], "left"))
+            if cut:
+                yield table.slice(0, cut)
+            held = table.slice(cut).combine_chunks().to_batches()
+            count = len(keys) - cut
+    if held:
+        yield pa.Table.from_batches(held)
