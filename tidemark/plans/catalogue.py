@@ -1,11 +1,508 @@
-"""Registered queries of the reference's own operators."""
+"""Registered queries of the engine's own operators, on the tables of one folder, and the same in SQL."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions import types_map
+from ..operators import canonical, closure, incremental, integrity, optionsets, schema_diff, scd2, state, temporal
+from ..sources import metadata
+
+SPLIT = "2024-01-15"
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def register(f):
+        _QUERIES[f.__name__] = f
+        if sql is not None:
+            _SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _at(text: str):
+    return F.lit(text).cast("timestamp_ntz")
+
+
+# ---- versions (#27-#29, Q1-Q4)
+
+H = """c AS (SELECT *, lag(event_type) OVER w AS p, row_number() OVER w AS rn FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+h AS (SELECT user_id, event_type, ts AS valid_from, lead(ts) OVER (PARTITION BY user_id ORDER BY event_id) AS valid_to FROM c WHERE rn = 1 OR p IS DISTINCT FROM event_type)"""
+
+
+def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scd2.history(_t(spark, sf_dir, "events"), "user_id", "event_id", ["event_type"], "ts")
+
+
+@query(f"WITH {H} SELECT * FROM h")
+def scd2_history(spark, sf_dir):
+    return _history(spark, sf_dir)
+
+
+@query(f"WITH {H} SELECT * FROM h WHERE valid_to IS NULL")
+def scd2_active(spark, sf_dir):
+    return temporal.active(_history(spark, sf_dir))
+
+
+@query(f"WITH {H} SELECT * FROM h WHERE valid_from <= TIMESTAMP '{SPLIT}' AND (valid_to IS NULL OR valid_to > TIMESTAMP '{SPLIT}')")
+def scd2_asof(spark, sf_dir):
+    return temporal.as_of(_history(spark, sf_dir), _at(SPLIT))
+
+
+@query(f"WITH {H} SELECT count(*) AS total, count(*) FILTER (WHERE valid_to IS NULL) AS active, count(*) FILTER (WHERE valid_to IS NOT NULL) AS historical FROM h")
+def scd2_counts(spark, sf_dir):
+    return temporal.version_counts(_history(spark, sf_dir))
+
+
+@query(f"WITH {H} SELECT * FROM h WHERE user_id = 7 ORDER BY valid_from")
+def scd2_key_history(spark, sf_dir):
+    return temporal.versions(_history(spark, sf_dir), "user_id", 7)
+
+
+def _batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    rows = _t(spark, sf_dir, "events").select("user_id", F.col("event_type").alias("json_response"), F.col("ts").alias("sync_time"), F.col("ts").alias("valid_from"), F.col("event_id").alias("seq"))
+    first, second = rows.where(F.col("valid_from") < _at(SPLIT)), rows.where(F.col("valid_from") >= _at(SPLIT))
+    return rows.drop("seq").limit(0), first, second
+
+
+@query(f"WITH {H} SELECT * FROM h")
+def scd2_apply_two_batches(spark, sf_dir):
+    none, first, second = _batches(spark, sf_dir)
+    one = scd2.apply(none, first, "user_id")
+    two = scd2.apply(temporal.active(one).select(none.columns), second, "user_id")
+    cols = ["user_id", F.col("json_response").alias("event_type"), "valid_from", "valid_to"]
+    return one.where("valid_to is not null").select(*cols).unionByName(two.select(*cols))
+
+
+@query(f"""WITH {H}, n AS (SELECT user_id, min(valid_from) AS born FROM h GROUP BY user_id)
+SELECT count(*) FILTER (WHERE valid_from = born) AS added, count(*) FILTER (WHERE valid_from <> born) AS updated FROM h JOIN n USING (user_id) WHERE valid_from >= TIMESTAMP '{SPLIT}'""")
+def scd2_batch_counts(spark, sf_dir):
+    none, first, second = _batches(spark, sf_dir)
+    return scd2.counts(scd2.apply(temporal.active(scd2.apply(none, first, "user_id")).select(none.columns), second, "user_id"))
+
+
+@query(f"""WITH r AS (SELECT user_id, event_type, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS n, min(ts) OVER (PARTITION BY user_id) >= TIMESTAMP '{SPLIT}' AS is_new FROM events)
+SELECT user_id, event_type, value, is_new FROM r WHERE n = 1""")
+def scd1_upsert(spark, sf_dir):
+    rows = _t(spark, sf_dir, "events").select("user_id", "event_type", "value", "ts", F.col("event_id").alias("seq"))
+    old = rows.where(F.col("ts") < _at(SPLIT)).drop("ts")
+    none = old.drop("seq").limit(0)
+    target = scd2.upsert_scd1(none, old, "user_id").drop("is_new")
+    return scd2.upsert_scd1(target, rows.where(F.col("ts") >= _at(SPLIT)).drop("ts"), "user_id")
+
+
+# ---- raw records (#23-#26)
+
+
+def _raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = [F.lit('{"user_id": '), F.col("user_id").cast("string"), F.lit(', "event_type": "'), F.col("event_type"), F.lit('", "@odata.etag": "W/'), F.col("event_id").cast("string"), F.lit('", "event_id": '), F.col("event_id").cast("string"), F.lit("}")]
+    return _t(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), F.concat(*parts).alias("raw"))
+
+
+@query("""SELECT event_id AS seq, '{"event_id": ' || event_id || ', "event_type": "' || event_type || '", "user_id": ' || user_id || '}' AS payload FROM events""")
+def canonical_payload(spark, sf_dir):
+    return _raw_events(spark, sf_dir).select("seq", canonical.canonical(F.col("raw")).alias("payload"))
+
+
+@query("""SELECT event_id AS seq, '{"event_id": ' || event_id || ', "event_type": "' || event_type || '", "user_id": ' || user_id || '}' AS payload FROM events""")
+def canonical_payload_exact(spark, sf_dir):
+    return _raw_events(spark, sf_dir).select("seq", canonical.canonical_exact("raw").alias("payload"))
+
+
+@query("SELECT user_id::VARCHAR AS user_id, event_type, event_id AS seq, '2024-06-01T00:00:00Z' AS valid_from FROM events")
+def record_projection(spark, sf_dir):
+    rows = canonical.to_versions(_raw_events(spark, sf_dir), "user_id", {"user_id": T.StringType(), "event_type": T.StringType()}, "2024-06-01T00:00:00Z")
+    return rows.select("user_id", "event_type", "seq", "valid_from")
+
+
+# ---- coded fields (#30-#38, Q5-Q10)
+
+
+def _coded_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = F.col("o_orderpriority")
+    raw = F.concat(F.lit('{"priority": '), F.split_part(p, F.lit("-"), F.lit(1)), F.lit(f', "priority{optionsets.SUFFIX}": "'), F.split_part(p, F.lit("-"), F.lit(2)), F.lit('"}'))
+    return _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", raw.alias("raw"))
+
+
+def _priorities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return optionsets.detect(_coded_orders(spark, sf_dir), ids=["o_orderkey", "o_orderdate"])
+
+
+def _lookup(spark: SparkSession, found: DataFrame, seen_at: str, seq: str) -> DataFrame:
+    seen = found.select("field", "code", "label", F.col(seen_at).alias("seen_at"), F.col(seq).alias("seq"))
+    none = seen.select("field", "code", "label", F.col("seen_at").alias("first_seen")).limit(0)
+    return optionsets.merge_lookup(none, seen)
+
+
+@query("""SELECT 'priority' AS field, split_part(o_orderpriority, '-', 1)::BIGINT AS code, arg_max(split_part(o_orderpriority, '-', 2), o_orderkey) AS label, min(o_orderdate) AS first_seen FROM orders GROUP BY ALL""")
+def optionset_single(spark, sf_dir):
+    return _lookup(spark, _priorities(spark, sf_dir), "o_orderdate", "o_orderkey")
+
+
+@query("SELECT o_orderkey, split_part(o_orderpriority, '-', 1)::BIGINT AS code, split_part(o_orderpriority, '-', 2) AS label FROM orders")
+def optionset_label_join(spark, sf_dir):
+    found = _priorities(spark, sf_dir)
+    lookup = _lookup(spark, found, "o_orderdate", "o_orderkey")
+    return temporal.with_label(found.select("o_orderkey", F.col("code").alias("priority")), "priority", optionsets.lookup_of(lookup, "priority")).withColumnRenamed("priority", "code")
+
+
+@query(f"WITH {H} SELECT user_id, event_type AS code_name, upper(event_type) AS label, valid_from FROM h WHERE valid_to IS NULL")
+def optionset_label_active(spark, sf_dir):
+    now = temporal.active(_history(spark, sf_dir))
+    lookup = _t(spark, sf_dir, "events").select("event_type").distinct().select(F.col("event_type").alias("code"), F.upper("event_type").alias("label"))
+    return temporal.with_label(now, "event_type", lookup).select("user_id", F.col("event_type").alias("code_name"), "label", "valid_from")
+
+
+def _multi_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_set("l_linenumber")).alias("n"))
+    codes, labels = F.array_join(F.col("n").cast("array<string>"), ","), F.array_join(F.transform("n", lambda x: F.concat(F.lit("L"), x.cast("string"))), ";")
+    return lines.select("l_orderkey", F.concat(F.lit('{"lines": "'), codes, F.lit(f'", "lines{optionsets.SUFFIX}": "'), labels, F.lit('"}')).alias("raw"))
+
+
+@query("""SELECT l_orderkey, 'lines' AS field, count(*) OVER (PARTITION BY l_orderkey) > 1 AS is_multi, (row_number() OVER (PARTITION BY l_orderkey ORDER BY n) - 1)::INT AS pos, n::BIGINT AS code, 'L' || n AS label
+FROM (SELECT DISTINCT l_orderkey, l_linenumber AS n FROM lineitem)""")
+def optionset_multi_explode(spark, sf_dir):
+    return optionsets.detect(_multi_orders(spark, sf_dir), ids=["l_orderkey"])
+
+
+@query("SELECT 'k' AS field, regexp_extract(props, '[0-9]+')::BIGINT AS code, arg_max(event_type, event_id) AS label, min(ts) AS first_seen FROM events GROUP BY ALL")
+def optionset_lookup_merge(spark, sf_dir):
+    e = _t(spark, sf_dir, "events").select(F.lit("k").alias("field"), F.get_json_object("props", "$.k").cast("long").alias("code"), F.col("event_type").alias("label"), "ts", "event_id")
+    old = _lookup(spark, e.where(F.col("ts") < _at(SPLIT)), "ts", "event_id")
+    return optionsets.merge_lookup(old, e.where(F.col("ts") >= _at(SPLIT)).select("field", "code", "label", F.col("ts").alias("seen_at"), F.col("event_id").alias("seq")))
+
+
+CODE = "ascii(event_type) * 1000 + length(event_type)"
+J = f"""d AS (SELECT user_id, ts::DATE::TIMESTAMP AS day, list_sort(list(DISTINCT ({CODE})::BIGINT)) AS codes FROM events GROUP BY ALL),
+e AS (SELECT *, lag(codes) OVER (PARTITION BY user_id ORDER BY day) AS p, row_number() OVER (PARTITION BY user_id ORDER BY day) AS rn FROM d),
+v AS (SELECT user_id, day, codes FROM e WHERE rn = 1 OR p IS DISTINCT FROM codes),
+f AS (SELECT *, max(len(codes) > 1) OVER (PARTITION BY user_id ORDER BY day) AS ever FROM v),
+s AS (SELECT user_id, day, lead(day) OVER (PARTITION BY user_id ORDER BY day) AS valid_to, codes FROM f WHERE ever),
+j AS (SELECT user_id AS entity_id, unnest(codes) AS option_code, day AS valid_from, valid_to FROM s)"""
+
+
+def _daily(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(versions of each user's set of event types, the codes detected in them)."""
+    e = _t(spark, sf_dir, "events").select("user_id", F.to_date("ts").cast("timestamp_ntz").alias("day"), F.expr(CODE).cast("string").alias("c"), F.col("event_type").alias("l"))
+    sets = e.groupBy("user_id", "day").agg(F.array_sort(F.collect_set(F.struct("c", "l"))).alias("x"))
+    raw = F.concat(F.lit('{"types": "'), F.array_join("x.c", ","), F.lit(f'", "types{optionsets.SUFFIX}": "'), F.array_join("x.l", ";"), F.lit('"}'))
+    versions = scd2.history(sets.select("user_id", "day", raw.alias("raw")), "user_id", "day", ["raw"], "day").withColumn("seq", F.col("valid_from"))
+    return versions, optionsets.detect(versions.select("user_id", "seq", "raw"), ids=["user_id", "seq"])
+
+
+def _junction(spark: SparkSession, sf_dir: str, mode: str = "fixed") -> DataFrame:
+    versions, found = _daily(spark, sf_dir)
+    return optionsets.junction(versions, found, "user_id", "types", mode)
+
+
+@query(f"WITH {J} SELECT * FROM j")
+def junction_history(spark, sf_dir):
+    return _junction(spark, sf_dir)
+
+
+@query(f"""WITH {J}, m AS (SELECT user_id, day, lead(day) OVER (PARTITION BY user_id ORDER BY day) AS valid_to, codes FROM v WHERE len(codes) > 1)
+SELECT user_id AS entity_id, unnest(codes) AS option_code, day AS valid_from, valid_to FROM m""")
+def junction_history_compat(spark, sf_dir):
+    return _junction(spark, sf_dir, "compat")
+
+
+@query(f"WITH {J} SELECT * FROM j WHERE valid_to IS NULL")
+def junction_active(spark, sf_dir):
+    return temporal.active(_junction(spark, sf_dir))
+
+
+@query(f"WITH {J} SELECT * FROM j WHERE valid_from <= TIMESTAMP '{SPLIT}' AND (valid_to IS NULL OR valid_to > TIMESTAMP '{SPLIT}')")
+def junction_asof(spark, sf_dir):
+    return temporal.as_of(_junction(spark, sf_dir), _at(SPLIT))
+
+
+@query(f"WITH {J} SELECT option_code FROM j WHERE valid_to IS NULL AND entity_id = 7 ORDER BY option_code")
+def junction_codes(spark, sf_dir):
+    return temporal.active_codes(_junction(spark, sf_dir), 7)
+
+
+@query(f"""WITH {J}, l AS (SELECT DISTINCT ({CODE})::BIGINT AS code, event_type AS label FROM events),
+a AS (SELECT entity_id, string_agg(label, ', ' ORDER BY label) AS labels FROM j JOIN l ON code = option_code WHERE valid_to IS NULL GROUP BY entity_id)
+SELECT c_custkey, labels FROM customer LEFT JOIN a ON entity_id = c_custkey""")
+def junction_labels(spark, sf_dir):
+    lookup = _t(spark, sf_dir, "events").select(F.expr(CODE).cast("long").alias("code"), F.col("event_type").alias("label")).distinct()
+    return temporal.with_labels(_t(spark, sf_dir, "customer").select("c_custkey"), "c_custkey", _junction(spark, sf_dir), lookup)
+
+
+@query(f"WITH {J} SELECT user_id, day AS valid_from, option_code, j.valid_to AS option_valid_to FROM v JOIN j ON entity_id = user_id AND j.valid_from = day")
+def temporal_join(spark, sf_dir):
+    versions, found = _daily(spark, sf_dir)
+    return temporal.snapshots(versions.select("user_id", "valid_from"), optionsets.junction(versions, found, "user_id", "types"), "user_id")
+
+
+@query(f"""WITH {J}, a AS (SELECT entity_id, option_code, valid_from, valid_to FROM j WHERE valid_to IS NULL)
+SELECT entity_id, option_code, valid_from, TIMESTAMP '2030-01-01' AS valid_to FROM a WHERE entity_id % 2 = 0
+UNION ALL SELECT * FROM a WHERE entity_id % 2 <> 0
+UNION ALL SELECT DISTINCT entity_id, 1::BIGINT, TIMESTAMP '2030-01-01', NULL::TIMESTAMP FROM a WHERE entity_id % 4 = 0""")
+def junction_snapshot(spark, sf_dir):
+    now = temporal.active(_junction(spark, sf_dir))
+    new = now.where("entity_id % 2 = 0").select("entity_id").distinct().select("entity_id", F.when(F.expr("entity_id % 4 = 0"), F.lit(1).cast("long")).alias("option_code"), _at("2030-01-01").alias("valid_from"))
+    return optionsets.snapshot(now, new)
+
+
+# ---- incremental and filtered loads (#39-#51, Q11, Q12)
+
+
+@query("SELECT max(ts) AS last_timestamp, count(*) AS records_count FROM events")
+def watermark(spark, sf_dir):
+    return incremental.watermark(_t(spark, sf_dir, "events"), "ts")
+
+
+@query(f"SELECT event_id, ts FROM events WHERE ts > TIMESTAMP '{SPLIT} 12:00:00'")
+def incremental_filter(spark, sf_dir):
+    return incremental.since(_t(spark, sf_dir, "events"), _at(f"{SPLIT} 12:00:00"), "ts").select("event_id", "ts")
+
+
+def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    ids = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("id"))
+    return incremental.split_ids(ids, _t(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'"), "c_custkey")
+
+
+@query("SELECT DISTINCT o_custkey::VARCHAR AS id FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
+def id_split_new(spark, sf_dir):
+    return _split(spark, sf_dir)[0]
+
+
+@query("SELECT DISTINCT o_custkey::VARCHAR AS id FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
+def id_split_existing(spark, sf_dir):
+    return _split(spark, sf_dir)[1]
+
+
+@query("""SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)
+AND (c_mktsegment <> 'BUILDING' OR c_acctbal > 1000)""")
+def filtered_fetch(spark, sf_dir):
+    new, existing = _split(spark, sf_dir)
+    return incremental.fetch_by_ids(_t(spark, sf_dir, "customer"), "c_custkey", new, existing, 1000.0, "c_acctbal").select("c_custkey", "c_mktsegment")
+
+
+@query("SELECT DISTINCT c_nationkey AS id FROM customer WHERE c_nationkey IS NOT NULL")
+def fk_distinct(spark, sf_dir):
+    return temporal.distinct_values(_t(spark, sf_dir, "customer"), "c_nationkey")
+
+
+@query("SELECT c_nationkey::VARCHAR AS id FROM customer WHERE c_nationkey IS NOT NULL UNION SELECT s_nationkey::VARCHAR FROM supplier WHERE s_nationkey IS NOT NULL")
+def fk_union(spark, sf_dir):
+    return temporal.union_values([(_t(spark, sf_dir, "customer"), "c_nationkey"), (_t(spark, sf_dir, "supplier"), "s_nationkey")])
+
+
+EDGES = [
+    ("nation", "n_regionkey", "region", "r_regionkey"), ("customer", "c_nationkey", "nation", "n_nationkey"), ("supplier", "s_nationkey", "nation", "n_nationkey"),
+    ("orders", "o_custkey", "customer", "c_custkey"), ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+]
+KEYS = {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "orders": "o_orderkey", "supplier": "s_suppkey"}
+
+
+@query("""WITH o AS (SELECT * FROM orders WHERE o_totalprice > 490000), c AS (SELECT * FROM customer WHERE c_custkey IN (SELECT o_custkey FROM o)),
+n AS (SELECT * FROM nation WHERE n_nationkey IN (SELECT c_nationkey FROM c)), r AS (SELECT * FROM region WHERE r_regionkey IN (SELECT n_regionkey FROM n))
+SELECT 'customer' AS entity, c_custkey::VARCHAR AS id FROM c UNION ALL SELECT 'nation', n_nationkey::VARCHAR FROM n UNION ALL SELECT 'region', r_regionkey::VARCHAR FROM r""")
+def fk_closure(spark, sf_dir):
+    start = {"orders": _t(spark, sf_dir, "orders").where("o_totalprice > 490000")}
+    wanted = {n: (_t(spark, sf_dir, n), KEYS[n]) for n in ("region", "nation", "customer")}
+    found, _ = closure.closure(start, wanted, EDGES)
+    each = [t.select(F.lit(n).alias("entity"), F.col(KEYS[n]).cast("string").alias("id")) for n, t in found.items()]
+    return each[0].unionByName(each[1]).unionByName(each[2])
+
+
+@query("""WITH r AS (SELECT * FROM region WHERE r_regionkey = 2), n AS (SELECT * FROM nation WHERE n_regionkey IN (SELECT r_regionkey FROM r)),
+c AS (SELECT * FROM customer WHERE c_nationkey IN (SELECT n_nationkey FROM n)), s AS (SELECT * FROM supplier WHERE s_nationkey IN (SELECT n_nationkey FROM n)),
+o AS (SELECT * FROM orders WHERE o_custkey IN (SELECT c_custkey FROM c))
+SELECT 'region' AS entity, count(*) AS n FROM r UNION ALL SELECT 'nation', count(*) FROM n UNION ALL SELECT 'customer', count(*) FROM c UNION ALL SELECT 'supplier', count(*) FROM s
+UNION ALL SELECT 'orders', count(*) FROM o UNION ALL SELECT 'lineitem', count(*) FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM o)""")
+def fk_closure_reverse(spark, sf_dir):
+    tables = {n: _t(spark, sf_dir, n) for n in ("nation", "customer", "supplier", "orders", "lineitem")}
+    found = closure.reverse_closure(tables, EDGES, "region", _t(spark, sf_dir, "region").where("r_regionkey = 2"))
+    out = None
+    for n, t in found.items():
+        row = t.agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("entity"), "n")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+# ---- integrity (#52-#54)
+
+
+@query("SELECT doc_id::VARCHAR AS fk_value, count(*) AS n FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id) AND doc_id IS NOT NULL GROUP BY ALL")
+def dangling_refs(spark, sf_dir):
+    return integrity.dangling(_t(spark, sf_dir, "documents"), "doc_id", [(_t(spark, sf_dir, "labels"), "doc_id")])
+
+
+@query("SELECT o_custkey::VARCHAR AS fk_value, count(*) AS n FROM orders WHERE o_custkey % 3 <> 0 AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') GROUP BY ALL")
+def dangling_null_fk(spark, sf_dir):
+    orders = _t(spark, sf_dir, "orders").select(F.when(F.expr("o_custkey % 3 <> 0"), F.col("o_custkey")).alias("o_custkey"))
+    return integrity.dangling(orders, "o_custkey", [(_t(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'"), "c_custkey")])
+
+
+@query("""SELECT o_custkey::VARCHAR AS fk_value, count(*) AS n FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') AND o_custkey NOT IN (SELECT s_suppkey FROM supplier) GROUP BY ALL""")
+def dangling_polymorphic(spark, sf_dir):
+    return integrity.dangling(_t(spark, sf_dir, "orders"), "o_custkey", [(_t(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'"), "c_custkey"), (_t(spark, sf_dir, "supplier"), "s_suppkey")])
+
+
+@query("""WITH b AS (SELECT o_custkey::VARCHAR AS v, count(*) AS n FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') GROUP BY ALL)
+SELECT 'orders' AS src_table, 'o_custkey' AS fk_col, 'customer' AS dst_table, (SELECT sum(n) FROM b)::BIGINT AS dangling_count, (SELECT count(o_custkey) FROM orders) AS total_checked,
+(SELECT string_agg(v, ',' ORDER BY v) FROM (SELECT v FROM b ORDER BY v LIMIT 10)) AS samples""")
+def dangling_report(spark, sf_dir):
+    tables = {"orders": _t(spark, sf_dir, "orders"), "nation": _t(spark, sf_dir, "nation"), "customer": _t(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'")}
+    found, _, _ = integrity.report(tables, [e for e in EDGES if e[0] in ("customer", "orders")])
+    return found.withColumn("samples", F.array_join("samples", ","))
+
+
+# ---- metadata and schema differences (#20-#22)
+
+
+def _case(column: str, pairs: list[tuple[str, str]], other: str) -> str:
+    return f"CASE {column} " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in pairs) + f" ELSE {other} END"
+
+
+_EDM = [*(e for e, _, _ in types_map.EDM_TYPES), "Edm.Unknown"]
+_EDM_ROWS = [(e, n, o) for e in _EDM for n in (0, 160) for o in (False, True)]
+_VALUES = ", ".join(f"('{e}', {n}, {o})" for e, n, o in _EDM_ROWS)
+
+
+@query(f"""WITH v(edm_type, max_length, is_option_set) AS (VALUES {_VALUES}),
+m AS (SELECT *, {_case("edm_type", [(e, s) for e, s, _ in types_map.EDM_TYPES], "'TEXT'")} AS s, {_case("edm_type", [(e, p) for e, _, p in types_map.EDM_TYPES], "'TEXT'")} AS p FROM v)
+SELECT edm_type, max_length::INT AS max_length, is_option_set, CASE WHEN is_option_set AND edm_type = 'Edm.String' THEN 'INTEGER' ELSE s END AS sqlite_type,
+CASE WHEN is_option_set AND edm_type = 'Edm.String' THEN 'INTEGER' WHEN p = 'VARCHAR' THEN CASE WHEN max_length > 0 THEN 'VARCHAR(' || max_length || ')' ELSE 'TEXT' END ELSE p END AS postgresql_type FROM m""")
+def edm_type_map(spark, sf_dir):
+    rows = spark.createDataFrame(_EDM_ROWS, "edm_type string, max_length int, is_option_set boolean")
+    args = F.col("edm_type"), F.col("max_length"), F.col("is_option_set")
+    return rows.select("*", types_map.db_type_col(*args, "sqlite").alias("sqlite_type"), types_map.db_type_col(*args, "postgresql").alias("postgresql_type"))
+
+
+_NAMES = ["varchar(100)", " INT ", "Double", "numeric(10,2)", "CHARACTER VARYING", "int4", "BOOL", "timestamptz", "FLOAT8", "TEXT", "bigint", "blob", "odd"]
+
+
+@query(f"""WITH v(t) AS (VALUES {", ".join(f"('{n}')" for n in _NAMES)}), c AS (SELECT t AS name, trim(split_part(trim(upper(t)), '(', 1)) AS u FROM v)
+SELECT name, {_case("u", types_map._alias_pairs("sqlite"), "u")} AS sqlite_type, {_case("u", types_map._alias_pairs("postgresql"), "u")} AS postgresql_type FROM c""")
+def type_normalize(spark, sf_dir):
+    rows = spark.createDataFrame([(n,) for n in _NAMES], "name string")
+    return rows.select("name", types_map.normal_type_col(F.col("name")).alias("sqlite_type"), types_map.normal_type_col(F.col("name"), "postgresql").alias("postgresql_type"))
+
+
+_COLS = [("account", "accountid", "accountid"), ("account", "_createdby_value", "accountid"), ("account", "_Owner_Value", "accountid"), ("account", "contactid", "accountid"), ("account", "versionnumber", "accountid"), ("account", "name", "accountid"), ("link", "accountid", None), ("link", "_parent_value", None)]
+_COL_VALUES = ", ".join(f"('{e}', '{c}', {repr(k) if k else 'NULL'})" for e, c, k in _COLS)
+
+
+@query(f"""WITH v(entity, col, pk) AS (VALUES {_COL_VALUES}), f AS (SELECT *, lower(col) LIKE '\\_%\\_value' ESCAPE '\\' AS look FROM v),
+i AS (SELECT entity, col, CASE WHEN look THEN substr(col, 2, length(col) - 7) ELSE substr(col, 1, length(col) - 2) END AS base, look FROM f
+  WHERE (look OR (lower(col) LIKE '%id' AND col IS DISTINCT FROM pk AND col <> 'versionnumber')) AND NOT (entity = 'link' AND col = '_parent_value'))
+SELECT entity, col AS "column", base AS referenced_table, CASE WHEN look THEN base || 'id' ELSE col END AS referenced_column FROM i UNION ALL SELECT 'link', '_parent_value', 'account', 'accountid'""")
+def fk_infer(spark, sf_dir):
+    columns = spark.createDataFrame(_COLS, "entity string, column string, primary_key string")
+    known = spark.createDataFrame([("link", "_parent_value", "account", "accountid")], "entity string, column string, referenced_table string, referenced_column string")
+    return metadata.inferred_keys(columns, known)
+
+
+_EXPECTED = [("orders", "o_orderkey", "BIGINT", False), ("orders", "O_CUSTKEY", "INTEGER", True), ("orders", "o_total", "REAL", True), ("orders", "o_orderstatus", "INTEGER", True), ("orders", "o_orderpriority", "TEXT", False), ("widget", "widgetid", "TEXT", True)]
+_EXPECTED_VALUES = ", ".join(f"('{e}', '{c}', '{t}', {n})" for e, c, t, n in _EXPECTED)
+_ACTUAL_VALUES = "('orders', 'o_orderkey', 'bigint', TRUE), ('orders', 'o_custkey', 'bigint', TRUE), ('orders', 'o_orderstatus', 'string', TRUE), ('orders', 'o_totalprice', 'double', TRUE), ('orders', 'o_orderdate', 'timestamp_ntz', TRUE), ('orders', 'o_orderpriority', 'string', TRUE), ('nation', 'n_nationkey', 'int', TRUE)"
+_DIFF = f"""e(entity, c, t, n) AS (VALUES {_EXPECTED_VALUES}), a(entity, c, t, n) AS (VALUES {_ACTUAL_VALUES}),
+k AS (SELECT entity, lower(c) AS c, {_case("upper(t)", types_map._alias_pairs("sqlite"), "upper(t)")} AS t, n FROM e),
+x AS (SELECT entity, lower(c) AS c, {_case("upper(t)", types_map._alias_pairs("sqlite"), "upper(t)")} AS t, n FROM a),
+i AS (SELECT entity, 'missing_table' AS issue_type, 'info' AS severity, NULL AS name FROM (SELECT entity FROM k EXCEPT SELECT entity FROM x)
+UNION ALL SELECT entity, 'extra_table', 'warning', NULL FROM (SELECT entity FROM x EXCEPT SELECT entity FROM k)
+UNION ALL SELECT k.entity, 'missing_column', 'info', k.c FROM k LEFT JOIN x USING (entity, c) WHERE x.t IS NULL AND k.entity IN (SELECT entity FROM x)
+UNION ALL SELECT x.entity, 'extra_column', 'warning', x.c FROM x LEFT JOIN k USING (entity, c) WHERE k.t IS NULL AND x.entity IN (SELECT entity FROM k)
+UNION ALL SELECT k.entity, 'type_mismatch', 'error', k.c FROM k JOIN x USING (entity, c) WHERE k.t <> x.t
+UNION ALL SELECT k.entity, 'nullable_mismatch', 'warning', k.c FROM k JOIN x USING (entity, c) WHERE k.n <> x.n)"""
+
+
+def _differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    expected = spark.createDataFrame(_EXPECTED, "entity string, column string, db_type string, nullable boolean")
+    actual = [("orders", f.name, f.dataType.simpleString(), f.nullable) for f in _t(spark, sf_dir, "orders").schema.fields] + [("nation", "n_nationkey", "int", True)]
+    found = spark.createDataFrame(actual, expected.schema)
+    return schema_diff.table_differences(expected, found).unionByName(schema_diff.column_differences(expected, found))
+
+
+@query(f"WITH {_DIFF} SELECT * FROM i")
+def schema_differences(spark, sf_dir):
+    return _differences(spark, sf_dir).select("entity", "issue_type", "severity", F.lower(F.try_element_at("details", F.lit("column_name"))).alias("name"))
+
+
+@query(f"WITH {_DIFF} SELECT severity, issue_type, count(*) AS n FROM i GROUP BY ALL")
+def schema_differences_summary(spark, sf_dir):
+    return schema_diff.summary(_differences(spark, sf_dir))
+
+
+@query("""SELECT * FROM (VALUES ('customer', 'pk_mismatch', 'error', 'custid', 'c_custkey'), ('region', 'pk_mismatch', 'error', NULL, 'r_regionkey')) v(entity, issue_type, severity, expected_pk, actual_pk)""")
+def schema_key_differences(spark, sf_dir):
+    kind = "entity string, primary_key string"
+    expected = spark.createDataFrame([("customer", "custid"), ("nation", "N_NATIONKEY"), ("region", None)], kind)
+    actual = spark.createDataFrame([("customer", "c_custkey"), ("nation", "n_nationkey"), ("region", "r_regionkey")], kind)
+    found = schema_diff.key_differences(expected, actual)
+    return found.select("entity", "issue_type", "severity", F.try_element_at("details", F.lit("expected_pk")).alias("expected_pk"), F.try_element_at("details", F.lit("actual_pk")).alias("actual_pk"))
+
+
+@query("""SELECT * FROM (VALUES ('fk_missing', 'info', 'o_custkey'), ('fk_mismatch', 'warning', 'o_clerk'), ('fk_extra', 'info', 'o_old')) v(issue_type, severity, name)""")
+def schema_reference_differences(spark, sf_dir):
+    kind = "entity string, column string, referenced_table string, referenced_column string, seq int"
+    expected = spark.createDataFrame([("orders", "o_custkey", "customer", "c_custkey", 0), ("orders", "o_clerk", "x", "xid", 0), ("orders", "O_CLERK", "clerk", "clerkid", 1), ("orders", "o_same", "Region", "R_ID", 2)], kind)
+    actual = spark.createDataFrame([("orders", "o_clerk", "supplier", "s_suppkey", 0), ("orders", "o_same", "region", "r_id", 1), ("orders", "o_old", "part", "p_partkey", 2)], kind)
+    return schema_diff.reference_differences(expected, actual).select("issue_type", "severity", F.lower(F.try_element_at("details", F.lit("column"))).alias("name"))
+
+
+@query("SELECT * FROM (VALUES ('customer', 'c_custkey'), ('orders', 'o_custkey,o_orderkey')) v(entity, fields)")
+def optionset_config(spark, sf_dir):
+    columns = [(n, f.name, "INTEGER" if f.dataType.simpleString() == "bigint" else "TEXT") for n in ("customer", "orders") for f in _t(spark, sf_dir, n).schema.fields]
+    lookups = spark.createDataFrame([("c_custkey",), ("o_custkey",), ("o_orderkey",), ("o_orderstatus",)], "field string")
+    found = schema_diff.option_set_config(lookups, spark.createDataFrame(columns, "entity string, column string, db_type string"))
+    return found.withColumn("fields", F.array_join("fields", ","))
+
+
+# ---- state and log (#56-#59), counts (#6)
+
+_COUNTED = ("region", "nation", "customer", "orders")
+
+
+def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = None
+    for n in _COUNTED:
+        row = _t(spark, sf_dir, n).agg(F.count(F.lit(1)).alias("records_count")).select(F.lit(n).alias("entity_name"), "records_count")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS entity_name, count(*) AS records_count FROM {n}" for n in _COUNTED))
+def entity_counts(spark, sf_dir):
+    return _counts(spark, sf_dir)
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS entity_name, '{'failed' if n == 'nation' else 'completed'}' AS state, '2024-06-02' AS last_sync_time, '2024-06-01' AS last_timestamp, count(*) AS records_count FROM {n}" for n in _COUNTED))
+def sync_state(spark, sf_dir):
+    done = _counts(spark, sf_dir).select("entity_name", F.lit("completed").alias("state"), F.lit("2024-06-01").alias("last_sync_time"), F.lit("2024-06-01").alias("last_timestamp"), "records_count")
+    now = state.set_state(state.empty_state(spark), done)
+    again = done.select("entity_name", F.when(F.col("entity_name") == "nation", "failed").otherwise("completed").alias("state"), F.lit("2024-06-02").alias("last_sync_time"), F.lit(None).cast("string").alias("last_timestamp"), F.lit(None).cast("long").alias("records_count"))
+    return state.set_state(now, again)
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}-1' AS id, '{n}' AS entity_name, '2024-06-01T00:00' AS start_time, '2024-06-01T00:05' AS end_time, count(*) AS records_added, 0::BIGINT AS records_updated, 'completed' AS status, NULL::VARCHAR AS error_message FROM {n}" for n in _COUNTED))
+def sync_log(spark, sf_dir):
+    made = _counts(spark, sf_dir)
+    run = F.concat("entity_name", F.lit("-1")).alias("id")
+    none, zero = F.lit(None).cast("string"), F.lit(0).cast("long")
+    begun = made.select(run, "entity_name", F.lit("2024-06-01T00:00").alias("start_time"), none.alias("end_time"), zero.alias("records_added"), zero.alias("records_updated"), F.lit("in_progress").alias("status"), none.alias("error_message"))
+    ended = made.select(run, "entity_name", F.lit("2024-06-01T00:00").alias("start_time"), F.lit("2024-06-01T00:05").alias("end_time"), F.col("records_count").alias("records_added"), zero.alias("records_updated"), F.lit("completed").alias("status"), none.alias("error_message"))
+    return state.latest_log(state.empty_log(spark).unionByName(begun).unionByName(ended))
