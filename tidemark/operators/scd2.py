@@ -62,11 +62,10 @@ def upsert_scd1(target: DataFrame, batch: DataFrame, key: str, seq: str = "seq")
     return kept.unionByName(marked, allowMissingColumns=True).select(*target.columns, "is_new")
 
 
-def with_row_ids(new_rows: DataFrame, first: int, order: list[str]) -> DataFrame:
-    """Surrogate ids from `first` in the given order. Ranges are sorted and counted apart, so no task sees all rows."""
-    spark = new_rows.sparkSession
-    schema = new_rows.sort(*order)
-    rdd = schema.rdd.zipWithIndex().map(lambda x: (first + x[1], *x[0]))
-    from pyspark.sql import types as T
-
-    return spark.createDataFrame(rdd, T.StructType([T.StructField("row_id", T.LongType(), False), *new_rows.schema.fields]))
+def with_row_ids(new_rows: DataFrame, first: int, order: list[str], buckets: int = 1024) -> DataFrame:
+    """Dense surrogate ids from `first`: numbered within buckets of a hash, from the number of rows in the buckets before, so that no task numbers all rows."""
+    dealt = new_rows.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
+    sizes = dealt.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))  # at most `buckets` rows
+    starts = sizes.select("_bucket", F.coalesce(F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
+    turn = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
+    return dealt.withColumn("_turn", turn).join(F.broadcast(starts), "_bucket").select((F.lit(first - 1) + F.col("_start") + F.col("_turn")).cast("long").alias("row_id"), *new_rows.columns)

@@ -1,7 +1,9 @@
 """A table store on Parquet: staged versions and a pointer that is swapped whole (#10-#13).
 
-Each commit writes `v=<n>/` and then renames a new pointer file over the old one through the file system's
-own interface, so readers see either the old version or the new one.  Nothing that may be being read is overwritten.
+A table is a set of folders, each of a part (open and closed versions, say), listed in a pointer file.  A commit
+writes new folders and then renames a new pointer over the old one through the file system's own interface, so
+readers see either all of it or none.  Nothing that may be being read is overwritten; closed versions are only
+appended, so a commit costs what the batch and the open rows cost, not what history has grown to.
 """
 
 from __future__ import annotations
@@ -52,14 +54,19 @@ class Store:
     def _pointer(self, table: str):
         return self._path(f"{self.root}/{table}/_CURRENT")
 
-    def version(self, table: str) -> str | None:
+    def _lines(self, table: str) -> list[tuple[str, str]]:
+        """(part, folder) of the current state; the part `note` holds a remark instead of a folder."""
         if not self._fs.exists(self._pointer(table)):
-            return None
+            return []
         stream = self._fs.open(self._pointer(table))
         try:
-            return bytes(stream.readAllBytes()).decode().strip()
+            text = bytes(stream.readAllBytes()).decode()
         finally:
             stream.close()
+        return [tuple(x.split("\t", 1)) for x in text.splitlines()]
+
+    def note(self, table: str) -> str | None:
+        return next((v for k, v in self._lines(table) if k == "note"), None)
 
     def tables(self) -> list[str]:
         root = self._path(self.root)
@@ -68,22 +75,32 @@ class Store:
         return sorted(s.getPath().getName() for s in self._fs.listStatus(root) if s.isDirectory() and self._fs.exists(self._path(f"{self.root}/{s.getPath().getName()}/_CURRENT")))
 
     def exists(self, table: str) -> bool:
-        return self.version(table) is not None
+        return bool(self._lines(table))
 
-    def read(self, table: str) -> DataFrame:
-        v = self.version(table)
-        if v is None:
+    def read(self, table: str, part: str | None = None) -> DataFrame:
+        """The table, or one part of it; parts that have no rows yet read as empty."""
+        lines = [(k, v) for k, v in self._lines(table) if k != "note"]
+        if not lines:
             raise ValueError(f"no such table: {table}")
-        return self.spark.read.parquet(f"{self.root}/{table}/{v}")
-
-    def write(self, table: str, df: DataFrame) -> DataFrame:
-        """Writes a new version beside the current one, then points to it."""
-        v = f"v={uuid.uuid4().hex}"
-        df.write.parquet(f"{self.root}/{table}/{v}")
+        own = [f"{self.root}/{table}/{v}" for k, v in lines if part in (None, k)]
+        if not own:
+            return self.spark.read.parquet(f"{self.root}/{table}/{lines[0][1]}").limit(0)
+        return self.spark.read.parquet(*own)
+
+    def commit(self, table: str, replace: dict[str, DataFrame] | None = None, append: dict[str, DataFrame] | None = None, note: str | None = None) -> DataFrame:
+        """Writes new folders beside the current ones, then swaps the pointer: all parts change together or none does."""
+        replace, append = replace or {}, append or {}
+        lines = [(k, v) for k, v in self._lines(table) if k != "note" and k not in replace]
+        for part, df in [*replace.items(), *append.items()]:
+            folder = f"{part}-{uuid.uuid4().hex}"
+            df.write.parquet(f"{self.root}/{table}/{folder}")
+            lines.append((part, folder))
+        if note is not None:
+            lines.append(("note", note))
         staged = self._path(f"{self.root}/{table}/_CURRENT.{uuid.uuid4().hex}")
         out = self._fs.create(staged, True)
         try:
-            out.write(bytearray(v.encode()))
+            out.write(bytearray("\n".join("\t".join(x) for x in lines).encode()))
         finally:
             out.close()
         option = self.spark._jvm.org.apache.hadoop.fs.Options.Rename
@@ -92,6 +109,9 @@ class Store:
         self._context.rename(staged, self._pointer(table), overwrite)
         return self.read(table)
 
+    def write(self, table: str, df: DataFrame) -> DataFrame:
+        return self.commit(table, replace={"all": df})
+
     def create(self, table: str, schema: T.StructType) -> bool:
         """An empty table, unless it is there; says whether it was made."""
         if self.exists(table):
