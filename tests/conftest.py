@@ -1,7 +1,14 @@
+import os
+from pathlib import Path
+
 import pytest
 from pyspark.sql import SparkSession
 
 
+# the Python workers find the package, wherever the tests are started
+os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [str(Path(__file__).resolve().parent.parent), os.environ.get("PYTHONPATH")]))
+
+
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     folder = tmp_path_factory.mktemp("spark")
