@@ -183,7 +183,7 @@ def home(eq: np.ndarray, x: np.ndarray, y: np.ndarray, one: list, two: list, ove
 
 
 def compare(runs: int, threshold: float):
-    """Rows (group, bucket, id, n, samples, over, side), sorted by group -> (bucket, id, partners): the pairs at home in the bucket whose samples agree."""
+    """Rows (group, bucket, id, n, samples, over, side), sorted by group -> (group, id, partners): the pairs at home in the bucket whose samples agree."""
 
     def pairs_of(side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         x, y = np.triu_indices(len(side), 1)
@@ -193,7 +193,7 @@ def compare(runs: int, threshold: float):
         return x, y
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["bucket", "id", "partners"]
+        names = ["group", "id", "partners"]
         waiting: list[tuple] = []
         for t in sorted_runs(batches, "group"):
             ids, at = np.unique(t["id"].to_numpy(), return_index=True)
@@ -228,7 +228,8 @@ def compare(runs: int, threshold: float):
             cuts = np.searchsorted(a, np.arange(len(ids) + 1))
             used = np.zeros(len(ids), bool)
             used[a] = used[b] = True
-            waiting += [(bucket, int(ids[i]), ids[b[cuts[i] : cuts[i + 1]]].tobytes()) for i in np.flatnonzero(used).tolist()]
+            group = t["group"][0].as_py()
+            waiting += [(group, int(ids[i]), ids[b[cuts[i] : cuts[i + 1]]].tobytes()) for i in np.flatnonzero(used).tolist()]
             if len(waiting) > 4096:
                 yield pa.RecordBatch.from_pydict(dict(zip(names, (pa.array(c, k) for c, k in zip(zip(*waiting, strict=True), (pa.int64(), pa.int64(), pa.binary()), strict=True)), strict=True)))
                 waiting = []
@@ -261,10 +262,10 @@ def overlaps(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray
 
 
 def verify(k: int, threshold: float):
-    """Rows (bucket, id, partners, weight, text), sorted by bucket -> (id, links, root): the links of each document by weight, and the smallest document of its linked group within the bucket."""
+    """Rows (group, id, partners, weight, text), sorted by group, at most two blocks in one -> (id, links, root): the links of each document by weight, and the smallest document linked to it within the group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in sorted_runs(batches, "bucket"):
+        for t in sorted_runs(batches, "group"):
             ids, at = np.unique(t["id"].to_numpy(), return_index=True)
             t = t.take(pa.array(at))
             weights = t["weight"].to_numpy()
@@ -348,10 +349,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     )
     n = parts(spark)
     ready = dealt.join(full.select("id", "n", "samples", "over"), "id").select("group", "bucket", "id", "n", "samples", "over", "side").repartition(n, "group").sortWithinPartitions("group")
-    found = stored(ready.mapInArrow(compare(runs, threshold), "bucket long, id long, partners binary"), "pairs")
+    found = stored(ready.mapInArrow(compare(runs, threshold), "group long, id long, partners binary"), "pairs")
 
     texts = rows.where("id is not null").groupBy("id").agg(F.min("text").alias("text")) if rows_repeat(rows) else rows.where("id is not null")
-    wanted = found.join(sets.select("id", "weight"), "id").join(texts, "id").select("bucket", "id", "partners", "weight", "text").repartition(n, "bucket").sortWithinPartitions("bucket")
+    wanted = found.join(sets.select("id", "weight"), "id").join(texts, "id").select("group", "id", "partners", "weight", "text").repartition(n, "group").sortWithinPartitions("group")
     linked = stored(wanted.mapInArrow(verify(k, threshold), "id long, links long, root long"), "links")
 
     roots = components(linked.select(F.col("id").alias("a"), F.col("root").alias("b")))
@@ -373,4 +374,4 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) ->
     """The rows of docs of one document of each class, all columns as they are: the smallest id; rows with a null id stay."""
     found = near_duplicates(docs, key, text, **how)
     out = found.where(F.col(key) != F.col("class_id")).select(F.col(key).alias("gone_id"))
-    return docs.join(out, docs[key] == F.col("gone_id"), "left_anti")
+    return docs.join(out, docs[key] == out["gone_id"], "left_anti")

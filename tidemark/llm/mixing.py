@@ -129,10 +129,12 @@ def mix_documents(docs: DataFrame, epochs: int = 2, percent: int = 60, seed: int
 
 
 def mixture(docs: DataFrame, epochs: int = 2, percent: int = 60, seed: int = 7) -> DataFrame:
-    """docs' rows as often as the mixture holds them, all columns as they are; ids must be distinct."""
-    counted = mix_documents(docs, epochs, percent, seed).where("copies > 0").select(F.col("doc_id").alias("mix_id"), F.col("copies").alias("mix_copies"))
-    joined = docs.join(counted, F.col("doc_id").eqNullSafe(F.col("mix_id")))
-    return joined.withColumn("mix_turn", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_copies")))).select(*[joined[c] for c in docs.columns])
+    """docs' rows as often as the mixture holds them, all columns as they are. Rows with one id are one document, each given the largest number of copies of any of them."""
+    counted = mix_documents(docs, epochs, percent, seed).where("copies > 0").groupBy(F.col("doc_id").alias("mix_id")).agg(F.max("copies").alias("mix_copies"))
+    # the row travels whole, so that no column of it can clash
+    rows = docs.select(F.struct("*").alias("mix_row"))
+    joined = rows.join(counted, F.col("mix_row.doc_id").eqNullSafe(F.col("mix_id")))
+    return joined.select("mix_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_copies")))).select("mix_row.*")
 
 
 def _level_sql(i: int) -> str:
