@@ -226,7 +226,7 @@ class Scorer:
         """For each text the log10 probability of its ids and the end."""
         docs = len(bounds) - 1
         doc = np.repeat(np.arange(docs), np.diff(bounds))
-        total = np.bincount(doc, self.within[ids], docs)
+        total = np.bincount(doc, self.within[ids], docs).astype(np.float64)
         keys, goal, of = groups(self.classes[ids], bounds)
         for lo in range(0, len(keys), GROUPS):
             k, t = keys[lo : lo + GROUPS], goal[lo : lo + GROUPS]
