@@ -25,6 +25,10 @@ from pyspark.sql import functions as F
 from .kernel import mix, pieces, scan, text_bytes
 
 SAMPLE, FOLDS, FEATURES, LEAST = 5000, 5, 512, 4
+#: Chi-square below which a feature tells nothing (a thousandth of such would, by chance).
+TELLING = 10.83
+#: Probability from which a category holds.
+THRESHOLD = 0.3
 PREFIXES = (3, 4, 5, 6)
 #: Registered categories, in the order of the chain, as conditions on labels(quality, toxic).
 CATEGORIES = (("low_quality", "quality = 0"), ("toxic", "toxic = 1"), ("toxic_prose", "toxic = 1 and quality = 1"))
@@ -133,7 +137,7 @@ def train(doc: np.ndarray, hashes: np.ndarray, labels: np.ndarray, names: list[s
         b, left, right = times - a, t - a, (n - t) - (times - a)
         chi = n * (a * right - b * left) ** 2 / np.maximum(times * (n - times) * t * (n - t), 1)
         chi[times < LEAST] = -1
-        best = np.sort(np.argsort(-chi, kind="stable")[: min(FEATURES, int((chi >= 0).sum()))])
+        best = np.sort(np.argsort(-chi, kind="stable")[: min(FEATURES, int((chi >= TELLING).sum()))])
         place = np.full(len(distinct), -1)
         place[best] = np.arange(len(best))
         x = np.zeros((docs, len(best)), np.float32)
@@ -183,7 +187,7 @@ def learn(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, key: str =
     return train(doc, hashes, np.stack([got[n].to_numpy() for n in names], axis=1) if len(each) else np.zeros((0, len(names))), names)
 
 
-def score(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, key: str = "doc_id", text: str = "text", sample: int = SAMPLE, threshold: float = 0.5) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, key: str = "doc_id", text: str = "text", sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
     """One row a document: key, p_<category> of each, is_<category> (the probability reaches the threshold)."""
     chain = learn(docs, labels, categories, key, text, sample)
     names = [f"p_{n}" for n in chain.names]
