@@ -81,7 +81,7 @@ def budgets(leaves: DataFrame, levels: list[str], weights: Mapping[str, Mapping[
         here = nodes.groupBy(*levels[: i + 1]).agg(F.max(f"w{i}").alias("weight"), F.sum("cap0").alias("cap"))
         # a node without capacity takes no part in sharing
         here = here.withColumn("weight", F.when(F.col("cap") > 0, F.col("weight")).otherwise(0))
-        here = here.join(above, parents) if parents else here.crossJoin(F.broadcast(above))  # one row above the root's children
+        here = here.join(above, parents) if parents else here.withColumn("root", F.lit(0)).join(F.broadcast(above.withColumn("root", F.lit(0))), "root").drop("root")  # one row
         above = share(here, parents, name).select(*levels[: i + 1], F.col("given").alias("budget"))
     return leaves.join(above.withColumnRenamed("budget", "given"), levels)
 
