@@ -29,9 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import parts, stored
-from .kernel import mix, pieces, sorted_runs, windows, words_of
+from .kernel import mix, pieces, sorted_runs, spread, windows, words_of
 
-SLOTS, PICKS, SMALL, BLOCK = 32, 4.0, 256, 1024
+SLOTS, PICKS, SMALL, BLOCK = 32, 4.0, 256, 2048
 RECALL = 0.9999
 #: Sampled tokens that must agree, as a share: at similarity 0.8 fewer agree once in 10**5 pairs.
 AGREE = 0.45
@@ -185,12 +185,18 @@ def home(eq: np.ndarray, x: np.ndarray, y: np.ndarray, one: list, two: list, ove
 def compare(runs: int, threshold: float):
     """Rows (group, bucket, id, n, samples, over, side), sorted by group -> (group, id, partners): the pairs at home in the bucket whose samples agree."""
 
-    def pairs_of(side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        x, y = np.triu_indices(len(side), 1)
-        if (side >= 0).any():  # two blocks: pairs across them only
-            keep = side[x] != side[y]
-            x, y = x[keep], y[keep]
-        return x, y
+    def pairs_of(side: np.ndarray, most: int = 1 << 15) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """All pairs x < y, a few rows at a time; of two blocks the pairs across them only."""
+        n = len(side)
+        across = bool((side >= 0).any())
+        strip = max(1, most // n)
+        for lo in range(0, n - 1, strip):
+            rows = np.arange(lo, min(lo + strip, n - 1))
+            x, y = np.repeat(rows, n - 1 - rows), spread(rows + 1, n - 1 - rows)
+            if across:
+                keep = side[x] != side[y]
+                x, y = x[keep], y[keep]
+            yield x, y
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["group", "id", "partners"]
@@ -204,25 +210,27 @@ def compare(runs: int, threshold: float):
             sizes = t["n"].to_numpy()
             s = as_samples(t["samples"])
             filled = s > 0
-            x, y = pairs_of(side)
+            bucket = np.int64(t["bucket"][0].as_py()).view(_U)
+            over = one = two = paths = None
             kept = []
-            for lo in range(0, len(x), 1 << 16):
-                a, b = x[lo : lo + (1 << 16)], y[lo : lo + (1 << 16)]
+            for a, b in pairs_of(side):
                 near = np.minimum(sizes[a], sizes[b]) >= threshold * np.maximum(sizes[a], sizes[b])
                 a, b = a[near], b[near]
                 eq = (s[a] == s[b]) & filled[a]
                 good = eq.sum(1) >= AGREE * (filled[a] | filled[b]).sum(1)
-                if good.any():
-                    kept.append((a[good], b[good], eq[good]))
+                if not good.any():
+                    continue
+                if over is None:
+                    over = as_bits(t["over"], runs)
+                    one = [chosen(s, r, 0) for r in range(runs)]
+                    two = second_masks(s, runs)
+                    paths = [first_paths(s, r) for r in range(runs)]
+                a, b = a[good], b[good]
+                mine = home(eq[good], a, b, one, two, over, paths, s) == bucket
+                kept.append((a[mine], b[mine]))
             if not kept:
                 continue
-            a, b, eq = (np.concatenate(z) for z in zip(*kept, strict=True))
-            over = as_bits(t["over"], runs)
-            one = [chosen(s, r, 0) for r in range(runs)]
-            paths = [first_paths(s, r) for r in range(runs)]
-            bucket = t["bucket"][0].as_py()
-            mine = home(eq, a, b, one, second_masks(s, runs), over, paths, s) == np.int64(bucket).view(_U)
-            a, b = a[mine], b[mine]
+            a, b = (np.concatenate(z) for z in zip(*kept, strict=True))
             if not len(a):
                 continue
             cuts = np.searchsorted(a, np.arange(len(ids) + 1))
