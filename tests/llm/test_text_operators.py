@@ -329,6 +329,51 @@ def test_lm_learns():
     assert losses[-1] < 0.6 * losses[0]
 
 
+def test_lm_trains_on_every_window_and_weighs_by_windows(spark, monkeypatch):
+    paths = queries.tokenizer_path(), queries.tokenizer_path("byte_bpe_50k.tiktoken")
+    # every window is in a step, once where there are enough
+    seen = Counter()
+    real = lm.train_step
+
+    def counted(p, keys, goal):
+        seen.update(k.tobytes() for k in keys)
+        return real(p, keys, goal)
+
+    monkeypatch.setattr(lm, "train_step", counted)
+    rng = np.random.default_rng(3)
+    keys, goal = rng.integers(0, lm.END, (lm.LEAST_STEPS * lm.BATCH + 1000, 2 * lm.STEP)), rng.integers(0, lm.END, (lm.LEAST_STEPS * lm.BATCH + 1000, lm.STEP))
+    trainer = lm.Trainer(0)
+    for a in range(0, len(keys), 700):
+        trainer.add(keys[a : a + 700], goal[a : a + 700])
+    trainer.finish()
+    assert trainer.windows == len(keys) and seen == Counter(k.tobytes() for k in keys)
+    monkeypatch.undo()
+    # one text is enough to learn from, and two partitions weigh by their windows, also beyond 4096
+    ids = [i for i in range(40) if not lm.held_out(pa.array([i]))[0]][:2]
+    texts = ["the cat sat on the mat and the dog ran " * 9000, "0 1 2 3 4 5 6 7 8 9 " * 2000]
+    schema = "id long, text string"
+
+    def learnt(*which):
+        rows = spark.sparkContext.parallelize([(ids[i], texts[i]) for i in which], len(which))
+        return lm.flatten(lm.train(spark.createDataFrame(rows, schema), *paths)[0])
+
+    code = lm.subwords(*paths)
+    weights = []
+    for t in texts:
+        got, bounds = code.encode_all(*kernel.text_bytes(pa.array([t])))
+        weights.append(len(lm.groups(code.classes[got], bounds)[0]))
+    assert weights[0] > 4096 > weights[1]
+    first, both = learnt(0), learnt(0, 1)
+    second = (both * sum(weights) - first * weights[0]) / weights[1]
+    trainer = lm.Trainer(1)  # the second partition by itself
+    got, bounds = code.encode_all(*kernel.text_bytes(pa.array(texts[1:])))
+    trainer.add(*lm.groups(code.classes[got], bounds)[:2])
+    trainer.finish()
+    assert np.allclose(second, lm.flatten(trainer.p), atol=1e-3) and not np.allclose(first, lm.flatten(lm.start()), atol=0.05)
+    # a single short text trains too
+    assert not np.allclose(lm.flatten(lm.train(spark.createDataFrame([(ids[0], "a b")], schema), *paths)[0]), lm.flatten(lm.start()), atol=0.05)
+
+
 def test_toxicity_on_held_out_documents(spark):
     rng = random.Random(5)
     clean = [t for t in sentences(11, 400, 0) if t.strip()]

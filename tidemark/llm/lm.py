@@ -9,8 +9,8 @@ to every bucket, so that the answers also add up to the corpus totals.
 
 Attention model: one layer of causal self-attention over classes of byte-level subwords, trained in numpy.
 A subword's class is its last byte and whether it starts with a space; P(id | class) are counts over all
-training texts.  Every partition trains on a fixed share of its windows from the same start, and Spark sums the
-parameters, weighted by windows, to their mean.  Texts are scored in groups of STEP predictions that see the
+training texts.  Every partition trains on each window of its training texts from the same start, and Spark sums the
+parameters, weighted by the number of windows, to their mean; a partition of few windows goes over them again.  Texts are scored in groups of STEP predictions that see the
 STEP inputs before the group too, many groups at once under a causal mask: each token is scored once, with STEP to
 2 * STEP - 1 tokens of context (less only at the start of a text); then one end.
 
@@ -40,9 +40,10 @@ STEP, WIDTH = 16, 16
 #: Classes of subwords: 32 kinds of last byte, with or without a leading space; then the end and the padding.
 KINDS, END, PAD = 64, 64, 65
 CLASSES = 65
-#: Share of its windows that a partition trains on, at least so many steps, groups a step.
-TRAINED, LEAST_STEPS, BATCH, MOST_WEIGHT = 32, 80, 128, 4096
-SCALE = 1 << 24
+#: Steps that a partition trains at least, windows a step.
+LEAST_STEPS, BATCH = 80, 128
+#: Of the parameters as integers: sums over 2**36 windows stay within 64 bits up to parameters of 64.
+SCALE = 1 << 20
 GROUPS = 512
 LARGEST_LOGIT = np.float32(80)
 #: Pieces of text remembered in a worker, twice over.
@@ -146,7 +147,8 @@ def train_step(p: dict[str, np.ndarray], keys: np.ndarray, goal: np.ndarray) ->
     target = np.where(real, goal, 0)
     root = np.float32(WIDTH**0.5)
     tq, tk, tv, th = p["e"] @ p["q"], p["e"] @ p["k"], p["e"] @ p["v"], p["e"] @ p["h"] + p["b"]
-    scores = (tq @ tk.T / root)[cq[:, :, None], ck[:, None, :]] + p["r"][RELATIVE]
+    pair = (cq * CLASSES)[:, :, None] + ck[:, None, :]
+    scores = (tq @ tk.T / root).ravel().take(pair) + p["r"][RELATIVE]
     scores = np.where(CAUSAL & (keys < PAD)[:, None, :], scores, np.float32(-1e9))
     scores -= scores.max(-1, keepdims=True)
     att = np.exp(scores)
@@ -175,8 +177,8 @@ def train_step(p: dict[str, np.ndarray], keys: np.ndarray, goal: np.ndarray) ->
     datt = do @ v.transpose(0, 2, 1)
     dv = att.transpose(0, 2, 1) @ do
     ds = att * (datt - (att * datt).sum(-1, keepdims=True))
-    g["r"] = np.bincount(np.broadcast_to(RELATIVE, ds.shape).ravel(), (ds * CAUSAL).ravel(), 2 * STEP).astype(np.float32)
-    da = np.bincount((cq[:, :, None] * CLASSES + ck[:, None, :]).ravel(), ds.ravel(), CLASSES * CLASSES).reshape(CLASSES, CLASSES).astype(np.float32) / root
+    g["r"] = np.bincount(RELATIVE.ravel(), (ds.sum(0) * CAUSAL).ravel(), 2 * STEP).astype(np.float32)
+    da = np.bincount(pair.ravel(), ds.ravel(), CLASSES * CLASSES).reshape(CLASSES, CLASSES).astype(np.float32) / root
     keyed = np.zeros((ck.size, CLASSES), np.float32)
     keyed[np.arange(ck.size), ck.ravel()] = 1
     dtv = keyed.T @ dv.reshape(-1, WIDTH)
@@ -245,6 +247,47 @@ class Scorer:
         return total
 
 
+class Trainer:
+    """Adam's steps over a stream of windows, each taken at least once."""
+
+    def __init__(self, seed: int) -> None:
+        self.p = start()
+        self.adam = Adam(self.p)
+        self.rng = np.random.default_rng(seed)
+        self.steps = self.windows = 0
+        self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        self.first: list[tuple[np.ndarray, np.ndarray]] = []  # the windows of the first LEAST_STEPS steps
+
+    def step(self, keys: np.ndarray, goal: np.ndarray) -> None:
+        self.adam.step(train_step(self.p, keys.astype(np.int64), goal.astype(np.int64))[1])
+        self.steps += 1
+
+    def add(self, keys: np.ndarray, goal: np.ndarray, last: bool = False) -> None:
+        """Trains on what waits and these in random order; fewer than a step's wait for more, unless they are the last."""
+        self.windows += len(keys)
+        self.waiting.append((keys.astype(np.uint8), goal.astype(np.uint8)))
+        have = sum(len(k) for k, _ in self.waiting)
+        if not have or have < 8 * BATCH and not last:
+            return
+        keys, goal = (np.concatenate(x) for x in zip(*self.waiting, strict=True))
+        order = self.rng.permutation(have)
+        whole = have if last else have // BATCH * BATCH
+        for a in range(0, whole, BATCH):
+            at = order[a : min(a + BATCH, whole)]
+            if self.steps < LEAST_STEPS:
+                self.first.append((keys[at], goal[at]))
+            self.step(keys[at], goal[at])
+        self.waiting = [(keys[order[whole:]], goal[order[whole:]])]
+
+    def finish(self) -> None:
+        self.add(np.zeros((0, 2 * STEP), np.uint8), np.zeros((0, STEP), np.uint8), last=True)
+        if self.windows and self.steps < LEAST_STEPS:
+            keys, goal = (np.concatenate(x) for x in zip(*self.first, strict=True))
+            while self.steps < LEAST_STEPS:
+                at = self.rng.integers(0, len(keys), BATCH)
+                self.step(keys[at], goal[at])
+
+
 def train(docs: DataFrame, path: str, ranks: str) -> tuple[dict[str, np.ndarray], np.ndarray]:
     """docs(id, text) -> (parameters, counts of ids): one pass over all training texts."""
     blocks = 16
@@ -253,37 +296,18 @@ def train(docs: DataFrame, path: str, ranks: str) -> tuple[dict[str, np.ndarray]
         code = subwords(path, ranks)
         counts = np.zeros(len(code.strings), np.int64)
         part = TaskContext.get().partitionId()
-        rng = np.random.default_rng(part)
-        kept_keys, kept_goal = [], []
-        p = start()
-        adam = Adam(p)
-        steps = windows = 0
+        trainer = Trainer(part)
         for batch in pieces(batches):
             learn = batch.filter(pa.array(~held_out(batch.column(0))))
             ids, bounds = code.encode_all(*text_bytes(learn.column(1)))
             counts += np.bincount(ids, minlength=len(counts))
             keys, goal, _ = groups(code.classes[ids], bounds)
-            some = rng.random(len(keys)) < 1 / TRAINED
-            kept_keys.append(keys[some])
-            kept_goal.append(goal[some])
-            windows += len(kept_keys[-1])
-            have = sum(map(len, kept_keys))
-            if have >= 8 * BATCH:
-                keys, goal = np.concatenate(kept_keys), np.concatenate(kept_goal)
-                order = rng.permutation(have)
-                for a in range(0, have - BATCH + 1, BATCH):
-                    adam.step(train_step(p, keys[order[a : a + BATCH]], goal[order[a : a + BATCH]])[1])
-                    steps += 1
-                kept_keys, kept_goal = [keys[order[: 4 * BATCH]]], [goal[order[: 4 * BATCH]]]  # some are seen again
-        if not counts.any():
+            trainer.add(keys, goal)
+        trainer.finish()
+        weight = trainer.windows
+        if not weight:
             return
-        keys, goal = np.concatenate(kept_keys), np.concatenate(kept_goal)
-        while steps < LEAST_STEPS and len(keys):
-            at = rng.integers(0, len(keys), BATCH)
-            adam.step(train_step(p, keys[at], goal[at])[1])
-            steps += 1
-        weight = min(windows, MOST_WEIGHT)
-        values = np.concatenate([counts, [weight], np.rint(flatten(p) * SCALE).astype(np.int64) * weight])
+        values = np.concatenate([counts, [weight], np.rint(flatten(trainer.p) * SCALE).astype(np.int64) * weight])
         cut = np.array_split(values, blocks)
         yield pa.RecordBatch.from_pydict({"block": pa.array(range(blocks), pa.int32()), "part": pa.array([part] * blocks, pa.int32()), "sums": pa.array([x.tobytes() for x in cut], pa.binary())})
 
@@ -293,7 +317,7 @@ def train(docs: DataFrame, path: str, ranks: str) -> tuple[dict[str, np.ndarray]
         return start(), np.zeros(size, np.int64)
     values = np.concatenate([np.frombuffer(r["sums"], np.int64) for r in sorted(rows, key=lambda r: r["block"])])
     weight = int(values[size])
-    return (unflatten(values[size + 1 :] / weight / SCALE) if weight else start()), values[:size]
+    return unflatten(values[size + 1 :] / weight / SCALE), values[:size]
 
 
 # ---- the word model
