@@ -55,3 +55,13 @@ def test_a_large_group_of_copies(spark, copies):
     got = found(table(spark, rows))
     want = brute([(i, np.array(x, float)) for i, x in rows])
     assert {q: [i for _, i, _ in v] for q, v in got.items()} == want
+
+
+@pytest.mark.parametrize("spread", [0.08, 0.0005])
+def test_recall_among_near_copies(spark, spread):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=32) + spread * rng.normal(size=(3000, 32))
+    rows = list(enumerate(x.astype(np.float32).astype(float)))
+    got, want = found(table(spark, rows)), brute(rows)
+    hits = sum(len({i for _, i, _ in got[q]} & set(want[q])) for q in want)
+    assert hits >= 0.95 * 20 * len(want)

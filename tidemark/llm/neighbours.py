@@ -1,15 +1,16 @@
 """Approximate nearest neighbours by largest inner product.
 
 NN-descent: every distinct vector keeps its NEAR best neighbours so far, at first from brute force in
-blocks of vectors that fall on the same sides of random hyperplanes; then, round after round, each vector
+blocks of vectors that fall on the same sides of random hyperplanes (or, of one side, lie near along a line); then, round after round, each vector
 gathers its neighbours and a sample of those that have it as a neighbour, compares them with one another,
 and passes on what is better than their worst; Spark joins and merges the lists until few change.  Queries
 are answered by greedy search in the graph: a beam of the best vectors seen, of which the best that are
 not yet expanded send for their neighbours, until the whole beam is expanded.  What the beam holds is then
 scored on the original vectors in double precision.
 
-Graph and search use vectors of 8-bit numbers, with one more coordinate that makes all norms equal, so that
-the largest inner product is the nearest neighbour.  Equal vectors are one node (its smallest ids are
+Graph and search use vectors of 32-bit numbers, with one more coordinate that puts all on one sphere, so that
+the largest inner product is the nearest neighbour; differences and sums are taken in double precision, so
+vectors that lie close together keep their order.  Equal vectors are one node (its smallest ids are
 kept, more than any query can return), so a large group of copies is one node too.
 
 Vectors that are null, zero, of another length than most, or hold null or non-finite numbers take no part,
@@ -34,6 +35,8 @@ ROUNDS, ENOUGH = 5, 0.01
 PASSED = 8
 BEAM, EXPANDED, SEEDS, MOST_STEPS = 256, 64, 512, 24
 PLANES = 30
+#: Neighbours in a row of the search's table, which bounds a batch's bytes.
+A_ROW = 12
 NODE = "id long, code binary, near binary, sims binary"
 
 
@@ -47,10 +50,25 @@ def valid(df: DataFrame, key: str, vector: str) -> DataFrame:
 
 
 def codes(vecs: np.ndarray, norm: float) -> np.ndarray:
-    """8-bit vectors of one norm: the inner products order as those of the originals with any one query."""
-    rest = np.sqrt(np.maximum(norm * norm - (vecs * vecs).sum(1), 0))
-    full = np.hstack([vecs, rest[:, None]]) / norm
-    return np.rint(full * 127).astype(np.int8)
+    """32-bit vectors on a sphere about its pole, at the scale of a power of two, so that 32-bit input stays exact.  The added coordinate is counted from the pole, where short vectors lie, so that their differences are not rounded away."""
+    scale = np.ldexp(1.0, int(np.frexp(norm)[1]))
+    y, radius = vecs / scale, norm / scale
+    t = np.minimum((y * y).sum(1) / (radius * radius), 1)
+    return np.hstack([y, (radius * t / (1 + np.sqrt(1 - t)))[:, None]]).astype(np.float32)
+
+
+def closeness(code: np.ndarray) -> np.ndarray:
+    """Squared distances between all, negative; of none to itself."""
+    x = code.astype(np.float64) - code[0]
+    half = (x * x).sum(1)
+    sims = 2 * (x @ x.T) - half[:, None] - half
+    np.fill_diagonal(sims, -np.inf)
+    return sims
+
+
+def inner(code: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products in double precision, the same for a vector in any company."""
+    return (code.astype(np.float64) * query.astype(np.float64)).sum(1)
 
 
 def matrix(col: pa.ChunkedArray | pa.Array, kind: str) -> np.ndarray:
@@ -89,9 +107,7 @@ def in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, code) in the order of a hyperplane code -> id, near, sims: the best of each block of consecutive vectors."""
 
     def brute(ids: np.ndarray, code: np.ndarray) -> pa.RecordBatch:
-        x = code.astype(np.float32)
-        sims = x @ x.T
-        np.fill_diagonal(sims, -np.inf)
+        sims = closeness(code)
         k = min(NEAR, len(ids) - 1)
         at = np.argpartition(-sims, k - 1, 1)[:, :k] if k else np.zeros((len(ids), 0), int)
         found = np.take_along_axis(sims, at, 1)
@@ -100,7 +116,7 @@ def in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[tuple[np.ndarray, np.ndarray]] = []
     for batch in batches:
         if batch.num_rows:
-            held.append((batch.column(0).to_numpy(), matrix(batch.column(1), "i1")))
+            held.append((batch.column(0).to_numpy(), matrix(batch.column(1), "f4")))
         if sum(len(i) for i, _ in held) >= 2 * BLOCK:
             ids, code = np.concatenate([i for i, _ in held]), np.concatenate([c for _, c in held])
             whole = len(ids) // BLOCK - 1
@@ -151,15 +167,14 @@ def joined_locally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     """Rows (pivot, id, code, worst) sorted by pivot -> id, near, sims: for each gathered vector the best of the others, if better than its worst."""
     for t in aligned(batches, "pivot", 16384):
         pivots, ids = t["pivot"].to_numpy(), t["id"].to_numpy()
-        code = matrix(t["code"], "i1").astype(np.float32)
+        code = matrix(t["code"], "f4")
         worst = t["worst"].to_numpy()
         cuts = np.flatnonzero(np.diff(pivots)) + 1
         of, who, sim = [], [], []
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(pivots)], strict=True):
             if b - a < 2:
                 continue
-            s = code[a:b] @ code[a:b].T
-            np.fill_diagonal(s, -np.inf)
+            s = closeness(code[a:b]).astype(np.float32)
             k = min(PASSED, b - a - 1)
             at = np.argpartition(-s, k - 1, 1)[:, :k]
             found = np.take_along_axis(s, at, 1)
@@ -202,20 +217,22 @@ def build(points: DataFrame, dims: int) -> DataFrame:
     spark = points.sparkSession
     n = parts(spark)
     rng = np.random.default_rng(11)
-    planes = rng.normal(size=(TREES, dims, PLANES)).astype(np.float32)
+    planes = rng.normal(size=(TREES, dims, PLANES + 1))
+    some = points.orderBy(F.xxhash64("id", F.lit(31)), "id").limit(SEEDS).select("code").toArrow()
+    centre = matrix(some["code"], "f4").astype(np.float64).mean(0) if some.num_rows else np.zeros(dims)
     powers = (1 << np.arange(PLANES - 1, -1, -1)).astype(np.int64)
 
     def sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                x = matrix(batch.column(1), "i1").astype(np.float32)
-                yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array((x @ p > 0) @ powers) for p in planes)], names=["id", "code", *(f"side{t}" for t in range(TREES))])
+                x = [(matrix(batch.column(1), "f4") - centre) @ p for p in planes]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array((y[:, :-1] > 0) @ powers) for y in x), *(pa.array(y[:, -1]) for y in x)], names=["id", "code", *(f"side{t}" for t in range(TREES)), *(f"along{t}" for t in range(TREES))])
 
-    sided = stored(points.select("id", "code").mapInArrow(sides, "id long, code binary, " + ", ".join(f"side{t} long" for t in range(TREES))), "sides")
+    sided = stored(points.select("id", "code").mapInArrow(sides, "id long, code binary, " + ", ".join([*(f"side{t} long" for t in range(TREES)), *(f"along{t} double" for t in range(TREES))])), "sides")
     merged = f"{NODE}, fresh long"
     lists_ = None
     for t in range(TREES):
-        block = sided.select("id", "code", f"side{t}").repartitionByRange(n, f"side{t}", "id").sortWithinPartitions(f"side{t}", "id").select("id", "code").mapInArrow(in_blocks, "id long, near binary, sims binary")
+        block = sided.select("id", "code", f"side{t}", f"along{t}").repartitionByRange(n, f"side{t}", f"along{t}", "id").sortWithinPartitions(f"side{t}", f"along{t}", "id").select("id", "code").mapInArrow(in_blocks, "id long, near binary, sims binary")
         lists_ = block if lists_ is None else lists_.union(block)
 
     def combined(base: DataFrame, more: DataFrame) -> DataFrame:
@@ -237,14 +254,16 @@ def build(points: DataFrame, dims: int) -> DataFrame:
 
 
 def adjacency(nodes: DataFrame) -> DataFrame:
-    """nodes -> id, near (ids), codes: neighbours both ways with their vectors, one row a node."""
+    """nodes -> id, near (ids), codes: neighbours both ways with their vectors, up to A_ROW in a row."""
     both = edges(nodes).union(back_links(nodes)).where("id <> other").distinct()
     rows = both.join(nodes.select(F.col("id").alias("other"), "code"), "other").repartition(parts(nodes.sparkSession), "id").sortWithinPartitions("id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in aligned(batches, "id"):
-            ids, at = np.unique(t["id"].to_numpy(), return_index=True)
-            cuts = [*at.tolist(), t.num_rows]
+            ids = t["id"].to_numpy()
+            place = np.arange(len(ids)) - np.searchsorted(ids, ids, "left")
+            at = np.flatnonzero(place % A_ROW == 0)
+            ids, cuts = ids[at], [*at.tolist(), t.num_rows]
             who = t["other"].to_numpy()
             code = t["code"].to_pylist()
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array([who[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()), pa.array([b"".join(code[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())], names=["id", "near", "codes"])
@@ -256,8 +275,10 @@ BEAMS = "query long, code binary, beam binary, sims binary, done binary, open lo
 
 
 def beam_row(ids: np.ndarray, sims: np.ndarray, done: np.ndarray, width: int) -> tuple[bytes, bytes, bytes, int]:
-    keep = best(np.zeros(len(ids), np.int64), ids, np.where(done, np.nextafter(sims, np.float32(np.inf)), sims), width)
-    return ids[keep].tobytes(), sims[keep].astype(np.float32).tobytes(), done[keep].astype(np.int8).tobytes(), int((~done[keep]).sum())
+    order = np.lexsort((-sims, ~done, ids))  # of one id what is expanded stays so
+    order = order[np.append(True, np.diff(ids[order]) != 0)]
+    keep = order[np.lexsort((ids[order], -sims[order]))][:width]
+    return ids[keep].tobytes(), sims[keep].tobytes(), done[keep].astype(np.int8).tobytes(), int((~done[keep]).sum())
 
 
 def search(queries: DataFrame, nodes: DataFrame, width: int = BEAM) -> DataFrame:
@@ -266,18 +287,16 @@ def search(queries: DataFrame, nodes: DataFrame, width: int = BEAM) -> DataFrame
     n = parts(spark)
     seeds = nodes.select("id", "code").orderBy(F.xxhash64("id", F.lit(29)), "id").limit(SEEDS).toArrow()
     seed_ids = seeds["id"].to_numpy()
-    seed_codes = matrix(seeds["code"], "i1").astype(np.float32) if len(seed_ids) else np.zeros((0, 1), np.float32)
+    seed_codes = matrix(seeds["code"], "f4") if len(seed_ids) else np.zeros((0, 1), np.float32)
     near = stored(adjacency(nodes), "near")
 
     def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sims = matrix(batch.column(1), "i1").astype(np.float32) @ seed_codes.T
             own = batch.column(0).to_numpy()
             # the node of the query itself is a candidate like others, and known from the start
-            self_sim = (matrix(batch.column(1), "i1").astype(np.float32) ** 2).sum(1)
-            rows = [beam_row(np.append(seed_ids, own[i]), np.append(s, self_sim[i]).astype(np.float32), np.zeros(len(seed_ids) + 1, bool), width) for i, s in enumerate(sims)]
+            rows = [beam_row(np.append(seed_ids, own[i]), np.append(inner(seed_codes, c), 1.0), np.zeros(len(seed_ids) + 1, bool), width) for i, c in enumerate(matrix(batch.column(1), "f4"))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.binary(), pa.binary(), pa.binary(), pa.int64()), strict=True))], names=["query", "code", "beam", "sims", "done", "open"])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,11 +311,11 @@ def search(queries: DataFrame, nodes: DataFrame, width: int = BEAM) -> DataFrame
     def reply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, sims = [], []
-            for c, who, codes_ in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
-                q = np.frombuffer(c, np.int8).astype(np.float32)
-                s = np.frombuffer(codes_, np.int8).reshape(-1, len(q)).astype(np.float32) @ q
-                ids.append(who)
-                sims.append(s.astype(np.float32).tobytes())
+            for c, who, codes_ in zip(*(batch.column(i) for i in (1, 2, 3)), strict=True):
+                q = np.frombuffer(c.as_buffer(), np.float32)
+                s = inner(np.frombuffer(codes_.as_buffer(), np.float32).reshape(-1, len(q)), q)
+                ids.append(who.as_py())
+                sims.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array(sims, pa.binary())], names=["query", "beam", "sims"])
 
     def advance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,7 +327,7 @@ def search(queries: DataFrame, nodes: DataFrame, width: int = BEAM) -> DataFrame
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 own = next(i for i in range(a, b) if code[i] is not None)
                 ids = np.frombuffer(b"".join([beam[own], *(beam[i] for i in range(a, b) if i != own)]), np.int64)
-                s = np.frombuffer(b"".join([sims[own], *(sims[i] for i in range(a, b) if i != own)]), np.float32)
+                s = np.frombuffer(b"".join([sims[own], *(sims[i] for i in range(a, b) if i != own)]), np.float64)
                 was = np.frombuffer(done[own], np.int8).astype(bool)
                 flags = np.zeros(len(ids), bool)
                 flags[: len(was)] = was
@@ -351,8 +370,8 @@ def nearest(df: DataFrame, key: str = "vec_id", vector: str = "embedding", every
         for batch in batches:
             if batch.num_rows:
                 x = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1)
-                size = np.maximum(np.sqrt((x * x).sum(1, keepdims=True)), 1e-300)
-                c = np.rint(np.hstack([x / size, np.zeros((len(x), 1))]) * 127).astype(np.int8)  # no part of a query in the added coordinate
+                x = x / np.abs(x).max(1, keepdims=True)
+                c = np.hstack([x / np.sqrt((x * x).sum(1, keepdims=True)), np.zeros((len(x), 1))]).astype(np.float32)  # no part of a query in the added coordinate
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in c], pa.binary())], names=["id", "code"])
 
     points = nodes.mapInArrow(coded, "id long, code binary")
@@ -369,8 +388,7 @@ def nearest(df: DataFrame, key: str = "vec_id", vector: str = "embedding", every
                 who, sizes = flat(batch.column(1), "i8")
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(), sizes)), pa.array(who)], names=["query", "node"])
 
-    short = 3 * top + 8  # the 8-bit order is rough, so more than `top` are scored exactly
-    pairs = found.select("query", F.expr(f"substring(beam, 1, {8 * short})").alias("beam")).mapInArrow(spread_beam, "query long, node long")
+    pairs = found.mapInArrow(spread_beam, "query long, node long")
     scored = pairs.join(nodes, "node").join(nodes.select(F.col("node").alias("query"), F.col("vec").alias("asked")), "query").select("query", "node", F.aggregate(F.zip_with("vec", "asked", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x).alias("score"))
     least = member.withColumn("turn", F.row_number().over(Window.partitionBy("node").orderBy("id"))).where(F.col("turn") <= top + 1).groupBy("node").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     candidates = scored.join(least, "node").select("query", F.explode("ids").alias("vec_id"), "score")
