@@ -65,3 +65,16 @@ def test_recall_among_near_copies(spark, spread):
     got, want = found(table(spark, rows)), brute(rows)
     hits = sum(len({i for _, i, _ in got[q]} & set(want[q])) for q in want)
     assert hits >= 0.95 * 20 * len(want)
+
+
+@pytest.mark.parametrize("factor", [100.0, 1e200])
+def test_recall_beside_a_very_long_vector(spark, factor):
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(30, 16))
+    x = centres[rng.integers(0, 30, 1500)] + 0.6 * rng.normal(size=(1500, 16))
+    x[7] *= factor
+    rows = list(enumerate(x))
+    got = found(spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>"))
+    want = brute(rows)
+    hits = sum(len({i for _, i, _ in got[q]} & set(want[q])) for q in want)
+    assert hits >= 0.95 * 20 * len(want)

@@ -10,7 +10,8 @@ scored on the original vectors in double precision.
 
 Graph and search use vectors of 32-bit numbers, with one more coordinate that puts all on one sphere, so that
 the largest inner product is the nearest neighbour; differences and sums are taken in double precision, so
-vectors that lie close together keep their order.  Equal vectors are one node (its smallest ids are
+vectors that lie close together keep their order.  The LONG longest vectors are kept out of the graph and scored
+exactly for every query, so that single long ones do not shrink all others towards the pole.  Equal vectors are one node (its smallest ids are
 kept, more than any query can return), so a large group of copies is one node too.
 
 Vectors that are null, zero, of another length than most, or hold null or non-finite numbers take no part,
@@ -35,8 +36,11 @@ ROUNDS, ENOUGH = 5, 0.01
 PASSED = 8
 BEAM, EXPANDED, SEEDS, MOST_STEPS = 256, 64, 512, 24
 PLANES = 30
+LONG = 64
 #: Neighbours in a row of the search's table, which bounds a batch's bytes.
 A_ROW = 12
+#: Lengths beyond count as this, when vectors are scaled.
+LARGEST = 1e300
 NODE = "id long, code binary, near binary, sims binary"
 
 
@@ -354,11 +358,16 @@ def nearest(df: DataFrame, key: str = "vec_id", vector: str = "embedding", every
     """Of each row whose key is divisible by `every`: query_id, rank (from 1), vec_id, score, its `top` nearest found."""
     rows = stored(valid(df, key, vector).distinct(), "vectors")
     grouped = rows.withColumn("same", F.xxhash64("vec")).groupBy("same", "vec").agg(F.min("id").alias("node"))
-    nodes = stored(grouped.select("node", "vec"), "points")
+    largest = F.array_max(F.transform("vec", F.abs))
+    length = largest * F.sqrt(F.aggregate(F.transform("vec", lambda x: x / largest), F.lit(0.0), lambda a, x: a + x * x))  # squares do not overflow
+    nodes = stored(grouped.select("node", "vec", length.alias("length")), "points")
     if nodes.isEmpty():
         return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     dims = nodes.select(F.size("vec").alias("n")).first()["n"]
-    norm = nodes.select(F.max(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))).alias("n")).first()["n"]
+    long = stored(nodes.orderBy(F.desc("length"), "node").limit(LONG), "long")
+    rest = nodes.join(F.broadcast(long.select("node")), "node", "left_anti")
+    norm = min(rest.agg(F.max("length")).first()[0] or 1.0, LARGEST)
+    nodes = nodes.select("node", "vec")
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -374,7 +383,7 @@ def nearest(df: DataFrame, key: str = "vec_id", vector: str = "embedding", every
                 c = np.hstack([x / np.sqrt((x * x).sum(1, keepdims=True)), np.zeros((len(x), 1))]).astype(np.float32)  # no part of a query in the added coordinate
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in c], pa.binary())], names=["id", "code"])
 
-    points = nodes.mapInArrow(coded, "id long, code binary")
+    points = rest.select("node", "vec").mapInArrow(coded, "id long, code binary")
     graph = build(points, dims + 1)
     member = rows.join(nodes, "vec").select("id", "node")
     member = stored(member, "members")
@@ -389,9 +398,13 @@ def nearest(df: DataFrame, key: str = "vec_id", vector: str = "embedding", every
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(), sizes)), pa.array(who)], names=["query", "node"])
 
     pairs = found.mapInArrow(spread_beam, "query long, node long")
-    scored = pairs.join(nodes, "node").join(nodes.select(F.col("node").alias("query"), F.col("vec").alias("asked")), "query").select("query", "node", F.aggregate(F.zip_with("vec", "asked", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x).alias("score"))
+    score = F.aggregate(F.zip_with("vec", "asked", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x).alias("score")
+    scored = pairs.join(nodes, "node").join(nodes.select(F.col("node").alias("query"), F.col("vec").alias("asked")), "query").select("query", "node", score)
+    # a query's own node is always in its beam
+    scored_long = queries.select(F.col("node").alias("query"), F.col("vec").alias("asked")).join(F.broadcast(long.select("node", "vec")), F.col("query") != F.col("node")).select("query", "node", score)
     least = member.withColumn("turn", F.row_number().over(Window.partitionBy("node").orderBy("id"))).where(F.col("turn") <= top + 1).groupBy("node").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-    candidates = scored.join(least, "node").select("query", F.explode("ids").alias("vec_id"), "score")
+    least_long = least.join(F.broadcast(long.select("node")), "node", "left_semi")
+    candidates = scored.join(least, "node").unionByName(scored_long.join(F.broadcast(least_long), "node")).select("query", F.explode("ids").alias("vec_id"), "score")
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     ranked = candidates.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= top + 1)
     answers = ranked.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("turn", "vec_id", "score"))).alias("found"))
