@@ -78,3 +78,15 @@ def test_recall_beside_a_very_long_vector(spark, factor):
     want = brute(rows)
     hits = sum(len({i for _, i, _ in got[q]} & set(want[q])) for q in want)
     assert hits >= 0.95 * 20 * len(want)
+
+
+def test_search_goes_on_until_nothing_is_open(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SEEDS", 1)
+    many = 80  # a chain, searched from one node to its farther end
+    code = lambda x: np.array([x, 0], np.float32).tobytes()
+    near = lambda i: np.array([j for j in (i - 1, i + 1) if 0 <= j < many], np.int64)
+    rows = [(i, code(i / many), near(i).tobytes(), np.zeros(len(near(i)), np.float32).tobytes()) for i in range(many)]
+    nodes = spark.createDataFrame(rows, neighbours.NODE)
+    queries = spark.createDataFrame([(1000, code(1)), (1001, code(-1))], "id long, code binary")
+    got = {r["query"]: np.frombuffer(r["beam"], np.int64).tolist() for r in neighbours.search(queries, nodes, 4).collect()}
+    assert got == {1000: [1000, 79, 78, 77], 1001: [1001, 0, 1, 2]}

@@ -34,7 +34,7 @@ from .kernel import aligned
 NEAR, BACK, TREES, BLOCK = 32, 24, 4, 512
 ROUNDS, ENOUGH = 5, 0.01
 PASSED = 8
-BEAM, EXPANDED, SEEDS, MOST_STEPS = 256, 64, 512, 24
+BEAM, EXPANDED, SEEDS = 256, 64, 512
 PLANES = 30
 LONG = 64
 #: Neighbours in a row of the search's table, which bounds a batch's bytes.
@@ -341,7 +341,7 @@ def search(queries: DataFrame, nodes: DataFrame, width: int = BEAM) -> DataFrame
 
     state = stored(queries.select("id", "code").mapInArrow(begin, BEAMS), "beam")
     finished = None
-    for _ in range(MOST_STEPS):
+    while True:  # ends: a beam only gets better, and each step expands what is open
         live = state.where("open > 0")
         ended = state.where("open = 0").select("query", "beam")
         finished = ended if finished is None else finished.union(ended)
@@ -351,7 +351,6 @@ def search(queries: DataFrame, nodes: DataFrame, width: int = BEAM) -> DataFrame
         replies = asked.join(near, "id").select("query", "code", "near", "codes").mapInArrow(reply, "query long, beam binary, sims binary")
         rows = live.select("query", "code", "beam", "sims", "done").unionByName(replies.select("query", F.lit(None).cast("binary").alias("code"), "beam", "sims", F.lit(None).cast("binary").alias("done")))
         state = stored(rows.repartition(n, "query").sortWithinPartitions("query").mapInArrow(advance, BEAMS), "beam")
-    return finished.union(state.select("query", "beam"))
 
 
 def nearest(df: DataFrame, key: str = "vec_id", vector: str = "embedding", every: int = 20, top: int = 20, width: int = BEAM) -> DataFrame:
