@@ -78,6 +78,27 @@ def test_one_failure_does_not_stop_the_others(spark, tmp_path):
     assert store.read("_sync_state").where("state = 'failed'").count() == 1
 
 
+def test_a_failed_filtered_entity_is_tried_again_each_round(spark, tmp_path):
+    class Failing(workflow.RawSource):
+        left = 1
+
+        def by_ids(self, *args):
+            if self.left:
+                self.left -= 1
+                raise RuntimeError("down")
+            return super().by_ids(*args)
+
+    accounts = raw(spark, account(1, "Acme", 1, "Active", "2024-01-15", _owner_value="u1"))
+    source = Failing(DOCUMENT, {"accounts": accounts, "systemusers": raw(spark, {"systemuserid": "u1"}, {"systemuserid": "u2"})})
+    store = Store(spark, str(tmp_path / "store"))
+    got = workflow.run_workflow(store, source, [ACCOUNTS, USERS])
+    assert got["failed_entities"] == [("systemusers", "down")] and not got["success"] and got["total_added"] == 2
+    assert [r[0] for r in store.read("systemusers").select("systemuserid").collect()] == ["u1"]
+    source.left = 99  # one failure a round
+    got = workflow.run_workflow(Store(spark, str(tmp_path / "other")), source, [ACCOUNTS, USERS], rounds=3)
+    assert got["failed_entities"] == [("systemusers", "down")] * 3
+
+
 class Service:
     """A transport with scripted answers."""
 

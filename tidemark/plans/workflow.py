@@ -208,12 +208,11 @@ def run_workflow(store: Store, source: Source, entities: list[EntityConfig], ver
         attempt(entity, lambda e=entity, s=schema, m=mark: source.scan(e.api_name, incremental.order_column(s), m))
 
     done: dict[str, DataFrame] = {}
-    failed: set[str] = set()
     marks = {e.api_name: watermark_of(store, e.api_name) for e in valid if e.filtered}
     for turn in range(rounds):
         moved = False
         tables = {t: store.read(t) for t in store.tables() if not t.startswith("_")}
-        for entity in (e for e in valid if e.filtered and e.api_name not in failed):
+        for entity in (e for e in valid if e.filtered):
             ids = closure.referenced_ids(tables, found, entity.api_name)
             if ids is None:
                 continue
@@ -227,8 +226,7 @@ def run_workflow(store: Store, source: Source, entities: list[EntityConfig], ver
             key = incremental.resolve_key(schema, entity.name)
             new, existing = incremental.split_ids(ids, store.read(entity.api_name), key, mark is not None)
             if not attempt(entity, lambda e=entity, k=key, n=new, x=existing, m=mark: source.by_ids(e.api_name, k, n, x, m)):
-                failed.add(entity.api_name)
-                continue
+                continue  # its ids are asked for again in the next round
             done[entity.api_name] = checkpointed(done[entity.api_name].unionByName(ids)) if entity.api_name in done else ids
         if not moved:
             break
