@@ -22,17 +22,19 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .kernel import Words, pieces, spread, text_bytes
+from .kernel import pieces, spread, text_bytes, tidy
 
 #: Fixed value: the pre-token pattern of byte-level BPE vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Words remembered in a worker. A full memory becomes the old one and a new one starts; what is met again moves over.
-WORDS = 360_000
+#: Pre-tokens of at most LONG_PIECE characters remembered within a task, about 250 bytes each, twice over: a full memory becomes the old one, and what is met again moves over.
+REMEMBERED = 120_000
 #: Text bytes encoded at a time, and ids spelled out at a time.
-BATCH, SPELLED = 8 << 20, 1 << 18
+BATCH, SPELLED = 4 << 20, 1 << 18
 #: Marks that are neither letters, digits, white space nor apostrophes.
 PLAIN_MARKS = ".,!?;:%$&*#|"
 LONG_PIECE = 64
+
+
 def byte_symbols() -> list[str]:
     """The character that stands for each byte in the vocabulary: printable ones stand for themselves, the others follow from U+0100."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -40,12 +42,27 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in set(shown) else chr(next(rest)) for b in range(256)]
 
 
+def refuse_others(spec: dict, path: str) -> None:
+    """Raises unless the file asks for exactly what is built here: byte-level BPE on PATTERN's pre-tokens of the text as it is."""
+    model, before = spec["model"], spec.get("pre_tokenizer") or {}
+    plain = {
+        "a byte-level BPE model": model.get("type", "BPE") == "BPE" and not model.get("byte_fallback") and not model.get("dropout") and not model.get("ignore_merges"),
+        "no prefix or suffix of subwords": not model.get("continuing_subword_prefix") and not model.get("end_of_word_suffix"),
+        "no normalizer": not spec.get("normalizer"),
+        "byte-level pre-tokens": before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space"),
+        "plain added tokens": not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in spec.get("added_tokens", [])),
+    }
+    if missing := [k for k, ok in plain.items() if not ok]:
+        raise ValueError(f"{path} is not a tokenizer file of this kind: it lacks {', '.join(missing)}")
+
+
 class Coder:
     """Encoder and decoder of one tokenizer file (JSON with a byte-level BPE model)."""
 
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        refuse_others(spec, path)
         vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
         symbols = byte_symbols()
         back = {c: b for b, c in enumerate(symbols)}
@@ -65,8 +82,8 @@ class Coder:
         self.pattern = regex.compile(PATTERN)
         self.names = Ragged([b"%d," % i for i in range(len(self.strings))])
         self.spelled = Ragged(self.strings)
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.old_words: dict[str, tuple[int, ...]] = {}
+        self.words: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
 
     def merge(self, raw: bytes) -> list[int]:
         """The ids of one pre-token.
@@ -116,18 +133,28 @@ class Coder:
                     due[h] = 0
         return [x for x in ids if x >= 0]
 
-    def word(self, text: str) -> tuple[int, ...]:
+    def word(self, text: str) -> bytes:
         """The ids of one pre-token, remembered."""
         got = self.words.get(text)
         if got is None:
-            got = self.old_words.get(text) or tuple(self.merge(text.encode("utf-8", "replace")))
+            got = self.old_words.get(text) or self.ids_of(text)
             if len(text) <= LONG_PIECE:
-                if len(self.words) >= WORDS:
+                if len(self.words) >= REMEMBERED:
                     self.old_words, self.words = self.words, {}
                 self.words[text] = got
         return got
 
-    def piece(self, text: str) -> tuple[int, ...]:
+    def ids_of(self, word: str) -> bytes:
+        return np.array(self.merge(word.encode("utf-8", "replace")), np.int32).tobytes()
+
+    def forget(self) -> None:
+        self.words, self.old_words = {}, {}
+
+    def piece(self, text: str) -> bytes:
+        """The ids of a text that holds no added token."""
+        got = self.words.get(text)
+        if got is not None or not text:
+            return got or b""
         if text[0] == " ":
             # a space, letters and perhaps plain marks: the pattern's matches without the pattern
             body = text[1:]
@@ -137,23 +164,18 @@ class Coder:
             if core.isalpha():
                 cut = len(core) + 1
                 return self.word(text[:cut]) + self.word(text[cut:])
-        out: list[int] = []
-        for word in self.pattern.findall(text):
-            out += self.word(word)
-        return tuple(out)
+        return b"".join(map(self.word, self.pattern.findall(text)))
 
-    def with_added(self, text: str) -> list[int]:
+    def with_added(self, text: str) -> bytes:
         """The ids of a text that may hold added tokens: their strings give their ids, as the vocabulary's library does by default."""
         if self.split_added is None or not any(x in text for x in self.added):
-            return list(self.piece(text)) if text else []
-        out: list[int] = []
+            return self.piece(text)
+        out: list[bytes] = []
         at = 0
         for m in self.split_added.finditer(text):
-            out += self.piece(text[at : m.start()]) if at < m.start() else ()
-            out.append(self.added[m[0]])
+            out += [self.piece(text[at : m.start()]), np.int32(self.added[m[0]]).tobytes()]
             at = m.end()
-        out += self.piece(text[at:]) if at < len(text) else ()
-        return out
+        return b"".join([*out, self.piece(text[at:])])
 
     def encode_all(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in one array, and n + 1 bounds of the texts in it."""
@@ -164,24 +186,25 @@ class Coder:
         cut[0] = False
         marked = (data >= 0x21) & (data <= 0x7E)
         # the end of a code point of two bytes from U+00C0 on, none of which is white space
-        two = np.zeros(n, bool)
-        two[1:] = (data[1:] >= 0x80) & (data[:-1] >= 0xC3) & (data[:-1] <= 0xDF)
-        cut[1:] &= (marked | two)[:-1]
+        marked[1:] |= (data[1:] >= 0x80) & (data[:-1] >= 0xC3) & (data[:-1] <= 0xDF)
+        cut[1:] &= marked[:-1]
         full = offsets[:-1][offsets[:-1] < offsets[1:]]
         if any(" " in x for x in self.added):
             cut[:] = False  # a cut could fall into such a token
         cut[full] = True
         start = np.flatnonzero(cut)
-        end = np.append(start[1:], n)
-        hashes = Words(data, offsets, start, end, start).hashes()
-        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        # equal pieces, byte for byte, are encoded once
+        tiles = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(np.append(start, n)), pa.py_buffer(data)).dictionary_encode()
+        strings, which = tiles.dictionary.to_numpy(zero_copy_only=False).tolist(), tiles.indices.to_numpy()
         raw = data.tobytes()
         encode = self.with_added if any(x.encode() in raw for x in self.added) else self.piece
-        table = [encode(raw[a:b].decode()) for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)]
-        sizes = np.fromiter(map(len, table), np.int64, len(table))
-        flat = np.fromiter(chain.from_iterable(table), np.int32, int(sizes.sum()))
-        ids = flat[spread((np.cumsum(sizes) - sizes)[which], sizes[which])]
-        total = np.concatenate([[0], np.cumsum(sizes[which])])
+        del raw, tiles, cut, marked
+        table = list(map(encode, strings))
+        sizes = np.fromiter(map(len, table), np.int64, len(table)) >> 2
+        flat = np.frombuffer(b"".join(table), np.int32)
+        each = sizes[which]
+        ids = flat[spread((np.cumsum(sizes) - sizes)[which], each)]
+        total = np.concatenate([[0], np.cumsum(each)])
         return ids, total[np.searchsorted(start, offsets)]
 
     def encode(self, text: str | None) -> list[int]:
@@ -254,4 +277,4 @@ def encode_decode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "
                 columns.append(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids)))
             yield pa.RecordBatch.from_arrays(columns, names=[key, "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids])
 
-    return docs.select(docs[key], docs[text].alias("text")).mapInArrow(run, schema)
+    return docs.select(docs[key], docs[text].alias("text")).mapInArrow(tidy(run, lambda: coder(path).forget()), schema)

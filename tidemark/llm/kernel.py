@@ -2,14 +2,16 @@
 
 A *word* is a maximal run of bytes outside 0x20 and 0x09-0x0D.  UTF-8 continuation bytes
 never fall in that set, so byte offsets cut code points nowhere.  Nulls count as empty texts.
-All hashes are polynomials modulo 2**64 taken from prefix sums, then mixed; equal words (or
-windows) have equal hashes on every executor.  Work is done in segments of bounded size, so a
-very long text needs memory for its words, not for several machine words a byte.
+A word of up to 7 bytes is its own hash (its bytes and their number, mixed by a bijection), so short
+words never share one; a longer word has a 64-bit SipHash of its bytes, taken once for each distinct
+word.  Windows of words are hashed by a polynomial modulo 2**64 over the hashes of their words, from
+prefix sums, in segments of bounded size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,7 +22,10 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 SEGMENT = 1 << 18
 _U = np.uint64
-_BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
+_WORD_BASE = 0xD6E8FEB86659FD93
+#: Key of the hash of long words; any 16 characters.
+_KEY = "0123456789abcdef"
+SHORT = 7
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -67,19 +72,34 @@ class Words:
 
     def hashes(self, data: np.ndarray | None = None) -> np.ndarray:
         """A 64-bit hash of each word; data: other bytes of the same length, such as lower-cased ones."""
-        data = self.data if data is None else data
-        out = np.empty(len(self.start), _U)
-        i, inv = 0, inverse(_BYTE_BASE)
-        while i < len(self.start):
-            lo = int(self.start[i])
-            j = max(i + 1, int(np.searchsorted(self.end, lo + SEGMENT, "right")))
-            n = int(self.end[j - 1]) - lo
-            sums = np.zeros(n + 1, _U)
-            np.cumsum((data[lo : lo + n].astype(_U) + _U(1)) * powers(_BYTE_BASE, n), out=sums[1:])
-            a, b = self.start[i:j] - lo, self.end[i:j] - lo
-            out[i:j] = mix((sums[b] - sums[a]) * powers(inv, n)[a] ^ ((b - a).astype(_U) * _U(_WORD_BASE)))
-            i = j
-        return out
+        return byte_hashes(self.data if data is None else data, self.start, self.end)
+
+
+def distinct_strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the distinct strings data[start[i]:end[i]] as bytes, the number of each one's string); strings are ascending and apart."""
+    n = len(start)
+    bounds = np.empty(2 * n + 1, np.int64)
+    bounds[0 : 2 * n : 2], bounds[1 : 2 * n : 2] = start, end
+    bounds[2 * n] = end[-1] if n else 0
+    every = pa.LargeBinaryArray.from_buffers(pa.large_binary(), 2 * n, [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+    coded = every.take(pa.array(np.arange(0, 2 * n, 2))).dictionary_encode()
+    return coded.dictionary.to_numpy(zero_copy_only=False), coded.indices.to_numpy()
+
+
+def byte_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each string data[start[i]:end[i]]: of up to SHORT bytes without collisions, else SipHash."""
+    from pandas.util import hash_array
+
+    size = end - start
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    block = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))[start]
+    bits = (np.minimum(size, SHORT) << 3).astype(_U)
+    out = mix(block & ((_U(1) << bits) - _U(1)) | size.astype(_U) << _U(56))
+    long = np.flatnonzero(size > SHORT)
+    if len(long):
+        strings, which = distinct_strings(data, start[long], end[long])
+        out[long] = hash_array(strings, hash_key=_KEY, categorize=False)[which]
+    return out
 
 
 def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -135,6 +155,30 @@ def windows(hashes: np.ndarray, doc: np.ndarray, k: int) -> tuple[np.ndarray, np
     return at, mix(out[at])
 
 
+def release() -> None:
+    """Gives memory that is no longer used back to the system: workers live on between tasks."""
+    _powers.clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], *ends: Callable[[], None]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run for mapInArrow, after which `ends` are called and the worker's memory is given back."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            for f in ends:
+                f()
+            release()
+
+    return whole
+
+
 def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Indices of the runs starts[i] .. starts[i] + sizes[i] - 1, one run after the other."""
     ends = np.cumsum(sizes)

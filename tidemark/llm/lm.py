@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import LONG_PIECE, Coder
+from .bpe import Coder
 from .common import sum_blocks
 from .kernel import pieces, scan, text_bytes
 from .repeats import BUCKET, CHUNK, LEAST_CHUNK, SOME_CHUNKS, WORD_BYTES
@@ -46,8 +46,6 @@ LEAST_STEPS, BATCH = 80, 128
 SCALE = 1 << 20
 GROUPS = 512
 LARGEST_LOGIT = np.float32(80)
-#: Pieces of text remembered in a worker, twice over.
-REMEMBERED = 200_000
 _U = np.uint64
 
 
@@ -68,18 +66,8 @@ class Subwords(Coder):
         kind = [b - 0x61 if 0x61 <= b <= 0x7A else 26 + (b & 3) if b >= 0x80 else 30 if 0x30 <= b <= 0x39 else 31 for b in last]
         self.classes = np.array([2 * k + s.startswith(b" ") for k, s in zip(kind, self.strings, strict=True)], np.int64)
 
-
-    def piece(self, text: str) -> list[int]:
-        got = self.words.get(text)
-        if got is None:
-            got = self.old_words.get(text)
-            if got is None:
-                got = self.library(text)
-            if len(text) <= LONG_PIECE:
-                if len(self.words) >= REMEMBERED:
-                    self.old_words, self.words = self.words, {}
-                self.words[text] = got
-        return got
+    def ids_of(self, word: str) -> bytes:
+        return np.array(self.library(word), np.int32).tobytes()
 
 
 @functools.lru_cache(maxsize=1)
