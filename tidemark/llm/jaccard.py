@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import parts, stored
-from .kernel import mix, pieces, sorted_runs, spread, windows, words_of
+from .kernel import mix, pieces, sorted_runs, spread, tidy, windows, words_of
 
 SLOTS, PICKS, SMALL, BLOCK = 32, 4.0, 256, 2048
 RECALL = 0.9999
@@ -107,7 +107,7 @@ def sketch(docs: DataFrame, k: int) -> DataFrame:
             same = [hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in sets]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in sets], pa.int32()), pa.array(same, pa.binary()), pa.array([sample(x).tobytes() for x in sets], pa.binary())], names=["id", "n", "same", "samples"])
 
-    return docs.mapInArrow(run, "id long, n int, same binary, samples binary")
+    return docs.mapInArrow(tidy(run), "id long, n int, same binary, samples binary")
 
 
 def level_one(sets: DataFrame, runs: int) -> DataFrame:
@@ -357,11 +357,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     )
     n = parts(spark)
     ready = dealt.join(full.select("id", "n", "samples", "over"), "id").select("group", "bucket", "id", "n", "samples", "over", "side").repartition(n, "group").sortWithinPartitions("group")
-    found = stored(ready.mapInArrow(compare(runs, threshold), "group long, id long, partners binary"), "pairs")
+    found = stored(ready.mapInArrow(tidy(compare(runs, threshold)), "group long, id long, partners binary"), "pairs")
 
     texts = rows.where("id is not null").groupBy("id").agg(F.min("text").alias("text")) if rows_repeat(rows) else rows.where("id is not null")
     wanted = found.join(sets.select("id", "weight"), "id").join(texts, "id").select("group", "id", "partners", "weight", "text").repartition(n, "group").sortWithinPartitions("group")
-    linked = stored(wanted.mapInArrow(verify(k, threshold), "id long, links long, root long"), "links")
+    linked = stored(wanted.mapInArrow(tidy(verify(k, threshold)), "id long, links long, root long"), "links")
 
     roots = components(linked.select(F.col("id").alias("a"), F.col("root").alias("b")))
     counted = linked.groupBy("id").agg(F.sum("links").alias("links"))

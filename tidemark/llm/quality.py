@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import fits, sum_blocks
-from .kernel import SPACE, mix, pieces, scan, text_bytes, windows
+from .kernel import SPACE, mix, pieces, scan, text_bytes, tidy, windows
 
 BITS = 14
 BUCKETS = 1 << BITS
@@ -97,7 +97,7 @@ def count_ngrams(docs: DataFrame, text: str, trusted: str) -> tuple[np.ndarray,
             part = TaskContext.get().partitionId()
             yield pa.RecordBatch.from_pydict({"block": pa.array(range(2 * BLOCKS), pa.int32()), "part": pa.array([part] * 2 * BLOCKS, pa.int32()), "sums": pa.array([x.tobytes() for x in cut], pa.binary())})
 
-    counted = docs.select(F.col(text).alias("text"), F.col(trusted).alias("good")).mapInArrow(run, "block int, part int, sums binary")
+    counted = docs.select(F.col(text).alias("text"), F.col(trusted).alias("good")).mapInArrow(tidy(run), "block int, part int, sums binary")
     sums = np.zeros((2 * BLOCKS, BUCKETS // BLOCKS), np.int64)
     for r in sum_blocks(counted).collect():  # 32 rows, however large the corpus
         sums[r["block"]] = np.frombuffer(r["sums"], np.int64)
@@ -150,7 +150,7 @@ def judge_quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
             found = verdicts(*text_bytes(batch.column(1)), ratios, threshold)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(found[x]) for x in names)], names=[key, *names])
 
-    return docs.select(docs[key], docs[text].alias("text")).mapInArrow(run, schema)
+    return docs.select(docs[key], docs[text].alias("text")).mapInArrow(tidy(run), schema)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -162,4 +162,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
             found = verdicts(*text_bytes(batch.column(batch.schema.get_field_index(text))), ratios, threshold)
             yield batch.filter(pa.array(found["kept"]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .kernel import pieces, text_bytes
+from .kernel import pieces, text_bytes, tidy
 
 
 @dataclass(frozen=True)
@@ -225,7 +225,7 @@ def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", base:
             digests = pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in basic], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), *counts, digests, pa.array([",".join(x) for x in told], pa.string())], names=[key, *(f"n_{r.kind}" for r in base), "base_sha256", "spans"])
 
-    return docs.select(docs[key], docs[text].alias("text")).mapInArrow(run, schema)
+    return docs.select(docs[key], docs[text].alias("text")).mapInArrow(tidy(run), schema)
 
 
 def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", length: str | None = "n_chars") -> DataFrame:
@@ -263,4 +263,4 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", length:
                 batch = pa.RecordBatch.from_arrays(columns, schema=batch.schema)
             yield batch
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)

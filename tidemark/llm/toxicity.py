@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .kernel import mix, pieces, scan, text_bytes
+from .kernel import mix, pieces, scan, text_bytes, tidy
 
 SAMPLE, FOLDS, FEATURES, LEAST = 5000, 5, 512, 4
 #: Chi-square below which a feature tells nothing (a thousandth of such would, by chance).
@@ -177,7 +177,7 @@ def learn(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, key: str =
     joined = docs.select(docs[key].alias("id"), docs[text].alias("text")).join(F.broadcast(some), F.col("id") == F.col("label_id"))
     # one row a document of the sample, at most `sample` rows in all
     kind = docs.schema[key].dataType.simpleString()
-    rows = joined.select("text", *names, "id").mapInArrow(run, ", ".join(f"`{n}` int" for n in names) + f", id {kind}, hashes binary")
+    rows = joined.select("text", *names, "id").mapInArrow(tidy(run), ", ".join(f"`{n}` int" for n in names) + f", id {kind}, hashes binary")
     got = rows.dropDuplicates(["id"]).toArrow()
     order = np.argsort(got["id"].to_numpy(), kind="stable")
     got = got.take(pa.array(order))
@@ -198,5 +198,5 @@ def score(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, key: str =
             p = chain.predict(*text_bytes(batch.column(1)))
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.ascontiguousarray(p[:, i])) for i in range(len(names)))], names=[key, *names])
 
-    found = docs.select(docs[key], docs[text].alias("text")).mapInArrow(run, f"`{key}` {kind}, " + ", ".join(f"`{n}` double" for n in names))
+    found = docs.select(docs[key], docs[text].alias("text")).mapInArrow(tidy(run), f"`{key}` {kind}, " + ", ".join(f"`{n}` double" for n in names))
     return found.select("*", *[(F.col(f"p_{n}") >= threshold).alias(f"is_{n}") for n in chain.names])
