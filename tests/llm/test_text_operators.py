@@ -22,6 +22,15 @@ def documents(spark, texts, ids=None):
     return spark.createDataFrame([(i, t, "en", "src0", None if t is None else len(t), 7, "c", "k", 9, 3) for i, t in zip(ids, texts, strict=True)], DOCS)
 
 
+def thue_morse(n, first="a"):
+    """Of n letters: with the other first letter, a word that many hashes by polynomials cannot tell from it."""
+    other = {"a": "b", "b": "a"}
+    out = first
+    while len(out) < n:
+        out += "".join(other[c] for c in out)
+    return out
+
+
 def sentences(seed, n, shared=0.3):
     rng = random.Random(seed)
     vocab = ["".join(rng.choices("abcdeé", k=rng.randint(1, 6))) for _ in range(300)]
@@ -94,6 +103,7 @@ def test_bpe_equals_the_library(spark):
     rng = random.Random(2)
     letters = [*"abT zé\n\t'12!?½漢\U0001f600", "\x1c", "\x85", "\u00a0", "\u3000", "\u200b", "<|endoftext|>", "'ll", "'s", "  "]
     texts = [*EDGE, *sentences(3, 20), *("".join(rng.choices([*letters, " ", " "], k=rng.randint(0, 40))) for _ in range(400)), "the " * 50_000]
+    texts += [thue_morse(n, c) for n in (1024, 2048, 4096) for c in "ab"]
     got = {r["doc_id"]: r for r in bpe.encode_decode(documents(spark, texts), queries.tokenizer_path(), with_ids=True).collect()}
     assert len(got) == len(texts)
     for i, t in enumerate(texts):
@@ -123,6 +133,7 @@ def removed(rows, k=13):
 @pytest.mark.parametrize("small", [False, True])
 def test_repeats_equal_brute_force(spark, small, monkeypatch):
     texts = [*EDGE, *sentences(5, 60, 0.6), "same " * 40, "same " * 40]
+    texts += [f"{thue_morse(n, c)} and twelve more words that both of these texts share word by word" for n in (1024, 2048, 4096) for c in "ab"]
     ids = [*range(len(texts) - 1), 3]  # an id twice
     if small:
         monkeypatch.setattr(repeats, "CHUNK", 3000)
@@ -152,7 +163,8 @@ def near_texts():
             for _ in range(rng.choice([0, 0, 1, 2, 4])):
                 w[rng.randrange(len(w))] = "changed" + str(rng.randint(0, 9))
             out.append(" ".join(w + common * (rng.random() < 0.5)))
-    return [*out, *out[:10], None, "", " ", "a b", "a b", "a  b", "a b c"]
+    strange = [" ".join([thue_morse(n, c), "x", thue_morse(n, c), "y", thue_morse(n, c)]) for n in (1024, 2048, 4096) for c in "ab"]
+    return [*out, *out[:10], None, "", " ", "a b", "a b", "a  b", "a b c", *strange]
 
 
 @pytest.mark.parametrize("small,block", [(256, 1024), (3, 1024), (2, 3)])
@@ -282,96 +294,142 @@ def test_trigram_queries_never_lose_a_match():
 
 
 def test_lm_base_and_probabilities(spark):
-    texts = [*EDGE, *sentences(9, 80)]
-    got = {r["doc_id"]: r for r in lm.score_texts(documents(spark, texts), queries.tokenizer_path(), queries.tokenizer_path("byte_bpe_50k.tiktoken")).collect()}
+    texts = [*EDGE, *sentences(9, 80), thue_morse(1024), thue_morse(1024, "b"), "same words"]
+    ids = [*range(len(texts) - 1), 3]  # an id twice
+    docs = documents(spark, [*texts, "no id"], [*ids, None])
+    paths = queries.tokenizer_path(), queries.tokenizer_path("byte_bpe_50k.tiktoken")
+    rows = lm.score_texts(docs, *paths).collect()
+    got = {(r["doc_id"], r["n_tokens"]): r for r in rows}
     lower = lambda t: [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in WORD.findall(t or "")] + [None]
-    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in range(len(texts))}
-    counts = Counter(w for i, t in enumerate(texts) if not held[i] for w in lower(t))
+    is_held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
+    every = [*zip(ids, texts, strict=True), (None, "no id")]
+    counts = Counter(w for i, t in every if not is_held(i) for w in lower(t))
     n, v = sum(counts.values()), len(counts)
-    for i, t in enumerate(texts):
+    assert len(rows) == len(every)
+    for i, t in every:
         w = lower(t)
-        r = got[i]
-        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held[i], len(w), sum(counts[x] > 0 for x in w), n)
+        r = got[i, len(w)]
+        assert (r["held_out"], r["n_known"], r["train_tokens"]) == (is_held(i), sum(counts[x] > 0 for x in w), n)
         assert math.isclose(r["base_score"], sum(math.log10((counts[x] + 1) / (n + v + 1)) for x in w), rel_tol=1e-9)
         assert r["score"] < 0
-    assert lm.score_texts(documents(spark, []), queries.tokenizer_path(), queries.tokenizer_path("byte_bpe_50k.tiktoken")).count() == 0
-
-
-def test_lm_scores_are_probabilities_and_causal():
+    # neither the order nor the partitions of the rows bear on the scores
+    again = lm.score_texts(docs.repartition(7, "text"), *paths).collect()
+    key = lambda r: (r["doc_id"] is None, r["doc_id"], r["n_tokens"])
+    assert np.allclose([r["score"] for r in sorted(again, key=key)], [r["score"] for r in sorted(rows, key=key)], rtol=1e-6)
+    assert lm.score_texts(documents(spark, []), *paths).count() == 0
+    alone = next(i for i in range(99) if is_held(i))
+    (r,) = lm.score_texts(documents(spark, ["only held out"], [alone]), *paths).collect()
+    assert r["train_tokens"] == 0 and r["n_known"] == 0 and r["score"] < 0
+
+
+@pytest.fixture(scope="module")
+def small_model():
     code = lm.subwords(queries.tokenizer_path(), queries.tokenizer_path("byte_bpe_50k.tiktoken"))
     rng = np.random.default_rng(1)
-    p = {k: rng.normal(0, 0.5, s).astype(np.float32) for k, s in lm.SHAPES.items()}
-    s = lm.Scorer(p, rng.integers(0, 50, len(code.strings)), code.classes)
+    v = lm.Vocabulary.of(rng.zipf(1.5, len(code.strings) + 1), code.kinds)
+    p = {k: x + rng.normal(0, 0.4, x.shape).astype(np.float32) for k, x in lm.start(v).items()}
+    p["c"][lm.start(v)["c"] == lm.NOTHING] = lm.NOTHING
+    return code, v, p
+
+
+def test_lm_probabilities_sum_to_one_over_all_ids_and_the_end(small_model):
+    code, v, p = small_model
+    s = lm.Scorer(p, v)
+    context = np.random.default_rng(2).integers(0, 50000, 37)
+    *laid, first, _ = lm.laid_out(context, np.array([0, 37]), v)
+    keys, goal = lm.groups(*laid, first[1:2])
+    slots = np.unique(v.slot)
+    which = np.full((len(slots), lm.STEP), -1)
+    which[:, 5] = slots
+    chance = np.exp(s.logs(np.repeat(keys, len(slots), 0), which.ravel()).reshape(len(slots), -1)[:, 5])
+    of_slot = dict(zip(slots.tolist(), chance.tolist(), strict=True))
+    total = sum(of_slot[a] * 10**b for a, b in zip(v.slot.tolist(), v.within.tolist(), strict=True))
+    assert math.isclose(total, 1, rel_tol=1e-4)
+
+
+def test_lm_scores_are_causal_and_the_steps_follow_the_slope(small_model):
+    code, v, p = small_model
+    s = lm.Scorer(p, v)
+    rng = np.random.default_rng(3)
     context = rng.integers(0, 50000, 37)
     base = s.score(context, np.array([0, 37]))[0]
-    every = np.arange(0, 50256, 499)
-    # the chance of each next id, as the difference of two texts' scores without their ends, sums to less than 1 over some of the ids
-    tokens = np.concatenate([np.append(context, x) for x in every])
-    longer = s.score(tokens, np.arange(len(every) + 1) * 38)
-    assert np.isfinite(longer).all() and (longer < 0).all() and np.isfinite(base)
-    # batching and neighbours change nothing
+    # batching and neighbours change nothing, and two subwords that change places change the score
     both = s.score(np.concatenate([context, context[:20]]), np.array([0, 37, 37, 57]))
-    assert np.allclose(both, [base, s.score(context[:0], np.array([0, 0]))[0], s.score(context[:20], np.array([0, 20]))[0]], rtol=1e-6)
-    # one step by the training code and by the tables
-    keys, goal, _ = lm.groups(code.classes[context], np.array([0, 37]))
-    loss, _ = lm.train_step(p, keys, goal)
-    classes_only = base - s.within[context].sum()
-    assert math.isclose(-loss * 38 / math.log(10), classes_only, rel_tol=1e-4)
-
-
-def test_lm_learns():
-    code = lm.subwords(queries.tokenizer_path(), queries.tokenizer_path("byte_bpe_50k.tiktoken"))
-    texts = pa.array(["the cat sat on the mat and the dog ran to the cat " * 20] * 4)
-    ids, bounds = code.encode_all(*kernel.text_bytes(texts))
-    keys, goal, _ = lm.groups(code.classes[ids], bounds)
-    adam = lm.Adam(lm.start())
-    losses = [(lambda got: (adam.step(got[1]), got[0])[1])(lm.train_step(adam.p, keys, goal)) for _ in range(60)]
-    assert losses[-1] < 0.6 * losses[0]
-
-
-def test_lm_trains_on_every_window_and_weighs_by_windows(spark, monkeypatch):
-    paths = queries.tokenizer_path(), queries.tokenizer_path("byte_bpe_50k.tiktoken")
-    # every window is in a step, once where there are enough
+    assert np.allclose(both, [base, s.score(context[:0], np.array([0, 0]))[0], s.score(context[:20], np.array([0, 20]))[0]], rtol=1e-5)
+    order = np.argsort(v.row[context])[:2]  # ids with embeddings of their own
+    other = context.copy()
+    other[order] = other[order[::-1]]
+    assert abs(s.score(other, np.array([0, 37]))[0] - base) > 1e-3
+    # one step's loss by the training code and by the scorer
+    *laid, first, _ = lm.laid_out(context, np.array([0, 37]), v)
+    keys, goal = lm.groups(*laid, first)
+    wide = {k: x.astype(np.float64) for k, x in p.items()}
+    loss, slope = lm.train_step(wide, keys, goal, v.pad)
+    assert math.isclose(-loss * 38 / math.log(10), base - v.within[context].sum() - v.within[-1], rel_tol=1e-4)
+    for name, x in wide.items():
+        at = np.unravel_index(np.argsort(-np.abs(slope[name]), axis=None)[:3], x.shape)
+        for place in zip(*at, strict=True):
+            before, ends = x[place], []
+            for step in (1e-4, -1e-4):
+                x[place] = before + step
+                ends.append(lm.train_step(wide, keys, goal, v.pad)[0])
+            x[place] = before
+            assert math.isclose((ends[0] - ends[1]) / 2e-4, slope[name][place], rel_tol=0.02, abs_tol=1e-4), name
+
+
+def test_lm_trains_on_every_window_and_weighs_by_windows(spark, small_model, monkeypatch):
+    code, v, p = small_model
+    monkeypatch.setattr(lm, "LEAST_STEPS", 5)
+    monkeypatch.setattr(lm, "BATCH", 16)
     seen = Counter()
-    real = lm.train_step
-
-    def counted(p, keys, goal):
-        seen.update(k.tobytes() for k in keys)
-        return real(p, keys, goal)
-
-    monkeypatch.setattr(lm, "train_step", counted)
+    monkeypatch.setattr(lm, "train_step", lambda p, keys, goal, pad: (seen.update(k.tobytes() for k in keys.astype(np.int16)), (0.0, {}))[1])
     rng = np.random.default_rng(3)
-    keys, goal = rng.integers(0, lm.END, (lm.LEAST_STEPS * lm.BATCH + 1000, 2 * lm.STEP)), rng.integers(0, lm.END, (lm.LEAST_STEPS * lm.BATCH + 1000, lm.STEP))
-    trainer = lm.Trainer(0)
-    for a in range(0, len(keys), 700):
-        trainer.add(keys[a : a + 700], goal[a : a + 700])
+    texts = [rng.integers(0, 50000, rng.integers(0, 300)) for _ in range(40)]
+    bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    trainer = lm.Trainer(p, v, 0.01, 0)
+    for lo in range(0, 40, 7):
+        trainer.texts(np.concatenate(texts[lo : lo + 7]), bounds[lo : lo + 8][: len(texts[lo : lo + 7]) + 1] - bounds[lo])
     trainer.finish()
-    assert trainer.windows == len(keys) and seen == Counter(k.tobytes() for k in keys)
+    *laid, first, _ = lm.laid_out(np.concatenate(texts), bounds, v)
+    want = Counter(k.tobytes() for k in lm.groups(*laid, first)[0].astype(np.int16))
+    assert trainer.windows == len(first) and seen == want
     monkeypatch.undo()
-    # one text is enough to learn from, and two partitions weigh by their windows, also beyond 4096
-    ids = [i for i in range(40) if not lm.held_out(pa.array([i]))[0]][:2]
-    texts = ["the cat sat on the mat and the dog ran " * 9000, "0 1 2 3 4 5 6 7 8 9 " * 2000]
-    schema = "id long, text string"
-
-    def learnt(*which):
-        rows = spark.sparkContext.parallelize([(ids[i], texts[i]) for i in which], len(which))
-        return lm.flatten(lm.train(spark.createDataFrame(rows, schema), *paths)[0])
-
+    # units are weighed by their windows
+    one, two = (lm.Trainer(p, v, 0.01, i) for i in (1, 2))
+    one.windows, two.windows = 3, 1
+    two.p = {k: x + 1 for k, x in two.p.items()}
+    sums = one.sums() + two.sums()
+    clipped = np.clip(lm.flatten(p), -lm.LARGEST, lm.LARGEST)
+    assert sums[0] == 4 and np.allclose(sums[1:] / sums[0] / lm.SCALE, clipped + 0.25, atol=1e-5)
+    # rows are counted off alike, however the stream is cut
+    table = pa.table({"slot": pa.array([0] * 70 + [1] * 130), "x": pa.array(range(200))})
+    for size in (1, 64, 200):
+        cut = [t["x"].to_pylist() for t in lm.counted_off(iter(table.to_batches(max_chunksize=size)), "slot", 64)]
+        assert [len(x) for x in cut] == [64, 6, 64, 64, 2] and sum(cut, []) == list(range(200))
+
+
+def test_lm_beats_unigrams_and_bigrams_on_held_out_texts(spark):
+    paths = queries.tokenizer_path(), queries.tokenizer_path("byte_bpe_50k.tiktoken")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(F.col("doc_id").alias("id"), "text")
+    table = docs.toArrow()
     code = lm.subwords(*paths)
-    weights = []
-    for t in texts:
-        got, bounds = code.encode_all(*kernel.text_bytes(pa.array([t])))
-        weights.append(len(lm.groups(code.classes[got], bounds)[0]))
-    assert weights[0] > 4096 > weights[1]
-    first, both = learnt(0), learnt(0, 1)
-    second = (both * sum(weights) - first * weights[0]) / weights[1]
-    trainer = lm.Trainer(1)  # the second partition by itself
-    got, bounds = code.encode_all(*kernel.text_bytes(pa.array(texts[1:])))
-    trainer.add(*lm.groups(code.classes[got], bounds)[:2])
-    trainer.finish()
-    assert np.allclose(second, lm.flatten(trainer.p), atol=1e-3) and not np.allclose(first, lm.flatten(lm.start()), atol=0.05)
-    # a single short text trains too
-    assert not np.allclose(lm.flatten(lm.train(spark.createDataFrame([(ids[0], "a b")], schema), *paths)[0]), lm.flatten(lm.start()), atol=0.05)
+    held = lm.held_out(table["id"])
+    (ids, bounds), (asked, cuts) = (code.encode_all(*kernel.text_bytes(table.filter(pa.array(x))["text"])) for x in (~held, held))
+    total = int(sum(len((t or "").encode()) for t in table["text"].to_pylist()))
+    learnt = lm.train(docs, *paths, total, 8)
+    own = lm.Scorer(learnt.params, learnt.vocabulary).score(asked, cuts).sum()
+    # both with the end of a text as one more id
+    n = len(code.strings)
+    with_ends = lambda x, c: np.insert(np.append(x, n) if len(c) > 1 else x, c[1:-1], n)
+    line, test = np.append(n, with_ends(ids, bounds)), np.append(n, with_ends(asked, cuts))
+    one = (np.bincount(line[1:], minlength=n + 1) + 1) / (len(line) + n)
+    unigram = np.log10(one[test[1:]]).sum()
+    pairs = Counter(zip(line[:-1].tolist(), line[1:].tolist(), strict=True))
+    first = np.bincount(line[:-1], minlength=n + 1)
+    # a bigram over the same ids, smoothed towards the unigram by the weight that serves it best
+    seen = np.array([pairs[a, b] for a, b in zip(test[:-1].tolist(), test[1:].tolist(), strict=True)])
+    bigram = max(np.log10((seen + w * one[test[1:]]) / (first[test[:-1]] + w)).sum() for w in (10, 50, 200, 1000))
+    assert own > bigram > unigram, (own, bigram, unigram)
 
 
 def test_toxicity_on_held_out_documents(spark):

@@ -3,26 +3,34 @@
 Two models learn from the documents whose crc32(id as text) mod 7 is not 2.
 
 Word model (base): add-one unigram over lower-cased words and one end a document.  Texts are dealt once
-into chunks by a hash of the id; each chunk sends its distinct word hashes with their training counts to the
-hash's bucket, and gets the sums back, so a frequent word costs a bucket one entry a chunk.  Every chunk sends
-to every bucket, so that the answers also add up to the corpus totals.
-
-Attention model: one layer of causal self-attention over classes of byte-level subwords, trained in numpy.
-A subword's class is its last byte and whether it starts with a space; P(id | class) are counts over all
-training texts.  Every partition trains on each window of its training texts from the same start, and Spark sums the
-parameters, weighted by the number of windows, to their mean; a partition of few windows goes over them again.  Texts are scored in groups of STEP predictions that see the
-STEP inputs before the group too, many groups at once under a causal mask: each token is scored once, with STEP to
-2 * STEP - 1 tokens of context (less only at the start of a text); then one end.
+into chunks by a hash of the row; each chunk sends its distinct word hashes with their training counts to the
+hash's bucket, and gets the sums back, so a frequent word costs a bucket one entry a chunk.
+
+Attention model: one layer of causal self-attention over byte-level subword ids, trained in numpy.  The OWN
+most frequent ids have an embedding each, rarer ones share that of their kind (last byte, leading space).
+It predicts first the kind, or the end, then the id: each kind has outputs for its MEMBERS - 1 most frequent ids
+and one for the others, of which P(id | others) are counts.  The model starts as a unigram model.  Every window of every training text is trained on:
+texts, as ids, are dealt into units of about UNIT bytes by a hash of the row and units into rounds; in a round each
+unit trains from the same parameters, its texts in the order of their hash, and Spark sums the parameters, as
+integers weighted by windows, to their mean, from which the next round starts.  So neither the input's
+partitions nor the order of its rows bear on the model.
+
+Texts are scored in groups of STEP predictions that see the STEP inputs before the group too, many groups at
+once under a causal mask: each token is scored once, with STEP to 2 * STEP - 1 tokens of context (less only at
+the start of a text); then one end.
 
 Nulls count as empty texts, whose only token is the end; rows with a null id are trained on.  Repeated rows
-count each.  An empty table gives an empty result.
+count each.  Other columns are not read.  An empty table gives an empty result; a table without training texts is scored by
+the model as it starts.
 """
 
 from __future__ import annotations
 
 import functools
 import zlib
+from array import array
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,21 +39,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import Coder
-from .common import sum_blocks
-from .kernel import pieces, scan, text_bytes
-from .repeats import BUCKET, CHUNK, LEAST_CHUNK, SOME_CHUNKS, WORD_BYTES
+from .common import parts, stored, sum_blocks
+from .kernel import pieces, release, scan, text_bytes, tidy
+from .repeats import BUCKET, CHUNK, LEAST_CHUNK, MOST_BITS, SOME_CHUNKS, WORD_BYTES
 
 PARTS, HELD = 7, 2
 STEP, WIDTH = 16, 16
-#: Classes of subwords: 32 kinds of last byte, with or without a leading space; then the end and the padding.
-KINDS, END, PAD = 64, 64, 65
-CLASSES = 65
-#: Steps that a partition trains at least, windows a step.
-LEAST_STEPS, BATCH = 80, 128
+#: Kinds of subwords: 32 of the last byte, with or without a leading space.
+KINDS = 64
+#: Ids with an embedding of their own; outputs of a kind, the last of which stands for its rarer ids.
+OWN, MEMBERS = 4096, 32
+#: The bias of an output that stands for nothing.
+NOTHING = -50.0
+#: Bytes of text a unit, rounds at most, units a round at most (beyond that units grow).
+UNIT, ROUNDS, MOST_UNITS = 6 << 20, 3, 4096
+#: Steps that a unit trains at least, windows a step, learning rate of each round.
+LEAST_STEPS, BATCH = 400, 256
+RATES = (0.02, 0.01, 0.005)
 #: Of the parameters as integers: sums over 2**36 windows stay within 64 bits up to parameters of 64.
-SCALE = 1 << 20
-GROUPS = 512
-LARGEST_LOGIT = np.float32(80)
+SCALE, LARGEST = 1 << 20, 60.0
+GROUPS = 256
+BLOCKS = 16
+#: Distinct words that a task holds before it sends them on.
+HELD_WORDS = 1 << 20
 _U = np.uint64
 
 
@@ -58,16 +74,16 @@ class Subwords(Coder):
         import tiktoken
 
         super().__init__(path)
-        self.added = {}
+        self.added, self.split_added = {}, None
         with open(ranks, "rb") as f:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.library = tiktoken.Encoding("own", pat_str=self.pattern.pattern, mergeable_ranks=table, special_tokens={}).encode_ordinary
         last = [x[-1] | 0x20 if 0x41 <= x[-1] <= 0x5A else x[-1] for x in (s or b"\0" for s in self.strings)]
         kind = [b - 0x61 if 0x61 <= b <= 0x7A else 26 + (b & 3) if b >= 0x80 else 30 if 0x30 <= b <= 0x39 else 31 for b in last]
-        self.classes = np.array([2 * k + s.startswith(b" ") for k, s in zip(kind, self.strings, strict=True)], np.int64)
+        self.kinds = np.array([2 * k + s.startswith(b" ") for k, s in zip(kind, self.strings, strict=True)], np.int64)
 
     def ids_of(self, word: str) -> bytes:
-        return np.array(self.library(word), np.int32).tobytes()
+        return array("i", self.library(word)).tobytes()
 
 
 @functools.lru_cache(maxsize=1)
@@ -81,45 +97,95 @@ def held_out(ids: pa.Array | pa.ChunkedArray) -> np.ndarray:
 
 # ---- the attention model
 
-SHAPES = {"e": (CLASSES, WIDTH), "q": (WIDTH, WIDTH), "k": (WIDTH, WIDTH), "v": (WIDTH, WIDTH), "r": (2 * STEP,), "o": (WIDTH, CLASSES), "h": (WIDTH, CLASSES), "b": (CLASSES,)}
-
 
-def start(seed: int = 5) -> dict[str, np.ndarray]:
+@dataclass
+class Vocabulary:
+    """What the training counts of the ids (whose last entry counts texts, as ends) make of them.
+
+    row: the embedding of each id, then of the end; slot: its output, MEMBERS a kind, the end a kind of its own; within: log10 P(id | slot); kind, member: log P of the kinds and of the outputs of each.
+    """
+
+    row: np.ndarray
+    slot: np.ndarray
+    within: np.ndarray
+    kind: np.ndarray
+    member: np.ndarray
+
+    @property
+    def rows(self) -> int:
+        return OWN + KINDS + 2
+
+    @property
+    def pad(self) -> int:
+        return self.rows - 1
+
+    @staticmethod
+    def of(counts: np.ndarray, kinds: np.ndarray) -> Vocabulary:
+        n = len(kinds)
+        order = np.argsort(-counts[:n], kind="stable")
+        row = np.append(OWN + kinds, OWN + KINDS)
+        own = order[:OWN]
+        row[own] = np.arange(len(own))
+        # the place of each id among those of its kind, most frequent first
+        by = order[np.argsort(kinds[order], kind="stable")]
+        place = np.empty(n, np.int64)
+        place[by] = np.arange(n) - np.searchsorted(kinds[by], kinds[by])
+        slot = np.append(kinds * MEMBERS + np.minimum(place, MEMBERS - 1), KINDS * MEMBERS)
+        mass = counts + 0.5
+        total = np.bincount(slot, mass, (KINDS + 1) * MEMBERS)
+        with np.errstate(divide="ignore"):
+            shares = np.log(total).reshape(KINDS + 1, MEMBERS)
+            kind = np.log(total.reshape(KINDS + 1, MEMBERS).sum(1))
+        logs = lambda x: np.maximum(x, NOTHING).astype(np.float32)
+        return Vocabulary(row, slot, np.log10(mass / total[slot]), logs(kind - np.log(mass.sum())), logs(shares - np.maximum(kind, NOTHING)[:, None]))
+
+
+def shapes(v: Vocabulary) -> dict[str, tuple[int, ...]]:
+    each = len(v.kind), MEMBERS
+    return {"e": (v.rows, WIDTH), "q": (WIDTH, WIDTH), "k": (WIDTH, WIDTH), "v": (WIDTH, WIDTH), "r": (2 * STEP,), "o": (2 * WIDTH, len(v.kind)), "b": (len(v.kind),), "m": (len(v.kind), 2 * WIDTH, MEMBERS), "c": each}
+
+
+def start(v: Vocabulary, seed: int = 5) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
-    return {n: (rng.normal(0, 0.3, s) if len(s) > 1 else np.zeros(s)).astype(np.float32) for n, s in SHAPES.items()}
+    p = {n: rng.normal(0, 0.3, s).astype(np.float32) if n in "eqkv" else np.zeros(s, np.float32) for n, s in shapes(v).items()}
+    p["b"][:], p["c"][:] = v.kind, v.member
+    return p
 
 
 def flatten(p: dict[str, np.ndarray]) -> np.ndarray:
-    return np.concatenate([p[n].ravel() for n in SHAPES]).astype(np.float64)
+    return np.concatenate([x.ravel() for x in p.values()]).astype(np.float64)
 
 
-def unflatten(x: np.ndarray) -> dict[str, np.ndarray]:
+def unflatten(x: np.ndarray, v: Vocabulary) -> dict[str, np.ndarray]:
     out, at = {}, 0
-    for n, s in SHAPES.items():
+    for n, s in shapes(v).items():
         size = int(np.prod(s))
         out[n] = x[at : at + size].reshape(s).astype(np.float32)
         at += size
     return out
 
 
-def groups(classes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(keys (groups, 2 * STEP), targets (groups, STEP), document of each group): inputs are the end as a start, then the text; targets are the text, then the end; PAD elsewhere."""
+def laid_out(ids: np.ndarray, bounds: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(inputs as embeddings, outputs to predict, -1 for none, where each group of 2 * STEP inputs begins, its document): inputs are the end as a start, then the text; predictions are the text, then the end."""
     sizes = np.diff(bounds) + 1
     many = -(-sizes // STEP)
     room = (many + 1) * STEP
     base = np.cumsum(room) - room
-    keys = np.full(int(room.sum()), PAD, np.int64)
-    goal = np.full(int(room.sum()), PAD, np.int64)
-    doc = np.repeat(np.arange(len(sizes)), np.diff(bounds))
-    place = np.arange(len(classes)) - bounds[doc] + base[doc] + STEP
-    keys[base + STEP] = END
-    keys[place + 1] = classes  # an input stands one place after its own prediction
-    # the last subword as an input falls on the place that predicts the end
-    goal[place] = classes
-    goal[base + STEP + sizes - 1] = END
+    keys = np.full(int(room.sum()), v.pad, np.int32)
+    goal = np.full(int(room.sum()), -1, np.int32)
+    place = np.arange(len(ids)) + np.repeat(base + STEP - bounds[:-1], np.diff(bounds))
+    keys[base + STEP] = v.row[-1]
+    keys[place + 1] = v.row[ids]  # an input stands one place after its own prediction, the last one where the end is predicted
+    goal[place] = v.slot[ids]
+    goal[base + STEP + sizes - 1] = v.slot[-1]
     first = np.repeat(base, many) + STEP * (np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many))
-    window = first[:, None] + np.arange(2 * STEP)
-    return keys[window], goal[window[:, STEP:]], np.repeat(np.arange(len(sizes)), many)
+    return keys, goal, first, np.repeat(np.arange(len(sizes)), many)
+
+
+def groups(keys: np.ndarray, goal: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(groups, 2 * STEP) inputs and (groups, STEP) predictions of the groups that begin at `first`."""
+    at = first[:, None] + np.arange(2 * STEP)
+    return keys[at], goal[at[:, STEP:]]
 
 
 RELATIVE = np.arange(STEP)[:, None] + STEP - np.arange(2 * STEP)  # of query and key; below 0: later
@@ -127,52 +193,99 @@ CAUSAL = RELATIVE >= 0
 RELATIVE = np.where(CAUSAL, RELATIVE, 0)
 
 
-def train_step(p: dict[str, np.ndarray], keys: np.ndarray, goal: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+def attend(q: np.ndarray, k: np.ndarray, v: np.ndarray, bias: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(weights, mixed values) of queries (groups, STEP, WIDTH) over keys and values (groups, 2 * STEP, WIDTH); bias holds the relative places, -inf for later ones; seen: which keys are no padding."""
+    w = q @ k.transpose(0, 2, 1)
+    w += bias
+    w -= w.max(-1, keepdims=True)
+    np.exp(w, out=w)
+    w *= seen[:, None, :]
+    w /= np.maximum(w.sum(-1, keepdims=True), np.float32(1e-30))
+    return w, w @ v
+
+
+def relative_bias(r: np.ndarray) -> np.ndarray:
+    return np.where(CAUSAL, r[RELATIVE], np.float32(-np.inf)).astype(np.float32)
+
+
+def softmax(x: np.ndarray) -> np.ndarray:
+    """In place; returns what each row was divided by, and its largest, as one logarithm."""
+    top = x.max(1, keepdims=True)
+    x -= top
+    np.exp(x, out=x)
+    total = x.sum(1, keepdims=True)
+    x /= total
+    return (top + np.log(total))[:, 0]
+
+
+def by_kind(slots: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """(order of the rows by kind, (kind, from, to) in that order)."""
+    kinds = slots // MEMBERS
+    order = np.argsort(kinds, kind="stable")
+    cuts = np.searchsorted(kinds[order], np.arange(KINDS + 2)).tolist()
+    return order, [(i, a, b) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if a < b]
+
+
+def train_step(p: dict[str, np.ndarray], keys: np.ndarray, goal: np.ndarray, pad: int) -> tuple[float, dict[str, np.ndarray]]:
     """Mean loss of the predictions and its slopes."""
-    ck = np.minimum(keys, END)
-    cq = ck[:, STEP:]
-    real = goal < PAD
-    target = np.where(real, goal, 0)
+    many = len(keys)
     root = np.float32(WIDTH**0.5)
-    tq, tk, tv, th = p["e"] @ p["q"], p["e"] @ p["k"], p["e"] @ p["v"], p["e"] @ p["h"] + p["b"]
-    pair = (cq * CLASSES)[:, :, None] + ck[:, None, :]
-    scores = (tq @ tk.T / root).ravel().take(pair) + p["r"][RELATIVE]
-    scores = np.where(CAUSAL & (keys < PAD)[:, None, :], scores, np.float32(-1e9))
-    scores -= scores.max(-1, keepdims=True)
-    att = np.exp(scores)
-    att /= att.sum(-1, keepdims=True)
-    v = tv[ck]
-    o = att @ v
-    logits = o @ p["o"] + th[cq]
-    logits -= logits.max(-1, keepdims=True)
-    prob = np.exp(logits)
-    prob /= prob.sum(-1, keepdims=True)
-    n = max(int(real.sum()), 1)
-    hit = np.take_along_axis(prob, target[:, :, None], 2)[:, :, 0]
-    loss = float(-(np.log(np.maximum(hit, 1e-20)) * real).sum() / n)
-    d = prob
-    np.put_along_axis(d, target[:, :, None], hit[:, :, None] - 1, 2)
-    d *= (real / np.float32(n)).astype(np.float32)[:, :, None]
-    flat = d.reshape(-1, CLASSES)
-    g = {"o": o.reshape(-1, WIDTH).T @ flat}
-    pick = np.zeros((flat.shape[0], CLASSES), np.float32)
-    pick[np.arange(len(pick)), cq.ravel()] = 1
-    dh = pick.T @ flat
-    g["b"] = dh.sum(0)
-    g["h"] = p["e"].T @ dh
-    de = dh @ p["h"].T
-    do = d @ p["o"].T
-    datt = do @ v.transpose(0, 2, 1)
-    dv = att.transpose(0, 2, 1) @ do
-    ds = att * (datt - (att * datt).sum(-1, keepdims=True))
-    g["r"] = np.bincount(RELATIVE.ravel(), (ds.sum(0) * CAUSAL).ravel(), 2 * STEP).astype(np.float32)
-    da = np.bincount(pair.ravel(), ds.ravel(), CLASSES * CLASSES).reshape(CLASSES, CLASSES).astype(np.float32) / root
-    keyed = np.zeros((ck.size, CLASSES), np.float32)
-    keyed[np.arange(ck.size), ck.ravel()] = 1
-    dtv = keyed.T @ dv.reshape(-1, WIDTH)
-    dtq, dtk = da @ tk, da.T @ tq
-    g["q"], g["k"], g["v"] = p["e"].T @ dtq, p["e"].T @ dtk, p["e"].T @ dtv
-    g["e"] = de + dtq @ p["q"].T + dtk @ p["k"].T + dtv @ p["v"].T
+    x = p["e"][keys]
+    flat = x.reshape(-1, WIDTH)
+    xq = x[:, STEP:].reshape(-1, WIDTH)
+    q = (xq @ (p["q"] / root)).reshape(many, STEP, WIDTH)
+    k, v = ((flat @ p[n]).reshape(many, 2 * STEP, WIDTH) for n in "kv")
+    w, mixed = attend(q, k, v, relative_bias(p["r"]), (keys != pad).astype(np.float32))
+    target = goal.ravel()
+    real = np.flatnonzero(target >= 0)
+    order, spans = by_kind(target[real])
+    real = real[order]
+    target = target[real]
+    z = np.hstack([mixed.reshape(-1, WIDTH), xq])[real]
+    n, rows = np.float32(max(len(real), 1)), np.arange(len(real))
+    g = {}
+    # the kinds, then the outputs of the kind that each is of
+    d = z @ p["o"]
+    d += p["b"]
+    softmax(d)
+    kind, member = target // MEMBERS, target % MEMBERS
+    loss = -np.log(np.maximum(d[rows, kind], 1e-20)).sum()
+    d[rows, kind] -= 1
+    d /= n
+    g["o"], g["b"] = z.T @ d, d.sum(0)
+    dz = d @ p["o"].T
+    d = p["c"][kind]
+    for i, a, b in spans:
+        d[a:b] += z[a:b] @ p["m"][i]
+    softmax(d)
+    loss = float(loss - np.log(np.maximum(d[rows, member], 1e-20)).sum()) / max(len(real), 1)
+    d[rows, member] -= 1
+    d /= n
+    g["m"], g["c"] = np.zeros_like(p["m"]), np.zeros_like(p["c"])
+    for i, a, b in spans:
+        g["m"][i], g["c"][i] = z[a:b].T @ d[a:b], d[a:b].sum(0)
+        dz[a:b] += d[a:b] @ p["m"][i].T
+    all_dz = np.zeros((many * STEP, 2 * WIDTH), dz.dtype)
+    all_dz[real] = dz
+    dm = np.ascontiguousarray(all_dz[:, :WIDTH]).reshape(many, STEP, WIDTH)
+    dv = w.transpose(0, 2, 1) @ dm
+    ds = dm @ v.transpose(0, 2, 1)
+    ds -= np.einsum("gij,gij->gi", w, ds)[:, :, None]
+    ds *= w
+    g["r"] = np.bincount(RELATIVE.ravel(), ds.sum(0).ravel(), 2 * STEP).astype(np.float32)
+    dq = (ds @ k).reshape(-1, WIDTH) / root
+    dk = (ds.transpose(0, 2, 1) @ q).reshape(-1, WIDTH)
+    dv = dv.reshape(-1, WIDTH)
+    g["q"], g["k"], g["v"] = xq.T @ dq, flat.T @ dk, flat.T @ dv
+    dx = (dk @ p["k"].T + dv @ p["v"].T).reshape(many, 2 * STEP, WIDTH)
+    dx[:, STEP:] += (all_dz[:, WIDTH:] + dq @ p["q"].T).reshape(many, STEP, WIDTH)
+    # slopes of equal inputs are summed
+    order = np.argsort(keys, axis=None, kind="stable")
+    inputs = keys.ravel()[order]
+    first = np.flatnonzero(np.append(True, inputs[1:] != inputs[:-1]))
+    g["e"] = np.zeros_like(p["e"])
+    g["e"][inputs[first]] = np.add.reduceat(dx.reshape(-1, WIDTH)[order], first, axis=0)
+    g["e"][pad] = 0
     return loss, g
 
 
@@ -184,53 +297,57 @@ class Adam:
 
     def step(self, g: dict[str, np.ndarray]) -> None:
         self.n += 1
+        a, b = np.float32(self.rate / (1 - 0.9**self.n)), np.float32(1 / (1 - 0.99**self.n))
         for k, x in g.items():
-            self.m[k] += 0.1 * (x - self.m[k])
-            self.s[k] += 0.01 * (x * x - self.s[k])
-            self.p[k] -= self.rate * (self.m[k] / (1 - 0.9**self.n)) / (np.sqrt(self.s[k] / (1 - 0.99**self.n)) + 1e-6)
+            m, s = self.m[k], self.s[k]
+            m += np.float32(0.1) * (x - m)
+            x *= x
+            s += np.float32(0.01) * (x - s)
+            self.p[k] -= a * m / (np.sqrt(s * b) + np.float32(1e-6))
 
 
 class Scorer:
-    """log10 probabilities by a trained model; counts: of each id in the training texts."""
-
-    def __init__(self, p: dict[str, np.ndarray], counts: np.ndarray, classes: np.ndarray) -> None:
-        # tables by class, with a row and a column for the padding
-        root = np.float32(WIDTH**0.5)
-        a = (p["e"] @ p["q"]) @ (p["e"] @ p["k"]).T / root
-        self.att = np.zeros((CLASSES + 1, CLASSES + 1), np.float32)
-        self.att[:CLASSES, :CLASSES] = np.exp(a - a.max(1, keepdims=True))
-        self.rel = np.where(CAUSAL, np.exp(p["r"] - p["r"].max())[RELATIVE], 0).astype(np.float32)
-        self.v = np.vstack([p["e"] @ p["v"], np.zeros((1, WIDTH), np.float32)])
-        self.h = np.vstack([p["e"] @ p["h"] + p["b"], np.zeros((1, CLASSES), np.float32)])
-        self.o = p["o"]
-        # bounds of the logits by class; beyond LARGEST_LOGIT, which no trained model came near, all shrink alike
-        most = np.abs(self.h).max() + np.abs(self.v).max() * np.abs(self.o).sum(0).max()
-        if most > LARGEST_LOGIT:
-            self.h, self.o = self.h * (LARGEST_LOGIT / most), self.o * (LARGEST_LOGIT / most)
-        members = np.bincount(classes, minlength=KINDS)
-        totals = np.bincount(classes, counts, KINDS)
-        self.within = np.log10((counts + 0.5) / (totals + 0.5 * members)[classes])
-        self.classes = classes
+    """log10 probabilities by a trained model."""
+
+    def __init__(self, p: dict[str, np.ndarray], v: Vocabulary) -> None:
+        self.vocabulary = v
+        self.x = p["e"]
+        self.q, self.k, self.v = p["e"] @ (p["q"] / np.float32(WIDTH**0.5)), p["e"] @ p["k"], p["e"] @ p["v"]
+        self.bias = relative_bias(p["r"])
+        self.p = p
+
+    def logs(self, keys: np.ndarray, slots: np.ndarray) -> np.ndarray:
+        """log P of the output slots[i] at each prediction of the groups, in order; 0 where it is -1."""
+        q = keys[:, STEP:]
+        _, mixed = attend(self.q[q], self.k[keys], self.v[keys], self.bias, (keys != self.vocabulary.pad).astype(np.float32))
+        out = np.zeros(len(slots))
+        real = np.flatnonzero(slots >= 0)
+        order, spans = by_kind(slots[real])
+        real = real[order]
+        kind, member = slots[real] // MEMBERS, slots[real] % MEMBERS
+        z = np.hstack([mixed.reshape(-1, WIDTH), self.x[q].reshape(-1, WIDTH)])[real]
+        rows = np.arange(len(real))
+        d = z @ self.p["o"]
+        d += self.p["b"]
+        hit = d[rows, kind].astype(np.float64)
+        hit -= softmax(d)
+        d = self.p["c"][kind]
+        for i, a, b in spans:
+            d[a:b] += z[a:b] @ self.p["m"][i]
+        hit += d[rows, member]
+        hit -= softmax(d)
+        out[real] = hit
+        return out
 
     def score(self, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """For each text the log10 probability of its ids and the end."""
-        docs = len(bounds) - 1
+        v, docs = self.vocabulary, len(bounds) - 1
         doc = np.repeat(np.arange(docs), np.diff(bounds))
-        total = np.bincount(doc, self.within[ids], docs).astype(np.float64)
-        keys, goal, of = groups(self.classes[ids], bounds)
-        for lo in range(0, len(keys), GROUPS):
-            k, t = keys[lo : lo + GROUPS], goal[lo : lo + GROUPS]
-            q = k[:, STEP:]
-            w = self.att.ravel()[(q * (CLASSES + 1))[:, :, None] + k[:, None, :]]
-            w *= self.rel
-            o = w @ self.v[k]
-            o /= np.maximum(w.sum(-1), 1e-30)[:, :, None]
-            logits = o.reshape(-1, WIDTH) @ self.o
-            logits += self.h[q.ravel()]
-            real = t.ravel() < PAD
-            hit = logits[np.arange(len(logits)), np.where(real, t.ravel(), 0)]
-            np.exp(logits, out=logits)  # the tables' entries are at most LARGEST_LOGIT, which float32 can hold
-            each = np.where(real, (hit - np.log(logits.sum(1))) / np.float32(np.log(10)), 0).astype(np.float64)
+        total = np.bincount(doc, v.within[ids], docs).astype(np.float64)
+        *laid, first, of = laid_out(ids, bounds, v)
+        for lo in range(0, len(first), GROUPS):
+            keys, goal = groups(*laid, first[lo : lo + GROUPS])
+            each = self.logs(keys, goal.ravel()) / np.log(10)
             total += np.bincount(of[lo : lo + GROUPS], each.reshape(-1, STEP).sum(1), docs)
         return total
 
@@ -238,22 +355,28 @@ class Scorer:
 class Trainer:
     """Adam's steps over a stream of windows, each taken at least once."""
 
-    def __init__(self, seed: int) -> None:
-        self.p = start()
-        self.adam = Adam(self.p)
+    def __init__(self, p: dict[str, np.ndarray], v: Vocabulary, rate: float, seed: int) -> None:
+        self.p = {k: x.copy() for k, x in p.items()}
+        self.vocabulary = v
+        self.adam = Adam(self.p, rate)
         self.rng = np.random.default_rng(seed)
         self.steps = self.windows = 0
         self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
         self.first: list[tuple[np.ndarray, np.ndarray]] = []  # the windows of the first LEAST_STEPS steps
 
     def step(self, keys: np.ndarray, goal: np.ndarray) -> None:
-        self.adam.step(train_step(self.p, keys.astype(np.int64), goal.astype(np.int64))[1])
+        self.adam.step(train_step(self.p, keys, goal, self.vocabulary.pad)[1])
         self.steps += 1
 
+    def texts(self, ids: np.ndarray, bounds: np.ndarray) -> None:
+        *laid, first, _ = laid_out(ids, bounds, self.vocabulary)
+        for lo in range(0, len(first), 8 * BATCH):
+            self.add(*groups(*laid, first[lo : lo + 8 * BATCH]))
+
     def add(self, keys: np.ndarray, goal: np.ndarray, last: bool = False) -> None:
         """Trains on what waits and these in random order; fewer than a step's wait for more, unless they are the last."""
         self.windows += len(keys)
-        self.waiting.append((keys.astype(np.uint8), goal.astype(np.uint8)))
+        self.waiting.append((keys.astype(np.int16), goal.astype(np.int16)))
         have = sum(len(k) for k, _ in self.waiting)
         if not have or have < 8 * BATCH and not last:
             return
@@ -268,44 +391,174 @@ class Trainer:
         self.waiting = [(keys[order[whole:]], goal[order[whole:]])]
 
     def finish(self) -> None:
-        self.add(np.zeros((0, 2 * STEP), np.uint8), np.zeros((0, STEP), np.uint8), last=True)
+        self.add(np.zeros((0, 2 * STEP), np.int16), np.zeros((0, STEP), np.int16), last=True)
         if self.windows and self.steps < LEAST_STEPS:
             keys, goal = (np.concatenate(x) for x in zip(*self.first, strict=True))
             while self.steps < LEAST_STEPS:
                 at = self.rng.integers(0, len(keys), BATCH)
                 self.step(keys[at], goal[at])
 
+    def sums(self) -> np.ndarray:
+        """The windows, then the parameters as integers, times the windows."""
+        whole = np.rint(np.clip(flatten(self.p), -LARGEST, LARGEST) * SCALE).astype(np.int64)
+        return np.append(self.windows, whole * self.windows)
+
 
-def train(docs: DataFrame, path: str, ranks: str) -> tuple[dict[str, np.ndarray], np.ndarray]:
-    """docs(id, text) -> (parameters, counts of ids): one pass over all training texts."""
-    blocks = 16
+CODED = "kind int, slot long, place long, ids binary, block int, part int, sums binary"
+TEXT, COUNT, WORDS = range(3)
+
+
+def coded(rows: DataFrame, path: str, ranks: str, units: int, bits: int) -> DataFrame:
+    """rows(id, text, place) -> of the training texts: TEXT rows (slot: unit; place; ids), COUNT rows (sums: counts of ids, texts, words) and WORDS rows (block: bucket; sums: distinct hashes of lower-cased words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = subwords(path, ranks)
-        counts = np.zeros(len(code.strings), np.int64)
+        counts = np.zeros(len(code.strings) + 2, np.int64)
+        held = np.zeros(0, _U)
         part = TaskContext.get().partitionId()
-        trainer = Trainer(part)
+
+        def made(kind: int, n: int, **columns: pa.Array) -> pa.RecordBatch:
+            kinds = {"kind": pa.int32(), "slot": pa.int64(), "place": pa.int64(), "ids": pa.binary(), "block": pa.int32(), "part": pa.int32(), "sums": pa.binary()}
+            columns |= {"kind": pa.array([kind] * n, pa.int32()), "part": pa.array([part] * n, pa.int32())}
+            return pa.RecordBatch.from_pydict({k: columns.get(k, pa.nulls(n, t)) for k, t in kinds.items()})
+
+        def words() -> pa.RecordBatch:
+            cuts = [*np.searchsorted(held, np.arange(1 << bits, dtype=_U) << _U(64 - bits)).tolist(), len(held)]
+            spans = [(i, a, b) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if a < b]
+            return made(WORDS, len(spans), block=pa.array([i for i, _, _ in spans], pa.int32()), sums=pa.array([held[a:b].tobytes() for _, a, b in spans], pa.binary()))
+
         for batch in pieces(batches):
             learn = batch.filter(pa.array(~held_out(batch.column(0))))
-            ids, bounds = code.encode_all(*text_bytes(learn.column(1)))
-            counts += np.bincount(ids, minlength=len(counts))
-            keys, goal, _ = groups(code.classes[ids], bounds)
-            trainer.add(keys, goal)
-        trainer.finish()
-        weight = trainer.windows
-        if not weight:
-            return
-        values = np.concatenate([counts, [weight], np.rint(flatten(trainer.p) * SCALE).astype(np.int64) * weight])
-        cut = np.array_split(values, blocks)
-        yield pa.RecordBatch.from_pydict({"block": pa.array(range(blocks), pa.int32()), "part": pa.array([part] * blocks, pa.int32()), "sums": pa.array([x.tobytes() for x in cut], pa.binary())})
+            if not learn.num_rows:
+                continue
+            data, offsets = text_bytes(learn.column(1))
+            ids, bounds = code.encode_all(data, offsets)
+            counts[:-2] += np.bincount(ids, minlength=len(counts) - 2)
+            low = lowered(data)
+            found = scan(low, offsets)
+            counts[-2:] += learn.num_rows, len(found.start)
+            held = np.union1d(held, found.hashes())
+            if len(held) >= HELD_WORDS:
+                yield words()
+                held = held[:0]
+            place = learn.column(2).to_numpy()
+            raw = ids.astype("<u4" if len(counts) > 1 << 16 else "<u2")
+            yield made(TEXT, learn.num_rows, slot=pa.array(place % units), place=pa.array(place), ids=pa.array([raw[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], pa.binary()))
+        if counts.any():
+            if len(held):
+                yield words()
+            cut = np.array_split(counts, BLOCKS)
+            yield made(COUNT, BLOCKS, block=pa.array(range(BLOCKS), pa.int32()), sums=pa.array([x.tobytes() for x in cut], pa.binary()))
+
+    return rows.mapInArrow(tidy(run, lambda: subwords(path, ranks).forget()), CODED)
+
+
+def lowered(data: np.ndarray) -> np.ndarray:
+    return np.where((data >= 0x41) & (data <= 0x5A), data | 0x20, data)
+
+
+def kinds_of_words(texts: DataFrame) -> int:
+    """How many distinct words the training texts have: each bucket of hashes counts its own."""
+
+    def count(t: pa.Table) -> pa.Table:
+        own = [np.unique(np.frombuffer(x.as_buffer(), _U)) for x in t["sums"]]
+        return pa.table({"n": pa.array([len(np.unique(np.concatenate(own)))], pa.int64())})
+
+    found = texts.where(F.col("kind") == WORDS).select("block", "sums").groupBy("block").applyInArrow(count, "n long")
+    return found.agg(F.sum("n")).first()[0] or 0
+
+
+def collected(rows: DataFrame) -> np.ndarray | None:
+    """The sum of (block, part, sums), of a fixed size."""
+    got = sum_blocks(rows.select("block", "part", "sums")).collect()  # BLOCKS rows
+    return np.concatenate([np.frombuffer(r["sums"], np.int64) for r in sorted(got, key=lambda r: r["block"])]) if got else None
+
+
+@dataclass
+class Learnt:
+    """Parameters and vocabulary of the attention model; tokens and kinds of the word model's training words, with ends."""
+
+    params: dict[str, np.ndarray]
+    vocabulary: Vocabulary
+    tokens: int
+    kinds: int
+    ends: int
+
+
+def train(docs: DataFrame, path: str, ranks: str, total: int, bits: int) -> Learnt:
+    """docs(id, text), of `total` bytes -> both models' training, over all training texts."""
+    spark = docs.sparkSession
+    rounds = max(1, min(ROUNDS, -(-total // UNIT)))
+    each = max(1, min(MOST_UNITS, -(-total // (UNIT * rounds))))
+    # a row's place in the order of training; equal rows are alike
+    placed = docs.select("id", "text", F.pmod(F.xxhash64("text", "id"), F.lit((1 << 62) - 1)).alias("place"))
+    texts = stored(coded(placed, path, ranks, rounds * each, bits), "coded")
+    code = subwords(path, ranks)
+    counts = collected(texts.where(F.col("kind") == COUNT))
+    counts = np.zeros(len(code.strings) + 2, np.int64) if counts is None else counts
+    v = Vocabulary.of(counts[:-1], code.kinds)
+    wide = "<u4" if len(counts) > 1 << 16 else "<u2"
+    p = start(v)
+    ends, words = int(counts[-2]), int(counts[-1])
+    for turn in range(rounds if ends else 0):
+        units = texts.where((F.col("kind") == TEXT) & (F.pmod("slot", F.lit(rounds)) == turn)).select("slot", "place", "ids")
+        units = units.repartition(parts(spark), "slot").sortWithinPartitions("slot", "place", "ids")
+        sums = collected(units.mapInArrow(tidy(units_trained(p, v, RATES[turn], wide)), "block int, part int, sums binary"))
+        if sums is not None:
+            p = unflatten(sums[1:] / sums[0] / SCALE, v)
+    return Learnt(p, v, words + ends, kinds_of_words(texts) + (ends > 0), ends)
+
+
+def units_trained(p: dict[str, np.ndarray], v: Vocabulary, rate: float, wide: str):
+    """Rows (slot, place, ids) sorted by slot and place -> (block, part, sums), one set a unit."""
 
-    rows = sum_blocks(docs.mapInArrow(run, "block int, part int, sums binary")).collect()  # 16 rows of fixed size
-    size = len(subwords(path, ranks).strings)
-    if not rows:
-        return start(), np.zeros(size, np.int64)
-    values = np.concatenate([np.frombuffer(r["sums"], np.int64) for r in sorted(rows, key=lambda r: r["block"])])
-    weight = int(values[size])
-    return unflatten(values[size + 1 :] / weight / SCALE), values[:size]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trainer, slot = None, None
+
+        def told() -> pa.RecordBatch:
+            trainer.finish()
+            cut = np.array_split(trainer.sums(), BLOCKS)
+            return pa.RecordBatch.from_pydict({"block": pa.array(range(BLOCKS), pa.int32()), "part": pa.array([slot % (1 << 30)] * BLOCKS, pa.int32()), "sums": pa.array([x.tobytes() for x in cut], pa.binary())})
+
+        # rows are counted off from the start of a unit, so that batches do not bear on the steps
+        for rows in counted_off(batches, "slot", 64):
+            if rows["slot"][0].as_py() != slot:
+                if trainer is not None:
+                    yield told()
+                slot = rows["slot"][0].as_py()
+                trainer = Trainer(p, v, rate, slot)
+            raw = rows["ids"].to_pylist()
+            sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // np.dtype(wide).itemsize
+            trainer.texts(np.frombuffer(b"".join(raw), wide).astype(np.int64), np.concatenate([[0], np.cumsum(sizes)]))
+        if trainer is not None:
+            yield told()
+
+    return run
+
+
+def counted_off(batches: Iterator[pa.RecordBatch], key: str, rows: int) -> Iterator[pa.Table]:
+    """A stream sorted by the key in tables of `rows` rows of one key, the last of each key shorter."""
+    held: list[pa.RecordBatch] = []
+    count, last = 0, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(batch.schema.get_field_index(key)).to_numpy()
+        at = 0
+        while at < len(keys):
+            if held and keys[at] != last:
+                yield pa.Table.from_batches(held)
+                held, count = [], 0
+            last = keys[at]
+            end = min(int(np.searchsorted(keys, last, "right")), at + rows - count)
+            held.append(batch.slice(at, end - at))
+            count += end - at
+            at = end
+            if count == rows:
+                yield pa.Table.from_batches(held)
+                held, count = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 # ---- the word model
@@ -331,11 +584,12 @@ class Bag:
         col = table["text"].combine_chunks()
         self.data, self.offsets = text_bytes(col)
         self.words = scan(self.data, self.offsets)
-        low = np.where((self.data >= 0x41) & (self.data <= 0x5A), self.data | 0x20, self.data)
-        self.distinct, self.which = np.unique(self.words.hashes(low), return_inverse=True)
+        self.distinct, self.which = np.unique(self.words.hashes(lowered(self.data)), return_inverse=True)
         self.held = held_out(table["id"])
         self.counts = np.bincount(self.which[~self.held[self.words.doc]], minlength=len(self.distinct))
-        self.cuts = np.searchsorted(self.distinct, np.arange(1 << bits, dtype=_U) << _U(64 - bits)).tolist() + [len(self.distinct)]
+        cuts = [*np.searchsorted(self.distinct, np.arange(1 << bits, dtype=_U) << _U(64 - bits)).tolist(), len(self.distinct)]
+        #: bucket, from, to; buckets without a word are left out, so that rows never outnumber words
+        self.spans = [(i, a, b) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if a < b]
 
 
 def send(bits: int):
@@ -344,10 +598,8 @@ def send(bits: int):
     def run(table: pa.Table) -> pa.Table:
         bag = Bag(table, bits)
         low = np.ascontiguousarray(bag.distinct).view(np.uint8).reshape(-1, 8)[:, : 8 - drop]
-        spans = list(zip(bag.cuts[:-1], bag.cuts[1:], strict=True))
-        ends = int((~bag.held).sum())
-        n = len(spans)
-        return pa.table({"bucket": pa.array(range(n), pa.int32()), "chunk": pa.array([table["chunk"][0].as_py()] * n, pa.int64()), "hashes": pa.array([low[a:b].tobytes() for a, b in spans], pa.binary()), "counts": pa.array([pack_counts(bag.counts[a:b]) for a, b in spans], pa.binary()), "ends": pa.array([ends] * n, pa.int64())})
+        n = len(bag.spans)
+        return pa.table({"bucket": pa.array([i for i, _, _ in bag.spans], pa.int32()), "chunk": pa.array([table["chunk"][0].as_py()] * n, pa.int64()), "hashes": pa.array([low[a:b].tobytes() for _, a, b in bag.spans], pa.binary()), "counts": pa.array([pack_counts(bag.counts[a:b]) for _, a, b in bag.spans], pa.binary())})
 
     return run
 
@@ -362,40 +614,34 @@ def answer(bits: int):
         full[:, :width] = np.concatenate(rows)
         distinct, which = np.unique(full.view(_U).ravel(), return_inverse=True)
         counts = np.concatenate([unpack_counts(x.as_py()) for x in table["counts"]])
-        total = np.bincount(which, counts, len(distinct)).astype(np.int64)
-        back = total[which]
+        back = np.bincount(which, counts, len(distinct)).astype(np.int64)[which]
         ends = np.cumsum(sizes)
-        n = len(sizes)
-        return pa.table({
-            "chunk": table["chunk"], "bucket": table["bucket"],
-            "counts": pa.array([pack_counts(back[e - s : e]) for e, s in zip(ends.tolist(), sizes.tolist(), strict=True)], pa.binary()),
-            "tokens": pa.array([int(total.sum())] * n, pa.int64()), "kinds": pa.array([int((total > 0).sum())] * n, pa.int64()), "ends": pa.array([sum(table["ends"].to_pylist())] * n, pa.int64()),
-        })
+        return pa.table({"chunk": table["chunk"], "bucket": table["bucket"], "counts": pa.array([pack_counts(back[e - s : e]) for e, s in zip(ends.tolist(), sizes.tolist(), strict=True)], pa.binary())})
 
     return run
 
 
-def judge(bits: int, path: str, ranks: str, params: dict[str, np.ndarray], id_counts: np.ndarray):
+def judge(bits: int, path: str, ranks: str, learnt: Learnt):
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
         bag = Bag(texts, bits)
         order = np.argsort(answers["bucket"].to_numpy())
-        counts = np.concatenate([unpack_counts(answers["counts"][i].as_py()) for i in order.tolist()])
-        ends = answers["ends"][0].as_py()
-        tokens = sum(answers["tokens"].to_pylist()) + ends
-        kinds = sum(answers["kinds"].to_pylist()) + (ends > 0)
-        below = np.log10(tokens + kinds + 1.0)
+        counts = np.concatenate([np.zeros(0, np.int64), *(unpack_counts(answers["counts"][i].as_py()) for i in order.tolist())])
+        below = np.log10(learnt.tokens + learnt.kinds + 1.0)
         each = np.log10(counts + 1.0) - below
         doc, docs = bag.words.doc, bag.words.docs
-        base = np.bincount(doc, each[bag.which], docs) + (np.log10(ends + 1.0) - below)
-        known = np.bincount(doc, counts[bag.which] > 0, docs).astype(np.int64) + (ends > 0)
+        base = np.bincount(doc, each[bag.which], docs) + (np.log10(learnt.ends + 1.0) - below)
+        known = np.bincount(doc, counts[bag.which] > 0, docs).astype(np.int64) + (learnt.ends > 0)
+        tokens, held = bag.words.counts() + 1, bag.held
+        del bag, doc, each, counts
         code = subwords(path, ranks)
-        scorer = Scorer(params, id_counts, code.classes)
+        scorer = Scorer(learnt.params, learnt.vocabulary)
         scores = []
         for piece in pieces(iter(texts.select(["text"]).combine_chunks().to_batches()), most=2 << 20):
             scores.append(scorer.score(*code.encode_all(*text_bytes(piece.column(0)))))
+        release()
         return pa.table({
-            "id": texts["id"], "held_out": pa.array(bag.held), "n_tokens": pa.array(bag.words.counts() + 1), "n_known": pa.array(known),
-            "train_tokens": pa.array(np.full(docs, tokens, np.int64)), "base_score": pa.array(base), "score": pa.array(np.concatenate(scores)),
+            "id": texts["id"], "held_out": pa.array(held), "n_tokens": pa.array(tokens), "n_known": pa.array(known),
+            "train_tokens": pa.array(np.full(docs, learnt.tokens, np.int64)), "base_score": pa.array(base), "score": pa.array(np.concatenate(scores)),
         })
 
     return run
@@ -404,12 +650,13 @@ def judge(bits: int, path: str, ranks: str, params: dict[str, np.ndarray], id_co
 def score_texts(docs: DataFrame, path: str, ranks: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row a document: key, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     texts = docs.select(docs[key].cast("long").alias("id"), docs[text].alias("text"))
-    params, id_counts = train(texts, path, ranks)
     total = texts.select(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     chunks = max(1, -(-total // min(CHUNK, max(LEAST_CHUNK, total // SOME_CHUNKS))))
-    bits = min(16, max(8, (total // WORD_BYTES // BUCKET).bit_length()))
-    dealt = texts.withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(chunks)))
-    sent = dealt.groupBy("chunk").applyInArrow(send(bits), "bucket int, chunk long, hashes binary, counts binary, ends long")
-    answers = sent.groupBy("bucket").applyInArrow(answer(bits), "chunk long, bucket int, counts binary, tokens long, kinds long, ends long")
+    bits = min(MOST_BITS, max(8, (total // WORD_BYTES // BUCKET).bit_length()))
+    learnt = train(texts, path, ranks, total, bits)
+    # by the text too, so that rows without an id are not all in one chunk
+    dealt = texts.withColumn("chunk", F.pmod(F.xxhash64("id", "text"), F.lit(chunks)))
+    sent = dealt.groupBy("chunk").applyInArrow(send(bits), "bucket int, chunk long, hashes binary, counts binary")
+    answers = sent.groupBy("bucket").applyInArrow(answer(bits), "chunk long, bucket int, counts binary")
     schema = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(judge(bits, path, ranks, params, id_counts), schema).withColumnRenamed("id", key)
+    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(judge(bits, path, ranks, learnt), schema).withColumnRenamed("id", key)

@@ -22,8 +22,8 @@ from .kernel import Words, spread, text_bytes, scan, windows
 
 #: Text bytes of a chunk: at most CHUNK, less for small inputs, so that there are some tasks.
 CHUNK, LEAST_CHUNK, SOME_CHUNKS = 8 << 20, 1 << 20, 64
-#: Windows of a bucket, about; bytes of text a word, about. Buckets are a power of two from 2**8 to 2**16.
-BUCKET, WORD_BYTES = 1 << 19, 6
+#: Windows of a bucket, about; bytes of text a word, about. Buckets are a power of two, from 2**8 on; 2**31 of them would hold 10**15 windows.
+BUCKET, WORD_BYTES, MOST_BITS = 1 << 19, 6, 31
 LARGEST = (1 << 63) - 1
 
 
@@ -41,7 +41,7 @@ class Chunk:
         self.at, hashes = windows(self.words.hashes(), self.words.doc, k)
         self.doc = self.words.doc[self.at]
         distinct, first, self.which = np.unique(hashes, return_index=True, return_inverse=True)
-        bucket = (distinct >> np.uint64(64 - bits)).astype(np.uint16 if bits <= 16 else np.uint32)
+        bucket = (distinct >> np.uint64(64 - bits)).astype(np.uint16 if bits <= 16 else np.int64)
         # by bucket, then by first place, so that document ids ascend
         place = np.argsort(first, kind="stable")
         self.order = place[np.argsort(bucket[place], kind="stable")]
@@ -162,8 +162,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     total = docs.select(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
     size = min(CHUNK, max(LEAST_CHUNK, total // SOME_CHUNKS))
     chunks = max(1, -(-total // size))
-    bits = min(16, max(8, (total // WORD_BYTES // BUCKET).bit_length()))
-    texts = docs.select(docs[key].cast("long").alias("id"), docs[text].alias("text")).withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(chunks)))
+    bits = min(MOST_BITS, max(8, (total // WORD_BYTES // BUCKET).bit_length()))
+    texts = docs.select(docs[key].cast("long").alias("id"), docs[text].alias("text")).withColumn("chunk", F.pmod(F.xxhash64("id", "text"), F.lit(chunks)))  # by the text too: rows without an id are dealt out
     sent = texts.groupBy("chunk").applyInArrow(send(k, bits), "bucket int, chunk long, hashes binary, ids binary")
     answers = sent.groupBy("bucket").applyInArrow(answer(bits), "chunk long, bucket int, bits binary")
     schema = "id long, n_words long, n_removed long, removed array<struct<start: long, end: long>>" + ", kept_text string" * with_text
