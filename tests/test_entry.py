@@ -8,6 +8,7 @@ import sys
 from pathlib import Path
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
@@ -19,7 +20,7 @@ REPO = Path(__file__).resolve().parent.parent
 
 def rows(frame, columns):
     def plain(v):
-        if v is None or v != v:
+        if pd.isna(v):
             return "~"
         return f"{v:.6g}" if isinstance(v, float) and not math.isnan(v) else str(v)
 

@@ -1,5 +1,8 @@
 import json
+import re
+import threading
 import urllib.parse
+from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,73 +11,73 @@ from tidemark.model import EntityConfig
 from tidemark.operators.optionsets import SUFFIX
 from tidemark.plans import cli, workflow
 from tidemark.sources import odata
-from tidemark.sources.store import Store
+from tidemark.sources.store import Conflict, Store
 
 from .test_metadata import DOCUMENT
 
-ACCOUNTS = EntityConfig("account", "accounts")
-USERS = EntityConfig("systemuser", "systemusers", filtered=True)
+VESSELS = EntityConfig("vessel", "vessels")
+PILOTS = EntityConfig("pilot", "pilots", filtered=True)
 
 
 def raw(spark, *records):
     return spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(records)], "seq long, raw string")
 
 
-def account(n, name, status, label, day, **more):
-    return {"accountid": f"a{n}", "name": name, "statuscode": status, f"statuscode{SUFFIX}": label, "modifiedon": day, "@odata.etag": f"W/{day}", **more}
+def vessel(n, name, status, label, day, **more):
+    return {"vesselid": f"a{n}", "callsign": name, "berthstate": status, f"berthstate{SUFFIX}": label, "modifiedon": day, "@odata.etag": f"W/{day}", **more}
 
 
-def categories(codes, labels):
-    return {"categories": codes, f"categories{SUFFIX}": labels}
+def cargoes(codes, labels):
+    return {"cargoes": codes, f"cargoes{SUFFIX}": labels}
 
 
 def test_full_then_incremental_then_closed(spark, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
-    users = raw(spark, *({"systemuserid": f"u{i}", "fullname": f"U{i}"} for i in (1, 2, 3)))
-    first = raw(spark, account(1, "Acme", 1, "Active", "2024-01-15", _owner_value="u1", **categories("1,2,3", "Tech;Health;Money")), account(2, "Global", 2, "Inactive", "2024-01-20", _owner_value="u2", **categories("2,4", "Health;Made")), {"accountid": "", "name": "no key"})
-    source = workflow.RawSource(DOCUMENT, {"accounts": first, "systemusers": users})
-    got = workflow.run_workflow(store, source, [ACCOUNTS, USERS], verify_references=True, clock="2024-01-31")
+    users = raw(spark, *({"pilotid": f"u{i}", "badge": f"U{i}"} for i in (1, 2, 3)))
+    first = raw(spark, vessel(1, "Aurora", 1, "Moored", "2024-01-15", _pilot_value="u1", **cargoes("1,2,3", "Grain;Steel;Fruit")), vessel(2, "Grebe", 2, "Away", "2024-01-20", _pilot_value="u2", **cargoes("2,4", "Steel;Coal")), {"vesselid": "", "callsign": "no key"})
+    source = workflow.RawSource(DOCUMENT, {"vessels": first, "pilots": users})
+    got = workflow.run_workflow(store, source, [VESSELS, PILOTS], verify_references=True, clock="2024-01-31")
     assert got["success"] and got["total_added"] == 4 and got["total_updated"] == 0, got
-    assert sorted(r[0] for r in store.read("systemusers").select("systemuserid").collect()) == ["u1", "u2"]
+    assert sorted(r[0] for r in store.read("pilots").select("pilotid").collect()) == ["u1", "u2"]
     state = {r["entity_name"]: r for r in store.read("_sync_state").collect()}
-    assert state["accounts"]["state"] == "completed" and state["accounts"]["last_timestamp"] == "2024-01-20" and state["accounts"]["records_count"] == 3
-    links = store.read("_junction_accounts_categories")
+    assert state["vessels"]["state"] == "completed" and state["vessels"]["last_timestamp"] == "2024-01-20" and state["vessels"]["records_count"] == 3
+    links = store.read("_junction_vessels_cargoes")
     assert sorted((r["entity_id"], r["option_code"]) for r in links.where("valid_to is null").collect()) == [("a1", 1), ("a1", 2), ("a1", 3), ("a2", 2), ("a2", 4)]
 
-    second = raw(spark, account(1, "Acme Two", 3, "Pending", "2024-02-01", _owner_value="u9", **categories("3,4", "Money;Made")), account(2, "Global", 2, "Inactive", "2024-01-20", _owner_value="u2", **categories("2,4", "Health;Made")))
-    source.records["accounts"] = second
-    got = workflow.run_workflow(store, source, [ACCOUNTS, USERS], verify_references=True, clock="2024-02-02")
+    second = raw(spark, vessel(1, "Aurora II", 3, "Waiting", "2024-02-01", _pilot_value="u9", **cargoes("3,4", "Fruit;Coal")), vessel(2, "Grebe", 2, "Away", "2024-01-20", _pilot_value="u2", **cargoes("2,4", "Steel;Coal")))
+    source.records["vessels"] = second
+    got = workflow.run_workflow(store, source, [VESSELS, PILOTS], verify_references=True, clock="2024-02-02")
     assert (got["total_added"], got["total_updated"]) == (0, 1) and not got["success"]
-    assert [(r["fk_col"], r["dangling_count"]) for r in got["reference_errors"]] == [("_owner_value", 1)]
-    rows = store.read("accounts")
+    assert [(r["fk_col"], r["dangling_count"]) for r in got["reference_errors"]] == [("_pilot_value", 1)]
+    rows = store.read("vessels")
     assert rows.count() == 3 and rows.where("valid_to is null").count() == 2
     assert rows.where("valid_to is not null").first()["valid_to"] == "2024-02-01"
     assert sorted(r["row_id"] for r in rows.collect()) == [1, 2, 3]
-    links = store.read("_junction_accounts_categories").where("entity_id = 'a1'")
+    links = store.read("_junction_vessels_cargoes").where("entity_id = 'a1'")
     assert sorted(r["option_code"] for r in links.where("valid_to is null").collect()) == [3, 4] and links.count() == 5
-    lookup = store.read("_optionset").where("field = 'statuscode'")
-    assert sorted((r["code"], r["label"], r["first_seen"]) for r in lookup.collect()) == [(1, "Active", "2024-01-31"), (2, "Inactive", "2024-01-31"), (3, "Pending", "2024-02-02")]
+    lookup = store.read("_optionset").where("field = 'berthstate'")
+    assert sorted((r["code"], r["label"], r["first_seen"]) for r in lookup.collect()) == [(1, "Moored", "2024-01-31"), (2, "Away", "2024-01-31"), (3, "Waiting", "2024-02-02")]
     assert store.read("_sync_log").where("status = 'completed'").count() >= 3
 
     out = tmp_path / "o.json"
     assert cli.main(["optionset-config", "--store", str(tmp_path / "store"), "--output", str(out)], spark) == 0
-    assert json.loads(out.read_text())["accounts"] == ["statuscode"]
+    assert json.loads(out.read_text())["vessels"] == ["berthstate"]
     entities = tmp_path / "e.json"
-    entities.write_text(json.dumps({"entities": [{"name": "account"}, {"name": "systemuser", "filtered": True}]}))
+    entities.write_text(json.dumps({"entities": [{"name": "vessel"}, {"name": "pilot", "filtered": True}]}))
     (tmp_path / "m.xml").write_text(DOCUMENT)
     told = ["validate", "--store", str(tmp_path / "store"), "--entities", str(entities), "--metadata", str(tmp_path / "m.xml"), "--json", str(tmp_path / "r.json")]
     assert cli.main(told, spark) == 0
     # a changed type stops the next sync
-    source.document = DOCUMENT.replace('Name="name" Type="Edm.String" MaxLength="160"', 'Name="name" Type="Edm.Int32"')
-    got = workflow.run_workflow(store, source, [ACCOUNTS, USERS])
+    source.document = DOCUMENT.replace('Name="callsign" Type="Edm.String" MaxLength="12"', 'Name="callsign" Type="Edm.Int32"')
+    got = workflow.run_workflow(store, source, [VESSELS, PILOTS])
     assert not got["success"] and [e["issue_type"] for e in got["validation_errors"]] == ["type_mismatch"]
 
 
 def test_one_failure_does_not_stop_the_others(spark, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
-    source = workflow.RawSource(DOCUMENT, {"systemusers": raw(spark, {"systemuserid": "u1"})})
-    got = workflow.run_workflow(store, source, [ACCOUNTS, EntityConfig("systemuser", "systemusers")])
-    assert [f[0] for f in got["failed_entities"]] == ["accounts"] and got["total_added"] == 1 and not got["success"]
+    source = workflow.RawSource(DOCUMENT, {"pilots": raw(spark, {"pilotid": "u1"})})
+    got = workflow.run_workflow(store, source, [VESSELS, EntityConfig("pilot", "pilots")])
+    assert [f[0] for f in got["failed_entities"]] == ["vessels"] and got["total_added"] == 1 and not got["success"]
     assert store.read("_sync_state").where("state = 'failed'").count() == 1
 
 
@@ -88,15 +91,15 @@ def test_a_failed_filtered_entity_is_tried_again_each_round(spark, tmp_path):
                 raise RuntimeError("down")
             return super().by_ids(*args)
 
-    accounts = raw(spark, account(1, "Acme", 1, "Active", "2024-01-15", _owner_value="u1"))
-    source = Failing(DOCUMENT, {"accounts": accounts, "systemusers": raw(spark, {"systemuserid": "u1"}, {"systemuserid": "u2"})})
+    vessels = raw(spark, vessel(1, "Aurora", 1, "Moored", "2024-01-15", _pilot_value="u1"))
+    source = Failing(DOCUMENT, {"vessels": vessels, "pilots": raw(spark, {"pilotid": "u1"}, {"pilotid": "u2"})})
     store = Store(spark, str(tmp_path / "store"))
-    got = workflow.run_workflow(store, source, [ACCOUNTS, USERS])
-    assert got["failed_entities"] == [("systemusers", "down")] and not got["success"] and got["total_added"] == 2
-    assert [r[0] for r in store.read("systemusers").select("systemuserid").collect()] == ["u1"]
+    got = workflow.run_workflow(store, source, [VESSELS, PILOTS])
+    assert got["failed_entities"] == [("pilots", "down")] and not got["success"] and got["total_added"] == 2
+    assert [r[0] for r in store.read("pilots").select("pilotid").collect()] == ["u1"]
     source.left = 99  # one failure a round
-    got = workflow.run_workflow(Store(spark, str(tmp_path / "other")), source, [ACCOUNTS, USERS], rounds=3)
-    assert got["failed_entities"] == [("systemusers", "down")] * 3
+    got = workflow.run_workflow(Store(spark, str(tmp_path / "other")), source, [VESSELS, PILOTS], rounds=3)
+    assert got["failed_entities"] == [("pilots", "down")] * 3
 
 
 class Service:
@@ -122,18 +125,26 @@ def client(*answers):
 
 def test_paging_and_retries():
     c, s, waits = client((429, {"Retry-After": "7"}, b""), (503, {}, b""), OSError("down"), (200, {}, b'{"value": [1'), (200, {}, {"value": [1], "@odata.nextLink": "http://h/next"}), (200, {}, {"value": [2]}))
-    assert list(c.pages("accounts", "id", "a gt 1", "x")) == [[1], [2]]
-    assert waits == [7, 2, 4, 8] and s.urls[0] == "http://h/accounts?$orderby=id&$filter=a gt 1&$select=x" and s.urls[-1] == "http://h/next"
+    assert list(c.pages("vessels", "id", "a gt 1", "x")) == [[1], [2]]
+    assert waits == [7, 2, 4, 8] and s.urls[0] == "http://h/vessels?$orderby=id&$filter=a gt 1&$select=x" and s.urls[-1] == "http://h/next"
     with pytest.raises(RuntimeError, match="after 6 attempts"):
         client(*[(500, {}, b"")] * 6)[0].fetch("http://h/x")
-    with pytest.raises(RuntimeError, match="re-authenticate"):
+    with pytest.raises(RuntimeError, match="does not accept"):
         client((401, {}, b""))[0].fetch("http://h/x")
     c, s, _ = client((400, {}, b"bad orderby"), (200, {}, {"value": [3]}))
     assert list(c.pages("links", "id")) == [[3]] and "orderby" not in s.urls[1]
     c, _, _ = client((400, {}, b"bad orderby"), (200, {}, {"value": [3], "@odata.nextLink": "x"}))
     with pytest.raises(RuntimeError, match="more pages"):
         list(c.pages("links", "id"))
-    assert client((200, {}, b"12"))[0].count("accounts") == 12
+    assert client((200, {}, b"12"))[0].count("vessels") == 12
+    # a refused token is renewed once
+    c, _, waits = client((401, {}, b""), (200, {}, {"value": []}))
+    c.token, c.renew = "old", lambda: setattr(c, "token", "new")
+    assert c.fetch("http://h/x") == {"value": []} and c.token == "new"
+    c, _, _ = client((401, {}, b""), (401, {}, b""))
+    c.renew = lambda: "same"
+    with pytest.raises(odata.HttpError):
+        c.fetch("http://h/x")
 
 
 def test_tokens():
@@ -153,3 +164,143 @@ def test_reader_partitions():
     r = odata.Reader({"entity": "a", "url": "u", "filters": '["k eq 1", "k eq 2"]'})
     assert [p.filter for p in r.partitions()] == ["k eq 1", "k eq 2"]
     assert [p.filter for p in odata.Reader({"entity": "a", "url": "u"}).partitions()] == [None]
+
+
+@pytest.fixture
+def service():
+    """A service on this machine: records by entity, three a page, with the filters that the engine sends."""
+
+    class Handler(BaseHTTPRequestHandler):
+        records, asked, open_now, most_open, lock = {}, [], 0, 0, threading.Lock()
+
+        def do_GET(self):
+            cls = type(self)
+            with cls.lock:
+                cls.open_now += 1
+                cls.most_open = max(cls.most_open, cls.open_now)
+            try:
+                self.answer()
+            finally:
+                with cls.lock:
+                    cls.open_now -= 1
+
+        def answer(self):
+            path, _, query = self.path.partition("?")
+            told = dict(urllib.parse.parse_qsl(query))
+            name = path.strip("/")
+            type(self).asked.append((name, told))
+            if name == "$metadata":
+                return self.send(DOCUMENT.encode())
+            rows = type(self).records[name]
+            wanted = told.get("$filter", "")
+            if mark := re.search(r"modifiedon gt (\S+?)\)?$", wanted):
+                rows = [r for r in rows if r.get("modifiedon", "") > mark[1]]
+            if ids := re.findall(r" eq '([^']*)'", wanted):
+                rows = [r for r in rows if r["pilotid"] in ids]
+            at = int(told.get("at", 0))
+            page = {"value": rows[at : at + 3]}
+            if at + 3 < len(rows):
+                page["@odata.nextLink"] = f"http://127.0.0.1:{self.server.server_port}{path}?" + urllib.parse.urlencode({**told, "at": at + 3})
+            self.send(json.dumps(page).encode())
+
+        def send(self, body):
+            self.send_response(200)
+            self.send_header("Content-Length", str(len(body)))
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *args):
+            pass
+
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{server.server_port}", Handler
+    server.shutdown()
+
+
+def test_spark_reads_a_service(spark, service):
+    url, handler = service
+    handler.records["vessels"] = [vessel(i, f"V{i}", 1, "Moored", f"2024-01-0{i}") for i in range(1, 8)]
+    odata.register(spark)
+    read = lambda **more: spark.read.format("odata").options(url=url, entity="vessels", token="t", **more).load()
+    rows = read(orderby="vesselid").collect()
+    assert [json.loads(r["raw"])["vesselid"] for r in sorted(rows, key=lambda r: r["seq"])] == [f"a{i}" for i in range(1, 8)]
+    late = read(pushdown="true").where("modifiedon > '2024-01-05' and entity = 'vessels'").collect()
+    assert sorted(r["modifiedon"] for r in late) == ["2024-01-06", "2024-01-07"]
+    assert any(t.get("$filter") == "modifiedon gt 2024-01-05" for _, t in handler.asked)
+    parts = read(filters=json.dumps(["modifiedon gt 2024-01-06", "modifiedon gt 2024-01-05"]))
+    assert parts.count() == 3 and parts.rdd.getNumPartitions() == 2
+
+
+def test_sync_from_a_service(spark, service, tmp_path, monkeypatch, capsys):
+    url, handler = service
+    handler.records["vessels"] = [vessel(i, f"V{i}", 1 + i % 2, ["Away", "Moored"][i % 2], f"2024-01-0{i}", _pilot_value=f"p{i % 3}", **cargoes("1,2", "Grain;Steel")) for i in range(1, 8)]
+    handler.records["pilots"] = [{"pilotid": f"p{i}", "badge": f"B{i}"} for i in range(9)]
+    root, entities = str(tmp_path / "store"), tmp_path / "entities.json"
+    entities.write_text(json.dumps({"entities": [{"name": "vessel"}, {"name": "pilot", "filtered": True}]}))
+    source = workflow.ODataRecords(spark, url, lambda: "t", concurrency=2)
+    assert workflow.run_sync(spark, root, source, str(entities), verify_reference=True)
+    store = Store(spark, root)
+    assert store.read("vessels").count() == 7 and sorted(r[0] for r in store.read("pilots").select("pilotid").collect()) == ["p0", "p1", "p2"]
+    assert handler.most_open <= 2
+    # the second sync asks for what changed only
+    handler.asked.clear()
+    handler.records["vessels"][0] = vessel(1, "V1 again", 3, "Waiting", "2024-02-01", _pilot_value="p7", **cargoes("2", "Steel"))
+    assert workflow.run_sync(spark, root, source, str(entities))
+    assert ("vessels", {"$orderby": "vesselid", "$filter": "modifiedon gt 2024-01-07"}) in handler.asked
+    rows = store.read("vessels")
+    assert rows.count() == 8 and rows.where("vesselid = 'a1' and valid_to = '2024-02-01'").count() == 1
+    assert sorted(r["row_id"] for r in rows.collect()) == list(range(1, 9)) and store.read("pilots").count() == 4
+    links = store.read("_junction_vessels_cargoes").where("entity_id = 'a1'").collect()
+    assert sorted((r["option_code"], r["valid_from"], r["valid_to"]) for r in links if r["valid_to"]) == [(1, "2024-01-01", "2024-02-01"), (2, "2024-01-01", "2024-02-01")]
+    assert [(r["option_code"], r["valid_from"]) for r in links if not r["valid_to"]] == [(2, "2024-02-01")]
+    # the command line, with a reference that does not hold
+    handler.records["vessels"][1] = vessel(2, "V2", 1, "Moored", "2024-03-01", _pilot_value="p99", **cargoes("1,2", "Grain;Steel"))
+    monkeypatch.setattr(odata.Authenticator, "get_token", lambda self: "t")
+    for name, value in (("API_URL", url), ("CLIENT_ID", "i"), ("CLIENT_SECRET", "s"), ("SCOPE", "q")):
+        monkeypatch.setenv(f"DATAVERSE_{name}", value)
+    monkeypatch.setattr(cli, "_source", lambda spark, env: workflow.ODataRecords(spark, url, lambda: "t"))
+    assert cli.main(["sync", "--store", root, "--entities", str(entities), "--verify"], spark) == 1
+    assert "vessels._pilot_value -> pilots: 1 of 9 rows; for example p99" in capsys.readouterr().out
+
+
+def test_junctions_follow_batches_as_they_follow_history(spark, tmp_path):
+    """One batch after the other, the junction is what all versions at once give."""
+    from tidemark.operators import optionsets
+
+    store = Store(spark, str(tmp_path / "store"))
+    days = [
+        [vessel(1, "A", 1, "Moored", "2024-01-01", **cargoes("1,2", "Grain;Steel")), vessel(2, "B", 1, "Moored", "2024-01-01", **cargoes("4", "Coal"))],
+        [vessel(1, "A", 1, "Moored", "2024-01-02", **cargoes("2", "Steel")), vessel(3, "C", 1, "Moored", "2024-01-02")],
+        [vessel(1, "A", 1, "Moored", "2024-01-03"), vessel(2, "B", 1, "Moored", "2024-01-03", **cargoes("4,1", "Coal;Grain"))],
+        [vessel(1, "A", 1, "Moored", "2024-01-04"), vessel(1, "A2", 1, "Moored", "2024-01-05", **cargoes("3", "Fruit")), vessel(1, "A3", 1, "Moored", "2024-01-06", **cargoes("3,1", "Fruit;Grain"))],
+        [],
+    ]
+    source = workflow.RawSource(DOCUMENT, {})
+    for n, day in enumerate(days):
+        source.records["vessels"] = raw(spark, *day) if day else spark.createDataFrame([], "seq long, raw string")
+        assert workflow.run_workflow(store, source, [VESSELS], clock=f"2024-02-0{n + 1}")["success"]
+    rows = store.read("vessels")
+    history = rows.select(F.col("vesselid").alias("id"), "valid_from", F.col("row_id").alias("seq"), F.col("json_response").alias("raw"))
+    picks = optionsets.detect(history.select("id", "seq", "raw"), ids=["id", "seq"])
+    want = optionsets.junction(history.select("id", "seq", "valid_from"), picks, "id", "cargoes")
+    told = lambda df: sorted((r["entity_id"], r["option_code"], r["valid_from"], r["valid_to"] or "") for r in df.collect())
+    assert told(store.read("_junction_vessels_cargoes")) == told(want) and want.count() > 6
+    assert sorted(r["row_id"] for r in rows.collect()) == list(range(1, rows.count() + 1))
+
+
+def test_store_refuses_a_stale_writer_and_joins_small_folders(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    number = lambda n: spark.createDataFrame([(n,)], "n int").coalesce(1)
+    store.write("t", number(0))
+    base = store.number("t")
+    store.commit("t", append={"all": number(1)}, base=base)
+    with pytest.raises(Conflict):
+        store.commit("t", append={"all": number(2)}, base=base)
+    for n in range(2, 6):
+        store.commit("t", append={"all": number(n), "_own": number(100)}, note=f"n{n}")
+    assert not store.compact("t", "all", most=10) and store.compact("t", "all", most=3)
+    assert sorted(r[0] for r in store.read("t").collect()) == [0, 1, 2, 3, 4, 5] and store.note("t") == "n5"
+    assert store.read("t", "_own").count() == 4 and len([1 for k, _ in store._lines("t") if k == "all"]) == 1
+    assert store.vacuum("t") == 0 and store.vacuum("t", older=-1) >= 1
+    assert sorted(r[0] for r in store.read("t").collect()) == [0, 1, 2, 3, 4, 5]

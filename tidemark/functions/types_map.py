@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, SparkSession, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,10 +25,10 @@ DIALECTS = {"sqlite": "sqlite", "postgresql": "postgresql", "postgres": "postgre
 #: Normal form, then the names that mean it, by dialect.
 ALIASES = {
     "sqlite": {
-        "TEXT": "VARCHAR CHAR NVARCHAR NCHAR CLOB".split(),
-        "INTEGER": "INT TINYINT SMALLINT MEDIUMINT BIGINT".split(),
-        "REAL": "DOUBLE FLOAT NUMERIC DECIMAL".split(),
-        "BLOB": "BINARY VARBINARY".split(),
+        "TEXT": ["VARCHAR", "CHAR", "NVARCHAR", "NCHAR", "CLOB"],
+        "INTEGER": ["INT", "TINYINT", "SMALLINT", "MEDIUMINT", "BIGINT"],
+        "REAL": ["DOUBLE", "FLOAT", "NUMERIC", "DECIMAL"],
+        "BLOB": ["BINARY", "VARBINARY"],
     },
     "postgresql": {
         "TEXT": ["CHARACTER VARYING", "CHAR", "CHARACTER", "VARCHAR"],
@@ -105,8 +105,3 @@ def spark_type(edm_type: str, is_option_set: bool = False, strict: bool = False)
     if strict:
         return STRICT.get(edm_type, T.StringType())
     return STORED.get(db_type(edm_type), T.StringType())
-
-
-def edm_types(spark: SparkSession) -> DataFrame:
-    """The type map as a table."""
-    return spark.createDataFrame(list(EDM_TYPES), "edm_type string, sqlite_type string, postgresql_type string")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from itertools import groupby
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SAMPLES = 10
@@ -34,19 +34,33 @@ def report(tables: dict[str, DataFrame], edges: list[tuple[str, str, str, str]],
     sorted_edges = sorted(usable, key=lambda e: (e[0], e[1]))
     grouped = [[e] for e in usable] if compat else [list(g) for _, g in groupby(sorted_edges, key=lambda e: (e[0], e[1]))]
     out = None
-    for group in grouped:
-        s, c = group[0][:2]
-        bad = dangling(tables[s], c, [(tables[d], k) for _, _, d, k in group])
-        total = tables[s].agg(F.count(c).alias("total_checked"))
-        # the smallest values: found by a bounded sort, not by collecting all
-        first = bad.orderBy("fk_value").limit(SAMPLES).agg(F.sort_array(F.collect_list("fk_value")).alias("samples"))
-        row = bad.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("dangling_count")).where("dangling_count > 0")
-        row = row.join(F.broadcast(total)).join(F.broadcast(first))
-        row = row.select(F.lit(s).alias("src_table"), F.lit(c).alias("fk_col"), F.lit(",".join(d for _, _, d, _ in group)).alias("dst_table"), "dangling_count", "total_checked", "samples")
-        out = row if out is None else out.unionByName(row)
+    for table in dict.fromkeys(g[0][0] for g in grouped):
+        rows = _of_table(tables, [g for g in grouped if g[0][0] == table])
+        out = rows if out is None else out.unionByName(rows)
     return out, len(edges), missing
 
 
+def _of_table(tables: dict[str, DataFrame], groups: list[list[tuple[str, str, str, str]]]) -> DataFrame:
+    """The report's rows of one source table: its columns are read in one scan and summed by value before they meet the keys of their targets."""
+    source = tables[groups[0][0][0]]
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("edge"), F.col(g[0][1]).cast("string").alias("fk_value")) for i, g in enumerate(groups)])).alias("x")
+    values = source.select(each).select("x.*").where("fk_value is not null").groupBy("edge", "fk_value").agg(F.count(F.lit(1)).alias("n"))
+    keys = None
+    for i, g in enumerate(groups):
+        for _, _, d, k in g:
+            own = tables[d].where(F.col(k).isNotNull()).select(F.lit(i).alias("edge"), F.col(k).cast("string").alias("fk_value"))
+            keys = own if keys is None else keys.unionByName(own)
+    bad = values.join(keys.distinct(), ["edge", "fk_value"], "left_anti")
+    totals = values.groupBy("edge").agg(F.sum("n").alias("total_checked"))
+    # the smallest values: a group limit before the shuffle, not all of them collected
+    turn = F.row_number().over(Window.partitionBy("edge").orderBy("fk_value"))
+    first = bad.withColumn("turn", turn).where(F.col("turn") <= SAMPLES).groupBy("edge").agg(F.sort_array(F.collect_list("fk_value")).alias("samples"))
+    names = F.create_map(*[F.lit(x) for i, g in enumerate(groups) for x in (i, f"{g[0][1]}\t{','.join(d for _, _, d, _ in g)}")])
+    name = F.split(names[F.col("edge")], "\t")
+    rows = bad.groupBy("edge").agg(F.sum("n").alias("dangling_count")).join(totals, "edge").join(first, "edge")
+    return rows.select(F.lit(groups[0][0][0]).alias("src_table"), name[0].alias("fk_col"), name[1].alias("dst_table"), "dangling_count", "total_checked", "samples")
+
+
 def report_text(rows: list, checks: int, shown: int = 5) -> str:
     """The report of collected rows, at most one an edge."""
     if not rows:

@@ -55,11 +55,14 @@ def detect(records: DataFrame, raw: str = "raw", ids: list[str] | None = None) -
     each = each.where(~F.exists("_codes", lambda c: c.isNull()))
     n = F.least(F.size("_codes"), F.size("_labels"))
     each = each.where(n > 0)
-    zipped = F.transform(F.sequence(F.lit(1), n), lambda i: F.struct((i - 1).alias("pos"), F.element_at("_codes", i).alias("code"), F.element_at("_labels", i).alias("label")))
+    zipped = F.transform(F.slice("_codes", 1, n), lambda c, i: F.struct(i.alias("pos"), c.alias("code"), F.get("_labels", i).alias("label")))
     each = each.withColumn("_z", zipped)
-    first = F.filter("_z", lambda z, i: F.array_position(F.transform("_z", lambda y: y["code"]), z["code"]) == i + 1)
+    # within a field a code's first position and last label count; the costly rule runs only where a code repeats
+    first = F.filter("_z", lambda z, i: F.array_position("_codes", z["code"]) == i + 1)
     last = F.transform(first, lambda z: F.struct(z["pos"].alias("pos"), z["code"].alias("code"), F.element_at(F.filter("_z", lambda y: y["code"] == z["code"]), -1)["label"].alias("label")))
-    return each.select(*ids, "field", "is_multi", F.explode(last).alias("_o")).select(*ids, "field", "is_multi", F.col("_o.pos").alias("pos"), F.col("_o.code").alias("code"), F.col("_o.label").alias("label"))
+    repeats = F.size(F.array_distinct("_codes")) < F.size("_codes")
+    each = each.withColumn("_z", F.when(repeats, last).otherwise(F.col("_z")))
+    return each.select(*ids, "field", "is_multi", F.explode("_z").alias("_o")).select(*ids, "field", "is_multi", F.col("_o.pos").alias("pos"), F.col("_o.code").alias("code"), F.col("_o.label").alias("label"))
 
 
 def merge_lookup(old: DataFrame, seen: DataFrame) -> DataFrame:
@@ -93,6 +96,33 @@ def junction(versions: DataFrame, selections: DataFrame, key: str, field: str, m
     return shots.select(F.col(key).alias("entity_id"), F.explode("codes").alias("option_code"), "valid_from", "valid_to")
 
 
+def junction_batch(open_rows: DataFrame, blank: DataFrame, versions: DataFrame, selections: DataFrame, key: str, mode: str = "fixed") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The new versions of a batch on a junction: (open rows after, rows that were closed, blank after).
+
+    open_rows: entity_id, option_code, valid_from, valid_to; blank: entity_id of the entities that had a
+    multi-select once and have no code now; versions and selections as for junction(), of the new versions
+    only.  What was closed before is not read: an entity that ever had a snapshot is in open_rows or blank.
+    """
+    sets = selections.groupBy(key, "seq").agg(F.collect_set("code").alias("codes"), F.max("is_multi").alias("is_multi"))
+    joined = versions.select(key, "seq", "valid_from").join(sets, [key, "seq"], "left")
+    w = Window.partitionBy(key).orderBy("seq")
+    if mode == "compat":
+        shots = joined.where("is_multi")
+    else:
+        ever = open_rows.select(F.col("entity_id").alias(key)).union(blank.select(F.col("entity_id").alias(key))).distinct().withColumn("_known", F.lit(True))
+        began = F.max(F.coalesce("is_multi", F.lit(False))).over(w) | F.coalesce("_known", F.lit(False))
+        shots = joined.join(ever, key, "left").withColumn("_ever", began).where("_ever")
+    shots = shots.withColumn("valid_to", F.lead("valid_from").over(w))
+    rows = shots.select(F.col(key).alias("entity_id"), F.explode("codes").alias("option_code"), "valid_from", "valid_to")
+    ends = shots.groupBy(F.col(key).alias("entity_id")).agg(F.min_by("valid_from", "seq").alias("_at"), F.max_by(F.size(F.coalesce("codes", F.array())), "seq").alias("_left"))
+    before = open_rows.join(ends.select("entity_id", "_at"), "entity_id", "left")
+    columns = ["entity_id", "option_code", "valid_from", "valid_to"]
+    closed = before.where("_at is not null").withColumn("valid_to", F.col("_at")).select(*columns).unionByName(rows.where("valid_to is not null"))
+    opened = before.where("_at is null").select(*columns).unionByName(rows.where("valid_to is null"))
+    blank = blank.select("entity_id").join(ends.select("entity_id"), "entity_id", "left_anti").unionByName(ends.where("_left = 0").select("entity_id"))
+    return opened, closed, blank
+
+
 def snapshot(open_rows: DataFrame, new: DataFrame) -> DataFrame:
     """Close all open rows of the entities in new(entity_id, option_code, valid_from) at its valid_from and add the new ones; an entity with a null code is only closed."""
     times = new.groupBy("entity_id").agg(F.max("valid_from").alias("_at"))

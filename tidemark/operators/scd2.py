@@ -21,12 +21,13 @@ def history(events: DataFrame, key: str, seq: str, payload: list[str], valid_fro
     return starts.select(key, *payload, F.col(valid_from).alias("valid_from"), F.lead(valid_from).over(w).alias("valid_to"))
 
 
-def apply(active: DataFrame, batch: DataFrame, key: str, payload: str = "json_response", seq: str = "seq", strict_time: bool = False) -> DataFrame:
+def apply(active: DataFrame, batch: DataFrame, key: str, payload: str = "json_response", seq: str = "seq", strict_time: bool = False, keep_seq: bool = False) -> DataFrame:
     """Open versions and a batch -> all versions that are open or were closed or made by it.
 
     active: key, columns..., payload, sync_time, valid_from (and valid_to, all null); batch: the same
     with seq.  Result: the columns, valid_from, valid_to, is_new_entity, version_created, from_target.
-    strict_time takes records in the order of valid_from, then seq, instead of arrival.
+    strict_time takes records in the order of valid_from, then seq, instead of arrival; keep_seq adds the
+    seq of the record that each version began with (-1 for those of active).
     """
     columns = [c for c in batch.columns if c not in (seq, "valid_to")]
     old = active.select(*columns).withColumn(seq, F.lit(-1).cast("long")).withColumn("_target", F.lit(True))
@@ -41,7 +42,7 @@ def apply(active: DataFrame, batch: DataFrame, key: str, payload: str = "json_re
     rows = rows.withColumn("sync_time", F.last("sync_time").over(run)).where("_changed")
     ends = F.lead("valid_from").over(w)
     first_new = (F.col("_run") == 1) & ~F.col("_target")
-    return rows.select(*columns, ends.alias("valid_to"), first_new.alias("is_new_entity"), (~F.col("_target")).alias("version_created"), F.col("_target").alias("from_target"))
+    return rows.select(*columns, ends.alias("valid_to"), first_new.alias("is_new_entity"), (~F.col("_target")).alias("version_created"), F.col("_target").alias("from_target"), *([F.col(seq)] if keep_seq else []))
 
 
 def counts(applied: DataFrame) -> DataFrame:
@@ -63,8 +64,8 @@ def upsert_scd1(target: DataFrame, batch: DataFrame, key: str, seq: str = "seq")
 
 
 def with_row_ids(new_rows: DataFrame, first: int, order: list[str], buckets: int = 1024) -> DataFrame:
-    """Dense surrogate ids from `first`: numbered within buckets of a hash, from the number of rows in the buckets before, so that no task numbers all rows."""
-    dealt = new_rows.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
+    """Dense surrogate ids from `first`: numbered within buckets of a hash of the first column, from the number of rows in the buckets before, so that no task numbers all rows; the rows of one key ascend in the order of the others."""
+    dealt = new_rows.withColumn("_bucket", F.pmod(F.xxhash64(order[0]), F.lit(buckets)))
     sizes = dealt.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))  # at most `buckets` rows
     starts = sizes.select("_bucket", F.coalesce(F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
     turn = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))

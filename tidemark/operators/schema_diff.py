@@ -16,6 +16,12 @@ def _issue(entity: Column, kind: str, severity: str, description: Column, /, **d
     return [entity.alias("entity"), F.lit(kind).alias("issue_type"), F.lit(severity).alias("severity"), description.alias("description"), F.map_from_entries(entries).alias("details")]
 
 
+def _exploded(rows: DataFrame, *issues: tuple[Column, list[Column]]) -> DataFrame:
+    """One row for each issue whose condition holds: the rows are read once, whatever the number of issues."""
+    found = F.filter(F.array(*[F.when(when, F.struct(*issue)) for when, issue in issues]), lambda x: x.isNotNull())
+    return rows.select(F.explode(found).alias("x")).select("x.*")
+
+
 def _says(*parts: str | Column) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
@@ -36,11 +42,12 @@ def column_differences(expected: DataFrame, actual: DataFrame, dialect: str = "s
     e, a, n = F.col("e"), F.col("a"), F.col("entity")
     e_norm, a_norm = normal_type_col(e["db_type"], dialect), normal_type_col(a["db_type"], dialect)
     here = e.isNotNull() & a.isNotNull()
-    return (
-        j.where(a.isNull()).select(*_issue(n, "missing_column", "info", _says("Column '", e["column"], "' missing in the store"), column_name=e["column"], expected_type=e["db_type"], edm_type=e["edm_type"]))
-        .unionByName(j.where(e.isNull()).select(*_issue(n, "extra_column", "warning", _says("Column '", a["column"], "' is not in the metadata"), column_name=a["column"], actual_type=a["db_type"])))
-        .unionByName(j.where(here & (e_norm != a_norm)).select(*_issue(n, "type_mismatch", "error", _says("Column '", e["column"], "' type mismatch"), column_name=e["column"], expected_type=e["db_type"], actual_type=a["db_type"], expected_normalized=e_norm, actual_normalized=a_norm, edm_type=e["edm_type"])))
-        .unionByName(j.where(here & (e["nullable"] != a["nullable"])).select(*_issue(n, "nullable_mismatch", "warning", _says("Column '", e["column"], "' nullable mismatch"), column_name=e["column"], expected_nullable=e["nullable"], actual_nullable=a["nullable"])))
+    return _exploded(
+        j,
+        (a.isNull(), _issue(n, "missing_column", "info", _says("Column '", e["column"], "' missing in the store"), column_name=e["column"], expected_type=e["db_type"], edm_type=e["edm_type"])),
+        (e.isNull(), _issue(n, "extra_column", "warning", _says("Column '", a["column"], "' is not in the metadata"), column_name=a["column"], actual_type=a["db_type"])),
+        (here & (e_norm != a_norm), _issue(n, "type_mismatch", "error", _says("Column '", e["column"], "' type mismatch"), column_name=e["column"], expected_type=e["db_type"], actual_type=a["db_type"], expected_normalized=e_norm, actual_normalized=a_norm, edm_type=e["edm_type"])),
+        (here & (e["nullable"] != a["nullable"]), _issue(n, "nullable_mismatch", "warning", _says("Column '", e["column"], "' nullable mismatch"), column_name=e["column"], expected_nullable=e["nullable"], actual_nullable=a["nullable"])),
     )
 
 
@@ -60,10 +67,11 @@ def reference_differences(expected: DataFrame, actual: DataFrame) -> DataFrame:
     j = last(expected, "e").join(last(actual, "a"), ["entity", "_low"], "full_outer")
     e, a, n = F.col("e"), F.col("a"), F.col("entity")
     to = lambda x: F.concat(x["referenced_table"], F.lit("."), x["referenced_column"])
-    return (
-        j.where(a.isNull()).select(*_issue(n, "fk_missing", "info", _says("Column '", e["column"], "' has no foreign key constraint"), column=e["column"], expected_references=to(e)))
-        .unionByName(j.where(e.isNotNull() & a.isNotNull() & (F.lower(to(e)) != F.lower(to(a)))).select(*_issue(n, "fk_mismatch", "warning", _says("Foreign key on column '", e["column"], "' refers elsewhere"), column=e["column"], expected_references=to(e), actual_references=to(a))))
-        .unionByName(j.where(e.isNull()).select(*_issue(n, "fk_extra", "info", _says("Extra foreign key on column '", a["column"], "'"), column=a["column"], actual_references=to(a))))
+    return _exploded(
+        j,
+        (a.isNull(), _issue(n, "fk_missing", "info", _says("Column '", e["column"], "' has no foreign key constraint"), column=e["column"], expected_references=to(e))),
+        (e.isNotNull() & a.isNotNull() & (F.lower(to(e)) != F.lower(to(a))), _issue(n, "fk_mismatch", "warning", _says("Foreign key on column '", e["column"], "' refers elsewhere"), column=e["column"], expected_references=to(e), actual_references=to(a))),
+        (e.isNull(), _issue(n, "fk_extra", "info", _says("Extra foreign key on column '", a["column"], "'"), column=a["column"], actual_references=to(a))),
     )
 
 

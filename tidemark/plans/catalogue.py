@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,8 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import types_map
+from ..model import Column, EntityConfig, ForeignKey, TableSchema
 from ..operators import canonical, closure, incremental, integrity, optionsets, schema_diff, scd2, state, temporal
 from ..sources import metadata
+from ..sources.store import Store, shared_folder
+from . import sample, workflow
 
 SPLIT = "2024-01-15"
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,6 +138,14 @@ def record_projection(spark, sf_dir):
     return rows.select("user_id", "event_type", "seq", "valid_from")
 
 
+@query("""SELECT CASE WHEN user_id % 5 = 0 THEN '0' ELSE user_id::VARCHAR END AS user_id, event_id AS seq FROM events WHERE event_id % 4 = 3""")
+def record_keys(spark, sf_dir):
+    """Of records without a key, with a null, empty or zero one, the last stay (#26)."""
+    key = F.expr("CASE event_id % 4 WHEN 0 THEN '' WHEN 1 THEN '\"user_id\": null, ' WHEN 2 THEN '\"user_id\": \"\", ' ELSE concat('\"user_id\": ', if(user_id % 5 = 0, 0, user_id), ', ') END")
+    raw = _t(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), F.concat(F.lit("{"), key, F.lit('"x": 1}')).alias("raw"))
+    return canonical.to_versions(raw, "user_id", {"user_id": T.StringType()}, "2024-06-01T00:00:00Z").select("user_id", "seq")
+
+
 # ---- coded fields (#30-#38, Q5-Q10)
 
 
@@ -264,6 +276,120 @@ def junction_snapshot(spark, sf_dir):
     return optionsets.snapshot(now, new)
 
 
+@query("""WITH l AS (SELECT DISTINCT l_orderkey AS entity_id, l_linenumber::BIGINT AS option_code, l_returnflag AS f FROM lineitem)
+SELECT DISTINCT entity_id, option_code FROM l WHERE entity_id % 2 <> 0 UNION ALL SELECT DISTINCT entity_id, option_code + 10 FROM l WHERE entity_id % 4 = 0 AND f = 'R'""")
+def junction_replace(spark, sf_dir):
+    lines = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("entity_id"), F.col("l_linenumber").cast("long").alias("option_code"), "l_returnflag")
+    new = lines.where("entity_id % 4 = 0 and l_returnflag = 'R'").select("entity_id", F.col("option_code") + 10).toDF("entity_id", "option_code").distinct()
+    return optionsets.replace_links(lines.select("entity_id", "option_code").distinct(), new, lines.where("entity_id % 2 = 0").select("entity_id"))
+
+
+# ---- whole syncs (#10-#13, #33-#37, #42-#45, #49, #51, #60)
+
+_STORES: dict[tuple[str, str], Store] = {}
+
+
+def _synced(spark: SparkSession, sf_dir: str) -> Store:
+    """A store in the shared folder after two syncs of the folder's customers, of which a tenth changed in between; made once a session and folder."""
+    name = (spark.sparkContext.applicationId, sf_dir)
+    if name not in _STORES:
+        store, source = Store(spark, f"{shared_folder(spark)}/sync-{uuid.uuid4().hex}"), sample.source(spark, sf_dir)
+        for day, where in (("2024-01-02", None), ("2024-02-02", "c_custkey % 10 = 0")):
+            if where:
+                source.records["buyers"] = sample.turn(spark, sf_dir, where, "2024-02-01")
+            got = workflow.run_workflow(store, source, sample.ENTITIES, verify_references=True, clock=day)
+            if not got["success"]:
+                raise RuntimeError(f"the sync failed: {got}")
+        _STORES[name] = store
+    return _STORES[name]
+
+
+@query("""SELECT c_custkey::VARCHAR AS buyerid, c_name AS title, ascii(c_mktsegment)::BIGINT AS segment, '2024-01-01' AS valid_from, CASE WHEN c_custkey % 10 = 0 THEN '2024-02-01' END AS valid_to FROM customer
+UNION ALL SELECT c_custkey::VARCHAR, c_name, ascii(c_mktsegment)::BIGINT, '2024-02-01', NULL FROM customer WHERE c_custkey % 10 = 0""")
+def sync_versions(spark, sf_dir):
+    return _synced(spark, sf_dir).read("buyers").select("buyerid", "title", "segment", "valid_from", "valid_to")
+
+
+@query("SELECT count(*) + count(*) FILTER (WHERE c_custkey % 10 = 0) AS n, 1::BIGINT AS first, count(*) + count(*) FILTER (WHERE c_custkey % 10 = 0) AS last FROM customer")
+def sync_row_ids(spark, sf_dir):
+    return _synced(spark, sf_dir).read("buyers").agg(F.count_distinct("row_id").alias("n"), F.min("row_id").alias("first"), F.max("row_id").alias("last"))
+
+
+@query("SELECT DISTINCT n_nationkey::VARCHAR AS landid, n_name AS title FROM nation WHERE n_nationkey IN (SELECT c_nationkey FROM customer)")
+def sync_filtered(spark, sf_dir):
+    return _synced(spark, sf_dir).read("lands", "open").select("landid", "title")
+
+
+@query("""SELECT 'segment' AS field, ascii(c_mktsegment)::BIGINT AS code, arg_max(c_mktsegment, c_custkey) AS label, '2024-01-02' AS first_seen FROM customer GROUP BY 2
+UNION ALL SELECT * FROM (VALUES ('picks', 1::BIGINT, 'A', '2024-01-02'), ('picks', 2, 'B', '2024-01-02'), ('picks', 3, 'C', '2024-01-02')) v""")
+def sync_lookups(spark, sf_dir):
+    return _synced(spark, sf_dir).read("_optionset").select("field", "code", "label", "first_seen")
+
+
+@query("""WITH c AS (SELECT c_custkey AS k, CASE c_custkey % 3 WHEN 0 THEN [1, 2] WHEN 1 THEN [2, 3] ELSE [] END AS p FROM customer)
+SELECT k::VARCHAR AS entity_id, unnest(p)::BIGINT AS option_code, '2024-01-01' AS valid_from, CASE WHEN k % 10 = 0 THEN '2024-02-01' END AS valid_to FROM c
+UNION ALL SELECT k::VARCHAR, 3, '2024-02-01', NULL FROM c WHERE k % 10 = 0 AND len(p) > 0""")
+def sync_junction(spark, sf_dir):
+    return _synced(spark, sf_dir).read("_junction_buyers_picks")
+
+
+@query("""SELECT * FROM (VALUES ('buyers', 'row_id', 'bigint'), ('buyers', 'buyerid', 'string'), ('buyers', 'title', 'string'), ('buyers', 'segment', 'bigint'), ('buyers', 'picks', 'string'), ('buyers', '_land_value', 'string'), ('buyers', 'modifiedon', 'string'),
+('buyers', 'json_response', 'string'), ('buyers', 'sync_time', 'string'), ('buyers', 'valid_from', 'string'), ('buyers', 'valid_to', 'string'), ('_optionset', 'field', 'string'), ('_optionset', 'code', 'bigint'), ('_optionset', 'label', 'string'), ('_optionset', 'first_seen', 'string'),
+('_junction_buyers_picks', 'entity_id', 'string'), ('_junction_buyers_picks', 'option_code', 'bigint'), ('_junction_buyers_picks', 'valid_from', 'string'), ('_junction_buyers_picks', 'valid_to', 'string')) v(entity, "column", db_type)""")
+def sync_tables(spark, sf_dir):
+    return _synced(spark, sf_dir).columns().where("entity in ('buyers', '_optionset', '_junction_buyers_picks')").select("entity", "column", "db_type")
+
+
+@query("""SELECT 'buyers' AS entity_name, 'completed' AS state, '2024-02-01' AS last_timestamp, count(*) FILTER (WHERE c_custkey % 10 = 0) AS records_count FROM customer""")
+def sync_state_of(spark, sf_dir):
+    return state.get_state(_synced(spark, sf_dir).read(workflow.STATE), "buyers").select("entity_name", "state", "last_timestamp", "records_count")
+
+
+# ---- metadata documents (#22a-#22g), keys and order (#42-#44), edges (#50)
+
+
+@query("""SELECT * FROM (VALUES ('buyer', 'buyerid', 'TEXT', FALSE, NULL), ('buyer', 'title', 'TEXT', TRUE, 30), ('buyer', 'segment', 'INTEGER', TRUE, NULL), ('buyer', 'picks', 'INTEGER', TRUE, NULL), ('buyer', '_land_value', 'TEXT', TRUE, NULL), ('buyer', 'modifiedon', 'TEXT', TRUE, NULL),
+('land', 'landid', 'TEXT', FALSE, NULL), ('land', 'title', 'TEXT', TRUE, 25)) v(entity, "column", db_type, nullable, max_length)""")
+def metadata_columns(spark, sf_dir):
+    return metadata.column_table(spark, metadata.parse(sample.DOCUMENT, option_sets={"buyer": ["picks"]})).select("entity", "column", "db_type", "nullable", "max_length")
+
+
+@query("""SELECT * FROM (VALUES ('buyer', '_land_value', 'land', 'landid')) v(entity, "column", referenced_table, referenced_column)""")
+def metadata_references(spark, sf_dir):
+    return metadata.reference_table(spark, metadata.parse(sample.DOCUMENT)).select("entity", "column", "referenced_table", "referenced_column")
+
+
+def _own_schemas(spark: SparkSession, sf_dir: str) -> dict[str, TableSchema]:
+    """The tables' schemas, with keys and references as declared here, some of which no column bears out."""
+    keys = {"customer": "c_custkey", "orders": "orderno", "nation": None}
+    refs = {"customer": [("c_nationkey", "Nation", "n_nationkey"), ("c_gone", "nation", "n_nationkey")], "orders": [("o_custkey", "customer", "c_custkey"), ("o_orderkey", "elsewhere", "x")], "nation": [("n_regionkey", "region", "r_regionkey")]}
+    return {n: TableSchema(n, [Column(c, "TEXT") for c in _t(spark, sf_dir, n).columns], keys[n], [ForeignKey(*r) for r in refs[n]]) for n in keys}
+
+
+@query("""WITH f(s, c, d, k) AS (VALUES ('customer', 'c_nationkey', 'nation', 'n_nationkey'), ('customer', 'c_gone', 'nation', 'n_nationkey'), ('orders', 'o_custkey', 'customer', 'c_custkey'), ('nation', 'n_regionkey', 'region', 'r_regionkey'))
+SELECT s || 's' AS src_table, c AS fk_col, d || 's' AS dst_table, k AS dst_col, EXISTS (SELECT 1 FROM information_schema.columns i WHERE i.table_name = s AND i.column_name = c) AS kept FROM f WHERE d <> 'region'""")
+def entity_edges(spark, sf_dir):
+    found, dropped = closure.edges(_own_schemas(spark, sf_dir), [EntityConfig(n, f"{n}s") for n in ("customer", "orders", "nation")])
+    rows = [(*e, True) for e in found] + [(*e, False) for e in dropped]
+    return spark.createDataFrame(rows, "src_table string, fk_col string, dst_table string, dst_col string, kept boolean")
+
+
+@query("""WITH t(entity, declared) AS (VALUES ('customer', 'c_custkey'), ('orders', 'orderno'), ('nation', NULL)), c AS (SELECT table_name, column_name FROM information_schema.columns)
+SELECT entity, CASE WHEN EXISTS (SELECT 1 FROM c WHERE table_name = entity AND column_name = declared) THEN declared END AS key, declared AS order_by FROM t""")
+def entity_keys(spark, sf_dir):
+    rows = [(n, incremental.resolve_key(s, n, required=False), incremental.order_column(s)) for n, s in _own_schemas(spark, sf_dir).items()]
+    return spark.createDataFrame(rows, "entity string, key string, order_by string")
+
+
+@query("""SELECT * FROM (VALUES ('buyers', 'type_mismatch', 'error', 'segment'), ('ghost', 'missing_in_metadata', 'warning', NULL), ('lands', 'new_entity', 'info', NULL)) v(entity, issue_type, severity, name)""")
+def schema_gate(spark, sf_dir):
+    """What is said before a sync whose metadata have changed (#22m-#22r)."""
+    expected = metadata.parse(sample.DOCUMENT)
+    actual = {"buyers": TableSchema("buyers", [Column(c.name, "TEXT", c.edm_type, c.nullable, c.max_length) for c in expected["buyer"].columns] + [Column("row_id", "INTEGER"), Column("valid_to", "TEXT")], "row_id")}
+    _, _, found, _ = schema_diff.gate(spark, expected, actual, [*sample.ENTITIES, EntityConfig("ghost", "ghosts")])
+    return found.select("entity", "issue_type", "severity", F.try_element_at("details", F.lit("column_name")).alias("name"))
+
+
 # ---- incremental and filtered loads (#39-#51, Q11, Q12)
 
 
@@ -373,19 +499,18 @@ def dangling_report(spark, sf_dir):
 # ---- metadata and schema differences (#20-#22)
 
 
-def _case(column: str, pairs: list[tuple[str, str]], other: str) -> str:
-    return f"CASE {column} " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in pairs) + f" ELSE {other} END"
-
-
-_EDM = [*(e for e, _, _ in types_map.EDM_TYPES), "Edm.Unknown"]
-_EDM_ROWS = [(e, n, o) for e in _EDM for n in (0, 160) for o in (False, True)]
+_EDM_ROWS = [(e, n, o) for e in ("Edm.String", "Edm.Int16", "Edm.Int32", "Edm.Int64", "Edm.Decimal", "Edm.Double", "Edm.Boolean", "Edm.DateTimeOffset", "Edm.Date", "Edm.TimeOfDay", "Edm.Guid", "Edm.Binary", "Edm.Unknown") for n in (0, 160) for o in (False, True)]
 _VALUES = ", ".join(f"('{e}', {n}, {o})" for e, n, o in _EDM_ROWS)
 
 
+# the expected types are written out here, not taken from the table under test
 @query(f"""WITH v(edm_type, max_length, is_option_set) AS (VALUES {_VALUES}),
-m AS (SELECT *, {_case("edm_type", [(e, s) for e, s, _ in types_map.EDM_TYPES], "'TEXT'")} AS s, {_case("edm_type", [(e, p) for e, _, p in types_map.EDM_TYPES], "'TEXT'")} AS p FROM v)
-SELECT edm_type, max_length::INT AS max_length, is_option_set, CASE WHEN is_option_set AND edm_type = 'Edm.String' THEN 'INTEGER' ELSE s END AS sqlite_type,
-CASE WHEN is_option_set AND edm_type = 'Edm.String' THEN 'INTEGER' WHEN p = 'VARCHAR' THEN CASE WHEN max_length > 0 THEN 'VARCHAR(' || max_length || ')' ELSE 'TEXT' END ELSE p END AS postgresql_type FROM m""")
+k(edm_type, s, p) AS (VALUES ('Edm.Int16', 'INTEGER', 'SMALLINT'), ('Edm.Int32', 'INTEGER', 'INTEGER'), ('Edm.Int64', 'INTEGER', 'BIGINT'), ('Edm.Boolean', 'INTEGER', 'BOOLEAN'),
+  ('Edm.Decimal', 'REAL', 'NUMERIC'), ('Edm.Double', 'REAL', 'DOUBLE PRECISION'), ('Edm.Binary', 'BLOB', 'BYTEA'), ('Edm.Guid', 'TEXT', 'UUID'),
+  ('Edm.Date', 'TEXT', 'DATE'), ('Edm.TimeOfDay', 'TEXT', 'TIME'), ('Edm.DateTimeOffset', 'TEXT', 'TIMESTAMP WITH TIME ZONE'))
+SELECT edm_type, max_length::INT AS max_length, is_option_set, CASE WHEN is_option_set AND edm_type = 'Edm.String' THEN 'INTEGER' ELSE coalesce(s, 'TEXT') END AS sqlite_type,
+CASE WHEN is_option_set AND edm_type = 'Edm.String' THEN 'INTEGER' WHEN edm_type = 'Edm.String' AND max_length > 0 THEN 'VARCHAR(' || max_length || ')' ELSE coalesce(p, 'TEXT') END AS postgresql_type
+FROM v LEFT JOIN k USING (edm_type)""")
 def edm_type_map(spark, sf_dir):
     rows = spark.createDataFrame(_EDM_ROWS, "edm_type string, max_length int, is_option_set boolean")
     args = F.col("edm_type"), F.col("max_length"), F.col("is_option_set")
@@ -395,24 +520,24 @@ def edm_type_map(spark, sf_dir):
 _NAMES = ["varchar(100)", " INT ", "Double", "numeric(10,2)", "CHARACTER VARYING", "int4", "BOOL", "timestamptz", "FLOAT8", "TEXT", "bigint", "blob", "odd"]
 
 
-@query(f"""WITH v(t) AS (VALUES {", ".join(f"('{n}')" for n in _NAMES)}), c AS (SELECT t AS name, trim(split_part(trim(upper(t)), '(', 1)) AS u FROM v)
-SELECT name, {_case("u", types_map._alias_pairs("sqlite"), "u")} AS sqlite_type, {_case("u", types_map._alias_pairs("postgresql"), "u")} AS postgresql_type FROM c""")
+@query("""SELECT * FROM (VALUES ('varchar(100)', 'TEXT', 'TEXT'), (' INT ', 'INTEGER', 'INTEGER'), ('Double', 'REAL', 'DOUBLE'), ('numeric(10,2)', 'REAL', 'NUMERIC'), ('CHARACTER VARYING', 'CHARACTER VARYING', 'TEXT'),
+('int4', 'INT4', 'INTEGER'), ('BOOL', 'BOOL', 'BOOLEAN'), ('timestamptz', 'TIMESTAMPTZ', 'TIMESTAMP WITH TIME ZONE'), ('FLOAT8', 'FLOAT8', 'DOUBLE PRECISION'), ('TEXT', 'TEXT', 'TEXT'), ('bigint', 'INTEGER', 'BIGINT'), ('blob', 'BLOB', 'BLOB'), ('odd', 'ODD', 'ODD')) v(name, sqlite_type, postgresql_type)""")
 def type_normalize(spark, sf_dir):
     rows = spark.createDataFrame([(n,) for n in _NAMES], "name string")
     return rows.select("name", types_map.normal_type_col(F.col("name")).alias("sqlite_type"), types_map.normal_type_col(F.col("name"), "postgresql").alias("postgresql_type"))
 
 
-_COLS = [("account", "accountid", "accountid"), ("account", "_createdby_value", "accountid"), ("account", "_Owner_Value", "accountid"), ("account", "contactid", "accountid"), ("account", "versionnumber", "accountid"), ("account", "name", "accountid"), ("link", "accountid", None), ("link", "_parent_value", None)]
+_COLS = [("buyer", "buyerid", "buyerid"), ("buyer", "_agent_value", "buyerid"), ("buyer", "_Land_Value", "buyerid"), ("buyer", "shopid", "buyerid"), ("buyer", "versionnumber", "buyerid"), ("buyer", "title", "buyerid"), ("link", "buyerid", None), ("link", "_parent_value", None)]
 _COL_VALUES = ", ".join(f"('{e}', '{c}', {repr(k) if k else 'NULL'})" for e, c, k in _COLS)
 
 
 @query(f"""WITH v(entity, col, pk) AS (VALUES {_COL_VALUES}), f AS (SELECT *, lower(col) LIKE '\\_%\\_value' ESCAPE '\\' AS look FROM v),
 i AS (SELECT entity, col, CASE WHEN look THEN substr(col, 2, length(col) - 7) ELSE substr(col, 1, length(col) - 2) END AS base, look FROM f
   WHERE (look OR (lower(col) LIKE '%id' AND col IS DISTINCT FROM pk AND col <> 'versionnumber')) AND NOT (entity = 'link' AND col = '_parent_value'))
-SELECT entity, col AS "column", base AS referenced_table, CASE WHEN look THEN base || 'id' ELSE col END AS referenced_column FROM i UNION ALL SELECT 'link', '_parent_value', 'account', 'accountid'""")
+SELECT entity, col AS "column", base AS referenced_table, CASE WHEN look THEN base || 'id' ELSE col END AS referenced_column FROM i UNION ALL SELECT 'link', '_parent_value', 'buyer', 'buyerid'""")
 def fk_infer(spark, sf_dir):
     columns = spark.createDataFrame(_COLS, "entity string, column string, primary_key string")
-    known = spark.createDataFrame([("link", "_parent_value", "account", "accountid")], "entity string, column string, referenced_table string, referenced_column string")
+    known = spark.createDataFrame([("link", "_parent_value", "buyer", "buyerid")], "entity string, column string, referenced_table string, referenced_column string")
     return metadata.inferred_keys(columns, known)
 
 
@@ -420,8 +545,8 @@ _EXPECTED = [("orders", "o_orderkey", "BIGINT", False), ("orders", "O_CUSTKEY",
 _EXPECTED_VALUES = ", ".join(f"('{e}', '{c}', '{t}', {n})" for e, c, t, n in _EXPECTED)
 _ACTUAL_VALUES = "('orders', 'o_orderkey', 'bigint', TRUE), ('orders', 'o_custkey', 'bigint', TRUE), ('orders', 'o_orderstatus', 'string', TRUE), ('orders', 'o_totalprice', 'double', TRUE), ('orders', 'o_orderdate', 'timestamp_ntz', TRUE), ('orders', 'o_orderpriority', 'string', TRUE), ('nation', 'n_nationkey', 'int', TRUE)"
 _DIFF = f"""e(entity, c, t, n) AS (VALUES {_EXPECTED_VALUES}), a(entity, c, t, n) AS (VALUES {_ACTUAL_VALUES}),
-k AS (SELECT entity, lower(c) AS c, {_case("upper(t)", types_map._alias_pairs("sqlite"), "upper(t)")} AS t, n FROM e),
-x AS (SELECT entity, lower(c) AS c, {_case("upper(t)", types_map._alias_pairs("sqlite"), "upper(t)")} AS t, n FROM a),
+k AS (SELECT entity, lower(c) AS c, CASE WHEN t = 'BIGINT' THEN 'INTEGER' ELSE t END AS t, n FROM e),
+x AS (SELECT entity, lower(c) AS c, CASE WHEN t IN ('bigint', 'int') THEN 'INTEGER' WHEN t = 'double' THEN 'REAL' ELSE upper(t) END AS t, n FROM a),
 i AS (SELECT entity, 'missing_table' AS issue_type, 'info' AS severity, NULL AS name FROM (SELECT entity FROM k EXCEPT SELECT entity FROM x)
 UNION ALL SELECT entity, 'extra_table', 'warning', NULL FROM (SELECT entity FROM x EXCEPT SELECT entity FROM k)
 UNION ALL SELECT k.entity, 'missing_column', 'info', k.c FROM k LEFT JOIN x USING (entity, c) WHERE x.t IS NULL AND k.entity IN (SELECT entity FROM x)
@@ -447,7 +572,8 @@ def schema_differences_summary(spark, sf_dir):
     return schema_diff.summary(_differences(spark, sf_dir))
 
 
-@query("""SELECT * FROM (VALUES ('customer', 'pk_mismatch', 'error', 'custid', 'c_custkey'), ('region', 'pk_mismatch', 'error', NULL, 'r_regionkey')) v(entity, issue_type, severity, expected_pk, actual_pk)""")
+@query("""WITH e(entity, k) AS (VALUES ('customer', 'custid'), ('nation', 'N_NATIONKEY'), ('region', NULL)), a(entity, k) AS (VALUES ('customer', 'c_custkey'), ('nation', 'n_nationkey'), ('region', 'r_regionkey'))
+SELECT entity, 'pk_mismatch' AS issue_type, 'error' AS severity, e.k AS expected_pk, a.k AS actual_pk FROM e JOIN a USING (entity) WHERE lower(e.k) IS DISTINCT FROM lower(a.k)""")
 def schema_key_differences(spark, sf_dir):
     kind = "entity string, primary_key string"
     expected = spark.createDataFrame([("customer", "custid"), ("nation", "N_NATIONKEY"), ("region", None)], kind)
@@ -456,7 +582,9 @@ def schema_key_differences(spark, sf_dir):
     return found.select("entity", "issue_type", "severity", F.try_element_at("details", F.lit("expected_pk")).alias("expected_pk"), F.try_element_at("details", F.lit("actual_pk")).alias("actual_pk"))
 
 
-@query("""SELECT * FROM (VALUES ('fk_missing', 'info', 'o_custkey'), ('fk_mismatch', 'warning', 'o_clerk'), ('fk_extra', 'info', 'o_old')) v(issue_type, severity, name)""")
+@query("""WITH e(c, t, n) AS (VALUES ('o_custkey', 'customer.c_custkey', 0), ('o_clerk', 'x.xid', 0), ('O_CLERK', 'clerk.clerkid', 1), ('o_same', 'Region.R_ID', 2)), a(c, t, n) AS (VALUES ('o_clerk', 'supplier.s_suppkey', 0), ('o_same', 'region.r_id', 1), ('o_old', 'part.p_partkey', 2)),
+x AS (SELECT lower(c) AS name, lower(arg_max(t, n)) AS t FROM e GROUP BY 1), y AS (SELECT lower(c) AS name, lower(arg_max(t, n)) AS t FROM a GROUP BY 1)
+SELECT CASE WHEN y.t IS NULL THEN 'fk_missing' WHEN x.t IS NULL THEN 'fk_extra' ELSE 'fk_mismatch' END AS issue_type, CASE WHEN x.t IS NOT NULL AND y.t IS NOT NULL THEN 'warning' ELSE 'info' END AS severity, name FROM x FULL JOIN y USING (name) WHERE x.t IS DISTINCT FROM y.t""")
 def schema_reference_differences(spark, sf_dir):
     kind = "entity string, column string, referenced_table string, referenced_column string, seq int"
     expected = spark.createDataFrame([("orders", "o_custkey", "customer", "c_custkey", 0), ("orders", "o_clerk", "x", "xid", 0), ("orders", "O_CLERK", "clerk", "clerkid", 1), ("orders", "o_same", "Region", "R_ID", 2)], kind)
@@ -464,7 +592,8 @@ def schema_reference_differences(spark, sf_dir):
     return schema_diff.reference_differences(expected, actual).select("issue_type", "severity", F.lower(F.try_element_at("details", F.lit("column"))).alias("name"))
 
 
-@query("SELECT * FROM (VALUES ('customer', 'c_custkey'), ('orders', 'o_custkey,o_orderkey')) v(entity, fields)")
+@query("""WITH c(entity, col, is_int) AS (SELECT table_name, column_name, data_type = 'BIGINT' FROM information_schema.columns WHERE table_name IN ('customer', 'orders'))
+SELECT entity, string_agg(col, ',' ORDER BY col) AS fields FROM c WHERE is_int AND col IN ('c_custkey', 'o_custkey', 'o_orderkey', 'o_orderstatus') GROUP BY entity""")
 def optionset_config(spark, sf_dir):
     columns = [(n, f.name, "INTEGER" if f.dataType.simpleString() == "bigint" else "TEXT") for n in ("customer", "orders") for f in _t(spark, sf_dir, n).schema.fields]
     lookups = spark.createDataFrame([("c_custkey",), ("o_custkey",), ("o_orderkey",), ("o_orderstatus",)], "field string")

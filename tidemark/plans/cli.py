@@ -22,11 +22,11 @@ from . import report, workflow
 def _source(spark: SparkSession, env: str | None) -> workflow.ODataRecords:
     s = load_settings(env)
     auth = Authenticator(s.api_url, s.client_id, s.client_secret, s.scope)
-    return workflow.ODataRecords(spark, s.api_url, auth.get_token)
+    return workflow.ODataRecords(spark, s.api_url, auth)
 
 
 def sync(spark: SparkSession, args: argparse.Namespace) -> int:
-    ok = workflow.run_sync(spark, args.store, _source(spark, args.env_file), args.entities, args.optionsets, args.verify)
+    ok = workflow.run_sync(spark, args.store, _source(spark, args.env_file), args.entities, args.optionsets, args.verify, print)
     return 0 if ok else 1
 
 

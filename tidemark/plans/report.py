@@ -16,39 +16,37 @@ def collected(differences: DataFrame) -> list[dict]:
     return [r.asDict(recursive=True) for r in differences.collect()]
 
 
-def _statistics(expected: set[str], actual: set[str]) -> dict[str, int]:
-    return {
-        "entities_in_dataverse": len(expected), "entities_in_database": len(actual), "entities_matched": len(expected & actual),
-        "entities_missing_in_db": len(expected - actual), "entities_extra_in_db": len(actual - expected),
-    }
+#: The names in the JSON report.
+NUMBERS = ("entities_in_dataverse", "entities_in_database", "entities_matched", "entities_missing_in_db", "entities_extra_in_db")
+TOTALS = ("total_entities_checked", "total_differences", "errors", "warnings", "info")
+SECTIONS = ("timestamp", "summary", "differences", "statistics")
+
+
+def _numbers(expected: set[str], actual: set[str]) -> tuple[int, ...]:
+    return len(expected), len(actual), len(expected & actual), len(expected - actual), len(actual - expected)
 
 
 def as_json(found: list[dict], expected: set[str], actual: set[str], now: datetime | None = None) -> str:
-    by = {s: sum(d["severity"] == s for d in found) for s in SEVERITIES}
-    report = {
-        "timestamp": (now or datetime.now(timezone.utc)).isoformat(),
-        "summary": {"total_entities_checked": len(expected), "total_differences": len(found), "errors": by["error"], "warnings": by["warning"], "info": by["info"]},
-        "differences": found,
-        "statistics": _statistics(expected, actual),
-    }
-    return json.dumps(report, indent=2, ensure_ascii=False, default=str)
+    by = [sum(d["severity"] == s for d in found) for s in SEVERITIES]
+    totals = dict(zip(TOTALS, (len(expected), len(found), *by), strict=True))
+    values = ((now or datetime.now(timezone.utc)).isoformat(), totals, found, dict(zip(NUMBERS, _numbers(expected, actual), strict=True)))
+    return json.dumps(dict(zip(SECTIONS, values, strict=True)), indent=2, ensure_ascii=False, default=str)
 
 
 def as_markdown(found: list[dict], expected: set[str], actual: set[str], now: datetime | None = None) -> str:
-    by = {s: [d for d in found if d["severity"] == s] for s in SEVERITIES}
-    lines = ["# Schema Validation Report", "", f"**Generated:** {(now or datetime.now(timezone.utc)):%Y-%m-%d %H:%M:%S UTC}", "", "## Summary", ""]
-    lines += [f"- **Total Entities Checked:** {len(expected)}", f"- **Total Issues Found:** {len(found)}"]
-    lines += [f"  - {n}: {len(by[s])}" for s, n in zip(SEVERITIES, ("Errors", "Warnings", "Info"), strict=True)]
-    lines += ["", "## Statistics", "", *[f"- **{k.replace('_', ' ').capitalize()}:** {v}" for k, v in _statistics(expected, actual).items()], ""]
-    for entity in sorted({d["entity"] for d in found}):
-        lines += [f"### {entity}", ""]
-        for s in SEVERITIES:
-            for d in (d for d in by[s] if d["entity"] == entity):
-                details = ", ".join(f"{k}: {v}" for k, v in (d["details"] or {}).items())
-                lines.append(f"- **{s.upper()}** {d['issue_type']}: {d['description']}" + f" ({details})" * bool(details))
-        lines.append("")
-    lines += ["## Validation Result", "", "**PASSED**" if not by["error"] else f"**FAILED** - {len(by['error'])} error(s)", ""]
-    return "\n".join(lines)
+    """A table of the differences by entity, most severe first."""
+    wanted, held, both, missing, extra = _numbers(expected, actual)
+    counts = ", ".join(f"{sum(d['severity'] == s for d in found)} {s}{'' if s == 'info' else 's'}" for s in SEVERITIES)
+    lines = [f"# Schema check of {now or datetime.now(timezone.utc):%Y-%m-%d %H:%M} UTC", ""]
+    lines += [f"The check {'fails' if any(d['severity'] == 'error' for d in found) else 'passes'}: {counts}.", ""]
+    lines += [f"{wanted} entities are wanted and {held} stored; {both} are in both, {missing} are missing and {extra} are not wanted.", ""]
+    if found:
+        lines += ["| Entity | Severity | Difference | Details |", "|-|-|-|-|"]
+    for d in sorted(found, key=lambda d: (d["entity"], SEVERITIES.index(d["severity"]))):
+        details = "; ".join(f"{k} {v}" for k, v in (d["details"] or {}).items())
+        cells = (d["entity"], d["severity"], f"{d['issue_type']}: {d['description']}", details)
+        lines.append("| " + " | ".join(str(c).replace("|", "\\|") for c in cells) + " |")
+    return "\n".join([*lines, ""])
 
 
 def console(found: list[dict]) -> tuple[str, bool]:

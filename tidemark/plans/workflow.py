@@ -24,10 +24,12 @@ from ..operators import canonical, closure, incremental, integrity, optionsets,
 from ..sources import metadata
 from ..sources.catalog import store_schemas
 from ..sources.config import load_entities, load_option_sets
-from ..sources.odata import Client, ODataSource
+from ..sources.odata import Authenticator, client_of, register
 from ..sources.store import Store, checkpointed, entity_schema
 
 STATE, LOG, LOOKUPS = "_sync_state", "_sync_log", "_optionset"
+#: Requests to a service at a time.
+CONCURRENCY = 50
 log = logging.getLogger(__name__)
 
 
@@ -63,40 +65,52 @@ class RawSource:
 
 
 class ODataRecords:
-    """A source over an OData service; ids go out in requests of a bounded number, spread over tasks."""
+    """A source over an OData service; ids go out in requests of a bounded number, at most `concurrency` at a time.
 
-    def __init__(self, spark: SparkSession, url: str, token: Callable[[], str]) -> None:
-        self.spark, self.url, self.token = spark, url, token
-        spark.dataSource.register(ODataSource)
+    token: an Authenticator, with which the tasks renew their tokens themselves, or a function that gives a token.
+    """
 
-    def metadata(self) -> str:
-        return Client(self.url, self.token()).metadata()
+    def __init__(self, spark: SparkSession, url: str, token: Authenticator | Callable[[], str], concurrency: int = CONCURRENCY) -> None:
+        self.spark, self.url, self.token, self.concurrency = spark, url, token, concurrency
+        register(spark)
+
+    def _options(self, entity: str, **more: str | None) -> dict[str, str]:
+        if isinstance(self.token, Authenticator):
+            t = self.token
+            own = {"token": t.get_token(), "expiry": repr(t.expiry), "tenant": t.tenant, "client_id": t.client_id, "client_secret": t.client_secret, "scope": t.scope}
+        else:
+            own = {"token": self.token()}
+        return {k: v for k, v in {"url": self.url, "entity": entity, **own, **more}.items() if v}
 
-    def _read(self, entity: str, **options: str | None) -> DataFrame:
-        told = {k: v for k, v in options.items() if v}
-        return self.spark.read.format("odata").options(url=self.url, entity=entity, token=self.token(), **told).load().select("seq", "raw")
+    def metadata(self) -> str:
+        return client_of(self._options("")).metadata()
 
     def scan(self, entity: str, order: str | None, since: str | None) -> DataFrame:
-        return self._read(entity, orderby=order, filter=f"modifiedon gt {since}" if since else None)
+        told = self._options(entity, orderby=order, pushdown="true")
+        rows = self.spark.read.format("odata").options(**told).load()
+        return (rows if since is None else rows.where(F.col("modifiedon") > F.lit(since))).select("seq", "raw")
 
     def by_ids(self, entity: str, key: str, new: DataFrame, existing: DataFrame, since: str | None) -> DataFrame:
-        url, token, size = self.url, self.token(), incremental.IDS_A_REQUEST
+        options, size = self._options(entity), incremental.IDS_A_REQUEST
 
-        def fetch(mark: str | None):
-            def run(batches):
-                import pyarrow as pa
+        def run(batches):
+            import pyarrow as pa
+            from pyspark import TaskContext
 
-                client = Client(url, token)
-                for batch in batches:
-                    ids = batch.column(0).to_pylist()
-                    for f in incremental.id_filters(key, ids, mark, size):
-                        for page in client.pages(entity, filter=f):
-                            yield pa.RecordBatch.from_pydict({"seq": pa.array(range(len(page)), pa.int64()), "raw": pa.array([json.dumps(r) for r in page], pa.string())})
+            client = client_of(options)
+            seq = TaskContext.get().partitionId() << 40  # no two records have one number
+            for batch in batches:
+                ids, known = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+                asked = incremental.id_filters(key, [i for i, k in zip(ids, known, strict=True) if not k], None, size)
+                asked += incremental.id_filters(key, [i for i, k in zip(ids, known, strict=True) if k], since, size)
+                for f in asked:
+                    for page in client.pages(entity, filter=f):
+                        yield pa.RecordBatch.from_pydict({"seq": pa.array(range(seq, seq + len(page)), pa.int64()), "raw": pa.array([json.dumps(r) for r in page], pa.string())})
+                        seq += len(page)
 
-            return run
-
-        fresh = new.select("id").mapInArrow(fetch(None), "seq long, raw string")
-        return fresh.unionByName(existing.select("id").mapInArrow(fetch(since), "seq long, raw string"))
+        ids = new.select("id", F.lit(False).alias("known")).unionByName(existing.select("id", F.lit(True).alias("known")))
+        # few tasks, each with one request open at a time
+        return ids.repartition(self.concurrency, "id").mapInArrow(run, "seq long, raw string")
 
 
 def _now() -> str:
@@ -111,6 +125,7 @@ def _merge_state(store: Store, entity: str, status: str, clock: str, mark: str |
 
 def _append_log(store: Store, row: tuple) -> None:
     store.commit(LOG, append={"all": store.spark.createDataFrame([row], state.LOG).coalesce(1)})
+    store.compact(LOG, "all")
 
 
 def watermark_of(store: Store, entity: str) -> str | None:
@@ -121,9 +136,16 @@ def watermark_of(store: Store, entity: str) -> str | None:
 
 
 def load_batch(store: Store, entity: EntityConfig, schema: TableSchema, records: DataFrame, clock: str, option_fields: Iterable[str] = (), mode: str = "fixed") -> tuple[int, int, str | None, int]:
-    """Applies raw records (seq, raw) to the entity's table, lookups and junctions: (added, updated, largest modifiedon, records)."""
+    """Applies raw records (seq, raw) to the entity's table, lookups and junctions: (added, updated, largest modifiedon, records).
+
+    History is neither read nor rewritten: the table's note holds the next row id, open versions are
+    replaced, closed ones appended, and junctions take only the versions that the batch made.
+    """
     spark, table = store.spark, entity.api_name
     records = checkpointed(records.select("seq", "raw"))
+    mark = incremental.watermark(records.select(F.get_json_object("raw", "$.modifiedon").alias("modifiedon"))).first()
+    if not mark["records_count"]:
+        return 0, 0, None, 0
     key = incremental.resolve_key(schema, entity.name)
     options = frozenset(option_fields)
     types: dict[str, T.DataType] = {c.name: spark_type(c.edm_type, c.name in options) for c in schema.columns}
@@ -133,31 +155,48 @@ def load_batch(store: Store, entity: EntityConfig, schema: TableSchema, records:
     multi = tuple(dict.fromkeys([*multi, *known]))
     versions = canonical.to_versions(records, key, {k: v for k, v in types.items() if k not in multi}, clock)
     full = versions.select(*[F.col(c.name) if c.name not in multi else F.lit(None).cast(types[c.name]).alias(c.name) for c in schema.columns], "json_response", "sync_time", "valid_from", "seq")
-    active = store.read(table, "open") if store.exists(table) else None
+    base = store.number(table)
+    active = store.read(table, "open") if base else None
     plain = [c for c in full.columns if c != "seq"]
     before = active.select("row_id", *plain) if active is not None else full.drop("seq").withColumn("row_id", F.lit(None).cast("long")).limit(0)
     batch = full.withColumn("row_id", F.lit(None).cast("long")).select("row_id", *plain, F.col("seq"))
-    done = checkpointed(scd2.apply(before, batch, key))
-    first = (store.read(table).agg(F.max("row_id")).first()[0] or 0) + 1 if store.exists(table) else 1
+    done = checkpointed(scd2.apply(before, batch, key, keep_seq=True))
+    first = int(store.note(table) or 1) if base else 1
     keep = ["row_id", *plain, "valid_to"]
-    made = scd2.with_row_ids(done.where("row_id is null").drop("row_id"), first, [key, "valid_from"])
+    made = scd2.with_row_ids(done.where("row_id is null").drop("row_id"), first, [key, "seq"])
     all_rows = checkpointed(made.select(*keep).unionByName(done.where("row_id is not null").select(*keep)))
     added, updated = scd2.counts(done).first()
-    store.commit(table, {"open": all_rows.where("valid_to is null")}, {"closed": all_rows.where("valid_to is not null")})
-
-    seen = found.select("field", "code", "label", F.lit(clock).alias("seen_at"), "seq")
-    old = store.read(LOOKUPS) if store.exists(LOOKUPS) else seen.select("field", "code", "label", F.col("seen_at").alias("first_seen")).limit(0)
-    store.write(LOOKUPS, optionsets.merge_lookup(old, seen))
-    # a junction follows the versions of its entity: each has its payload's selection
-    for field in multi:
-        name = f"_junction_{table}_{field}"
-        history = store.read(table).select(F.col(key).cast("string").alias("id"), "valid_from", F.col("row_id").alias("seq"), F.col("json_response").alias("raw"))
-        picks = optionsets.detect(history.select("id", "seq", "raw"), ids=["id", "seq"])
-        store.write(name, optionsets.junction(history.select("id", "seq", "valid_from"), picks, "id", field, mode))
-    mark = incremental.watermark(records.select(F.get_json_object("raw", "$.modifiedon").alias("modifiedon"))).first()
+    store.commit(table, {"open": all_rows.where("valid_to is null")}, {"closed": all_rows.where("valid_to is not null")}, str(first + added + updated), base)
+    store.compact(table, "closed")
+
+    _add_labels(store, found.select("field", "code", "label", F.lit(clock).alias("seen_at"), "seq"))
+    if added + updated:
+        new = done.where("version_created").select(F.col(key).cast("string").alias("id"), "seq", "valid_from")
+        for field in multi:
+            picks = found.where(F.col("field") == field).select(F.col("_id").alias("id"), "seq", "code", "is_multi")
+            _add_links(store, f"_junction_{table}_{field}", new, picks, mode)
     return added, updated, mark["last_timestamp"], mark["records_count"]
 
 
+def _add_labels(store: Store, seen: DataFrame) -> None:
+    """Merges seen labels into the lookups, which are written only if that changes them."""
+    base = store.number(LOOKUPS)
+    old = store.read(LOOKUPS) if base else seen.select("field", "code", "label", F.col("seen_at").alias("first_seen")).limit(0)
+    merged = checkpointed(optionsets.merge_lookup(old, seen))
+    if not merged.exceptAll(old.select(*merged.columns)).isEmpty():
+        store.commit(LOOKUPS, {"all": merged.coalesce(1)}, base=base)
+
+
+def _add_links(store: Store, name: str, versions: DataFrame, picks: DataFrame, mode: str) -> None:
+    base = store.number(name)
+    none = store.spark.createDataFrame([], "entity_id string, option_code long, valid_from string, valid_to string")
+    opened = store.read(name, "open") if base else none
+    blank = (store.read(name, "_blank") if base else none).select("entity_id")
+    after, closed, left = optionsets.junction_batch(opened, blank, versions, picks, "id", mode)
+    store.commit(name, {"open": after, "_blank": left}, {"closed": closed}, base=base)
+    store.compact(name, "closed")
+
+
 def _sync_one(store: Store, entity: EntityConfig, load: Callable[[], tuple[int, int, str | None, int]]) -> tuple[int, int]:
     run, begun = uuid.uuid4().hex, _now()
     _merge_state(store, entity.api_name, state.IN_PROGRESS, begun)
@@ -174,13 +213,13 @@ def _sync_one(store: Store, entity: EntityConfig, load: Callable[[], tuple[int,
 
 
 def run_workflow(store: Store, source: Source, entities: list[EntityConfig], verify_references: bool = False, option_sets: Mapping[str, Iterable[str]] | None = None, rounds: int = closure.ROUNDS, compat: bool = False, clock: str | None = None) -> dict:
-    """success, total_added, total_updated, failed_entities, validation_errors, reference_errors."""
+    """success, total_added, total_updated, failed_entities, validation_errors, reference_errors, reference_checks."""
     spark = store.spark
     clock = clock or _now()
     options = {k: frozenset(v) for k, v in (option_sets or {}).items()}
     schemas = metadata.parse(source.metadata(), option_sets=options)
     valid, to_create, differences, passed = schema_diff.gate(spark, schemas, store_schemas(store), entities)
-    out = {"success": False, "total_added": 0, "total_updated": 0, "failed_entities": [], "validation_errors": [], "reference_errors": []}
+    out = {"success": False, "total_added": 0, "total_updated": 0, "failed_entities": [], "validation_errors": [], "reference_errors": [], "reference_checks": 0}
     if not passed:
         out["validation_errors"] = [r.asDict(recursive=True) for r in differences.where("severity = 'error'").collect()]
         return out
@@ -235,7 +274,7 @@ def run_workflow(store: Store, source: Source, entities: list[EntityConfig], ver
 
     if verify_references:
         tables = {t: store.read(t) for t in store.tables() if not t.startswith("_")}
-        report, _, missing = integrity.report(tables, found, compat)
+        report, out["reference_checks"], missing = integrity.report(tables, found, compat)
         out["reference_errors"] = [r.asDict() for r in report.collect()] if report is not None else []
         for edge in missing:
             log.warning("cannot verify %s", edge)
@@ -243,6 +282,11 @@ def run_workflow(store: Store, source: Source, entities: list[EntityConfig], ver
     return out
 
 
-def run_sync(spark: SparkSession, root: str, source: Source, entities_config: str, optionsets_config: str | None = None, verify_reference: bool = False) -> bool:
-    """A sync into the store at `root` of the entities that a JSON file lists."""
-    return run_workflow(Store(spark, root), source, load_entities(entities_config), verify_reference, load_option_sets(optionsets_config))["success"]
+def run_sync(spark: SparkSession, root: str, source: Source, entities_config: str, optionsets_config: str | None = None, verify_reference: bool = False, show: Callable[[str], None] = log.info) -> bool:
+    """A sync into the store at `root` of the entities that a JSON file lists; `show` gets the report of references, if they are verified."""
+    got = run_workflow(Store(spark, root), source, load_entities(entities_config), verify_reference, load_option_sets(optionsets_config))
+    if verify_reference and not got["validation_errors"]:
+        show(integrity.report_text(got["reference_errors"], got["reference_checks"]))
+    for e in got["validation_errors"]:
+        log.error("%s: %s", e["entity"], e["description"])
+    return got["success"]

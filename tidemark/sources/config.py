@@ -10,9 +10,8 @@ from pathlib import Path
 
 from ..model import EntityConfig
 
-#: Required settings, then optional ones.
+#: The names of the settings.
 REQUIRED = ("DATAVERSE_API_URL", "DATAVERSE_CLIENT_ID", "DATAVERSE_CLIENT_SECRET", "DATAVERSE_SCOPE")
-OPTIONAL = ("SQLITE_DB_PATH", "POSTGRES_CONNECTION_STRING")
 
 
 @dataclass(frozen=True)
@@ -21,8 +20,6 @@ class Settings:
     client_id: str
     client_secret: str
     scope: str
-    sqlite_db_path: str | None = None
-    postgres_connection_string: str | None = None
 
 
 def env_file(path: str | Path) -> dict[str, str]:
@@ -42,9 +39,9 @@ def load_settings(path: str | None = None, environment: Mapping[str, str] | None
     file = path or (".env" if Path(".env").exists() else None)
     found = {**(env_file(file) if file else {}), **own}
     if missing := [n for n in REQUIRED if not found.get(n)]:
-        raise ValueError(f"Missing required environment variables: {', '.join(missing)}")
+        raise ValueError(f"these settings are not set: {', '.join(missing)}")
     url, *rest = (found[n] for n in REQUIRED)
-    return Settings(url.rstrip("/"), *rest, *(found.get(n) for n in OPTIONAL))
+    return Settings(url.rstrip("/"), *rest)
 
 
 def _json(path: str) -> object:

@@ -1,9 +1,10 @@
 """An OData service as a Spark data source (#1-#9).
 
 One input partition an id batch, or one for a whole entity, whose pages are followed one by one and
-streamed out as rows, never held together.  Requests retry, outside any permit, on 429 (as long as the
-service says), on 5xx, on network errors and on truncated JSON; fetching is idempotent, so a task may be
-run again.  The number of partitions that run at a time bounds the concurrent requests.
+streamed out as rows, never held together.  Requests retry on 429 (as long as the service says), on 5xx, on
+network errors and on truncated JSON; fetching is idempotent, so a task may be run again.  A request that the
+service refuses as unauthorised is sent once more with a new token, where the reader can get one.  A task has
+one request open at a time, so the number of tasks bounds the concurrent requests.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ import urllib.request
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, InputPartition
 
 #: Fixed values of the protocol.
@@ -33,6 +35,9 @@ class HttpError(RuntimeError):
         super().__init__(f"API request failed: {status} - {text}")
         self.status, self.text = status, text
 
+    def __reduce__(self) -> tuple:  # a task's error travels to the driver
+        return type(self), (self.status, self.text)
+
 
 def _open(url: str, headers: dict[str, str], data: bytes | None = None, timeout: float = 60) -> tuple[int, dict[str, str], bytes]:
     try:
@@ -47,15 +52,17 @@ class Client:
     """Requests with retries. transport(url, headers) -> (status, headers, body) may be put in place of the network."""
 
     base: str
-    token: str = ""
+    token: str | Callable[[], str] = ""
     transport: Callable[..., tuple[int, dict[str, str], bytes]] = _open
     sleep: Callable[[float], None] = time.sleep
+    renew: Callable[[], str] | None = None
 
     def _headers(self, accept: str) -> dict[str, str]:
-        return {"Authorization": f"Bearer {self.token}", "Accept": accept, "OData-MaxVersion": "4.0", "OData-Version": "4.0", "Prefer": f'odata.maxpagesize={PAGE_SIZE},odata.include-annotations="{ANNOTATION}"'}
+        token = self.token() if callable(self.token) else self.token
+        return {"Authorization": f"Bearer {token}", "Accept": accept, "OData-MaxVersion": "4.0", "OData-Version": "4.0", "Prefer": f'odata.maxpagesize={PAGE_SIZE},odata.include-annotations="{ANNOTATION}"'}
 
     def fetch(self, url: str, accept: str = "application/json") -> object:
-        problem = ""
+        problem, renewed = "", False
         for delay in (*DELAYS, None):
             wait = delay
             try:
@@ -71,7 +78,10 @@ class Client:
                     except ValueError as e:
                         problem = f"JSON parse failed: {e}"
                 elif status == 401:
-                    raise HttpError(status, "Token expired - need to re-authenticate")
+                    if self.renew is None or renewed:
+                        raise HttpError(status, "the service does not accept this token")
+                    self.renew()
+                    renewed, problem, wait = True, "Unauthorised", 0 if delay is not None else None
                 elif status == 429:
                     problem = "Rate limited"
                     told = {k.lower(): v for k, v in headers.items()}.get("retry-after", "")
@@ -134,10 +144,10 @@ class Authenticator:
         _, headers, _ = self.transport(self.api_url, {"Accept": "application/json"})
         challenge = {k.lower(): v for k, v in headers.items()}.get("www-authenticate", "")
         if not challenge:
-            raise RuntimeError("No WWW-Authenticate header found in response")
+            raise RuntimeError(f"{self.api_url} sends no WWW-Authenticate challenge to find the tenant in")
         m = re.search(TENANT, challenge, re.IGNORECASE)
         if not m:
-            raise RuntimeError(f"Could not extract tenant ID from WWW-Authenticate header: {challenge}")
+            raise RuntimeError(f"the challenge of {self.api_url} names no tenant: {challenge}")
         return m[1]
 
     def authenticate(self) -> str:
@@ -156,43 +166,56 @@ class Authenticator:
         return self.token
 
 
+def client_of(options: dict[str, str]) -> Client:
+    """A client by the source's options: with credentials (client_id, client_secret, scope) it gets its own tokens, else it keeps `token`."""
+    base = options["url"].rstrip("/")
+    if not options.get("client_id"):
+        return Client(base, options.get("token", ""))
+    auth = Authenticator(base, options["client_id"], options.get("client_secret", ""), options.get("scope", ""), tenant=options.get("tenant") or None)
+    auth.token, auth.expiry = options.get("token") or None, float(options.get("expiry") or 0)
+    return Client(base, auth.get_token, renew=auth.authenticate)
+
+
 class Batch(InputPartition):
     def __init__(self, filter: str | None) -> None:
         self.filter = filter
 
 
 class Reader(DataSourceReader):
-    """Rows (entity, seq, raw); `modifiedon > t` and `key = v` on the pushed columns become request filters."""
+    """Rows (entity, seq, raw, modifiedon) of the entity that the options name; seq counts within a partition."""
 
     def __init__(self, options: dict) -> None:
         self.options = options
         self.pushed: list[str] = []
 
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        for f in filters:
-            if isinstance(f, EqualTo) and f.attribute == ("entity",) and f.value == self.options.get("entity"):
-                continue
-            if isinstance(f, GreaterThan) and f.attribute == ("modifiedon",):
-                self.pushed.append(f"modifiedon gt {f.value}")
-            yield f
-
     def partitions(self) -> list[Batch]:
         batches = json.loads(self.options.get("filters", "[]")) or [self.options.get("filter")]
-        both = [" and ".join(f"({x})" if len(self.pushed) else x for x in (b, *self.pushed) if x) or None for b in batches]
-        return [Batch(b) for b in both]
+        parts = [[x for x in (b, *self.pushed) if x] for b in batches]
+        return [Batch(" and ".join(f"({x})" for x in p) if len(p) > 1 else "".join(p) or None) for p in parts]
 
     def read(self, partition: Batch) -> Iterator[tuple]:
         o = self.options
-        client = Client(o["url"].rstrip("/"), o.get("token", ""))
         seq = 0
-        for page in client.pages(o["entity"], o.get("orderby"), partition.filter, o.get("select")):
+        for page in client_of(o).pages(o["entity"], o.get("orderby"), partition.filter, o.get("select")):
             for record in page:
                 yield o["entity"], seq, json.dumps(record), record.get("modifiedon")
                 seq += 1
 
 
+class PushingReader(Reader):
+    """A reader to which Spark hands filters: `modifiedon > t` becomes part of the request, and `entity = e` is always so. Every other filter, and for safety `modifiedon > t` too, Spark applies as well."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        for f in filters:
+            if isinstance(f, EqualTo) and f.attribute == ("entity",) and f.value == self.options.get("entity"):
+                continue
+            if isinstance(f, GreaterThan) and f.attribute == ("modifiedon",):
+                self.pushed.append(f"modifiedon gt {f.value}")
+            yield f
+
+
 class ODataSource(DataSource):
-    """spark.read.format("odata") with url, entity, token, orderby, filter or filters (a JSON list, one partition each), select."""
+    """spark.read.format("odata") with url, entity, orderby, filter or filters (a JSON list, one partition each), select, and token or credentials. pushdown=true hands Spark's filters to the service; Spark refuses that unless register() has switched it on."""
 
     @classmethod
     def name(cls) -> str:
@@ -202,4 +225,11 @@ class ODataSource(DataSource):
         return "entity string, seq long, raw string, modifiedon string"
 
     def reader(self, schema) -> Reader:
-        return Reader(dict(self.options))
+        options = dict(self.options)
+        return (PushingReader if str(options.get("pushdown")).lower() == "true" else Reader)(options)
+
+
+def register(spark: SparkSession) -> None:
+    """Makes the format known to the session, with filter pushdown into Python sources, which is off by default."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(ODataSource)

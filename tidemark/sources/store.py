@@ -1,16 +1,22 @@
-"""A table store on Parquet: staged versions and a pointer that is swapped whole (#10-#13).
+"""A table store on Parquet: staged versions and numbered pointers (#10-#13).
 
 A table is a set of folders, each of a part (open and closed versions, say), listed in a pointer file.  A commit
-writes new folders and then renames a new pointer over the old one through the file system's own interface, so
-readers see either all of it or none.  Nothing that may be being read is overwritten; closed versions are only
-appended, so a commit costs what the batch and the open rows cost, not what history has grown to.
+writes new folders and then the pointer of the next number, through the file system's own interface, so readers
+see either all of it or none, and of two writers that began at one number the second is refused.  Nothing that
+may be being read is overwritten; closed versions are only appended, so a commit costs what the batch and the
+open rows cost, not what history has grown to.  Parts whose name starts with `_` are read only by name.
 """
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
+import time
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -19,14 +25,25 @@ from ..model import TableSchema
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df with its lineage cut, in the session's shared checkpoint folder; a folder of its own only where none is set."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="tidemark-"))
+    """df with its lineage cut, in the session's shared checkpoint folder (see shared_folder)."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: spark.checkpoint.dir, or the context's. Where neither is set, a local session gets a temporary one and a cluster is refused, as its executors share no local folder."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="tidemark-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
 def entity_schema(schema: TableSchema, option_fields: frozenset[str] = frozenset(), strict: bool = False) -> T.StructType:
     """Surrogate id first, the entity's columns, then the system columns."""
     own = [T.StructField(c.name, spark_type(c.edm_type, c.name in option_fields, strict), c.nullable, {"edm_type": c.edm_type, "max_length": c.max_length}) for c in schema.columns if c.name != "row_id"]
@@ -40,6 +57,14 @@ def create_table_sql(table: str, schema: TableSchema) -> str:
     return f"CREATE TABLE IF NOT EXISTS {table} (\n" + ",\n".join(["  row_id INTEGER PRIMARY KEY AUTOINCREMENT", *own, *last]) + "\n)"
 
 
+#: A pointer's name, before its number.
+POINTER = "_CURRENT-"
+
+
+class Conflict(RuntimeError):
+    """Another writer has committed to the table meanwhile."""
+
+
 class Store:
     """Named tables under one folder."""
 
@@ -51,14 +76,20 @@ class Store:
         self._context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._path(self.root).toUri(), conf)
         self._fs = self._path(self.root).getFileSystem(conf)
 
-    def _pointer(self, table: str):
-        return self._path(f"{self.root}/{table}/_CURRENT")
+    def _names(self, table: str) -> list[str]:
+        folder = self._path(f"{self.root}/{table}")
+        return [f.getPath().getName() for f in self._fs.listStatus(folder)] if self._fs.exists(folder) else []
 
-    def _lines(self, table: str) -> list[tuple[str, str]]:
+    def number(self, table: str) -> int:
+        """How many commits the table has had; 0 if there is none."""
+        return max((int(n[len(POINTER) :]) for n in self._names(table) if re.fullmatch(POINTER + "[0-9]+", n)), default=0)
+
+    def _lines(self, table: str, number: int | None = None) -> list[tuple[str, str]]:
         """(part, folder) of the current state; the part `note` holds a remark instead of a folder."""
-        if not self._fs.exists(self._pointer(table)):
+        number = self.number(table) if number is None else number
+        if not number:
             return []
-        stream = self._fs.open(self._pointer(table))
+        stream = self._fs.open(self._path(f"{self.root}/{table}/{POINTER}{number}"))
         try:
             text = bytes(stream.readAllBytes()).decode()
         finally:
@@ -72,7 +103,7 @@ class Store:
         root = self._path(self.root)
         if not self._fs.exists(root):
             return []
-        return sorted(s.getPath().getName() for s in self._fs.listStatus(root) if s.isDirectory() and self._fs.exists(self._path(f"{self.root}/{s.getPath().getName()}/_CURRENT")))
+        return sorted(n for n in (s.getPath().getName() for s in self._fs.listStatus(root) if s.isDirectory()) if self.number(n))
 
     def exists(self, table: str) -> bool:
         return bool(self._lines(table))
@@ -82,32 +113,67 @@ class Store:
         lines = [(k, v) for k, v in self._lines(table) if k != "note"]
         if not lines:
             raise ValueError(f"no such table: {table}")
-        own = [f"{self.root}/{table}/{v}" for k, v in lines if part in (None, k)]
+        own = [f"{self.root}/{table}/{v}" for k, v in lines if k == part or part is None and not k.startswith("_")]
         if not own:
             return self.spark.read.parquet(f"{self.root}/{table}/{lines[0][1]}").limit(0)
         return self.spark.read.parquet(*own)
 
-    def commit(self, table: str, replace: dict[str, DataFrame] | None = None, append: dict[str, DataFrame] | None = None, note: str | None = None) -> DataFrame:
-        """Writes new folders beside the current ones, then swaps the pointer: all parts change together or none does."""
+    def commit(self, table: str, replace: dict[str, DataFrame] | None = None, append: dict[str, DataFrame] | None = None, note: str | None = None, base: int | None = None) -> DataFrame:
+        """Writes new folders beside the current ones, then the next pointer: all parts change together or none does. base: the number at which the caller read what it writes; a table that has moved on since raises Conflict."""
+        number = self.number(table) if base is None else base
         replace, append = replace or {}, append or {}
-        lines = [(k, v) for k, v in self._lines(table) if k != "note" and k not in replace]
+        lines = [(k, v) for k, v in self._lines(table, number) if k != "note" and k not in replace]
         for part, df in [*replace.items(), *append.items()]:
             folder = f"{part}-{uuid.uuid4().hex}"
             df.write.parquet(f"{self.root}/{table}/{folder}")
             lines.append((part, folder))
         if note is not None:
             lines.append(("note", note))
-        staged = self._path(f"{self.root}/{table}/_CURRENT.{uuid.uuid4().hex}")
+        self._point(table, number, lines)
+        return self.read(table)
+
+    def _point(self, table: str, number: int, lines: list[tuple[str, str]]) -> None:
+        staged = self._path(f"{self.root}/{table}/.staged-{uuid.uuid4().hex}")
         out = self._fs.create(staged, True)
         try:
             out.write(bytearray("\n".join("\t".join(x) for x in lines).encode()))
         finally:
             out.close()
-        option = self.spark._jvm.org.apache.hadoop.fs.Options.Rename
-        overwrite = self.spark.sparkContext._gateway.new_array(option, 1)
-        overwrite[0] = option.OVERWRITE
-        self._context.rename(staged, self._pointer(table), overwrite)
-        return self.read(table)
+        none = self.spark.sparkContext._gateway.new_array(self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        try:
+            if self.number(table) != number:
+                raise Conflict(table)
+            self._context.rename(staged, self._path(f"{self.root}/{table}/{POINTER}{number + 1}"), none)
+        except Py4JJavaError as e:
+            if "FileAlreadyExists" in str(e.java_exception):
+                raise Conflict(table) from e
+            raise
+        finally:
+            self._fs.delete(staged, False)
+
+    def compact(self, table: str, part: str, most: int = 32, small: int = 128 << 20) -> bool:
+        """Joins the part's folders of less than `small` bytes into one, if there are more than `most` of them; larger ones stay, so a row is rewritten a few times at most. Says whether it did."""
+        number = self.number(table)
+        lines = self._lines(table, number)
+        little = [v for k, v in lines if k == part and self._fs.getContentSummary(self._path(f"{self.root}/{table}/{v}")).getLength() < small]
+        if len(little) <= most:
+            return False
+        folder = f"{part}-{uuid.uuid4().hex}"
+        joined = self.spark.read.parquet(*[f"{self.root}/{table}/{v}" for v in little])
+        joined.coalesce(max(1, most * small // (128 << 20))).write.parquet(f"{self.root}/{table}/{folder}")
+        self._point(table, number, [*((k, v) for k, v in lines if v not in little), (part, folder)])
+        return True
+
+    def vacuum(self, table: str, older: float = 3600) -> int:
+        """Deletes pointers but the last two, and folders that neither of these lists, if older than so many seconds; returns how many folders."""
+        number, gone = self.number(table), 0
+        kept = [n for n in (number - 1, number) if f"{POINTER}{n}" in self._names(table)]
+        listed = {v for n in kept for k, v in self._lines(table, n) if k != "note"} | {f"{POINTER}{n}" for n in kept}
+        limit = (time.time() - older) * 1000
+        for f in self._fs.listStatus(self._path(f"{self.root}/{table}")):
+            if f.getPath().getName() not in listed and f.getModificationTime() <= limit:
+                gone += bool(self._fs.delete(f.getPath(), True)) and f.isDirectory()
+        return gone
 
     def write(self, table: str, df: DataFrame) -> DataFrame:
         return self.commit(table, replace={"all": df})
