@@ -2,28 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.store import shared_folder
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one only where the session names none, as in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not folder:
-        existing = spark.sparkContext.getCheckpointDir()
-        folder = existing or tempfile.mkdtemp(prefix="tidemark-")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder.rstrip("/")
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes df as a table in the shared folder and reads it: cuts lineage, survives lost executors."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
@@ -40,11 +30,6 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def text_of(df: DataFrame, column: str = "text") -> Column:
-    """The text, null as empty."""
-    return F.coalesce(df[column], F.lit(""))
-
-
 def sum_blocks(df: DataFrame, fan_in: int = 64) -> DataFrame:
     """df(block int, part int, sums binary of int64): adds the rows of each block, `fan_in` parts a task and round, so that no task reads a row of every input partition."""
     import numpy as np

@@ -1,14 +1,16 @@
 """Removal of passages that repeat across documents.
 
-Rabin-Karp hashes of every window of k words are counted in Spark.  Texts are dealt once into chunks
-by a hash of the document id.  Each chunk sends its distinct window hashes, each with the smallest
-document id of the chunk, to the hash's bucket; so a window that a third of all documents hold costs a
-bucket one entry a chunk, not one a document.  The bucket answers one bit an entry: does the window
-start in a smaller document of another chunk?  The chunk (the same exchange, used again) then merges
-repeated windows into maximal removal intervals.  Hashes have 64 bits; equal hashes count as equal windows.
+Rabin-Karp hashes of every window of k words are counted in Spark, in two rounds.  Texts are dealt once into
+chunks by a hash of the row.  First each chunk sends a short print of each distinct window hash to the
+hash's bucket, which answers one bit an entry: is the print met more than once?  Of those windows alone
+the chunk (the same exchange, used again) then sends two hashes, 128 bits, with the smallest document id of the
+chunk, and is told which of them start in a smaller document of another chunk.  So a window that a third of all documents
+hold costs a bucket one entry a chunk, not one a document, and windows are told apart by 128 bits
+(within a chunk, of some million windows, by 64).  The chunk, used a third time, merges repeated windows into maximal removal intervals.
 
 Null texts have no words.  Rows with the same id do not remove from one another; a null id counts as the
-largest.  A text shorter than k words keeps all.  Columns other than id and text are not read.
+largest.  A text shorter than k words keeps all.  Columns other than id and text are not read, so none can clash;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kernel import Words, spread, text_bytes, scan, windows
+from .kernel import Words, mix, release, scan, spread, text_bytes, windows
 
 #: Text bytes of a chunk: at most CHUNK, less for small inputs, so that there are some tasks.
 CHUNK, LEAST_CHUNK, SOME_CHUNKS = 8 << 20, 1 << 20, 64
@@ -30,30 +32,54 @@ LARGEST = (1 << 63) - 1
 class Chunk:
     """The windows of a chunk: at (first word), which (number of its distinct hash); the distinct hashes by first place, grouped by bucket."""
 
-    def __init__(self, table: pa.Table, k: int, bits: int) -> None:
+    def __init__(self, table: pa.Table, k: int, bits: int, ids_too: bool = True) -> None:
         ids = table["id"].combine_chunks()
+        self.k = k
         self.nulls = ids.is_null().to_numpy(zero_copy_only=False)
         ids = ids.fill_null(LARGEST).to_numpy(zero_copy_only=False).astype(np.int64)
         order = np.argsort(ids, kind="stable")
         self.ids, self.nulls = ids[order], self.nulls[order]
         data, offsets = text_bytes(table["text"].take(pa.array(order)))
         self.words: Words = scan(data, offsets)
-        self.at, hashes = windows(self.words.hashes(), self.words.doc, k)
+        self.word_hashes = self.words.hashes()
+        self.at, hashes = windows(self.word_hashes, self.words.doc, k)
+        if not ids_too:  # the distinct hashes will do
+            self.hashes = np.unique(hashes)
+            self.bucket = self._bucket(self.hashes, bits)
+            return
         self.doc = self.words.doc[self.at]
-        distinct, first, self.which = np.unique(hashes, return_index=True, return_inverse=True)
-        bucket = (distinct >> np.uint64(64 - bits)).astype(np.uint16 if bits <= 16 else np.int64)
-        # by bucket, then by first place, so that document ids ascend
-        place = np.argsort(first, kind="stable")
-        self.order = place[np.argsort(bucket[place], kind="stable")]
-        self.hashes, self.bucket = distinct[self.order], bucket[self.order]
-        self.least = self.ids[self.doc[first]]  # by number of the distinct hash
-
-    def blocks(self):
-        """(bucket, from, to) in the grouped order."""
-        cuts = np.flatnonzero(np.diff(self.bucket)) + 1
-        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(self.bucket)], strict=True):
-            if a < b:
-                yield int(self.bucket[a]), a, b
+        distinct, self.first, self.which = np.unique(hashes, return_index=True, return_inverse=True)
+        bucket = self._bucket(distinct, bits)
+        # by bucket and hash, as the distinct hashes are
+        self.hashes, self.bucket = distinct, bucket
+        self.least = self.ids[self.doc[self.first]]  # by number of the distinct hash
+
+    @staticmethod
+    def _bucket(hashes: np.ndarray, bits: int) -> np.ndarray:
+        return (hashes >> np.uint64(64 - bits)).astype(np.int64)
+
+    def blocks(self) -> list[tuple[int, int, int]]:
+        """(bucket, from, to) of the distinct hashes."""
+        cuts = [0, *(np.flatnonzero(np.diff(self.bucket)) + 1).tolist(), len(self.bucket)]
+        return [(int(self.bucket[a]), a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if a < b]
+
+    def shared(self, answers: pa.Table, column: str = "shared") -> np.ndarray:
+        """Which of the distinct hashes the buckets say are met more than once."""
+        out = np.zeros(len(self.hashes), bool)
+        told = dict(zip(answers["bucket"].to_pylist(), answers[column].to_pylist(), strict=True))
+        for n, a, b in self.blocks():
+            if n in told:
+                out[a:b] = np.unpackbits(np.frombuffer(told[n], np.uint8), count=b - a).astype(bool)
+        return out
+
+    def sent(self, shared: np.ndarray) -> list[tuple[int, np.ndarray]]:
+        """(bucket, the shared ones of its distinct hashes by first place, so that ids ascend)."""
+        return [(n, each[np.argsort(self.first[each], kind="stable")]) for n, a, b in self.blocks() if len(each := a + np.flatnonzero(shared[a:b]))]
+
+    def seconds(self) -> np.ndarray:
+        """Another hash of each distinct window."""
+        _, hashes = windows(mix(self.word_hashes ^ np.uint64(0xA0761D6478BD642F)), self.words.doc, self.k)
+        return hashes[self.first]
 
 
 def pack_ids(ids: np.ndarray) -> bytes:
@@ -70,39 +96,89 @@ def unpack_ids(raw: bytes) -> np.ndarray:
     return np.concatenate([first, first + np.cumsum(np.frombuffer(raw, f"<u{size}", -1, 9).astype(np.int64))])
 
 
+def print_bytes(windows_in_all: int, bits: int) -> int:
+    """Bytes of a print besides the bucket's bits, so that one in some thousand windows that occur once is taken for more."""
+    return min(8, max(2, -(-(windows_in_all.bit_length() + 12 - bits) // 8)))
+
+
+def prints(hashes: np.ndarray, bits: int, width: int) -> np.ndarray:
+    """(n, width) bytes: those of each hash after its bucket's bits."""
+    low = (hashes << np.uint64(bits)) >> np.uint64(64 - 8 * width)
+    return np.ascontiguousarray(low.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :width]
+
+
+def send_prints(k: int, bits: int, width: int):
+    def run(table: pa.Table) -> pa.Table:
+        c = Chunk(table, k, bits, ids_too=False)
+        low, blocks = prints(c.hashes, bits, width), c.blocks()
+        out = pa.table({"bucket": pa.array([n for n, _, _ in blocks], pa.int64()), "chunk": pa.array([table["chunk"][0].as_py()] * len(blocks), pa.int64()), "prints": pa.array([low[a:b].tobytes() for _, a, b in blocks], pa.binary())})
+        release()
+        return out
+
+    return run
+
+
+def answer_prints(width: int):
+    """The prints of a bucket, all chunks' -> of each chunk, which are met more than once."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = [np.frombuffer(x.as_buffer(), np.uint8).reshape(-1, width) for x in table["prints"]]
+        sizes = np.array([len(x) for x in rows])
+        full = np.zeros((int(sizes.sum()), 8), np.uint8)
+        full[:, :width] = np.concatenate(rows)
+        del rows
+        found = full.view(np.uint64).ravel()
+        ordered = np.sort(found)
+        same = ordered[1:] == ordered[:-1]
+        many = np.unique(ordered[1:][same])
+        at = np.searchsorted(many, found)
+        bit = (many[np.minimum(at, len(many) - 1)] == found) if len(many) else np.zeros(len(found), bool)
+        ends = np.cumsum(sizes).tolist()
+        out = [(c, np.packbits(bit[e - n : e]).tobytes()) for c, e, n in zip(table["chunk"].to_pylist(), ends, sizes.tolist(), strict=True) if bit[e - n : e].any()]
+        return pa.table({"chunk": pa.array([x[0] for x in out], pa.int64()), "bucket": pa.array([table["bucket"][0].as_py()] * len(out), pa.int64()), "shared": pa.array([x[1] for x in out], pa.binary())})
+
+    return run
+
+
 def send(k: int, bits: int):
     drop = bits // 8
 
-    def run(table: pa.Table) -> pa.Table:
-        c = Chunk(table, k, bits)
+    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        if not texts.num_rows or not answers.num_rows:
+            return pa.table({"bucket": pa.array([], pa.int64()), "chunk": pa.array([], pa.int64()), "hashes": pa.array([], pa.binary()), "ids": pa.array([], pa.binary()), "shared": pa.array([], pa.binary())})
+        c = Chunk(texts, k, bits)
+        told = dict(zip(answers["bucket"].to_pylist(), answers["shared"].to_pylist(), strict=True))
         low = np.ascontiguousarray(c.hashes).view(np.uint8).reshape(-1, 8)[:, : 8 - drop]
-        out = [(n, low[a:b].tobytes(), pack_ids(c.least[c.order[a:b]])) for n, a, b in c.blocks()]
-        return pa.table({"bucket": pa.array([x[0] for x in out], pa.int32()), "chunk": pa.array([table["chunk"][0].as_py()] * len(out), pa.int64()), "hashes": pa.array([x[1] for x in out], pa.binary()), "ids": pa.array([x[2] for x in out], pa.binary())})
+        both = np.hstack([low, np.ascontiguousarray(c.seconds()).view(np.uint8).reshape(-1, 8)])
+        out = [(n, both[each].tobytes(), pack_ids(c.least[each]), told[n]) for n, each in c.sent(c.shared(answers))]
+        release()
+        return pa.table({"bucket": pa.array([x[0] for x in out], pa.int64()), "chunk": pa.array([texts["chunk"][0].as_py()] * len(out), pa.int64()), "hashes": pa.array([x[1] for x in out], pa.binary()), "ids": pa.array([x[2] for x in out], pa.binary()), "shared": pa.array([x[3] for x in out], pa.binary())})
 
     return run
 
 
 def answer(bits: int):
+    """The windows of a bucket, all chunks' -> of each chunk, which start in a smaller document of another."""
     width = 8 - bits // 8
 
     def run(table: pa.Table) -> pa.Table:
-        rows = [np.frombuffer(x.as_buffer(), np.uint8).reshape(-1, width) for x in table["hashes"]]
+        rows = [np.frombuffer(x.as_buffer(), np.uint8).reshape(-1, width + 8) for x in table["hashes"]]
         sizes = np.array([len(x) for x in rows])
-        full = np.zeros((sizes.sum(), 8), np.uint8)
-        full[:, :width] = np.concatenate(rows)
-        del rows
-        hashes = full.view(np.uint64).ravel()
+        full = np.zeros((int(sizes.sum()), 16), np.uint8)
+        stacked = np.concatenate(rows)
+        full[:, :width], full[:, 8:] = stacked[:, :width], stacked[:, width:]
+        del rows, stacked
+        first, second = full.view(np.uint64).T
         ids = np.concatenate([unpack_ids(x.as_py()) for x in table["ids"]])
-        order = np.argsort(hashes)
-        ordered = hashes[order]
-        starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+        order = np.lexsort((second, first))
+        a, b = first[order], second[order]
+        starts = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
         least = np.minimum.reduceat(ids[order], starts)
         bit = np.empty(len(ids), bool)
         bit[order] = np.repeat(least, np.diff([*starts, len(ids)])) < ids[order]
-        ends = np.cumsum(sizes)
-        chunks = table["chunk"].to_pylist()
-        out = [(c, np.packbits(bit[e - n : e]).tobytes()) for c, e, n in zip(chunks, ends.tolist(), sizes.tolist(), strict=True) if bit[e - n : e].any()]
-        return pa.table({"chunk": pa.array([x[0] for x in out], pa.int64()), "bucket": pa.array([table["bucket"][0].as_py()] * len(out), pa.int32()), "bits": pa.array([x[1] for x in out], pa.binary())})
+        ends = np.cumsum(sizes).tolist()
+        out = [(c, x, np.packbits(bit[e - n : e]).tobytes()) for c, x, e, n in zip(table["chunk"].to_pylist(), table["shared"].to_pylist(), ends, sizes.tolist(), strict=True) if bit[e - n : e].any()]
+        return pa.table({"chunk": pa.array([x[0] for x in out], pa.int64()), "bucket": pa.array([table["bucket"][0].as_py()] * len(out), pa.int64()), "shared": pa.array([x[1] for x in out], pa.binary()), "bits": pa.array([x[2] for x in out], pa.binary())})
 
     return run
 
@@ -114,10 +190,10 @@ def cut(k: int, bits: int, with_text: bool):
         c = Chunk(texts, k, bits)
         words = c.words
         told = dict(zip(answers["bucket"].to_pylist(), answers["bits"].to_pylist(), strict=True))
-        elsewhere = np.zeros(len(c.order), bool)  # by number of the distinct hash
-        for n, a, b in c.blocks():
+        elsewhere = np.zeros(len(c.hashes), bool)  # by number of the distinct hash
+        for n, each in c.sent(c.shared(answers)):
             if n in told:
-                elsewhere[c.order[a:b]] = np.unpackbits(np.frombuffer(told[n], np.uint8), count=b - a).astype(bool)
+                elsewhere[each] = np.unpackbits(np.frombuffer(told[n], np.uint8), count=len(each)).astype(bool)
         repeated = c.at[elsewhere[c.which] | (c.ids[c.doc] > c.least[c.which])] if len(c.at) else c.at
         steps = np.zeros(len(words.start) + 1, np.int32)
         np.add.at(steps, repeated, 1)
@@ -148,6 +224,7 @@ def cut(k: int, bits: int, with_text: bool):
             per = np.concatenate([[0], ends])[np.searchsorted(words.doc[stay], np.arange(words.docs + 1))]
             raw = kept.tobytes()
             columns["kept_text"] = pa.array([raw[x : max(x, y - 1)].decode() for x, y in zip(per[:-1].tolist(), per[1:].tolist(), strict=True)], pa.string())
+        release()
         return pa.table(columns)
 
     return run
@@ -164,10 +241,14 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     chunks = max(1, -(-total // size))
     bits = min(MOST_BITS, max(8, (total // WORD_BYTES // BUCKET).bit_length()))
     texts = docs.select(docs[key].cast("long").alias("id"), docs[text].alias("text")).withColumn("chunk", F.pmod(F.xxhash64("id", "text"), F.lit(chunks)))  # by the text too: rows without an id are dealt out
-    sent = texts.groupBy("chunk").applyInArrow(send(k, bits), "bucket int, chunk long, hashes binary, ids binary")
-    answers = sent.groupBy("bucket").applyInArrow(answer(bits), "chunk long, bucket int, bits binary")
+    width = print_bytes(total // WORD_BYTES, bits)
+    chunked = texts.groupBy("chunk")
+    met = chunked.applyInArrow(send_prints(k, bits, width), "bucket long, chunk long, prints binary")
+    shared = met.groupBy("bucket").applyInArrow(answer_prints(width), "chunk long, bucket long, shared binary")
+    sent = chunked.cogroup(shared.groupBy("chunk")).applyInArrow(send(k, bits), "bucket long, chunk long, hashes binary, ids binary, shared binary")
+    answers = sent.groupBy("bucket").applyInArrow(answer(bits), "chunk long, bucket long, shared binary, bits binary")
     schema = "id long, n_words long, n_removed long, removed array<struct<start: long, end: long>>" + ", kept_text string" * with_text
-    return texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(cut(k, bits, with_text), schema).withColumnRenamed("id", key)
+    return chunked.cogroup(answers.groupBy("chunk")).applyInArrow(cut(k, bits, with_text), schema).withColumnRenamed("id", key)
 
 
 ORACLE = r"""
