@@ -3,18 +3,24 @@
 A document is the set of its k-word shingles (64-bit hashes).  Documents with equal sets are one class
 and meet the join as one set.  Every set keeps SLOTS sampled tokens: the smallest hash of each slot, so
 that two sets share the token of a slot with a probability of their similarity.  A run sends a set down
-the paths that it chooses: sampled tokens whose seeded hash is small, about PICKS of them.  Buckets of up
-to SMALL sets are compared by brute force; larger ones split again on other chosen tokens, and what is
-still large then is compared in blocks, exactly.  A pair is taken up in the first bucket, in a fixed order,
-that both sets share, so runs do not multiply it.  Runs repeat until a pair at the threshold is missed
-with less than 1 - RECALL.  Candidates whose sampled tokens agree well enough are verified on their whole
-texts; pairs travel packed in one row a document, so rows grow with documents, not with pairs.
+the paths that it chooses: at each level about PICKS of its sampled tokens that are not on the path yet,
+by a hash of path and token.  Buckets of up to SMALL sets are compared by brute force; larger ones split
+on, level by level, up to LEVELS.  A set leaves a path that splits nothing off (as all tokens of a passage do that
+very many documents hold) if ENOUGH others of its paths there do, so such a passage costs a level and not the square of
+its documents.  A bucket that stays large all the same, as sets that are alike in most tokens make it, is
+compared in pairs of blocks, exactly.  A set that has hardly a token left for a large bucket's next level is
+compared with the like of it there.  A pair is taken up only in the first of the leaf buckets that both
+sets are in, so runs do not multiply it.  Runs repeat until a pair at the threshold is missed with less than
+1 - RECALL even if all its paths go through all levels.  Candidates whose sampled tokens agree well
+enough are verified on their whole texts; pairs travel packed in one row a document and group, and groups are
+bounded by the number and the size of their sets, so that a task holds little at a time.
 
 Result: one row a document: its class (the smallest id of its connected component) and its number of
 links (other documents, copies included, at the threshold or above).  Texts of fewer than k words, but at
 least one, have one shingle, all their words; null texts and texts without words have no links and each is
-a class of its own.  Rows with the same id are one document, of which the smallest text counts; rows with a
-null id come back with a null class and no links.
+a class of its own.  Rows with the same id are one document, of which the smallest text counts (null only if all
+are); rows with a null id come back with a null class and no links.  Other columns are not read, so none can
+clash, and an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,17 +37,23 @@ from pyspark.sql import functions as F
 from .common import parts, stored
 from .kernel import mix, pieces, sorted_runs, spread, tidy, windows, words_of
 
-SLOTS, PICKS, SMALL, BLOCK = 32, 4.0, 256, 2048
-RECALL = 0.9999
+SLOTS, PICKS, SMALL, BLOCK, LEVELS = 32, 4.0, 256, 2048, 5
+#: Shingles of the sets that are compared at a time, about.
+MASS = 1 << 21
+RECALL = 0.999
 #: Sampled tokens that must agree, as a share: at similarity 0.8 fewer agree once in 10**5 pairs.
 AGREE = 0.45
+#: Sets with at most so many sampled tokens off a large bucket's path are compared there.
+SPENT = 2
+#: Paths that must split off a large bucket for a set to leave those that do not.
+ENOUGH = 2
 _U = np.uint64
 
 
 def runs_for(threshold: float, recall: float) -> int:
-    """Runs until a pair at the threshold shares a chosen path with the wanted probability."""
+    """Runs until a pair at the threshold shares a path down to the last level with the wanted probability."""
     miss = (1 - PICKS / SLOTS * threshold) ** SLOTS
-    return max(1, math.ceil(math.log(1 - recall) / math.log(miss)) + 1)
+    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - (1 - miss) ** LEVELS)))
 
 
 def shingle_sets(col: pa.Array, k: int) -> list[np.ndarray]:
@@ -74,116 +86,98 @@ def sample(tokens: np.ndarray) -> np.ndarray:
     return out.astype(np.uint32)
 
 
-def chosen(samples: np.ndarray, run: int, level: int) -> np.ndarray:
-    """Which sampled tokens each set (row) chooses in a run and level; sets with few tokens choose all."""
-    filled = samples > 0
-    have = np.maximum(filled.sum(1, keepdims=True), 1)
-    h = mix(samples.astype(_U) << _U(8) | _U(run << 1 | level)) >> _U(40)
-    return filled & (h < np.minimum(PICKS / have, 1.0) * (1 << 24))
-
-
-def first_paths(samples: np.ndarray, run: int) -> np.ndarray:
-    """The bucket of each sampled token in a run."""
-    return mix(samples.astype(_U) << _U(16) | np.arange(SLOTS, dtype=_U) << _U(8) | _U(run) << _U(4) | _U(1))
-
-
 def as_samples(col: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(col.to_pylist()), np.uint32).reshape(-1, SLOTS)
 
 
-def as_bits(col: pa.ChunkedArray | pa.Array, runs: int) -> np.ndarray:
-    """(rows, runs, SLOTS): the buckets that were too large."""
-    width = runs * SLOTS // 8
-    raw = b"".join(bytes(width) if x is None else x for x in col.to_pylist())
-    return np.unpackbits(np.frombuffer(raw, np.uint8).reshape(-1, width), axis=1).reshape(-1, runs, SLOTS).astype(bool)
+def chosen(bucket: np.ndarray, samples: np.ndarray, free: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, slot, next bucket) of each token that a set (row) in a bucket chooses of those that are free; sets with few choose all."""
+    have = np.maximum(free.sum(1, keepdims=True), 1)
+    slots = np.arange(SLOTS, dtype=_U)
+    h = mix(bucket[:, None] ^ mix(samples.astype(_U) << _U(8) | slots))
+    row, slot = np.nonzero(free & ((h >> _U(40)) < np.minimum(PICKS / have, 1.0) * (1 << 24)))
+    return row, slot, mix(h[row, slot] * _U(0x9E3779B97F4A7C15))
 
 
-def sketch(docs: DataFrame, k: int) -> DataFrame:
-    """docs(id, text) -> id, n (size of the set), same (digest of the set, null for an empty one), samples."""
+PATHS = "bucket long, id long, n int, used int, final boolean, parent long, whole long"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
-            sets = shingle_sets(batch.column(1), k)
-            same = [hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in sets], pa.int32()), pa.array(same, pa.binary()), pa.array([sample(x).tobytes() for x in sets], pa.binary())], names=["id", "n", "same", "samples"])
 
-    return docs.mapInArrow(tidy(run), "id long, n int, same binary, samples binary")
+def path_rows(bucket: np.ndarray, ids: np.ndarray, n: np.ndarray, used: np.ndarray, final: bool, parent: np.ndarray, whole: np.ndarray) -> pa.RecordBatch:
+    """parent: the bucket that these split from; whole: its size."""
+    columns = [pa.array(bucket.view(np.int64)), pa.array(ids), pa.array(n), pa.array(used.astype(np.uint32).view(np.int32)), pa.array(np.full(len(ids), final)), pa.array(parent.view(np.int64)), pa.array(whole)]
+    return pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in PATHS.split(", ")])
 
 
-def level_one(sets: DataFrame, runs: int) -> DataFrame:
-    """sets -> bucket, id, place (run * SLOTS + slot)."""
+def first_level(sets: DataFrame, runs: int) -> DataFrame:
+    """sets(id, n, samples) -> the buckets of all runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            s = as_samples(batch.column(1))
+            ids, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            s = as_samples(batch.column(2))
             for r in range(runs):
-                row, slot = np.nonzero(chosen(s, r, 0))
-                yield pa.RecordBatch.from_arrays([pa.array(first_paths(s, r)[row, slot].view(np.int64)), pa.array(ids[row]), pa.array((r * SLOTS + slot).astype(np.int16))], names=["bucket", "id", "place"])
-
-    return sets.select("id", "samples").mapInArrow(run, "bucket long, id long, place short")
+                row, slot, bucket = chosen(np.full(len(ids), r + 1, _U), s, s > 0)
+                yield path_rows(bucket, ids[row], n[row], _U(1) << slot.astype(_U), False, np.zeros(len(row), _U), np.zeros(len(row), np.int64))
 
+    return sets.select("id", "n", "samples").mapInArrow(run, PATHS)
 
-def second_masks(samples: np.ndarray, runs: int) -> list[np.ndarray]:
-    return [chosen(samples, r, 1) for r in range(runs)]
 
-
-def second_path(bucket: np.ndarray, samples: np.ndarray, slot: np.ndarray) -> np.ndarray:
-    return mix(bucket * _U(0x9E3779B97F4A7C15) ^ mix(samples.astype(_U) << _U(8) | slot.astype(_U)) | _U(1))
-
-
-def level_two(sets: DataFrame, runs: int) -> DataFrame:
-    """sets(id, samples, over) -> bucket, id: the sub-buckets of every bucket that was too large."""
+def next_level(large: DataFrame) -> DataFrame:
+    """large(bucket, id, n, used, size, samples) -> the buckets below. A set of which few tokens are off the path goes to a final bucket of such sets too: they may have nothing else in common."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            s = as_samples(batch.column(1))
-            over = as_bits(batch.column(2), runs)
-            for r, mask in enumerate(second_masks(s, runs)):
-                paths = first_paths(s, r)
-                row, slot = np.nonzero(over[:, r])
-                at, sub = np.nonzero(mask[row])
-                keep = sub != slot[at]
-                at, sub = at[keep], sub[keep]
-                yield pa.RecordBatch.from_arrays([pa.array(second_path(paths[row, slot][at], s[row[at], sub], sub).view(np.int64)), pa.array(ids[row[at]])], names=["bucket", "id"])
-
-    return sets.select("id", "samples", "over").mapInArrow(run, "bucket long, id long")
-
-
-def home(eq: np.ndarray, x: np.ndarray, y: np.ndarray, one: list, two: list, over: np.ndarray, paths: list, samples: np.ndarray) -> np.ndarray:
-    """The first bucket that the sets x and y (row numbers) share; 0 for none."""
-    out = np.zeros(len(x), _U)
-    open_ = np.ones(len(x), bool)
-    for r, (m1, m2) in enumerate(zip(one, two, strict=True)):
-        i = np.flatnonzero(open_)
-        if not len(i):
+            bucket, ids, n, used, size = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            bucket, used = bucket.view(_U), used.view(np.uint32)
+            s = as_samples(batch.column(5))
+            free = (s > 0) & (used[:, None] >> np.arange(SLOTS, dtype=np.uint32) & np.uint32(1) == 0)
+            row, slot, below = chosen(bucket, s, free)
+            yield path_rows(below, ids[row], n[row], used[row] | np.uint32(1) << slot.astype(np.uint32), False, bucket[row], size[row])
+            spent = np.flatnonzero(free.sum(1) <= SPENT)
+            if len(spent):
+                yield path_rows(mix(bucket[spent] ^ _U(0x5BD1E995)), ids[spent], n[spent], used[spent], True, bucket[spent], size[spent])
+
+    return large.select("bucket", "id", "n", "used", "size", "samples").mapInArrow(run, PATHS)
+
+
+def without_idle_paths(rows: DataFrame) -> DataFrame:
+    """The rows of a level below the first, without those of sets that leave a path: its bucket is over half of the one it split from, and ENOUGH of the set's others there are not."""
+    sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
+    sized = stored(rows.join(sizes, "bucket").withColumn("splits", (F.col("size") * 2 <= F.col("whole")) & ~F.col("final")), "sized")
+    ways = sized.groupBy("parent", "id").agg(F.count_if("splits").alias("ways"))
+    kept = sized.where("size > 1").join(ways, ["parent", "id"]).where(F.col("splits") | F.col("final") | (F.col("ways") < ENOUGH))
+    return kept.select(*rows.columns)
+
+
+def leaf_buckets(sets: DataFrame, runs: int) -> DataFrame:
+    """sets(id, n, samples) -> bucket, id, blocks (1: the bucket is compared whole): the leaves of all paths that at least two sets share."""
+    rows, leaves = stored(first_level(sets, runs), "paths"), None
+    for level in range(LEVELS):
+        if level:
+            rows = stored(without_idle_paths(rows), "paths")
+        sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("mass")).where("size > 1")
+        met = stored(rows.join(sizes, "bucket").select(*rows.columns, "size", "mass"), "met")
+        leaf = F.col("final") | (F.col("size") <= SMALL)
+        if level:
+            leaf = leaf | (F.col("size") * 2 > F.col("whole"))
+        if level + 1 == LEVELS:
+            leaf = F.lit(True)
+        blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("mass") / MASS)).cast("long")
+        done = met.where(leaf).select("bucket", "id", blocks.alias("blocks"))
+        leaves = done if leaves is None else leaves.unionByName(done)
+        large = met.where(~leaf)
+        if large.isEmpty():
             break
-        a, b, e = x[i], y[i], eq[i]
-        common = e & m1[a] & m1[b]
-        below = e & m2[a] & m2[b]
-        large = over[a, r]
-        # a large bucket counts if the sets share a second token besides the first
-        usable = common & (~large | (below.sum(1)[:, None] - below > 0))
-        has = usable.any(1)
-        slot = usable.argmax(1)
-        n = np.arange(len(i))
-        is_large = large[n, slot] & has
-        path = paths[r][a, slot]
-        below[n, slot] = False
-        sub = below.argmax(1)
-        path = np.where(is_large, second_path(path, samples[a, sub], sub), path)
-        out[i[has]] = path[has]
-        open_[i[has]] = False
-    return out
+        rows = stored(next_level(large.join(sets.select("id", "samples"), "id")), "paths")
+    return leaves
 
 
-def compare(runs: int, threshold: float):
-    """Rows (group, bucket, id, n, samples, over, side), sorted by group -> (group, id, partners): the pairs at home in the bucket whose samples agree."""
+def compare(threshold: float):
+    """Rows (group, bucket, id, n, samples, homes, side), sorted by group -> (group, id, partners): the pairs whose samples agree and whose first common leaf this bucket is. homes: all leaves of the set."""
 
     def pairs_of(side: np.ndarray, most: int = 1 << 15) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """All pairs x < y, a few rows at a time; of two blocks the pairs across them only."""
@@ -198,9 +192,35 @@ def compare(runs: int, threshold: float):
                 x, y = x[keep], y[keep]
             yield x, y
 
+    def first_here(homes: pa.ChunkedArray, bucket: int):
+        """Of pairs of sets, whether they share no leaf before this bucket."""
+        lists = homes.combine_chunks()
+        flat, bounds = lists.flatten().to_numpy(), lists.offsets.to_numpy()
+        of = np.repeat(np.arange(len(lists)), np.diff(bounds))
+        before = flat < bucket
+        _, rank = np.unique(flat[before], return_inverse=True)
+        width = len(rank) + 1
+        held = of[before] * width + rank  # ascending: by set, and the leaves of each ascend
+        start = np.searchsorted(of[before], np.arange(len(lists) + 1))
+
+        def test(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            many = start[a + 1] - start[a]
+            if not len(held) or not many.any():
+                return np.ones(len(a), bool)
+            asked = np.repeat(b, many) * width + rank[spread(start[a], many)]
+            at = np.searchsorted(held, asked)
+            hit = held[np.minimum(at, len(held) - 1)] == asked
+            return np.bincount(np.repeat(np.arange(len(a)), many), hit, len(a)) == 0
+
+        return test
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["group", "id", "partners"]
+        names, kinds = ["group", "id", "partners"], (pa.int64(), pa.int64(), pa.binary())
         waiting: list[tuple] = []
+
+        def told() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*waiting, strict=True), kinds, strict=True)], names=names)
+
         for t in sorted_runs(batches, "group"):
             ids, at = np.unique(t["id"].to_numpy(), return_index=True)
             if len(ids) < 2:
@@ -210,8 +230,7 @@ def compare(runs: int, threshold: float):
             sizes = t["n"].to_numpy()
             s = as_samples(t["samples"])
             filled = s > 0
-            bucket = np.int64(t["bucket"][0].as_py()).view(_U)
-            over = one = two = paths = None
+            home = None
             kept = []
             for a, b in pairs_of(side):
                 near = np.minimum(sizes[a], sizes[b]) >= threshold * np.maximum(sizes[a], sizes[b])
@@ -220,13 +239,9 @@ def compare(runs: int, threshold: float):
                 good = eq.sum(1) >= AGREE * (filled[a] | filled[b]).sum(1)
                 if not good.any():
                     continue
-                if over is None:
-                    over = as_bits(t["over"], runs)
-                    one = [chosen(s, r, 0) for r in range(runs)]
-                    two = second_masks(s, runs)
-                    paths = [first_paths(s, r) for r in range(runs)]
+                home = home or first_here(t["homes"], t["bucket"][0].as_py())
                 a, b = a[good], b[good]
-                mine = home(eq[good], a, b, one, two, over, paths, s) == bucket
+                mine = home(a, b)
                 kept.append((a[mine], b[mine]))
             if not kept:
                 continue
@@ -239,14 +254,26 @@ def compare(runs: int, threshold: float):
             group = t["group"][0].as_py()
             waiting += [(group, int(ids[i]), ids[b[cuts[i] : cuts[i + 1]]].tobytes()) for i in np.flatnonzero(used).tolist()]
             if len(waiting) > 4096:
-                yield pa.RecordBatch.from_pydict(dict(zip(names, (pa.array(c, k) for c, k in zip(zip(*waiting, strict=True), (pa.int64(), pa.int64(), pa.binary()), strict=True)), strict=True)))
+                yield told()
                 waiting = []
         if waiting:
-            yield pa.RecordBatch.from_pydict(dict(zip(names, (pa.array(c, k) for c, k in zip(zip(*waiting, strict=True), (pa.int64(), pa.int64(), pa.binary()), strict=True)), strict=True)))
+            yield told()
 
     return run
 
 
+def sketch(docs: DataFrame, k: int) -> DataFrame:
+    """docs(id, text) -> id, n (size of the set), same (digest of the set, null for an empty one), samples."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            sets = shingle_sets(batch.column(1), k)
+            same = [hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in sets], pa.int32()), pa.array(same, pa.binary()), pa.array([sample(x).tobytes() for x in sets], pa.binary())], names=["id", "n", "same", "samples"])
+
+    return docs.mapInArrow(tidy(run), "id long, n int, same binary, samples binary")
+
+
 def overlaps(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The sizes of the intersections of the pairs of sets."""
     if len(a) < 4 * len(sets):
@@ -321,56 +348,44 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, threshold: float = 0.8, recall: float = RECALL) -> DataFrame:
     """One row a document: key, class_id, copy_of (the smallest document with the same shingles), n_links."""
     spark = docs.sparkSession
-    runs = runs_for(threshold, recall)
+    n = parts(spark)
     rows = docs.select(docs[key].cast("long").alias("id"), docs[text].alias("text"))
-    sketched = stored(sketch(rows.where("id is not null"), k), "sketch")
-    # rows with one id are one document
-    one = sketched.groupBy("id").agg(F.min(F.struct("same", "n", "samples")).alias("x")).select("id", "x.*")
+    texts = rows.where("id is not null")
+    if rows_repeat(rows):  # rows with one id are one document
+        texts = texts.groupBy("id").agg(F.min("text").alias("text"))
+    one = stored(sketch(texts, k), "sketch")
     groups = stored(one.where("same is not null").groupBy("same").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.first("n").alias("n"), F.first("samples").alias("samples")), "groups")
     sets = groups.select(F.col("rep").alias("id"), "weight", "n", "samples")
 
-    first = stored(level_one(sets, runs), "paths")
-    sizes = first.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    met = stored(first.join(sizes, "bucket").select("bucket", "id", "place", (F.col("size") > SMALL).alias("large")), "met")
-
-    def bits(t: pa.Table) -> pa.Table:
-        flags = np.zeros(runs * SLOTS, bool)
-        flags[t["place"].to_numpy()] = True
-        return pa.table({"id": t["id"][:1], "over": pa.array([np.packbits(flags).tobytes()], pa.binary())})
-
-    over = met.where("large").select("id", "place").groupBy("id").applyInArrow(bits, "id long, over binary")
-    full = stored(sets.join(over, "id", "left"), "sets")
-    second = level_two(full.where("over is not null"), runs)
-    deep = stored(second, "deep")
-    counts = deep.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    lower = deep.join(counts, "bucket").select("bucket", "id", "size")
-    leaves = met.where("not large").select("bucket", "id", F.lit(0).cast("long").alias("size")).union(lower)
-    # what is still too large is compared in pairs of blocks
-    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.lit(1).cast("long"))
-    mine = F.pmod(F.xxhash64("id", "bucket"), blocks)
-    large = F.col("size") > BLOCK
-    other = F.explode(F.when(large, F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(F.array(F.lit(-1).cast("long"))))
-    dealt = leaves.withColumn("mine", F.when(large, mine).otherwise(F.lit(-1).cast("long"))).withColumn("other", other)
+    leaves = leaf_buckets(sets, runs_for(threshold, recall))
+    homes = leaves.groupBy("id").agg(F.sort_array(F.collect_set("bucket")).alias("homes"))  # a few for each run
+    # a leaf of several blocks is compared in pairs of blocks
+    large = F.col("blocks") > 1
+    mine = F.pmod(F.xxhash64("id", "bucket"), F.col("blocks"))
+    none = F.lit(-1).cast("long")
+    other = F.explode(F.when(large, F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array(none)))
+    dealt = leaves.withColumn("mine", F.when(large, mine).otherwise(none)).withColumn("other", other)
     dealt = dealt.select(
         F.when(large, F.xxhash64("bucket", F.least("mine", "other"), F.greatest("mine", "other"))).otherwise(F.col("bucket")).alias("group"),
-        "bucket", "id", F.when(F.col("mine") != F.col("other"), F.col("mine")).otherwise(F.lit(-1).cast("long")).alias("side"),
-    )
-    n = parts(spark)
-    ready = dealt.join(full.select("id", "n", "samples", "over"), "id").select("group", "bucket", "id", "n", "samples", "over", "side").repartition(n, "group").sortWithinPartitions("group")
-    found = stored(ready.mapInArrow(tidy(compare(runs, threshold)), "group long, id long, partners binary"), "pairs")
+        "bucket", "id", F.when(F.col("mine") != F.col("other"), F.col("mine")).otherwise(none).alias("side"),
+    )
+    ready = dealt.join(sets.join(homes, "id").select("id", "n", "samples", "homes"), "id").select("group", "bucket", "id", "n", "samples", "homes", "side")
+    ready = ready.repartition(n, "group").sortWithinPartitions("group")
+    found = stored(ready.mapInArrow(tidy(compare(threshold)), "group long, id long, partners binary"), "pairs")
 
-    texts = rows.where("id is not null").groupBy("id").agg(F.min("text").alias("text")) if rows_repeat(rows) else rows.where("id is not null")
     wanted = found.join(sets.select("id", "weight"), "id").join(texts, "id").select("group", "id", "partners", "weight", "text").repartition(n, "group").sortWithinPartitions("group")
     linked = stored(wanted.mapInArrow(tidy(verify(k, threshold)), "id long, links long, root long"), "links")
 
     roots = components(linked.select(F.col("id").alias("a"), F.col("root").alias("b")))
     counted = linked.groupBy("id").agg(F.sum("links").alias("links"))
-    classes = groups.select("same", "rep", "weight").join(counted, F.col("rep") == F.col("id"), "left").drop("id").join(roots, F.col("rep") == F.col("id"), "left").select("same", "rep", "weight", F.coalesce("root", "rep").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
-    members = one.select("id", "same").join(classes, "same", "left").select(
-        F.col("id").alias(key), F.coalesce("root", "id").alias("class_id"), F.coalesce("rep", "id").alias("copy_of"), (F.coalesce("links", F.lit(0)) + F.coalesce(F.col("weight") - 1, F.lit(0))).alias("n_links")
-    )
-    nulls = rows.where("id is null").select(F.col("id").alias(key), F.lit(None).cast("long").alias("class_id"), F.lit(None).cast("long").alias("copy_of"), F.lit(0).cast("long").alias("n_links"))
-    return members.unionByName(nulls)
+    classes = groups.select("same", "rep", "weight").join(counted, F.col("rep") == F.col("id"), "left").drop("id").join(roots, F.col("rep") == F.col("id"), "left")
+    classes = classes.select("same", "rep", F.coalesce("root", "rep").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links"))
+    columns = [F.col("id").alias(key), F.col("root").alias("class_id"), F.col("rep").alias("copy_of"), F.col("links").alias("n_links")]
+    # many copies of one text split there: the join's other side has one row a text
+    members = one.where("same is not null").select("id", "same").join(classes, "same").select(*columns)
+    alone = one.where("same is null").select("id", F.col("id").alias("root"), F.col("id").alias("rep"), F.lit(0).cast("long").alias("links"))
+    none_ = rows.where("id is null").select("id", F.col("id").alias("root"), F.col("id").alias("rep"), F.lit(0).cast("long").alias("links"))
+    return members.unionByName(alone.unionByName(none_).select(*columns))
 
 
 def rows_repeat(rows: DataFrame) -> bool:
