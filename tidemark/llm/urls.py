@@ -1,14 +1,17 @@
 """Verdicts on URLs from a list of host and path rules.
 
-Each URL becomes host-suffix and path-prefix expressions (`host/path` strings in the shapes that the
-rules have); expressions meet the rules in an equi-join on a short prefix of their SHA-256, full
-digests confirm, and of the rules that hold the longest decides.
+Each URL becomes host-suffix and path-prefix expressions (`host<tab>path`, in the lengths that the rules'
+keys have); expressions meet the rules in an equi-join on a short prefix of their SHA-256, full digests
+confirm, then the whole rule, and of the rules that hold the longest decides.
 
 Host: after the first `://` up to `/`, `?`, `#` or the end, A-Z lower-cased.  Path: from there up to
 `?`, `#` or the end.  A null URL, or one without `://`, has both empty.  A rule (host, path, verdict)
 fits its host and all subdomains if the path starts with the rule's.  Longest: most characters of the
-rule string, then of its host, then the larger verdict string; no rule: `default`.  Rows come back as they
-are, repeated ones too; other columns stay, and those named like a result are replaced by it.
+rule string, then of its host, then the larger verdict string; no rule: `default`.  A rule's key is its last
+LABELS labels and the first PREFIX characters of its path, so that the lengths of keys are few however many rules there are.
+
+Every row comes back, repeated ones as often as they come, with these columns: key, host, path, rule, verdict; no
+other column is read, so none can clash.  An empty table gives an empty result; without rules all get the default.
 """
 
 from __future__ import annotations
@@ -21,6 +24,8 @@ RULES = T.StructType([T.StructField(x, T.StringType()) for x in ("host", "path",
 #: The rules of the registered query.
 CONTRACT_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
 PREFIX_HEX = 8
+#: Of a rule's key: labels of the host, characters of the path. There are at most LABELS * (PREFIX + 1) pairs of lengths.
+LABELS, PREFIX = 8, 255
 #: Rules up to this many are broadcast; beyond it both sides are shuffled, salted.
 MOST_BROADCAST, SALTS = 200_000, 32
 
@@ -34,12 +39,21 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
-def expressions(host: Column, path: Column, shapes: list[tuple[int, int]]) -> Column:
-    """host-suffix + path-prefix of each shape (labels of the host, characters of the path) that the URL can fill."""
+def last_labels(host: Column, n: Column) -> Column:
+    """The last n labels of a host; the host itself if it has no more."""
     labels = F.split(host, r"\.", -1)
-    suffixes = {n: F.when(F.size(labels) >= n, F.concat_ws(".", F.slice(labels, F.greatest(F.size(labels) - F.lit(n - 1), F.lit(1)), n))) for n in {a for a, _ in shapes}}
-    each = [F.when(F.length(path) >= F.lit(m), F.concat(suffixes[n], F.lit("\t"), F.substring(path, 1, m) if m else F.lit(""))) for n, m in shapes]
-    return F.array_compact(F.array(*each)) if each else F.array().cast("array<string>")
+    return F.array_join(F.slice(labels, F.greatest(F.size(labels) - n + 1, F.lit(1)), n), ".")
+
+
+def expressions(host: Column, path: Column, shapes: dict[int, list[int]]) -> Column:
+    """host-suffix and path-prefix of each shape (labels of the host: characters of the path) that the URL can fill: as many as its own labels and characters allow, by expressions whose size does not grow with the rules."""
+    if not shapes:
+        return F.array().cast("array<string>")
+    known = F.array(*[F.struct(F.lit(n).alias("labels"), F.array(*[F.lit(m) for m in sorted(ms)]).alias("lengths")) for n, ms in sorted(shapes.items())])
+    labels = F.size(F.split(host, r"\.", -1))
+    fill = F.filter(known, lambda x: x["labels"] <= labels)
+    each = F.transform(fill, lambda x: F.transform(F.filter(x["lengths"], lambda m: m <= F.length(path)), lambda m: F.concat(last_labels(host, x["labels"]), F.lit("\t"), F.substring(path, F.lit(1), m))))
+    return F.flatten(each)
 
 
 def judge(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: str = "url", default: str = "allow") -> DataFrame:
@@ -50,9 +64,12 @@ def judge(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: str = "
         F.col("verdict").alias("rule_verdict"),
     ).where("rule_host is not null and rule_host <> '' and rule_path is not null and rule_verdict is not null").distinct()
     digest = lambda x: F.sha2(x.cast("binary"), 256)
-    known = known.withColumn("digest", digest(F.concat("rule_host", F.lit("\t"), "rule_path"))).withColumn("short", F.substring("digest", 1, PREFIX_HEX))
-    # a few kinds: label counts times path lengths of the rules
-    shapes = sorted(tuple(r) for r in known.select(F.size(F.split("rule_host", r"\.", -1)), F.length("rule_path")).distinct().collect())
+    known = known.withColumn("labels", F.least(F.size(F.split("rule_host", r"\.", -1)), F.lit(LABELS))).withColumn("chars", F.least(F.length("rule_path"), F.lit(PREFIX)))
+    rule_key = F.concat(last_labels(F.col("rule_host"), F.col("labels")), F.lit("\t"), F.substring("rule_path", F.lit(1), F.col("chars")))
+    known = known.withColumn("digest", digest(rule_key)).withColumn("short", F.substring("digest", 1, PREFIX_HEX))
+    shapes: dict[int, list[int]] = {}
+    for n, m in known.select("labels", "chars").distinct().collect():  # at most LABELS * (PREFIX + 1) rows
+        shapes.setdefault(n, []).append(m)
     small = known.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
 
     base = pages.select(pages[key].alias("id"), pages[url].alias("url")).groupBy("id", "url").agg(F.count(F.lit(1)).alias("copies"))
@@ -66,7 +83,9 @@ def judge(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: str = "
         exprs = exprs.withColumn("grain", F.pmod(F.xxhash64("id", "url"), F.lit(SALTS)).cast("int"))
         joined = exprs.join(salted, (F.col("prefix") == F.col("short")) & (F.col("grain") == F.col("salt")) & (F.col("full") == F.col("digest")), "left")
     rule = F.concat("rule_host", "rule_path")
-    best = F.max(F.when(F.col("rule_host").isNotNull(), F.struct(F.length(rule).alias("a"), F.length("rule_host").alias("b"), F.col("rule_verdict").alias("verdict"), rule.alias("rule"))))
+    # keys are cut short, so the whole rule is held against the URL
+    fits = F.endswith(F.concat(F.lit("."), F.col("host")), F.concat(F.lit("."), F.col("rule_host"))) & F.startswith("path", F.col("rule_path"))
+    best = F.max(F.when(fits, F.struct(F.length(rule).alias("a"), F.length("rule_host").alias("b"), F.col("rule_verdict").alias("verdict"), rule.alias("rule"))))
     judged = joined.groupBy("id", "url").agg(F.first("copies").alias("copies"), F.first("host").alias("host"), F.first("path").alias("path"), best.alias("best"))
     once = judged.withColumn("again", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return once.select(F.col("id").alias(key), "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
