@@ -9,12 +9,15 @@ seeded epochs: whole epochs take every document once, the last takes the documen
 while their tokens fit (a prefix of that order).
 
 All amounts are integers (a node's tokens times its siblings' weights must stay below 2**63; ANSI mode
-raises otherwise); left-over tokens of a division go one each to the first children by name.  A hot leaf
+raises otherwise); left-over tokens of a division go one each to the first children by the MD5 of their names.  A hot leaf
 is never in one task: its seeded order is cut into ranges of about RANGE documents, sums of ranges find
-the one in which the prefix ends, and only that one is ordered.
+the one in which the prefix ends, and only that one is ordered.  Nor is a family of very many children: beyond
+MOST_NODES leaves, running sums over siblings are taken in steps, of which only the sums meet in one task.
 
 Null level values are a child of their own, named NONE.  Null and empty texts have no tokens.  Repeated
-rows count each; an empty table gives an empty result.  Weights below 1 leave a node out.
+rows count each; an empty table gives an empty result.  Weights below 1 leave a node out.  mix reads the key, the levels and
+the tokens only; mixture passes all columns on, whatever their names.  The documents table has no domain: the registered
+tree takes it from the number in the source's name.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ NONE = "(none)"
 RANGE = 1024
 #: Leaves up to this many are broadcast.
 MOST_BROADCAST = 100_000
+#: Leaves up to this many are shared out by windows over whole families.
+MOST_NODES = 100_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -45,22 +50,46 @@ def weight_of(name: str, levels: list[str], weights: Mapping[str, int]) -> Colum
     return F.coalesce(F.try_element_at(listed, path), F.try_element_at(listed, F.col(name)), F.lit(1)).cast("long") if weights else F.lit(1).cast("long")
 
 
-def share(nodes: DataFrame, parents: list[str], name: str) -> DataFrame:
-    """nodes(parents..., name, weight, cap, budget of the parent) -> with `given`, whose sum is the parent's budget."""
-    near = [F.col(x) for x in parents] or [F.lit(0)]
-    ratio = F.when(F.col("weight") > 0, F.col("cap") / F.col("weight")).otherwise(-1.0)
-    by_need = Window.partitionBy(*near).orderBy(ratio, name)
-    full = nodes.withColumn("before", F.coalesce(F.sum("cap").over(by_need.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    full = full.withColumn("rest", F.sum("weight").over(by_need.rowsBetween(0, Window.unboundedFollowing)))
-    full = full.withColumn("short", F.expr("cap * rest <= (budget - before) * weight"))
+def _before(nodes: DataFrame, near: list[str], step: Column, order: list[Column | str], value: Column, name: str) -> DataFrame:
+    """nodes with the sum of `value` over the siblings that come before in order, step by step: a task sees one step's siblings, or the sums of the steps. Steps must ascend with the order."""
+    stepped = nodes.withColumn("_step", step).withColumn("_value", value)
+    up = Window.partitionBy(*near).orderBy("_step").rowsBetween(Window.unboundedPreceding, -1)
+    steps = stepped.groupBy(*near, "_step").agg(F.sum("_value").alias("_sum")).withColumn("_base", F.coalesce(F.sum("_sum").over(up), F.lit(0))).drop("_sum")
+    inside = Window.partitionBy(*near, "_step").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    own = stepped.withColumn("_own", F.coalesce(F.sum("_value").over(inside), F.lit(0)))
+    return own.join(steps, [*near, "_step"]).withColumn(name, F.col("_base") + F.col("_own")).drop("_step", "_value", "_base", "_own")
+
+
+def share(nodes: DataFrame, parents: list[str], name: str, wide: bool = False) -> DataFrame:
+    """nodes(parents..., name, weight, cap, budget of the parent) -> with `given`, whose sum is the parent's budget. wide: for families too large for one task; the result is the same."""
+    near = parents or ["_root"]
+    full = nodes if parents else nodes.withColumn("_root", F.lit(0))
+    full = full.withColumn("_ratio", F.when(F.col("weight") > 0, F.col("cap") / F.col("weight")).otherwise(-1.0)).withColumn("_turn", F.md5(F.col(name)))
     family = Window.partitionBy(*near)
-    full = full.withColumn("left", F.col("budget") - F.coalesce(F.sum(F.when(F.col("short"), F.col("cap"))).over(family), F.lit(0)))
-    full = full.withColumn("open", F.sum(F.when(~F.col("short"), F.col("weight"))).over(family))
-    full = full.withColumn("part", F.when(F.col("short"), F.col("cap")).otherwise(F.expr("left * weight div open")))
-    full = full.withColumn("over", F.col("left") - F.coalesce(F.sum(F.when(~F.col("short"), F.col("part"))).over(family), F.lit(0)))
-    turn = F.row_number().over(Window.partitionBy(*near, "short").orderBy(name))
-    full = full.withColumn("turn", turn)
-    given = F.col("part") + F.when(~F.col("short") & (F.col("turn") <= F.col("over")), 1).otherwise(0)
+
+    def over_family(rows: DataFrame, **sums: Column) -> DataFrame:
+        if wide:
+            return rows.join(rows.groupBy(*near).agg(*[F.coalesce(F.sum(v), F.lit(0)).alias(k) for k, v in sums.items()]), near)
+        return rows.select("*", *[F.coalesce(F.sum(v).over(family), F.lit(0)).alias(k) for k, v in sums.items()])
+
+    def before(rows: DataFrame, step: Column, order: list[Column | str], value: Column, as_: str) -> DataFrame:
+        if wide:
+            return _before(rows, near, step, order, value, as_)
+        w = Window.partitionBy(*near).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return rows.withColumn(as_, F.coalesce(F.sum(value).over(w), F.lit(0)))
+
+    octave = F.when(F.col("_ratio") > 0, F.floor(F.log2("_ratio") * 64)).otherwise(-(1 << 20))
+    by_need = [F.col("_ratio"), F.col(name)]
+    full = before(full, octave, by_need, F.col("cap"), "before")
+    full = before(full, octave, by_need, F.col("weight"), "_lighter")
+    full = over_family(full, _weights=F.col("weight")).withColumn("rest", F.col("_weights") - F.col("_lighter"))
+    full = full.withColumn("short", F.expr("cap * rest <= (budget - before) * weight"))
+    full = over_family(full, _given=F.when(F.col("short"), F.col("cap")), open=F.when(~F.col("short"), F.col("weight")))
+    full = full.withColumn("left", F.col("budget") - F.col("_given"))
+    full = full.withColumn("part", F.when(F.col("short"), F.col("cap")).otherwise(F.expr("left * weight div nullif(open, 0)")))
+    full = over_family(full, _parts=F.when(~F.col("short"), F.col("part"))).withColumn("over", F.col("left") - F.col("_parts"))
+    full = before(full, F.conv(F.substring("_turn", 1, 3), 16, 10).cast("int"), [F.col("_turn"), F.col(name)], F.when(F.col("short"), 0).otherwise(1), "_earlier")
+    given = F.col("part") + F.when(~F.col("short") & (F.col("_earlier") < F.col("over")), 1).otherwise(0)
     return full.withColumn("given", given.cast("long")).select(*nodes.columns, "given")
 
 
@@ -73,16 +102,16 @@ def budgets(leaves: DataFrame, levels: list[str], weights: Mapping[str, Mapping[
     for i in range(len(levels)):
         used = used & (F.col(f"w{i}") > 0)
     nodes = nodes.withColumn("cap0", F.when(used, F.col("tokens") * epochs).otherwise(0))
-    total = nodes.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("t"), F.coalesce(F.sum("cap0"), F.lit(0)).alias("c"))
-    budget = total.select(F.expr(f"least(t * {percent} div 100, c)").cast("long").alias("budget"))
-    above = budget
+    tokens, most = nodes.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("cap0"), F.lit(0))).first()
+    wide = not fits(leaves, MOST_NODES)
+    above = None
     for i, name in enumerate(levels):
         parents = levels[:i]
         here = nodes.groupBy(*levels[: i + 1]).agg(F.max(f"w{i}").alias("weight"), F.sum("cap0").alias("cap"))
         # a node without capacity takes no part in sharing
         here = here.withColumn("weight", F.when(F.col("cap") > 0, F.col("weight")).otherwise(0))
-        here = here.join(above, parents) if parents else here.withColumn("root", F.lit(0)).join(F.broadcast(above.withColumn("root", F.lit(0))), "root").drop("root")  # one row
-        above = share(here, parents, name).select(*levels[: i + 1], F.col("given").alias("budget"))
+        here = here.join(above, parents) if parents else here.withColumn("budget", F.lit(min(tokens * percent // 100, most)).cast("long"))
+        above = share(here, parents, name, wide).select(*levels[: i + 1], F.col("given").alias("budget"))
     return leaves.join(above.withColumnRenamed("budget", "given"), levels)
 
 
@@ -90,7 +119,7 @@ def mix(docs: DataFrame, levels: list[str], weights: Mapping[str, Mapping[str, i
     """docs(key, levels..., tokens) -> the same and copies: how often the mixture holds the document (0: not at all)."""
     named = docs.select(key, *[F.coalesce(F.col(x), F.lit(NONE)).alias(x) for x in levels], F.coalesce(F.col(tokens), F.lit(0)).cast("long").alias("n_tokens"))
     base = stored(named, "mix")
-    leaves = base.groupBy(*levels).agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("docs"))
+    leaves = stored(base.groupBy(*levels).agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("docs")), "leaves")
     owed = budgets(leaves, levels, weights, epochs, percent)
     has = F.col("tokens") > 0
     owed = owed.select(*levels, F.when(has, F.expr("given div nullif(tokens, 0)")).otherwise(0).alias("whole"), F.when(has, F.expr("given % nullif(tokens, 0)")).otherwise(0).alias("rest"), F.ceil(F.col("docs") / RANGE).alias("ranges"))
@@ -149,7 +178,7 @@ h{i} AS (SELECT {cols}, CASE WHEN cap > 0 THEN w ELSE 0 END AS w, cap, budget FR
 s{i} AS (SELECT *, cap * sum(w) OVER (PARTITION BY {up} ORDER BY CASE WHEN w > 0 THEN cap::DOUBLE / w ELSE -1 END, {name} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
   <= (budget - coalesce(sum(cap) OVER (PARTITION BY {up} ORDER BY CASE WHEN w > 0 THEN cap::DOUBLE / w ELSE -1 END, {name} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) * w AS short FROM h{i}),
 l{i} AS (SELECT *, budget - coalesce(sum(cap) FILTER (WHERE short) OVER (PARTITION BY {up}), 0) AS rest, sum(w) FILTER (WHERE NOT short) OVER (PARTITION BY {up}) AS open,
-  row_number() OVER (PARTITION BY {up}, short ORDER BY {name}) AS turn FROM s{i}),
+  row_number() OVER (PARTITION BY {up}, short ORDER BY md5({name}), {name}) AS turn FROM s{i}),
 p{i} AS (SELECT *, CASE WHEN short THEN cap ELSE (rest * w) // open END AS part FROM l{i}),
 b{i} AS (SELECT {cols}, CASE WHEN short THEN part ELSE part + CASE WHEN turn <= rest - coalesce(sum(part) FILTER (WHERE NOT short) OVER (PARTITION BY {up}), 0) THEN 1 ELSE 0 END END AS budget FROM p{i})"""
 
