@@ -2,14 +2,20 @@
 
 Categories are predicted one after the other; each linear model (logistic, L2) sees the document's
 features and the probabilities of the categories before it.  In training those probabilities are out of
-fold, so that later models learn from what earlier ones say of documents they have not seen.  Features
+fold, features chosen within each fold's training part too, so that later models learn from what earlier ones say
+of documents they have not seen.  Features
 are the presence of words, of their first 3 to 6 bytes and of runs of marks, hashed, lower-cased; for each
 category those most telling by chi-square are used, which a document holds or not, however long it is.
 
-Training uses at most `sample` labelled documents (those of the smallest seeded hash of the id; default
-SAMPLE); every document is scored on its whole text.  Null and empty texts have no features.  A category
+The labels table has two flags, so the registered chain has two categories: low quality, then toxic.
+
+Training uses a bounded sample of labelled documents: at most `sample` of them (those of the smallest seeded hash of
+the id; default SAMPLE), and of these, in that order, as many as have `sample_bytes` of text together (default
+SAMPLE_BYTES, at least one).  Every document is scored on its whole text.  Null and empty texts have no features.  A category
 that the sample holds never, or always, is predicted at that rate; without labels all
-probabilities are 0.  Repeated rows are scored each; several labels of one document count as their maximum.
+probabilities are 0.  Repeated rows are scored each; of a labelled id with several texts the smallest is trained on, and
+several labels of one document count as their maximum.  Other columns are not read; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -22,16 +28,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
 from .kernel import mix, pieces, scan, text_bytes, tidy
 
-SAMPLE, FOLDS, FEATURES, LEAST = 5000, 5, 512, 4
+SAMPLE, SAMPLE_BYTES, FOLDS, FEATURES, LEAST = 5000, 32 << 20, 5, 512, 4
 #: Chi-square below which a feature tells nothing (a thousandth of such would, by chance).
 TELLING = 10.83
 #: Probability from which a category holds.
 THRESHOLD = 0.3
 PREFIXES = (3, 4, 5, 6)
 #: Registered categories, in the order of the chain, as conditions on labels(quality, toxic).
-CATEGORIES = (("low_quality", "quality = 0"), ("toxic", "toxic = 1"), ("toxic_prose", "toxic = 1 and quality = 1"))
+CATEGORIES = (("low_quality", "quality = 0"), ("toxic", "toxic = 1"))
 _U = np.uint64
 
 WORD = np.zeros(256, bool)
@@ -116,12 +123,33 @@ class Chain:
         return out
 
 
+def telling(doc: np.ndarray, column: np.ndarray, y: np.ndarray, use: np.ndarray, features_: int) -> np.ndarray:
+    """The features (columns, ascending) that tell y best by chi-square in the documents of `use`."""
+    held = use[doc]
+    times = np.bincount(column[held], minlength=features_)
+    a = np.bincount(column[held], y[doc[held]], features_)
+    n, t = float(use.sum()), y[use].sum()
+    b, left, right = times - a, t - a, (n - t) - (times - a)
+    chi = n * (a * right - b * left) ** 2 / np.maximum(times * (n - times) * t * (n - t), 1)
+    chi[times < LEAST] = -1
+    return np.sort(np.argsort(-chi, kind="stable")[: min(FEATURES, int((chi >= TELLING).sum()))])
+
+
+def presence(doc: np.ndarray, column: np.ndarray, best: np.ndarray, docs: int, features_: int) -> np.ndarray:
+    place = np.full(features_, -1)
+    place[best] = np.arange(len(best))
+    x = np.zeros((docs, len(best)), np.float32)
+    ok = place[column] >= 0
+    x[doc[ok], place[column[ok]]] = 1
+    return x
+
+
 def train(doc: np.ndarray, hashes: np.ndarray, labels: np.ndarray, names: list[str], seed: int = 1) -> Chain:
     """doc, hashes: the distinct features of the training documents; labels: (documents, categories)."""
     docs = len(labels)
     chain = Chain(names, [], [])
     fold = np.random.default_rng(seed).permutation(docs) % FOLDS
-    distinct, column, times = np.unique(hashes, return_inverse=True, return_counts=True)
+    distinct, column = np.unique(hashes, return_inverse=True)
     before = np.zeros((docs, 0), np.float32)
     for c in range(len(names)):
         y = labels[:, c].astype(np.float64)
@@ -131,34 +159,26 @@ def train(doc: np.ndarray, hashes: np.ndarray, labels: np.ndarray, names: list[s
             chain.weights.append(np.concatenate([np.zeros(c), [np.log(rate / (1 - rate))]]))
             before = np.hstack([before, np.full((docs, 1), rate, np.float32)])
             continue
-        # chi-square of presence against the label
-        a = np.bincount(column, y[doc], len(distinct))
-        n, t = float(docs), y.sum()
-        b, left, right = times - a, t - a, (n - t) - (times - a)
-        chi = n * (a * right - b * left) ** 2 / np.maximum(times * (n - times) * t * (n - t), 1)
-        chi[times < LEAST] = -1
-        best = np.sort(np.argsort(-chi, kind="stable")[: min(FEATURES, int((chi >= TELLING).sum()))])
-        place = np.full(len(distinct), -1)
-        place[best] = np.arange(len(best))
-        x = np.zeros((docs, len(best)), np.float32)
-        ok = place[column] >= 0
-        x[doc[ok], place[column[ok]]] = 1
-        x = np.hstack([x, before])
         out = np.zeros((docs, 1), np.float32)
         for f in range(FOLDS):
-            w = fit(x[fold != f], y[fold != f])
-            out[fold == f, 0] = sigmoid(x[fold == f] @ w[:-1] + w[-1])
+            use = fold != f
+            best = telling(doc, column, y, use, len(distinct))
+            x = np.hstack([presence(doc, column, best, docs, len(distinct)), before])
+            w = fit(x[use], y[use])
+            out[~use, 0] = sigmoid(x[~use] @ w[:-1] + w[-1])
+        best = telling(doc, column, y, np.ones(docs, bool), len(distinct))
         chain.hashes.append(distinct[best])
-        chain.weights.append(fit(x, y))
+        chain.weights.append(fit(np.hstack([presence(doc, column, best, docs, len(distinct)), before]), y))
         before = np.hstack([before, out])
     return chain
 
 
-def learn(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Chain:
+def learn(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, key: str = "doc_id", text: str = "text", sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> Chain:
     names = [n for n, _ in categories]
     flags: list[Column] = [F.max(F.coalesce(F.expr(c), F.lit(False)).cast("int")).alias(n) for n, c in categories]
     told = labels.where("doc_id is not null").groupBy(F.col("doc_id").alias("label_id")).agg(*flags)
-    some = told.orderBy(F.xxhash64("label_id", F.lit(17)), "label_id").limit(sample)
+    turn = F.xxhash64("label_id", F.lit(17))
+    some = told.orderBy(turn, "label_id").limit(sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
@@ -176,20 +196,25 @@ def learn(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, key: str =
 
     joined = docs.select(docs[key].alias("id"), docs[text].alias("text")).join(F.broadcast(some), F.col("id") == F.col("label_id"))
     # one row a document of the sample, at most `sample` rows in all
+    kept = stored(joined.groupBy("id", "label_id", *names).agg(F.min("text").alias("text")), "sample")
+    sizes = kept.select("id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"), turn.alias("turn")).orderBy("turn", "id").toArrow()
+    within = int(np.searchsorted(np.cumsum(sizes["size"].to_numpy().astype(np.int64)), sample_bytes, "right"))
+    if within < sizes.num_rows:
+        last = sizes.slice(max(within, 1) - 1, 1).to_pylist()[0]
+        kept = kept.where((turn < last["turn"]) | (turn == last["turn"]) & (F.col("id") <= last["id"]))
     kind = docs.schema[key].dataType.simpleString()
-    rows = joined.select("text", *names, "id").mapInArrow(tidy(run), ", ".join(f"`{n}` int" for n in names) + f", id {kind}, hashes binary")
-    got = rows.dropDuplicates(["id"]).toArrow()
-    order = np.argsort(got["id"].to_numpy(), kind="stable")
-    got = got.take(pa.array(order))
+    rows = kept.select("text", *names, "id").mapInArrow(tidy(run), ", ".join(f"`{n}` int" for n in names) + f", id {kind}, hashes binary")
+    got = rows.toArrow()
+    got = got.take(pa.array(np.argsort(got["id"].to_numpy(), kind="stable")))
     each = [np.frombuffer(x, _U) for x in got["hashes"].to_pylist()]
     doc = np.repeat(np.arange(len(each)), [len(x) for x in each])
     hashes = np.concatenate(each) if each else np.zeros(0, _U)
     return train(doc, hashes, np.stack([got[n].to_numpy() for n in names], axis=1) if len(each) else np.zeros((0, len(names))), names)
 
 
-def score(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, key: str = "doc_id", text: str = "text", sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, key: str = "doc_id", text: str = "text", sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES, threshold: float = THRESHOLD) -> DataFrame:
     """One row a document: key, p_<category> of each, is_<category> (the probability reaches the threshold)."""
-    chain = learn(docs, labels, categories, key, text, sample)
+    chain = learn(docs, labels, categories, key, text, sample, sample_bytes)
     names = [f"p_{n}" for n in chain.names]
     kind = docs.schema[key].dataType.simpleString()
 
