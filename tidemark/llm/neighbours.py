@@ -16,7 +16,8 @@ kept, more than any query can return), so a large group of copies is one node to
 
 Vectors that are null, zero, of another length than most, or hold null or non-finite numbers take no part,
 as queries or candidates; null ids neither.  Ties go to the smaller id.  With fewer candidates than `top` all
-come back.  Rows with the query's own id are never its candidates.
+come back.  Rows with the query's own id are never its candidates; repeated rows count once.  Other columns are not read, so none can
+clash; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import parts, stored
-from .kernel import aligned
+from .kernel import aligned, tidy
 
 NEAR, BACK, TREES, BLOCK = 32, 24, 4, 512
 ROUNDS, ENOUGH = 5, 0.01
@@ -107,8 +108,8 @@ def lists(of: np.ndarray, who: np.ndarray, sim: np.ndarray) -> tuple[np.ndarray,
     return ids, [who[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], [sim[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-def in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, code) in the order of a hyperplane code -> id, near, sims: the best of each block of consecutive vectors."""
+def in_blocks(size: int):
+    """(id, code) in the order of a hyperplane code -> id, near, sims: the best of each block of `size` consecutive vectors, or a few more."""
 
     def brute(ids: np.ndarray, code: np.ndarray) -> pa.RecordBatch:
         sims = closeness(code)
@@ -117,18 +118,21 @@ def in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = np.take_along_axis(sims, at, 1)
         return pa.RecordBatch.from_arrays([pa.array(ids), pa.array([ids[r].tobytes() for r in at], pa.binary()), pa.array([r.astype(np.float32).tobytes() for r in found], pa.binary())], names=["id", "near", "sims"])
 
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    for batch in batches:
-        if batch.num_rows:
-            held.append((batch.column(0).to_numpy(), matrix(batch.column(1), "f4")))
-        if sum(len(i) for i, _ in held) >= 2 * BLOCK:
-            ids, code = np.concatenate([i for i, _ in held]), np.concatenate([c for _, c in held])
-            whole = len(ids) // BLOCK - 1
-            for b in range(whole):
-                yield brute(ids[b * BLOCK : (b + 1) * BLOCK], code[b * BLOCK : (b + 1) * BLOCK])
-            held = [(ids[whole * BLOCK :], code[whole * BLOCK :])]
-    if held:
-        yield brute(np.concatenate([i for i, _ in held]), np.concatenate([c for _, c in held]))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            if batch.num_rows:
+                held.append((batch.column(0).to_numpy(), matrix(batch.column(1), "f4")))
+            if sum(len(i) for i, _ in held) >= 2 * size:
+                ids, code = np.concatenate([i for i, _ in held]), np.concatenate([c for _, c in held])
+                whole = len(ids) // size - 1
+                for b in range(whole):
+                    yield brute(ids[b * size : (b + 1) * size], code[b * size : (b + 1) * size])
+                held = [(ids[whole * size :], code[whole * size :])]
+        if held:
+            yield brute(np.concatenate([i for i, _ in held]), np.concatenate([c for _, c in held]))
+
+    return run
 
 
 def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,6 +224,8 @@ def build(points: DataFrame, dims: int) -> DataFrame:
     """points(id, code) -> the neighbour graph: id, code, near, sims."""
     spark = points.sparkSession
     n = parts(spark)
+    total = points.count()
+    size = max(2 * NEAR, min(BLOCK, total // 8))  # of few vectors too, blocks are parts
     rng = np.random.default_rng(11)
     planes = rng.normal(size=(TREES, dims, PLANES + 1))
     some = points.orderBy(F.xxhash64("id", F.lit(31)), "id").limit(SEEDS).select("code").toArrow()
@@ -236,21 +242,20 @@ def build(points: DataFrame, dims: int) -> DataFrame:
     merged = f"{NODE}, fresh long"
     lists_ = None
     for t in range(TREES):
-        block = sided.select("id", "code", f"side{t}", f"along{t}").repartitionByRange(n, f"side{t}", f"along{t}", "id").sortWithinPartitions(f"side{t}", f"along{t}", "id").select("id", "code").mapInArrow(in_blocks, "id long, near binary, sims binary")
+        block = sided.select("id", "code", f"side{t}", f"along{t}").repartitionByRange(n, f"side{t}", f"along{t}", "id").sortWithinPartitions(f"side{t}", f"along{t}", "id").select("id", "code").mapInArrow(tidy(in_blocks(size)), "id long, near binary, sims binary")
         lists_ = block if lists_ is None else lists_.union(block)
 
     def combined(base: DataFrame, more: DataFrame) -> DataFrame:
         rows = base.withColumn("old", F.lit(True)).unionByName(more.select("id", F.lit(None).cast("binary").alias("code"), "near", "sims").withColumn("old", F.lit(False)))
-        return rows.repartition(n, "id").sortWithinPartitions("id").mapInArrow(merge, merged)
+        return rows.repartition(n, "id").sortWithinPartitions("id").mapInArrow(tidy(merge), merged)
 
     empty = sided.select("id", "code", F.lit(b"").alias("near"), F.lit(b"").alias("sims"))
     nodes = stored(combined(empty, lists_), "nodes")
-    total = nodes.count()
     for _ in range(ROUNDS):
         graph = nodes.select("id", "code", "near", "sims")
         members = edges(graph).union(back_links(graph)).where("id <> other").distinct()
         sent = members.select(F.col("id").alias("pivot"), F.col("other").alias("id")).join(worst_of(graph), "id")
-        better = sent.select("pivot", "id", "code", "worst").repartition(n, "pivot").sortWithinPartitions("pivot").mapInArrow(joined_locally, "id long, near binary, sims binary")
+        better = sent.select("pivot", "id", "code", "worst").repartition(n, "pivot").sortWithinPartitions("pivot").mapInArrow(tidy(joined_locally), "id long, near binary, sims binary")
         nodes = stored(combined(graph, better), "nodes")
         if (nodes.agg(F.sum("fresh").alias("n")).first()["n"] or 0) <= ENOUGH * NEAR * total:
             break
@@ -272,7 +277,7 @@ def adjacency(nodes: DataFrame) -> DataFrame:
             code = t["code"].to_pylist()
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array([who[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()), pa.array([b"".join(code[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())], names=["id", "near", "codes"])
 
-    return rows.select("id", "other", "code").mapInArrow(run, "id long, near binary, codes binary")
+    return rows.select("id", "other", "code").mapInArrow(tidy(run), "id long, near binary, codes binary")
 
 
 BEAMS = "query long, code binary, beam binary, sims binary, done binary, open long"
@@ -289,7 +294,7 @@ def search(queries: DataFrame, nodes: DataFrame, width: int = BEAM) -> DataFrame
     """queries(id, code) -> query, beam (ids, best first): greedy search from a bounded sample of nodes."""
     spark = nodes.sparkSession
     n = parts(spark)
-    seeds = nodes.select("id", "code").orderBy(F.xxhash64("id", F.lit(29)), "id").limit(SEEDS).toArrow()
+    seeds = nodes.select("id", "code").orderBy(F.xxhash64("id", F.lit(29)), "id").limit(max(1, min(SEEDS, nodes.count() // 8))).toArrow()
     seed_ids = seeds["id"].to_numpy()
     seed_codes = matrix(seeds["code"], "f4") if len(seed_ids) else np.zeros((0, 1), np.float32)
     near = stored(adjacency(nodes), "near")
@@ -339,7 +344,7 @@ def search(queries: DataFrame, nodes: DataFrame, width: int = BEAM) -> DataFrame
                 out.append((int(query[own]), code[own], *beam_row(ids, s, flags, width)))
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64()), strict=True)], names=["query", "code", "beam", "sims", "done", "open"])
 
-    state = stored(queries.select("id", "code").mapInArrow(begin, BEAMS), "beam")
+    state = stored(queries.select("id", "code").mapInArrow(tidy(begin), BEAMS), "beam")
     finished = None
     while True:  # ends: a beam only gets better, and each step expands what is open
         live = state.where("open > 0")
@@ -348,9 +353,9 @@ def search(queries: DataFrame, nodes: DataFrame, width: int = BEAM) -> DataFrame
         if live.isEmpty():
             return finished
         asked = live.select("query", "code", "beam", "done").mapInArrow(ask, "id long, query long, code binary")
-        replies = asked.join(near, "id").select("query", "code", "near", "codes").mapInArrow(reply, "query long, beam binary, sims binary")
+        replies = asked.join(near, "id").select("query", "code", "near", "codes").mapInArrow(tidy(reply), "query long, beam binary, sims binary")
         rows = live.select("query", "code", "beam", "sims", "done").unionByName(replies.select("query", F.lit(None).cast("binary").alias("code"), "beam", "sims", F.lit(None).cast("binary").alias("done")))
-        state = stored(rows.repartition(n, "query").sortWithinPartitions("query").mapInArrow(advance, BEAMS), "beam")
+        state = stored(rows.repartition(n, "query").sortWithinPartitions("query").mapInArrow(tidy(advance), BEAMS), "beam")
 
 
 def nearest(df: DataFrame, key: str = "vec_id", vector: str = "embedding", every: int = 20, top: int = 20, width: int = BEAM) -> DataFrame:
