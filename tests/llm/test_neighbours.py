@@ -48,6 +48,16 @@ def test_edges(spark):
     assert found(table(spark, [])) == {}
 
 
+def test_recall_of_uniform_vectors(spark):
+    """Nothing clusters; every id divisible by 20 asks, and the graph is a graph, not one block."""
+    rng = np.random.default_rng(9)
+    x = rng.uniform(-1, 1, size=(2000, 24)).astype(np.float32).astype(float)
+    rows = list(enumerate(x))
+    got, want = found(table(spark, rows)), brute(rows)
+    hits = sum(len({i for _, i, _ in got[q]} & set(want[q])) for q in want)
+    assert set(got) == set(want) and hits >= 0.9 * 20 * len(want)
+
+
 @pytest.mark.parametrize("copies", [60])
 def test_a_large_group_of_copies(spark, copies):
     rng = np.random.default_rng(2)

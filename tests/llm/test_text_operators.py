@@ -96,6 +96,23 @@ def test_urls(spark):
     assert {r["verdict"] for r in none.collect()} == {"block"}
 
 
+def test_urls_with_many_shapes_of_rules(spark):
+    rng = random.Random(21)
+    deep = ".".join("abcdefghijkl")  # more labels than a key holds
+    hosts = ["a.b", "b", "x.a.b", deep, "z." + deep, "y.z." + deep[2:], "ü.b"]
+    paths = ["", "/", "/p", "/p/q", "/" + "r" * 300, "/" + "r" * 299 + "s", "/é"]
+    rules = [(rng.choice(hosts), p, v) for p in paths for v in ("allow", "block") for _ in range(3)] + [("", "/", "block"), (None, "/", "block"), ("a.b", None, "block"), ("a.b", "/", None)]
+    urls_ = [f"http://{h}{p}{rng.choice(['', 'x', '?q'])}" for h in hosts for p in paths]
+    pages = spark.createDataFrame(list(enumerate(urls_)), "page_id long, url string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in urls.judge(pages, spark.createDataFrame(rules, urls.RULES)).collect()}
+    for i, u in enumerate(urls_):
+        rest = u.split("://", 1)[1]
+        host = re.match(r"[^/?#]*", rest)[0]
+        path = re.match(r"[^?#]*", rest[len(host) :])[0]
+        fits = [(len(h + p), len(h), v, h + p) for h, p, v in rules if h and p is not None and v and ("." + host).endswith("." + h) and path.startswith(p)]
+        assert got[i] == ((max(fits)[3], max(fits)[2]) if fits else (None, "allow")), u
+
+
 def test_bpe_equals_the_library(spark):
     from tokenizers import Tokenizer
 
@@ -167,10 +184,11 @@ def near_texts():
     return [*out, *out[:10], None, "", " ", "a b", "a b", "a  b", "a b c", *strange]
 
 
-@pytest.mark.parametrize("small,block", [(256, 1024), (3, 1024), (2, 3)])
-def test_jaccard_equals_brute_force(spark, small, block, monkeypatch):
+@pytest.mark.parametrize("small,block,mass", [(256, 1024, 1 << 21), (3, 1024, 300), (2, 3, 1 << 21)])
+def test_jaccard_equals_brute_force(spark, small, block, mass, monkeypatch):
     monkeypatch.setattr(jaccard, "SMALL", small)
     monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "MASS", mass)
     texts = near_texts()
     sets = [shingles(t) for t in texts]
     n = len(texts)
@@ -179,15 +197,33 @@ def test_jaccard_equals_brute_force(spark, small, block, monkeypatch):
     for _ in range(n):
         for i in range(n):
             root[i] = min([root[i], *(root[j] for j in links[i])])
-    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard.near_duplicates(documents(spark, texts)).collect()}
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard.near_duplicates(documents(spark, texts), recall=0.99999).collect()}
     assert got == {i: (root[i], len(links[i])) for i in range(n)}
     if small == 256:
         kept = jaccard.keep_one(documents(spark, texts))
         assert kept.columns == documents(spark, []).columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(i for i in range(n) if root[i] == i)
 
 
+def test_a_common_passage_costs_levels_not_squares(spark, monkeypatch):
+    """Texts that share only a passage part from one another below it; near copies among them are found."""
+    monkeypatch.setattr(jaccard, "SMALL", 8)
+    rng = random.Random(12)
+    passage = "a passage that a great many of these documents hold word by word from its first to its last one".split()
+    own = [[f"w{rng.randint(0, 10**6)}" for _ in range(30)] for _ in range(150)]
+    texts = [" ".join(w + passage) for w in own] + [" ".join([*w[:-1], "other", *passage]) for w in own[:20]]
+    rows = jaccard.sketch(documents(spark, texts).select(F.col("doc_id").alias("id"), "text"), 5)
+    leaves = jaccard.leaf_buckets(rows.select("id", "n", "samples"), 4)
+    sizes = [r["count"] for r in leaves.groupBy("bucket").count().collect()]
+    assert max(sizes) <= 40  # of 170 that share the passage
+    got = {r["doc_id"]: r["class_id"] for r in jaccard.near_duplicates(documents(spark, texts)).collect()}
+    assert got == {i: i if i < 150 else i - 150 for i in range(170)}
+
+
 def test_jaccard_edges(spark):
     assert jaccard.near_duplicates(documents(spark, [])).count() == 0
+    # of rows with one id the smallest text counts, for the classes and the links alike
+    twice = documents(spark, ["b " * 9, "a c d e f g h", "a c d e f g h", "b " * 9], [5, 5, 6, 7])
+    assert sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in jaccard.near_duplicates(twice).collect()) == [(5, 5, 1), (6, 5, 1), (7, 7, 0)]
     rows = jaccard.near_duplicates(documents(spark, ["a b c d e f", "a b c d e f", "x", None], [1, 1, None, 2])).collect()
     assert sorted((r["doc_id"] or 0, r["class_id"] or 0, r["n_links"]) for r in rows) == [(0, 0, 0), (1, 1, 0), (2, 2, 0)]
 
@@ -204,6 +240,24 @@ def test_shortages_go_to_siblings_first(spark):
     assert mixing.mix(docs.limit(0), mixing.LEVELS, {}).count() == 0
 
 
+def test_wide_families_are_shared_alike(spark):
+    rng = random.Random(31)
+    rows = [(p, f"c{i}", rng.choice([0, 1, 1, 2, 5]), rng.choice([0, 7, 7, 100, rng.randint(0, 5000)]), b) for p, b in (("a", 20_000), ("b", 999_999), ("c", 0), ("d", 17)) for i in range(60)]
+    nodes = spark.createDataFrame(rows, "parent string, child string, weight long, cap long, budget long").withColumn("weight", F.when(F.col("cap") > 0, F.col("weight")).otherwise(0)).withColumn("cap", F.when(F.col("weight") > 0, F.col("cap")).otherwise(0))
+    most = nodes.groupBy("parent").agg(F.sum("cap").alias("most"))
+    nodes = nodes.join(most, "parent").withColumn("budget", F.least("budget", "most")).drop("most")
+    told = lambda df: sorted((r["parent"], r["child"], r["given"], r["cap"], r["budget"]) for r in df.collect())
+    narrow, wide = (told(mixing.share(nodes, ["parent"], "child", w)) for w in (False, True))
+    assert narrow == wide and all(0 <= g <= c for _, _, g, c, _ in narrow)
+    given, budgets = Counter(), {}
+    for p, _, g, _, b in narrow:
+        given[p] += g
+        budgets[p] = b
+    assert given == budgets
+    one = nodes.where("parent = 'a'").drop("parent")
+    assert [sorted((r["child"], r["given"]) for r in mixing.share(one, [], "child", w).collect()) for w in (False, True)] == [[(c, g) for p, c, g, _, _ in narrow if p == "a"]] * 2
+
+
 def test_mixture_ranges_and_nulls(spark, monkeypatch):
     texts = [*sentences(4, 200), None, ""]
     rows = [(i, t, None if i % 7 == 0 else "en", None if i % 11 == 0 else f"src{i % 3}", 1, 5) for i, t in enumerate(texts)]
@@ -233,6 +287,16 @@ def test_quality(spark):
     got = {r["doc_id"]: r for r in quality.judge_quality(docs, labels).collect()}
     assert len(got) == len(texts)
     ratios = quality.learn(docs, labels)
+    # the two counts, one n-gram at a time
+    bucket = lambda raw, k: ((raw[k] << 16 | raw[k + 1] << 8 | raw[k + 2]) * 2654435761 % 2**32) >> (32 - quality.BITS)
+    raws = [(t or "").encode() for t in texts]
+    trusted = {r["doc_id"] for r in labels.collect() if r["quality"] == 1}
+    every = Counter(bucket(raw, k) for raw in raws for k in range(len(raw) - 2))
+    target = Counter(bucket(raw, k) for i, raw in enumerate(raws) if i in trusted for k in range(len(raw) - 2))
+    n, m, size = sum(every.values()), sum(target.values()), 1 << quality.BITS
+    for b in (*list(every)[:300], 0, 1, 2):
+        want = math.log((target[b] + 1) / (m + size)) - math.log((every[b] + 1) / (n + size))
+        assert abs(int(ratios[b]) / quality.SCALE - want) < 2 / quality.SCALE
     for i, t in enumerate(texts):
         r = got[i]
         assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"]) == base_of(t)
@@ -274,6 +338,17 @@ def test_secrets(spark):
         told = [x for x in r["spans"].split(",") if x]
         assert [x for x in told if x.split(":")[0] in names[:3]] == [f"{names[n]}:{a}:{b}" for a, n, b in want]
     assert got[len(texts) - 1]["spans"] == "prefixed:0:40" and got[len(texts) - 3]["spans"].startswith("jwt:0:")
+    # all spans are those of plain searches of every text by every rule
+    texts2 = [*texts, "-----BEGIN RSA PRIVATE KEY-----\nAbc+/=\n-----END RSA PRIVATE KEY-----", "x -----BEGIN PRIVATE KEY-----abc", "postgres://me:pw0@db/x https://a:b@c http://a/b:c@d", "xoxb-0123456789-x sk_live_" + "a1" * 8, "gho_" + "Z9" * 18 + " AKIA" + "7" * 16, "ghp_short"]
+    ids = [*range(len(texts2) - 1), 0]
+    rows = secrets.scan_secrets(documents(spark, texts2, ids)).collect()
+    want = Counter()
+    for i, t in zip(ids, texts2, strict=True):
+        spans = [(m.start(), n, m.end()) for n, rule in enumerate((*secrets.BASE_RULES, *secrets.MORE_RULES)) for m in re.finditer(rule.pattern, t or "", rule.flags) if m.end(rule.group) - m.start(rule.group) >= rule.least]
+        want[i, ",".join(f"{names[n]}:{a}:{b}" for a, n, b in sorted(spans))] += 1
+    assert Counter((r["doc_id"], r["spans"]) for r in rows) == want
+    assert any("private_key" in x for _, x in want) and sum("url_password" in x for _, x in want) == 2
+    assert secrets.scan_secrets(documents(spark, [])).count() == 0 and secrets.redact(documents(spark, [])).count() == 0
     out = secrets.redact(documents(spark, texts))
     assert out.columns == documents(spark, []).columns
     red = {r["doc_id"]: r for r in out.collect()}
@@ -446,3 +521,56 @@ def test_toxicity_on_held_out_documents(spark):
     assert not any(got[len(texts) + i]["is_toxic"] for i in range(len(EDGE)))
     assert toxicity.score(documents(spark, []), labels).count() == 0
     assert {r["p_toxic"] < 1e-6 for r in toxicity.score(docs, labels.limit(0)).collect()} == {True}
+    # repeated rows are scored each and alike; of an id with several texts the smallest is trained on, whatever the order
+    twice = documents(spark, [*texts, texts[0], "zzz " + texts[4]], [*range(len(texts)), 0, 4])
+    again = toxicity.score(twice.repartition(5), labels).collect()
+    assert len(again) == len(texts) + 2
+    by = {}
+    for r in again:
+        by.setdefault(r["doc_id"], []).append(r["p_toxic"])
+    assert len(by[0]) == 2 and by[0][0] == by[0][1] and all(abs(by[i][0] - got[i]["p_toxic"]) < 1e-9 for i in range(5, 60))
+    # the sample is bounded by bytes too
+    small = toxicity.learn(docs, labels, sample_bytes=1)
+    assert [len(h) for h in small.hashes] == [0, 0]
+
+
+def test_the_chain_equals_a_plain_one():
+    """Features, folds and weights against a chain written out document by document."""
+    rng = np.random.default_rng(8)
+    docs, kinds = 240, 40
+    holds = rng.random((docs, kinds)) < 0.3
+    names = np.sort(rng.integers(1, 1 << 62, kinds).astype(np.uint64))
+    first = (holds[:, 0] | holds[:, 1]).astype(int)
+    second = ((first == 1) & holds[:, 2] | holds[:, 3]).astype(int)
+    labels = np.stack([first, second], axis=1)
+    doc, which = np.nonzero(holds)
+    chain = toxicity.train(doc, names[which], labels, ["one", "two"])
+
+    def best_of(use, y):
+        told = []
+        for f in range(kinds):
+            a, b = sum(holds[use, f] & (y[use] == 1)), sum(holds[use, f] & (y[use] == 0))
+            c, d = sum(~holds[use, f] & (y[use] == 1)), sum(~holds[use, f] & (y[use] == 0))
+            n = a + b + c + d
+            chi = n * (a * d - b * c) ** 2 / max((a + b) * (n - a - b) * (a + c) * (n - a - c), 1)
+            if chi >= toxicity.TELLING and a + b >= toxicity.LEAST:
+                told.append(f)
+        return told
+
+    fold = np.random.default_rng(1).permutation(docs) % toxicity.FOLDS
+    before = np.zeros((docs, 0))
+    for c in range(2):
+        y = labels[:, c]
+        out = np.zeros((docs, 1))
+        for f in range(toxicity.FOLDS):
+            use = fold != f
+            x = np.hstack([holds[:, best_of(use, y)].astype(float), before])
+            w = toxicity.fit(x[use].astype(np.float32), y[use].astype(float))
+            out[~use, 0] = 1 / (1 + np.exp(-(x[~use] @ w[:-1] + w[-1])))
+        every = best_of(np.ones(docs, bool), y)
+        assert chain.hashes[c].tolist() == names[every].tolist()
+        w = toxicity.fit(np.hstack([holds[:, every].astype(float), before]).astype(np.float32), y.astype(float))
+        assert np.allclose(chain.weights[c], w, atol=1e-4)
+        before = np.hstack([before, out])
+    # the second model leans on what the first one says
+    assert chain.weights[1][len(chain.hashes[1])] != 0

@@ -7,7 +7,9 @@ threshold and no base rule fails it.  All counts cover all documents; ratios are
 summed as integers, so the verdict depends on neither batching nor order.
 
 Null and empty texts have no words: base_failed.  Without a single trusted document there is no
-ratio: the base rules alone decide.  Repeated rows are counted and judged as often as they come.
+ratio: the base rules alone decide.  Repeated rows are counted and judged as often as they come; a null id is never
+trusted.  judge_quality reads the key and the text only, keep_good passes all columns on as they are, whatever their
+names.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,8 +31,8 @@ BLOCKS = 16
 THRESHOLD = -0.5
 SCALE = 1 << 20
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-#: Trusted ids up to this many are broadcast (8 bytes each); more are joined by a shuffle.
-MOST_BROADCAST = 2_000_000
+#: Trusted ids up to this many are broadcast (some 10 MB); more are joined by a shuffle.
+MOST_BROADCAST = 300_000
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[np.frombuffer(b"#*$%&|<>", np.uint8)] = True
@@ -112,15 +114,20 @@ def log_ratios(target: np.ndarray, raw: np.ndarray) -> np.ndarray | None:
     return np.rint(ratio * SCALE).astype(np.int64)
 
 
-def marked(docs: DataFrame, labels: DataFrame, key: str, columns: list[str], name: str = "good_") -> DataFrame:
-    """docs' columns and whether the document is trusted: all its labels say quality 1."""
-    good = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("q")).where("q = 1").select(F.col("doc_id").alias("good_id"))
-    side = F.broadcast(good) if fits(good, MOST_BROADCAST) else good
-    return docs.select(*columns).join(side, F.col(key) == F.col("good_id"), "left").select(*columns, F.col("good_id").isNotNull().alias(name))
+def trusted(labels: DataFrame) -> DataFrame:
+    """good_id of the documents all of whose labels say quality 1."""
+    return labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("q")).where("q = 1").select(F.col("doc_id").alias("good_id"))
 
 
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> np.ndarray | None:
-    return log_ratios(*count_ngrams(marked(docs, labels, key, [key, text]), text, "good_"))
+    """The ratios. Few trusted ids are broadcast and all texts read once; many are joined, so that only trusted texts are shuffled, and all texts read again for the raw counts."""
+    texts, good = docs.select(docs[key].alias("id"), docs[text].alias("text")), trusted(labels)
+    if fits(good, MOST_BROADCAST):
+        marked = texts.join(F.broadcast(good), F.col("id") == F.col("good_id"), "left").select("text", F.col("good_id").isNotNull().alias("good"))
+        return log_ratios(*count_ngrams(marked, "text", "good"))
+    target, _ = count_ngrams(texts.join(good, F.col("id") == F.col("good_id"), "left_semi").select("text", F.lit(True).alias("good")), "text", "good")
+    _, raw = count_ngrams(texts.select("text", F.lit(False).alias("good")), "text", "good")
+    return log_ratios(target, raw)
 
 
 def verdicts(data: np.ndarray, offsets: np.ndarray, ratios: np.ndarray | None, threshold: float = THRESHOLD) -> dict[str, np.ndarray]:

@@ -1,14 +1,16 @@
 """Secret scans through a trigram inverted index.
 
 From every rule's regular expression a Boolean trigram query is derived: which trigrams each match
-must hold, as ands and ors.  The index is sharded by document: each batch of texts builds postings
+must hold, as ands and ors.  The index is sharded by document and lives as long as its shard is scanned: each batch of texts builds postings
 (trigram -> documents) of the trigrams that some rule asks for, over ASCII lower-cased bytes; the
 queries intersect and unite postings, and only candidate documents are searched with the regex.
 Rules without mandatory trigrams scan every text.  Nothing is shuffled, so one hot source or a large
 group of copies weighs no more than its bytes.
 
 Spans are code points, end exclusive; null and empty texts have none.  Matches of a rule are leftmost
-and do not overlap; those that fail the rule's length test are dropped after matching.
+and do not overlap; those that fail the rule's length test are dropped after matching.  Spans that start at one
+place come in the order of the rules.  Repeated rows are scanned each; an empty table gives an empty result; scan_secrets
+reads the key and the text only, redact passes all columns on, whatever their names.
 """
 
 from __future__ import annotations
