@@ -217,6 +217,11 @@ def test_a_common_passage_costs_levels_not_squares(spark, monkeypatch):
     assert max(sizes) <= 40  # of 170 that share the passage
     got = {r["doc_id"]: r["class_id"] for r in jaccard.near_duplicates(documents(spark, texts)).collect()}
     assert got == {i: i if i < 150 else i - 150 for i in range(170)}
+    # near copies by the dozen are not split, which would only multiply them
+    copies = [" ".join([*own[0], *passage, f"v{i}"]) for i in range(60)]
+    rows = jaccard.sketch(documents(spark, copies).select(F.col("doc_id").alias("id"), "text"), 5)
+    assert jaccard.leaf_buckets(rows.select("id", "n", "samples"), 4).count() <= 60 * 4 * 8
+    assert {(r["class_id"], r["n_links"]) for r in jaccard.near_duplicates(documents(spark, copies)).collect()} == {(0, 59)}
 
 
 def test_jaccard_edges(spark):

@@ -7,7 +7,7 @@ the paths that it chooses: at each level about PICKS of its sampled tokens that
 by a hash of path and token.  Buckets of up to SMALL sets are compared by brute force; larger ones split
 on, level by level, up to LEVELS.  A set leaves a path that splits nothing off (as all tokens of a passage do that
 very many documents hold) if ENOUGH others of its paths there do, so such a passage costs a level and not the square of
-its documents.  A bucket that stays large all the same, as sets that are alike in most tokens make it, is
+its documents.  A large bucket of sets that are alike in most tokens, and one that stays large to the end, is
 compared in pairs of blocks, exactly.  A set that has hardly a token left for a large bucket's next level is
 compared with the like of it there.  A pair is taken up only in the first of the leaf buckets that both
 sets are in, so runs do not multiply it.  Runs repeat until a pair at the threshold is missed with less than
@@ -47,6 +47,8 @@ AGREE = 0.45
 SPENT = 2
 #: Paths that must split off a large bucket for a set to leave those that do not.
 ENOUGH = 2
+#: Share of sampled tokens that the sets of a large bucket have in common with one of them, on average, from which splitting is no use.
+ALIKE = 0.6
 _U = np.uint64
 
 
@@ -153,6 +155,18 @@ def without_idle_paths(rows: DataFrame) -> DataFrame:
     return kept.select(*rows.columns)
 
 
+def alike(large: DataFrame) -> DataFrame:
+    """large(bucket, id, samples, ...) -> the same with `alike`: whether the sets of the bucket share most sampled tokens with one of them."""
+    token = lambda c, i: F.substring(c, 4 * i + 1, 4)
+    none = F.lit(bytes(4))
+    terms = [(token("samples", i), token("pivot", i)) for i in range(SLOTS)]
+    both = sum(((a == b) & (a != none)).cast("int") for a, b in terms)
+    either = sum(((a != none) | (b != none)).cast("int") for a, b in terms)
+    pivots = large.groupBy("bucket").agg(F.min_by("samples", "id").alias("pivot"))
+    shares = large.join(pivots, "bucket").groupBy("bucket").agg((F.sum(both) / F.sum(either)).alias("share"))
+    return stored(large.join(shares.select("bucket", (F.col("share") >= ALIKE).alias("alike")), "bucket"), "alike")
+
+
 def leaf_buckets(sets: DataFrame, runs: int) -> DataFrame:
     """sets(id, n, samples) -> bucket, id, blocks (1: the bucket is compared whole): the leaves of all paths that at least two sets share."""
     rows, leaves = stored(first_level(sets, runs), "paths"), None
@@ -172,7 +186,11 @@ def leaf_buckets(sets: DataFrame, runs: int) -> DataFrame:
         large = met.where(~leaf)
         if large.isEmpty():
             break
-        rows = stored(next_level(large.join(sets.select("id", "samples"), "id")), "paths")
+        marked = alike(stored(large.withColumn("blocks", blocks).join(sets.select("id", "samples"), "id"), "large"))
+        leaves = leaves.unionByName(marked.where("alike").select("bucket", "id", "blocks"))
+        if (rest := marked.where("not alike")).isEmpty():
+            break
+        rows = stored(next_level(rest), "paths")
     return leaves
 
 
