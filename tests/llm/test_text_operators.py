@@ -224,6 +224,23 @@ def test_a_common_passage_costs_levels_not_squares(spark, monkeypatch):
     assert {(r["class_id"], r["n_links"]) for r in jaccard.near_duplicates(documents(spark, copies)).collect()} == {(0, 59)}
 
 
+def test_texts_of_many_sizes_are_not_split_below_a_passage(spark, monkeypatch):
+    """Few pairs of a large bucket can be near copies if its sizes are far apart: it is compared, and makes no rows of paths."""
+    monkeypatch.setattr(jaccard, "SMALL", 8)
+    rng = random.Random(13)
+    passage = "a passage that a great many of these documents hold word by word from its first to its last one".split()
+    own = [[f"w{rng.randint(0, 10**6)}" for _ in range(int(10 * 1.1**i))] for i in range(50)]
+    texts = [" ".join(w + passage) for w in own] + [" ".join([*w[:-1], "other", *passage]) for w in own[10:]]
+    split = []
+    below = jaccard.next_level
+    monkeypatch.setattr(jaccard, "next_level", lambda large: split.append(large.count()) or below(large))
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard.near_duplicates(documents(spark, texts), recall=0.99999).collect()}
+    sets = [shingles(t) for t in texts]
+    links = [[j for j in range(90) if j != i and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])] for i in range(90)]
+    assert got == {i: (min([i, *links[i]]), len(links[i])) for i in range(90)}
+    assert not split
+
+
 def test_jaccard_edges(spark):
     assert jaccard.near_duplicates(documents(spark, [])).count() == 0
     # of rows with one id the smallest text counts, for the classes and the links alike

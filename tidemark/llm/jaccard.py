@@ -4,8 +4,8 @@ A document is the set of its k-word shingles (64-bit hashes).  Documents with eq
 and meet the join as one set.  Every set keeps SLOTS sampled tokens: the smallest hash of each slot, so
 that two sets share the token of a slot with a probability of their similarity.  A run sends a set down
 the paths that it chooses: at each level about PICKS of its sampled tokens that are not on the path yet,
-by a hash of path and token.  Buckets of up to SMALL sets are compared by brute force; larger ones split
-on, level by level, up to LEVELS.  A set leaves a path that splits nothing off (as all tokens of a passage do that
+by a hash of path and token.  Buckets of up to SMALL sets, or of few pairs whose sizes allow the threshold, are
+compared by brute force; larger ones split on, level by level, up to LEVELS.  A set leaves a path that splits nothing off (as all tokens of a passage do that
 very many documents hold) if ENOUGH others of its paths there do, so such a passage costs a level and not the square of
 its documents.  A large bucket of sets that are alike in most tokens, and one that stays large to the end, is
 compared in pairs of blocks, exactly.  A set that has hardly a token left for a large bucket's next level is
@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import parts, stored
@@ -40,6 +40,8 @@ from .kernel import mix, pieces, sorted_runs, spread, tidy, windows, words_of
 SLOTS, PICKS, SMALL, BLOCK, LEVELS = 32, 4.0, 256, 2048, 5
 #: Shingles of the sets that are compared at a time, about.
 MASS = 1 << 21
+#: Pairs that fit by size, in squares of SMALL, up to which a large bucket is compared, not split.
+FIT = 8
 RECALL = 0.999
 #: Sampled tokens that must agree, as a share: at similarity 0.8 fewer agree once in 10**5 pairs.
 AGREE = 0.45
@@ -155,8 +157,16 @@ def without_idle_paths(rows: DataFrame) -> DataFrame:
     return kept.select(*rows.columns)
 
 
-def alike(large: DataFrame) -> DataFrame:
-    """large(bucket, id, samples, ...) -> the same with `alike`: whether the sets of the bucket share most sampled tokens with one of them."""
+def fitting(large: DataFrame, threshold: float) -> DataFrame:
+    """large(bucket, n, ...) -> bucket, pairs: at least as many as its pairs of which the smaller set has `threshold` of the larger one's size."""
+    bands = large.groupBy("bucket", F.floor(F.log("n") / max(-math.log(threshold), 1e-9)).alias("band")).agg(F.count(F.lit(1)).alias("sets"))
+    below = Window.partitionBy("bucket").orderBy("band").rangeBetween(-1, -1)  # a bucket has a few dozen bands
+    met = F.col("sets") * (F.col("sets") - 1) / 2 + F.col("sets") * F.coalesce(F.sum("sets").over(below), F.lit(0))
+    return bands.withColumn("met", met).groupBy("bucket").agg(F.sum("met").alias("pairs"))
+
+
+def marked(large: DataFrame, threshold: float) -> DataFrame:
+    """large(bucket, id, n, samples, ...) -> the same with `whole_leaf`: whether few pairs of the bucket fit by size, or its sets share most sampled tokens with one of them."""
     token = lambda c, i: F.substring(c, 4 * i + 1, 4)
     none = F.lit(bytes(4))
     terms = [(token("samples", i), token("pivot", i)) for i in range(SLOTS)]
@@ -164,10 +174,11 @@ def alike(large: DataFrame) -> DataFrame:
     either = sum(((a != none) | (b != none)).cast("int") for a, b in terms)
     pivots = large.groupBy("bucket").agg(F.min_by("samples", "id").alias("pivot"))
     shares = large.join(pivots, "bucket").groupBy("bucket").agg((F.sum(both) / F.sum(either)).alias("share"))
-    return stored(large.join(shares.select("bucket", (F.col("share") >= ALIKE).alias("alike")), "bucket"), "alike")
+    leaf = (F.col("share") >= ALIKE) | (F.col("pairs") <= FIT * SMALL * SMALL)
+    return stored(large.join(shares.join(fitting(large, threshold), "bucket").select("bucket", leaf.alias("whole_leaf")), "bucket"), "marked")
 
 
-def leaf_buckets(sets: DataFrame, runs: int) -> DataFrame:
+def leaf_buckets(sets: DataFrame, runs: int, threshold: float = 0.8) -> DataFrame:
     """sets(id, n, samples) -> bucket, id, blocks (1: the bucket is compared whole): the leaves of all paths that at least two sets share."""
     rows, leaves = stored(first_level(sets, runs), "paths"), None
     for level in range(LEVELS):
@@ -186,9 +197,9 @@ def leaf_buckets(sets: DataFrame, runs: int) -> DataFrame:
         large = met.where(~leaf)
         if large.isEmpty():
             break
-        marked = alike(stored(large.withColumn("blocks", blocks).join(sets.select("id", "samples"), "id"), "large"))
-        leaves = leaves.unionByName(marked.where("alike").select("bucket", "id", "blocks"))
-        if (rest := marked.where("not alike")).isEmpty():
+        told = marked(stored(large.withColumn("blocks", blocks).join(sets.select("id", "samples"), "id"), "large"), threshold)
+        leaves = leaves.unionByName(told.where("whole_leaf").select("bucket", "id", "blocks"))
+        if (rest := told.where("not whole_leaf")).isEmpty():
             break
         rows = stored(next_level(rest), "paths")
     return leaves
@@ -197,14 +208,18 @@ def leaf_buckets(sets: DataFrame, runs: int) -> DataFrame:
 def compare(threshold: float):
     """Rows (group, bucket, id, n, samples, homes, side), sorted by group -> (group, id, partners): the pairs whose samples agree and whose first common leaf this bucket is. homes: all leaves of the set."""
 
-    def pairs_of(side: np.ndarray, most: int = 1 << 15) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """All pairs x < y, a few rows at a time; of two blocks the pairs across them only."""
+    def pairs_of(sizes: np.ndarray, side: np.ndarray, most: int = 1 << 15) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """All pairs x < y whose sizes, ascending, allow the threshold, a few rows at a time; of two blocks the pairs across them only."""
         n = len(side)
         across = bool((side >= 0).any())
-        strip = max(1, most // n)
-        for lo in range(0, n - 1, strip):
-            rows = np.arange(lo, min(lo + strip, n - 1))
-            x, y = np.repeat(rows, n - 1 - rows), spread(rows + 1, n - 1 - rows)
+        many = np.searchsorted(threshold * sizes, sizes, "right") - np.arange(1, n + 1)
+        ends = np.cumsum(many)
+        lo = 0
+        while lo < n:
+            hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] - many[lo] + most, "right")))
+            rows = np.arange(lo, hi)
+            x, y = np.repeat(rows, many[lo:hi]), spread(rows + 1, many[lo:hi])
+            lo = hi
             if across:
                 keep = side[x] != side[y]
                 x, y = x[keep], y[keep]
@@ -243,16 +258,15 @@ def compare(threshold: float):
             ids, at = np.unique(t["id"].to_numpy(), return_index=True)
             if len(ids) < 2:
                 continue
-            t = t.take(pa.array(at))
+            order = np.argsort(t["n"].to_numpy()[at], kind="stable")
+            ids, t = ids[order], t.take(pa.array(at[order]))
             side = t["side"].to_numpy()
             sizes = t["n"].to_numpy()
             s = as_samples(t["samples"])
             filled = s > 0
             home = None
             kept = []
-            for a, b in pairs_of(side):
-                near = np.minimum(sizes[a], sizes[b]) >= threshold * np.maximum(sizes[a], sizes[b])
-                a, b = a[near], b[near]
+            for a, b in pairs_of(sizes, side):
                 eq = (s[a] == s[b]) & filled[a]
                 good = eq.sum(1) >= AGREE * (filled[a] | filled[b]).sum(1)
                 if not good.any():
@@ -375,7 +389,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     groups = stored(one.where("same is not null").groupBy("same").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.first("n").alias("n"), F.first("samples").alias("samples")), "groups")
     sets = groups.select(F.col("rep").alias("id"), "weight", "n", "samples")
 
-    leaves = leaf_buckets(sets, runs_for(threshold, recall))
+    leaves = leaf_buckets(sets, runs_for(threshold, recall), threshold)
     homes = leaves.groupBy("id").agg(F.sort_array(F.collect_set("bucket")).alias("homes"))  # a few for each run
     # a leaf of several blocks is compared in pairs of blocks
     large = F.col("blocks") > 1
