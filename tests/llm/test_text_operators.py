@@ -505,6 +505,33 @@ def test_lm_trains_on_every_window_and_weighs_by_windows(spark, small_model, mon
         assert [len(x) for x in cut] == [64, 6, 64, 64, 2] and sum(cut, []) == list(range(200))
 
 
+def test_lm_encodes_every_text_once(spark):
+    """The first encoding keeps every text, held out or not, and gives its bytes back, so that scoring needs no second one."""
+    paths = queries.tokenizer_path(), queries.tokenizer_path("byte_bpe_50k.tiktoken")
+    texts = [*sentences(23, 40), "  A b\u00e9\t\U0001f600 <|endoftext|>\n\n", "", None, "x" * 300]
+    docs = documents(spark, texts).select(F.col("doc_id").alias("id"), "text")
+    kept = lm.coded_texts(docs, *paths, 10**4, 8, 3).where(F.col("kind") == lm.TEXT).toArrow()
+    code = lm.subwords(*paths)
+    ids, cuts = lm.from_raw(kept["ids"].to_pylist(), len(code.strings))
+    back, ends = code.texts_of(ids, cuts)
+    got = {i: back[a:b].tobytes().decode() for i, a, b in zip(kept["id"].to_pylist(), ends[:-1], ends[1:], strict=True)}
+    assert got == {i: t or "" for i, t in enumerate(texts)}
+    assert [x is None for x in kept["slot"].to_pylist()] == lm.held_out(kept["id"]).tolist()
+
+
+@pytest.mark.parametrize("size", [1.0, 30.0, 200.0])
+def test_lm_exponentials_of_any_size(size):
+    x = np.random.default_rng(5).normal(0, size, (500, 33)).astype(np.float32)
+    x[3] -= np.float32(500)
+    x[:, 7] = lm.NOTHING
+    wide = x.astype(np.float64)
+    top = wide.max(1, keepdims=True)
+    logs = top + np.log(np.exp(wide - top).sum(1, keepdims=True))
+    assert np.allclose(lm.exponentials(x)[2], logs[:, 0], rtol=1e-5, atol=1e-4)
+    lm.softmax(x)
+    assert np.allclose(x, np.exp(wide - logs), rtol=1e-3, atol=1e-6)
+
+
 def test_lm_beats_unigrams_and_bigrams_on_held_out_texts(spark):
     paths = queries.tokenizer_path(), queries.tokenizer_path("byte_bpe_50k.tiktoken")
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(F.col("doc_id").alias("id"), "text")

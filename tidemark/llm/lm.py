@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from .bpe import Coder
 from .common import parts, stored, sum_blocks
-from .kernel import pieces, release, scan, text_bytes, tidy
+from .kernel import pieces, release, scan, spread, text_bytes, tidy
 from .repeats import BUCKET, CHUNK, LEAST_CHUNK, MOST_BITS, SOME_CHUNKS, WORD_BYTES
 
 PARTS, HELD = 7, 2
@@ -59,6 +59,8 @@ RATES = (0.02, 0.01, 0.005)
 #: Of the parameters as integers: sums over 2**36 windows stay within 64 bits up to parameters of 64.
 SCALE, LARGEST = 1 << 20, 60.0
 GROUPS = 256
+#: Logarithms below this in size need no maximum taken off before their exponentials, in 32 bits.
+MODERATE = 40.0
 BLOCKS = 16
 #: Distinct words that a task holds before it sends them on.
 HELD_WORDS = 1 << 20
@@ -80,11 +82,22 @@ class Subwords(Coder):
         self.library = tiktoken.Encoding("own", pat_str=self.pattern.pattern, mergeable_ranks=table, special_tokens={}).encode_ordinary
         last = [x[-1] | 0x20 if 0x41 <= x[-1] <= 0x5A else x[-1] for x in (s or b"\0" for s in self.strings)]
         kind = [b - 0x61 if 0x61 <= b <= 0x7A else 26 + (b & 3) if b >= 0x80 else 30 if 0x30 <= b <= 0x39 else 31 for b in last]
+        sizes = np.array([len(s) for s in self.strings], np.int64)
+        self.sizes, self.begins, self.flat = sizes, np.cumsum(sizes) - sizes, np.frombuffer(b"".join(self.strings), np.uint8)
         self.kinds = np.array([2 * k + s.startswith(b" ") for k, s in zip(kind, self.strings, strict=True)], np.int64)
 
     def ids_of(self, word: str) -> bytes:
         return array("i", self.library(word)).tobytes()
 
+    def texts_of(self, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes, offsets) of the texts that were encoded."""
+        ends = np.concatenate([[0], np.cumsum(self.sizes[ids])])
+        out = np.empty(int(ends[-1]), np.uint8)
+        for lo in range(0, len(ids), 1 << 17):  # places take eight times the bytes
+            some = ids[lo : lo + (1 << 17)]
+            out[ends[lo] : ends[lo + len(some)]] = self.flat[spread(self.begins[some], self.sizes[some])]
+        return out, ends[bounds]
+
 
 @functools.lru_cache(maxsize=1)
 def subwords(path: str, ranks: str) -> Subwords:
@@ -196,26 +209,41 @@ RELATIVE = np.where(CAUSAL, RELATIVE, 0)
 def attend(q: np.ndarray, k: np.ndarray, v: np.ndarray, bias: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(weights, mixed values) of queries (groups, STEP, WIDTH) over keys and values (groups, 2 * STEP, WIDTH); bias holds the relative places, -inf for later ones; seen: which keys are no padding."""
     w = q @ k.transpose(0, 2, 1)
+    moderate = w.size and max(w.max(), -w.min()) + np.abs(bias[CAUSAL]).max() < MODERATE
     w += bias
-    w -= w.max(-1, keepdims=True)
+    if not moderate:
+        w -= w.max(-1, keepdims=True)
     np.exp(w, out=w)
     w *= seen[:, None, :]
-    w /= np.maximum(w.sum(-1, keepdims=True), np.float32(1e-30))
+    w /= np.maximum(row_sums(w), np.float32(1e-30))
     return w, w @ v
 
 
+def row_sums(x: np.ndarray) -> np.ndarray:
+    return (x.reshape(-1, x.shape[-1]) @ np.ones(x.shape[-1], x.dtype)).reshape(*x.shape[:-1], 1)
+
+
 def relative_bias(r: np.ndarray) -> np.ndarray:
     return np.where(CAUSAL, r[RELATIVE], np.float32(-np.inf)).astype(np.float32)
 
 
-def softmax(x: np.ndarray) -> np.ndarray:
-    """In place; returns what each row was divided by, and its largest, as one logarithm."""
+def exponentials(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(exponentials of each row, perhaps of what it has above its largest; their sum; the logarithm of the exponentials' sum)."""
+    if x.size and x.max() < MODERATE:
+        e = np.exp(x)
+        total = row_sums(e)
+        if total.min() > np.exp(-MODERATE):
+            return e, total, np.log(total)[:, 0]
     top = x.max(1, keepdims=True)
-    x -= top
-    np.exp(x, out=x)
-    total = x.sum(1, keepdims=True)
-    x /= total
-    return (top + np.log(total))[:, 0]
+    e = np.exp(x - top)
+    total = row_sums(e)
+    return e, total, (top + np.log(total))[:, 0]
+
+
+def softmax(x: np.ndarray) -> None:
+    """In place."""
+    e, total, _ = exponentials(x)
+    np.divide(e, total, out=x)
 
 
 def by_kind(slots: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
@@ -330,12 +358,12 @@ class Scorer:
         d = z @ self.p["o"]
         d += self.p["b"]
         hit = d[rows, kind].astype(np.float64)
-        hit -= softmax(d)
+        hit -= exponentials(d)[2]
         d = self.p["c"][kind]
         for i, a, b in spans:
             d[a:b] += z[a:b] @ self.p["m"][i]
         hit += d[rows, member]
-        hit -= softmax(d)
+        hit -= exponentials(d)[2]
         out[real] = hit
         return out
 
@@ -404,12 +432,12 @@ class Trainer:
         return np.append(self.windows, whole * self.windows)
 
 
-CODED = "kind int, slot long, place long, ids binary, block int, part int, sums binary"
+CODED = "kind int, slot long, place long, id long, chunk long, ids binary, block int, part int, sums binary"
 TEXT, COUNT, WORDS = range(3)
 
 
 def coded(rows: DataFrame, path: str, ranks: str, units: int, bits: int) -> DataFrame:
-    """rows(id, text, place) -> of the training texts: TEXT rows (slot: unit; place; ids), COUNT rows (sums: counts of ids, texts, words) and WORDS rows (block: bucket; sums: distinct hashes of lower-cased words)."""
+    """rows(id, text, place, chunk) -> of all texts TEXT rows (slot: unit, null for those held out; place, id, chunk, ids); of the training texts COUNT rows (sums: counts of ids, texts, words) and WORDS rows (block: bucket; sums: distinct hashes of lower-cased words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = subwords(path, ranks)
@@ -418,7 +446,7 @@ def coded(rows: DataFrame, path: str, ranks: str, units: int, bits: int) -> Data
         part = TaskContext.get().partitionId()
 
         def made(kind: int, n: int, **columns: pa.Array) -> pa.RecordBatch:
-            kinds = {"kind": pa.int32(), "slot": pa.int64(), "place": pa.int64(), "ids": pa.binary(), "block": pa.int32(), "part": pa.int32(), "sums": pa.binary()}
+            kinds = {"kind": pa.int32(), "slot": pa.int64(), "place": pa.int64(), "id": pa.int64(), "chunk": pa.int64(), "ids": pa.binary(), "block": pa.int32(), "part": pa.int32(), "sums": pa.binary()}
             columns |= {"kind": pa.array([kind] * n, pa.int32()), "part": pa.array([part] * n, pa.int32())}
             return pa.RecordBatch.from_pydict({k: columns.get(k, pa.nulls(n, t)) for k, t in kinds.items()})
 
@@ -428,22 +456,19 @@ def coded(rows: DataFrame, path: str, ranks: str, units: int, bits: int) -> Data
             return made(WORDS, len(spans), block=pa.array([i for i, _, _ in spans], pa.int32()), sums=pa.array([held[a:b].tobytes() for _, a, b in spans], pa.binary()))
 
         for batch in pieces(batches):
-            learn = batch.filter(pa.array(~held_out(batch.column(0))))
-            if not learn.num_rows:
-                continue
-            data, offsets = text_bytes(learn.column(1))
+            data, offsets = text_bytes(batch.column(1))
             ids, bounds = code.encode_all(data, offsets)
-            counts[:-2] += np.bincount(ids, minlength=len(counts) - 2)
-            low = lowered(data)
-            found = scan(low, offsets)
-            counts[-2:] += learn.num_rows, len(found.start)
-            held = np.union1d(held, found.hashes())
+            learn = ~held_out(batch.column(0))
+            counts[:-2] += np.bincount(ids[np.repeat(learn, np.diff(bounds))], minlength=len(counts) - 2)
+            found = scan(lowered(data), offsets)
+            counts[-2:] += learn.sum(), found.counts()[learn].sum()
+            held = np.union1d(held, found.hashes()[learn[found.doc]])
             if len(held) >= HELD_WORDS:
                 yield words()
                 held = held[:0]
-            place = learn.column(2).to_numpy()
-            raw = ids.astype("<u4" if len(counts) > 1 << 16 else "<u2")
-            yield made(TEXT, learn.num_rows, slot=pa.array(place % units), place=pa.array(place), ids=pa.array([raw[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], pa.binary()))
+            place = batch.column(2).to_numpy()
+            raw = as_raw(ids, len(code.strings))
+            yield made(TEXT, batch.num_rows, slot=pa.array(place % units, mask=~learn), place=pa.array(place), id=batch.column(0), chunk=batch.column(3), ids=pa.array([raw[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], pa.binary()))
         if counts.any():
             if len(held):
                 yield words()
@@ -453,6 +478,17 @@ def coded(rows: DataFrame, path: str, ranks: str, units: int, bits: int) -> Data
     return rows.mapInArrow(tidy(run, lambda: subwords(path, ranks).forget()), CODED)
 
 
+def as_raw(ids: np.ndarray, many: int) -> np.ndarray:
+    return ids.astype("<u4" if many + 2 > 1 << 16 else "<u2")
+
+
+def from_raw(rows: list[bytes], many: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, bounds) of the texts."""
+    kind = np.dtype("<u4" if many + 2 > 1 << 16 else "<u2")
+    sizes = np.fromiter(map(len, rows), np.int64, len(rows)) // kind.itemsize
+    return np.frombuffer(b"".join(rows), kind).astype(np.int64), np.concatenate([[0], np.cumsum(sizes)])
+
+
 def lowered(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 0x41) & (data <= 0x5A), data | 0x20, data)
 
@@ -485,31 +521,45 @@ class Learnt:
     ends: int
 
 
-def train(docs: DataFrame, path: str, ranks: str, total: int, bits: int) -> Learnt:
-    """docs(id, text), of `total` bytes -> both models' training, over all training texts."""
-    spark = docs.sparkSession
-    rounds = max(1, min(ROUNDS, -(-total // UNIT)))
+def rounds_of(total: int) -> int:
+    return max(1, min(ROUNDS, -(-total // UNIT)))
+
+
+def coded_texts(docs: DataFrame, path: str, ranks: str, total: int, bits: int, chunks: int = 1) -> DataFrame:
+    """docs(id, text), of `total` bytes -> what `coded` makes of them, stored."""
+    rounds = rounds_of(total)
     each = max(1, min(MOST_UNITS, -(-total // (UNIT * rounds))))
     # a row's place in the order of training; equal rows are alike
-    placed = docs.select("id", "text", F.pmod(F.xxhash64("text", "id"), F.lit((1 << 62) - 1)).alias("place"))
-    texts = stored(coded(placed, path, ranks, rounds * each, bits), "coded")
+    place = F.pmod(F.xxhash64("text", "id"), F.lit((1 << 62) - 1))
+    # by the text too, so that rows without an id are not all in one chunk
+    chunk = F.pmod(F.xxhash64("id", "text"), F.lit(chunks)).cast("long")
+    return stored(coded(docs.select("id", "text", place.alias("place"), chunk.alias("chunk")), path, ranks, rounds * each, bits), "coded")
+
+
+def train(docs: DataFrame, path: str, ranks: str, total: int, bits: int) -> Learnt:
+    """docs(id, text), of `total` bytes -> both models' training, over all training texts."""
+    return learn(coded_texts(docs, path, ranks, total, bits), path, ranks, rounds_of(total))
+
+
+def learn(texts: DataFrame, path: str, ranks: str, rounds: int) -> Learnt:
+    """The same of texts that are coded."""
+    spark = texts.sparkSession
     code = subwords(path, ranks)
     counts = collected(texts.where(F.col("kind") == COUNT))
     counts = np.zeros(len(code.strings) + 2, np.int64) if counts is None else counts
     v = Vocabulary.of(counts[:-1], code.kinds)
-    wide = "<u4" if len(counts) > 1 << 16 else "<u2"
     p = start(v)
     ends, words = int(counts[-2]), int(counts[-1])
     for turn in range(rounds if ends else 0):
         units = texts.where((F.col("kind") == TEXT) & (F.pmod("slot", F.lit(rounds)) == turn)).select("slot", "place", "ids")
         units = units.repartition(parts(spark), "slot").sortWithinPartitions("slot", "place", "ids")
-        sums = collected(units.mapInArrow(tidy(units_trained(p, v, RATES[turn], wide)), "block int, part int, sums binary"))
+        sums = collected(units.mapInArrow(tidy(units_trained(p, v, RATES[turn], len(code.strings))), "block int, part int, sums binary"))
         if sums is not None:
             p = unflatten(sums[1:] / sums[0] / SCALE, v)
     return Learnt(p, v, words + ends, kinds_of_words(texts) + (ends > 0), ends)
 
 
-def units_trained(p: dict[str, np.ndarray], v: Vocabulary, rate: float, wide: str):
+def units_trained(p: dict[str, np.ndarray], v: Vocabulary, rate: float, many: int):
     """Rows (slot, place, ids) sorted by slot and place -> (block, part, sums), one set a unit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -527,9 +577,7 @@ def units_trained(p: dict[str, np.ndarray], v: Vocabulary, rate: float, wide: st
                     yield told()
                 slot = rows["slot"][0].as_py()
                 trainer = Trainer(p, v, rate, slot)
-            raw = rows["ids"].to_pylist()
-            sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // np.dtype(wide).itemsize
-            trainer.texts(np.frombuffer(b"".join(raw), wide).astype(np.int64), np.concatenate([[0], np.cumsum(sizes)]))
+            trainer.texts(*from_raw(rows["ids"].to_pylist(), many))
         if trainer is not None:
             yield told()
 
@@ -580,11 +628,11 @@ def unpack_counts(raw: bytes) -> np.ndarray:
 class Bag:
     """The distinct words of a chunk by bucket, and which of them each word is."""
 
-    def __init__(self, table: pa.Table, bits: int) -> None:
-        col = table["text"].combine_chunks()
-        self.data, self.offsets = text_bytes(col)
-        self.words = scan(self.data, self.offsets)
-        self.distinct, self.which = np.unique(self.words.hashes(lowered(self.data)), return_inverse=True)
+    def __init__(self, table: pa.Table, bits: int, code: Subwords) -> None:
+        self.ids, self.bounds = from_raw(table["ids"].to_pylist(), len(code.strings))
+        data, offsets = code.texts_of(self.ids, self.bounds)
+        self.words = scan(data, offsets)
+        self.distinct, self.which = np.unique(self.words.hashes(lowered(data)), return_inverse=True)
         self.held = held_out(table["id"])
         self.counts = np.bincount(self.which[~self.held[self.words.doc]], minlength=len(self.distinct))
         cuts = [*np.searchsorted(self.distinct, np.arange(1 << bits, dtype=_U) << _U(64 - bits)).tolist(), len(self.distinct)]
@@ -592,11 +640,11 @@ class Bag:
         self.spans = [(i, a, b) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if a < b]
 
 
-def send(bits: int):
+def send(bits: int, path: str, ranks: str):
     drop = bits // 8
 
     def run(table: pa.Table) -> pa.Table:
-        bag = Bag(table, bits)
+        bag = Bag(table, bits, subwords(path, ranks))
         low = np.ascontiguousarray(bag.distinct).view(np.uint8).reshape(-1, 8)[:, : 8 - drop]
         n = len(bag.spans)
         return pa.table({"bucket": pa.array([i for i, _, _ in bag.spans], pa.int32()), "chunk": pa.array([table["chunk"][0].as_py()] * n, pa.int64()), "hashes": pa.array([low[a:b].tobytes() for _, a, b in bag.spans], pa.binary()), "counts": pa.array([pack_counts(bag.counts[a:b]) for _, a, b in bag.spans], pa.binary())})
@@ -621,9 +669,18 @@ def answer(bits: int):
     return run
 
 
+def some_texts(bounds: np.ndarray, most: int = 1 << 19) -> Iterator[tuple[int, int]]:
+    """(from, to) of texts of at most `most` ids together; a longer text is alone."""
+    lo = 0
+    while lo < len(bounds) - 1:
+        hi = max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + most, "right")) - 1)
+        yield lo, hi
+        lo = hi
+
+
 def judge(bits: int, path: str, ranks: str, learnt: Learnt):
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        bag = Bag(texts, bits)
+        bag = Bag(texts, bits, subwords(path, ranks))
         order = np.argsort(answers["bucket"].to_numpy())
         counts = np.concatenate([np.zeros(0, np.int64), *(unpack_counts(answers["counts"][i].as_py()) for i in order.tolist())])
         below = np.log10(learnt.tokens + learnt.kinds + 1.0)
@@ -631,13 +688,12 @@ def judge(bits: int, path: str, ranks: str, learnt: Learnt):
         doc, docs = bag.words.doc, bag.words.docs
         base = np.bincount(doc, each[bag.which], docs) + (np.log10(learnt.ends + 1.0) - below)
         known = np.bincount(doc, counts[bag.which] > 0, docs).astype(np.int64) + (learnt.ends > 0)
-        tokens, held = bag.words.counts() + 1, bag.held
+        tokens, held, ids, bounds = bag.words.counts() + 1, bag.held, bag.ids, bag.bounds
         del bag, doc, each, counts
-        code = subwords(path, ranks)
         scorer = Scorer(learnt.params, learnt.vocabulary)
         scores = []
-        for piece in pieces(iter(texts.select(["text"]).combine_chunks().to_batches()), most=2 << 20):
-            scores.append(scorer.score(*code.encode_all(*text_bytes(piece.column(0)))))
+        for lo, hi in some_texts(bounds):
+            scores.append(scorer.score(ids[bounds[lo] : bounds[hi]], bounds[lo : hi + 1] - bounds[lo]))
         release()
         return pa.table({
             "id": texts["id"], "held_out": pa.array(held), "n_tokens": pa.array(tokens), "n_known": pa.array(known),
@@ -653,10 +709,10 @@ def score_texts(docs: DataFrame, path: str, ranks: str, key: str = "doc_id", tex
     total = texts.select(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     chunks = max(1, -(-total // min(CHUNK, max(LEAST_CHUNK, total // SOME_CHUNKS))))
     bits = min(MOST_BITS, max(8, (total // WORD_BYTES // BUCKET).bit_length()))
-    learnt = train(texts, path, ranks, total, bits)
-    # by the text too, so that rows without an id are not all in one chunk
-    dealt = texts.withColumn("chunk", F.pmod(F.xxhash64("id", "text"), F.lit(chunks)))
-    sent = dealt.groupBy("chunk").applyInArrow(send(bits), "bucket int, chunk long, hashes binary, counts binary")
+    known = coded_texts(texts, path, ranks, total, bits, chunks)
+    learnt = learn(known, path, ranks, rounds_of(total))
+    dealt = known.where(F.col("kind") == TEXT).select("id", "chunk", "ids")
+    sent = dealt.groupBy("chunk").applyInArrow(send(bits, path, ranks), "bucket int, chunk long, hashes binary, counts binary")
     answers = sent.groupBy("bucket").applyInArrow(answer(bits), "chunk long, bucket int, counts binary")
     schema = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(judge(bits, path, ranks, learnt), schema).withColumnRenamed("id", key)
