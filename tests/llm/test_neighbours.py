@@ -1,3 +1,6 @@
+import time
+from pathlib import Path
+
 import numpy as np
 import pytest
 
@@ -100,3 +103,31 @@ def test_search_goes_on_until_nothing_is_open(spark, monkeypatch):
     queries = spark.createDataFrame([(1000, code(1)), (1001, code(-1))], "id long, code binary")
     got = {r["query"]: np.frombuffer(r["beam"], np.int64).tolist() for r in neighbours.search(queries, nodes, 4).collect()}
     assert got == {1000: [1000, 79, 78, 77], 1001: [1001, 0, 1, 2]}
+
+
+def test_steps_leave_no_shuffles_and_only_the_tables_that_are_read(spark, monkeypatch):
+    def shuffles():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    real, seen, conf = neighbours.stored, [], spark.conf.get(key, None)
+    monkeypatch.setattr(neighbours, "stored", lambda df, name: seen.append((name, spark.conf.get(key, None))) or real(df, name))
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    rng = np.random.default_rng(12)
+    rows = table(spark, list(enumerate(rng.normal(size=(400, 8)).astype(np.float32))))
+    tables = set(folder.iterdir())
+    df = neighbours.nearest(rows)
+    assert {"nodes", "near", "beam"} <= {n for n, _ in seen} and {c for _, c in seen} == {"true"}
+    assert spark.conf.get(key, None) == conf
+    assert sorted(x.name.split("-")[0] for x in set(folder.iterdir()) - tables) == ["found", "long", "members", "points"]
+    assert df.count() == 400
+    files = shuffles()
+    with neighbours.shuffles_removed(spark):
+        df = real(rows.repartition(3, "vec_id"), "dealt")
+    for _ in range(50):  # executors are told to remove them, not waited for
+        if shuffles() <= files:
+            break
+        time.sleep(0.1)
+    assert shuffles() <= files
+    assert df.count() == 400

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +23,30 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Removes the folders of tables that `stored` made and nothing reads any more."""
+    for t in tables:
+        jvm, conf = t.sparkSession._jvm, t.sparkSession._jsc.hadoopConfiguration()
+        for folder in {f.rsplit("/", 1)[0] for f in t.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+            path.getFileSystem(conf).delete(path, True)
+
+
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Within, each action's shuffle files go when it ends, not when the driver happens to collect its garbage; nothing of one action is read by another."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def fits(df: DataFrame, most: int) -> bool:
     """Whether df has at most `most` rows; counts no further."""
     return df.limit(most + 1).count() <= most

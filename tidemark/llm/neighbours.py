@@ -6,7 +6,8 @@ gathers its neighbours and a sample of those that have it as a neighbour, compar
 and passes on what is better than their worst; Spark joins and merges the lists until few change.  Queries
 are answered by greedy search in the graph: a beam of the best vectors seen, of which the best that are
 not yet expanded send for their neighbours, until the whole beam is expanded.  What the beam holds is then
-scored on the original vectors in double precision.
+scored on the original vectors in double precision.  Every step's shuffles go when it ends, its tables when nothing
+reads them any more, so disk holds a step or two, the search's table of neighbours and what the answers are made of.
 
 Graph and search use vectors of 32-bit numbers, with one more coordinate that puts all on one sphere, so that
 the largest inner product is the nearest neighbour; differences and sums are taken in double precision, so
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import parts, stored
+from .common import discard, parts, shuffles_removed, stored
 from .kernel import aligned, tidy
 
 NEAR, BACK, TREES, BLOCK = 32, 24, 4, 512
@@ -251,12 +252,14 @@ def build(points: DataFrame, dims: int) -> DataFrame:
 
     empty = sided.select("id", "code", F.lit(b"").alias("near"), F.lit(b"").alias("sims"))
     nodes = stored(combined(empty, lists_), "nodes")
+    discard(sided)
     for _ in range(ROUNDS):
         graph = nodes.select("id", "code", "near", "sims")
         members = edges(graph).union(back_links(graph)).where("id <> other").distinct()
         sent = members.select(F.col("id").alias("pivot"), F.col("other").alias("id")).join(worst_of(graph), "id")
         better = sent.select("pivot", "id", "code", "worst").repartition(n, "pivot").sortWithinPartitions("pivot").mapInArrow(tidy(joined_locally), "id long, near binary, sims binary")
-        nodes = stored(combined(graph, better), "nodes")
+        before, nodes = nodes, stored(combined(graph, better), "nodes")
+        discard(before)
         if (nodes.agg(F.sum("fresh").alias("n")).first()["n"] or 0) <= ENOUGH * NEAR * total:
             break
     return nodes.select("id", "code", "near", "sims")
@@ -345,21 +348,29 @@ def search(queries: DataFrame, nodes: DataFrame, width: int = BEAM) -> DataFrame
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64()), strict=True)], names=["query", "code", "beam", "sims", "done", "open"])
 
     state = stored(queries.select("id", "code").mapInArrow(tidy(begin), BEAMS), "beam")
-    finished = None
+    finished, steps = None, [state]
     while True:  # ends: a beam only gets better, and each step expands what is open
         live = state.where("open > 0")
         ended = state.where("open = 0").select("query", "beam")
         finished = ended if finished is None else finished.union(ended)
         if live.isEmpty():
-            return finished
+            found = stored(finished, "found")
+            discard(near, *steps)
+            return found
         asked = live.select("query", "code", "beam", "done").mapInArrow(ask, "id long, query long, code binary")
         replies = asked.join(near, "id").select("query", "code", "near", "codes").mapInArrow(tidy(reply), "query long, beam binary, sims binary")
         rows = live.select("query", "code", "beam", "sims", "done").unionByName(replies.select("query", F.lit(None).cast("binary").alias("code"), "beam", "sims", F.lit(None).cast("binary").alias("done")))
         state = stored(rows.repartition(n, "query").sortWithinPartitions("query").mapInArrow(tidy(advance), BEAMS), "beam")
+        steps.append(state)
 
 
 def nearest(df: DataFrame, key: str = "vec_id", vector: str = "embedding", every: int = 20, top: int = 20, width: int = BEAM) -> DataFrame:
     """Of each row whose key is divisible by `every`: query_id, rank (from 1), vec_id, score, its `top` nearest found."""
+    with shuffles_removed(df.sparkSession):
+        return answers_of(df, key, vector, every, top, width)
+
+
+def answers_of(df: DataFrame, key: str, vector: str, every: int, top: int, width: int) -> DataFrame:
     rows = stored(valid(df, key, vector).distinct(), "vectors")
     grouped = rows.withColumn("same", F.xxhash64("vec")).groupBy("same", "vec").agg(F.min("id").alias("node"))
     largest = F.array_max(F.transform("vec", F.abs))
@@ -391,9 +402,11 @@ def nearest(df: DataFrame, key: str = "vec_id", vector: str = "embedding", every
     graph = build(points, dims + 1)
     member = rows.join(nodes, "vec").select("id", "node")
     member = stored(member, "members")
+    discard(rows)
     asked = member.where(F.col("id") % every == 0)
     queries = asked.select("node").distinct().join(nodes, "node").select("node", "vec")
     found = search(queries.mapInArrow(asking, "id long, code binary"), graph, width)
+    discard(graph)
 
     def spread_beam(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
