@@ -519,6 +519,45 @@ def test_lm_encodes_every_text_once(spark):
     assert [x is None for x in kept["slot"].to_pylist()] == lm.held_out(kept["id"]).tolist()
 
 
+def test_lm_encodes_the_pieces_of_a_batch_in_few_calls(monkeypatch):
+    """Pieces go to the library together, and the ids are those of each text by itself."""
+    code = lm.Subwords(queries.tokenizer_path(), queries.tokenizer_path("byte_bpe_50k.tiktoken"))
+    alone, calls = code.library, []
+    monkeypatch.setattr(code, "library", lambda t: calls.append(t) or alone(t))
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("ab Z'st  \t\n1.\u00e9 \u0301\u65e5\U0001f600 -", k=rng.randint(0, 60))) for _ in range(2000)] + ["", "  x", "x  ", " \u00e9 \u00e9"]
+    ids, bounds = code.encode_all(*kernel.text_bytes(pa.array(texts)))
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [alone(t) for t in texts]
+    calls.clear()
+    code.encode_all(*kernel.text_bytes(pa.array([f"the {i} words of {rng.random()} texts" for i in range(500)])))
+    assert len(calls) < 20
+
+
+def test_lm_sends_each_chunks_words_when_it_encodes(spark):
+    """The first pass sends the distinct words of every text with their counts in training texts, so that no second one looks for them."""
+    paths = queries.tokenizer_path(), queries.tokenizer_path("byte_bpe_50k.tiktoken")
+    docs = documents(spark, [*sentences(29, 60), None, "Same same SAME words"]).select(F.col("doc_id").alias("id"), "text").repartition(3)
+    texts = docs.toArrow()
+    for size in (40, 10**6):
+        rows = lm.coded_texts(docs, *paths, 10**4, 8, size).toArrow()
+        words, kept = (rows.filter(pa.array(rows["kind"].to_numpy() == k)) for k in (lm.WORDS, lm.TEXT))
+        of = dict(zip(kept["id"].to_pylist(), kept["chunk"].to_pylist(), strict=True))
+        want = Counter()
+        for i, t in zip(texts["id"].to_pylist(), texts["text"].to_pylist(), strict=True):
+            found = kernel.words_of(pa.array([(t or "").lower()]))
+            for h in found.hashes().tolist():
+                want[of[i], h] += not lm.held_out(pa.array([i]))[0]
+        got = {}
+        for r in words.to_pylist():
+            low, _ = lm.from_low_bytes(pa.chunked_array([pa.array([r["ids"]], pa.binary())]), 8)
+            for h, n in zip(low.tolist(), lm.unpack_counts(r["sums"]).tolist(), strict=True):
+                got[r["chunk"], h | r["block"] << 56] = n
+        assert got == dict(want)
+        assert (len(set(of.values())) > 10) == (size == 40)
+    known = {h for (_, h), n in want.items() if n}
+    assert lm.kinds_of_words(lm.coded_texts(docs, *paths, 10**4, 8), 8) == len(known)
+
+
 @pytest.mark.parametrize("size", [1.0, 30.0, 200.0])
 def test_lm_exponentials_of_any_size(size):
     x = np.random.default_rng(5).normal(0, size, (500, 33)).astype(np.float32)

@@ -13,7 +13,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from heapq import heapify, heappop, heappush
 from itertools import chain, pairwise
 
@@ -195,18 +195,21 @@ class Coder:
         start = np.flatnonzero(cut)
         # equal pieces, byte for byte, are encoded once
         tiles = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(np.append(start, n)), pa.py_buffer(data)).dictionary_encode()
-        strings, which = tiles.dictionary.to_numpy(zero_copy_only=False).tolist(), tiles.indices.to_numpy()
+        strings, which = tiles.dictionary, tiles.indices.to_numpy()
         raw = data.tobytes()
         encode = self.with_added if any(x.encode() in raw for x in self.added) else self.piece
         del raw, tiles, cut, marked
-        table = list(map(encode, strings))
-        sizes = np.fromiter(map(len, table), np.int64, len(table)) >> 2
-        flat = np.frombuffer(b"".join(table), np.int32)
+        flat, sizes = self.all_of(strings, encode)
         each = sizes[which]
         ids = flat[spread((np.cumsum(sizes) - sizes)[which], each)]
         total = np.concatenate([[0], np.cumsum(each)])
         return ids, total[np.searchsorted(start, offsets)]
 
+    def all_of(self, strings: pa.Array, encode: Callable[[str], bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(the ids of all pieces, how many each has)."""
+        table = list(map(encode, strings.to_numpy(zero_copy_only=False).tolist()))
+        return np.frombuffer(b"".join(table), np.int32), np.fromiter(map(len, table), np.int64, len(table)) >> 2
+
     def encode(self, text: str | None) -> list[int]:
         data = np.frombuffer((text or "").encode(), np.uint8)
         return self.encode_all(data, np.array([0, len(data)]))[0].tolist()

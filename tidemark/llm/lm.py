@@ -2,13 +2,14 @@
 
 Two models learn from the documents whose crc32(id as text) mod 7 is not 2.
 
-Word model (base): add-one unigram over lower-cased words and one end a document.  Texts are dealt once
-into chunks by a hash of the row; each chunk sends its distinct word hashes with their training counts to the
+Word model (base): add-one unigram over lower-cased words and one end a document.  Texts that a task encodes
+one after the other make a chunk; each chunk sends its distinct word hashes with their training counts to the
 hash's bucket, and gets the sums back, so a frequent word costs a bucket one entry a chunk.
 
 Attention model: one layer of causal self-attention over byte-level subword ids, trained in numpy.  The OWN
 most frequent ids have an embedding each, rarer ones share that of their kind (last byte, leading space).
-It predicts first the kind, or the end, then the id: each kind has outputs for its MEMBERS - 1 most frequent ids
+Keys and values are the embeddings themselves: with one head, a matrix for keys is a factor of that for queries, and one for
+values of the outputs'.  It predicts first a family of kinds, or the end, then the kind, then the id: each kind has outputs for its MEMBERS - 1 most frequent ids
 and one for the others, of which P(id | others) are counts.  The model starts as a unigram model.  Every window of every training text is trained on:
 texts, as ids, are dealt into units of about UNIT bytes by a hash of the row and units into rounds; in a round each
 unit trains from the same parameters, its texts in the order of their hash, and Spark sums the parameters, as
@@ -29,7 +30,7 @@ from __future__ import annotations
 import functools
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -47,6 +48,8 @@ PARTS, HELD = 7, 2
 STEP, WIDTH = 16, 16
 #: Kinds of subwords: 32 of the last byte, with or without a leading space.
 KINDS = 64
+#: Kinds of a family: eight last bytes that follow one another have two; the end is a family of its own.
+FAMILY = 8
 #: Ids with an embedding of their own; outputs of a kind, the last of which stands for its rarer ids.
 OWN, MEMBERS = 4096, 32
 #: The bias of an output that stands for nothing.
@@ -54,16 +57,16 @@ NOTHING = -50.0
 #: Bytes of text a unit, rounds at most, units a round at most (beyond that units grow).
 UNIT, ROUNDS, MOST_UNITS = 6 << 20, 3, 4096
 #: Steps that a unit trains at least, windows a step, learning rate of each round.
-LEAST_STEPS, BATCH = 400, 256
-RATES = (0.02, 0.01, 0.005)
+LEAST_STEPS, BATCH = 120, 1024
+RATES = (0.03, 0.015, 0.006)
 #: Of the parameters as integers: sums over 2**36 windows stay within 64 bits up to parameters of 64.
 SCALE, LARGEST = 1 << 20, 60.0
-GROUPS = 256
+GROUPS = 1024
 #: Logarithms below this in size need no maximum taken off before their exponentials, in 32 bits.
 MODERATE = 40.0
 BLOCKS = 16
-#: Distinct words that a task holds before it sends them on.
-HELD_WORDS = 1 << 20
+#: Bytes of text encoded at a time.
+PIECE = 4 << 20
 _U = np.uint64
 
 
@@ -89,6 +92,25 @@ class Subwords(Coder):
     def ids_of(self, word: str) -> bytes:
         return array("i", self.library(word)).tobytes()
 
+    def all_of(self, strings: pa.Array, encode: Callable[[str], bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """As the pieces one by one, but those between two places where texts are cut go to the library as one text."""
+        data, bounds = text_bytes(strings)
+        first, last = bounds[:-1], bounds[1:] - 1
+        ends = data[last]
+        joined = (data[first] == 0x20) & (last > first)
+        joined &= (ends >= 0x21) & (ends <= 0x7E) | (ends >= 0x80) & (data[last - 1] >= 0xC3) & (data[last - 1] <= 0xDF)
+        own = np.flatnonzero(~joined)
+        flat, few = super().all_of(strings.take(pa.array(own)), encode)
+        data, bounds = text_bytes(strings.filter(pa.array(joined)))
+        ids = np.array(self.library(data.tobytes().decode()), np.int32)
+        cuts = np.searchsorted(np.cumsum(self.sizes[ids]), bounds, "right")
+        sizes = np.empty(len(joined), np.int64)
+        sizes[own], sizes[joined] = few, np.diff(cuts)
+        order = np.argsort(joined, kind="stable")  # the pieces as they are encoded
+        starts = np.empty(len(sizes), np.int64)
+        starts[order] = np.cumsum(sizes[order]) - sizes[order]
+        return np.concatenate([flat, ids])[spread(starts, sizes)], sizes
+
     def texts_of(self, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(bytes, offsets) of the texts that were encoded."""
         ends = np.concatenate([[0], np.cumsum(self.sizes[ids])])
@@ -115,12 +137,13 @@ def held_out(ids: pa.Array | pa.ChunkedArray) -> np.ndarray:
 class Vocabulary:
     """What the training counts of the ids (whose last entry counts texts, as ends) make of them.
 
-    row: the embedding of each id, then of the end; slot: its output, MEMBERS a kind, the end a kind of its own; within: log10 P(id | slot); kind, member: log P of the kinds and of the outputs of each.
+    row: the embedding of each id, then of the end; slot: its output, MEMBERS a kind, the end a kind of its own; within: log10 P(id | slot); family, kind, member: log P of the families, of the kinds of each and of the outputs of each kind.
     """
 
     row: np.ndarray
     slot: np.ndarray
     within: np.ndarray
+    family: np.ndarray
     kind: np.ndarray
     member: np.ndarray
 
@@ -146,22 +169,26 @@ class Vocabulary:
         slot = np.append(kinds * MEMBERS + np.minimum(place, MEMBERS - 1), KINDS * MEMBERS)
         mass = counts + 0.5
         total = np.bincount(slot, mass, (KINDS + 1) * MEMBERS)
-        with np.errstate(divide="ignore"):
-            shares = np.log(total).reshape(KINDS + 1, MEMBERS)
-            kind = np.log(total.reshape(KINDS + 1, MEMBERS).sum(1))
-        logs = lambda x: np.maximum(x, NOTHING).astype(np.float32)
-        return Vocabulary(row, slot, np.log10(mass / total[slot]), logs(kind - np.log(mass.sum())), logs(shares - np.maximum(kind, NOTHING)[:, None]))
+        member = total.reshape(KINDS + 1, MEMBERS)
+        kind = np.append(member.sum(1), np.zeros(FAMILY - 1)).reshape(-1, FAMILY)
+        family = kind.sum(1)
+
+        def logs(x: np.ndarray, whole: np.ndarray) -> np.ndarray:
+            with np.errstate(divide="ignore", invalid="ignore"):
+                return np.fmax(np.log(x) - np.log(whole), NOTHING).astype(np.float32)
+
+        return Vocabulary(row, slot, np.log10(mass / total[slot]), logs(family, mass.sum()), logs(kind, family[:, None]), logs(member, member.sum(1, keepdims=True)))
 
 
 def shapes(v: Vocabulary) -> dict[str, tuple[int, ...]]:
-    each = len(v.kind), MEMBERS
-    return {"e": (v.rows, WIDTH), "q": (WIDTH, WIDTH), "k": (WIDTH, WIDTH), "v": (WIDTH, WIDTH), "r": (2 * STEP,), "o": (2 * WIDTH, len(v.kind)), "b": (len(v.kind),), "m": (len(v.kind), 2 * WIDTH, MEMBERS), "c": each}
+    families, kinds = len(v.family), len(v.member)
+    return {"e": (v.rows, WIDTH), "q": (WIDTH, WIDTH), "r": (2 * STEP,), "o": (2 * WIDTH, families), "b": (families,), "f": (families, 2 * WIDTH, FAMILY), "g": (families, FAMILY), "m": (kinds, 2 * WIDTH, MEMBERS), "c": (kinds, MEMBERS)}
 
 
 def start(v: Vocabulary, seed: int = 5) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
-    p = {n: rng.normal(0, 0.3, s).astype(np.float32) if n in "eqkv" else np.zeros(s, np.float32) for n, s in shapes(v).items()}
-    p["b"][:], p["c"][:] = v.kind, v.member
+    p = {n: rng.normal(0, 0.3, s).astype(np.float32) if n in "eq" else np.zeros(s, np.float32) for n, s in shapes(v).items()}
+    p["b"][:], p["g"][:], p["c"][:] = v.family, v.kind, v.member
     return p
 
 
@@ -206,17 +233,18 @@ CAUSAL = RELATIVE >= 0
 RELATIVE = np.where(CAUSAL, RELATIVE, 0)
 
 
-def attend(q: np.ndarray, k: np.ndarray, v: np.ndarray, bias: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(weights, mixed values) of queries (groups, STEP, WIDTH) over keys and values (groups, 2 * STEP, WIDTH); bias holds the relative places, -inf for later ones; seen: which keys are no padding."""
-    w = q @ k.transpose(0, 2, 1)
-    moderate = w.size and max(w.max(), -w.min()) + np.abs(bias[CAUSAL]).max() < MODERATE
+def attend(q: np.ndarray, x: np.ndarray, bias: np.ndarray, pads: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(exponentials, their sums, mixed inputs) of queries (groups, STEP, WIDTH) over inputs (groups, 2 * STEP, WIDTH), which are both keys and values; bias holds the relative places, -inf for later ones; pads: which inputs are padding. Every query sees an input that is none."""
+    w = q @ x.transpose(0, 2, 1)
     w += bias
-    if not moderate:
-        w -= w.max(-1, keepdims=True)
-    np.exp(w, out=w)
-    w *= seen[:, None, :]
-    w /= np.maximum(row_sums(w), np.float32(1e-30))
-    return w, w @ v
+    some = np.flatnonzero(pads.any(1))
+    if len(some):
+        w[some] += np.where(pads[some], np.float32(-np.inf), np.float32(0))[:, None, :]
+    e, total, _ = raised(w.reshape(-1, 2 * STEP))
+    e, total = e.reshape(w.shape), total.reshape(*w.shape[:2], 1)
+    mixed = e @ x
+    mixed /= total
+    return e, total, mixed
 
 
 def row_sums(x: np.ndarray) -> np.ndarray:
@@ -227,94 +255,119 @@ def relative_bias(r: np.ndarray) -> np.ndarray:
     return np.where(CAUSAL, r[RELATIVE], np.float32(-np.inf)).astype(np.float32)
 
 
-def exponentials(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(exponentials of each row, perhaps of what it has above its largest; their sum; the logarithm of the exponentials' sum)."""
+def raised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
+    """(exponentials of each row of what it has above `top`; their sum; top: 0, or each row's largest where sizes call for it)."""
     if x.size and x.max() < MODERATE:
         e = np.exp(x)
         total = row_sums(e)
         if total.min() > np.exp(-MODERATE):
-            return e, total, np.log(total)[:, 0]
+            return e, total, 0.0
     top = x.max(1, keepdims=True)
     e = np.exp(x - top)
-    total = row_sums(e)
+    return e, row_sums(e), top
+
+
+def exponentials(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(exponentials of each row, perhaps of what it has above its largest; their sum; the logarithm of the exponentials' sum)."""
+    e, total, top = raised(x)
     return e, total, (top + np.log(total))[:, 0]
 
 
 def softmax(x: np.ndarray) -> None:
     """In place."""
-    e, total, _ = exponentials(x)
+    e, total, _ = raised(x)
     np.divide(e, total, out=x)
 
 
-def by_kind(slots: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-    """(order of the rows by kind, (kind, from, to) in that order)."""
-    kinds = slots // MEMBERS
+def spans_of(sorted_groups: np.ndarray, many: int) -> list[tuple[int, int, int]]:
+    """(group, from, to) of each group that has rows."""
+    cuts = np.searchsorted(sorted_groups, np.arange(many + 1)).tolist()
+    return [(i, a, b) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if a < b]
+
+
+def by_kind(slots: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]]]:
+    """(order of the rows by kind, in that order for families, kinds and members: (the group of each row, its choice within it, (group, from, to)))."""
+    kinds = (slots // MEMBERS).astype(np.uint8)
     order = np.argsort(kinds, kind="stable")
-    cuts = np.searchsorted(kinds[order], np.arange(KINDS + 2)).tolist()
-    return order, [(i, a, b) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if a < b]
+    kinds, members = kinds.take(order).astype(np.int64), slots.take(order) % MEMBERS
+    families = kinds // FAMILY
+    return order, [
+        (np.zeros(len(kinds), np.int64), families, [(0, 0, len(kinds))]),
+        (families, kinds % FAMILY, spans_of(families, KINDS // FAMILY + 1)),
+        (kinds, members, spans_of(kinds, KINDS + 1)),
+    ]
+
+
+def levels(p: dict[str, np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Weights and biases of each group's choices: families, kinds of a family, members of a kind."""
+    return [(p["o"][None], p["b"][None]), (p["f"], p["g"]), (p["m"], p["c"])]
+
+
+def choices(z: np.ndarray, weights: np.ndarray, biases: np.ndarray, group: np.ndarray, spans: list[tuple[int, int, int]]) -> np.ndarray:
+    """The logits of each row's choices, up to their sum."""
+    d = np.empty((len(z), biases.shape[1]), z.dtype)
+    for i, a, b in spans:
+        np.matmul(z[a:b], weights[i], out=d[a:b])
+    d += biases.take(group, axis=0) if len(biases) > 1 else biases
+    return d
 
 
 def train_step(p: dict[str, np.ndarray], keys: np.ndarray, goal: np.ndarray, pad: int) -> tuple[float, dict[str, np.ndarray]]:
     """Mean loss of the predictions and its slopes."""
     many = len(keys)
     root = np.float32(WIDTH**0.5)
-    x = p["e"][keys]
-    flat = x.reshape(-1, WIDTH)
-    xq = x[:, STEP:].reshape(-1, WIDTH)
+    x = p["e"].take(keys, axis=0)
+    z = np.empty((many, STEP, 2 * WIDTH), x.dtype)  # of each prediction: what attention mixes, the input
+    z[:, :, WIDTH:] = x[:, STEP:]
+    xq = np.ascontiguousarray(x[:, STEP:]).reshape(-1, WIDTH)
     q = (xq @ (p["q"] / root)).reshape(many, STEP, WIDTH)
-    k, v = ((flat @ p[n]).reshape(many, 2 * STEP, WIDTH) for n in "kv")
-    w, mixed = attend(q, k, v, relative_bias(p["r"]), (keys != pad).astype(np.float32))
+    e, total, mixed = attend(q, x, relative_bias(p["r"]), keys == pad)
+    z[:, :, :WIDTH] = mixed
     target = goal.ravel()
     real = np.flatnonzero(target >= 0)
-    order, spans = by_kind(target[real])
-    real = real[order]
-    target = target[real]
-    z = np.hstack([mixed.reshape(-1, WIDTH), xq])[real]
-    n, rows = np.float32(max(len(real), 1)), np.arange(len(real))
-    g = {}
-    # the kinds, then the outputs of the kind that each is of
-    d = z @ p["o"]
-    d += p["b"]
-    softmax(d)
-    kind, member = target // MEMBERS, target % MEMBERS
-    loss = -np.log(np.maximum(d[rows, kind], 1e-20)).sum()
-    d[rows, kind] -= 1
-    d /= n
-    g["o"], g["b"] = z.T @ d, d.sum(0)
-    dz = d @ p["o"].T
-    d = p["c"][kind]
-    for i, a, b in spans:
-        d[a:b] += z[a:b] @ p["m"][i]
-    softmax(d)
-    loss = float(loss - np.log(np.maximum(d[rows, member], 1e-20)).sum()) / max(len(real), 1)
-    d[rows, member] -= 1
-    d /= n
-    g["m"], g["c"] = np.zeros_like(p["m"]), np.zeros_like(p["c"])
-    for i, a, b in spans:
-        g["m"][i], g["c"][i] = z[a:b].T @ d[a:b], d[a:b].sum(0)
-        dz[a:b] += d[a:b] @ p["m"][i].T
+    order, each = by_kind(target.take(real))
+    real = real.take(order)
+    z = z.reshape(-1, 2 * WIDTH).take(real, axis=0)
+    n, rows = max(len(real), 1), np.arange(len(real))
+    g, loss, dz = {}, 0.0, np.zeros_like(z)
+    part, ones, share = np.empty_like(z), np.ones(len(real), z.dtype), z.dtype.type(1 / n)
+    for (w, c), names, (group, choice, spans) in zip(levels(p), ("ob", "fg", "mc"), each, strict=True):
+        d = choices(z, w, c, group, spans)
+        d, total_d, _ = raised(d)
+        total_d *= z.dtype.type(n)
+        d /= total_d
+        at = rows * d.shape[1] + choice
+        hit = d.ravel().take(at)
+        loss -= float(np.log(np.maximum(hit * n, 1e-20)).sum())
+        d.ravel()[at] = hit - share
+        gw, gc = np.zeros_like(w), np.zeros_like(c)
+        for i, a, b in spans:
+            np.matmul(z[a:b].T, d[a:b], out=gw[i])
+            np.matmul(ones[a:b], d[a:b], out=gc[i])
+            np.matmul(d[a:b], w[i].T, out=part[a:b])
+        dz += part
+        g[names[0]], g[names[1]] = (x.reshape(p[k].shape) for x, k in zip((gw, gc), names, strict=True))
     all_dz = np.zeros((many * STEP, 2 * WIDTH), dz.dtype)
     all_dz[real] = dz
     dm = np.ascontiguousarray(all_dz[:, :WIDTH]).reshape(many, STEP, WIDTH)
-    dv = w.transpose(0, 2, 1) @ dm
-    ds = dm @ v.transpose(0, 2, 1)
-    ds -= np.einsum("gij,gij->gi", w, ds)[:, :, None]
-    ds *= w
-    g["r"] = np.bincount(RELATIVE.ravel(), ds.sum(0).ravel(), 2 * STEP).astype(np.float32)
-    dq = (ds @ k).reshape(-1, WIDTH) / root
-    dk = (ds.transpose(0, 2, 1) @ q).reshape(-1, WIDTH)
-    dv = dv.reshape(-1, WIDTH)
-    g["q"], g["k"], g["v"] = xq.T @ dq, flat.T @ dk, flat.T @ dv
-    dx = (dk @ p["k"].T + dv @ p["v"].T).reshape(many, 2 * STEP, WIDTH)
+    dm /= total
+    ds = dm @ x.transpose(0, 2, 1)
+    ds -= row_sums(dm * mixed)
+    ds *= e
+    g["r"] = np.bincount(RELATIVE.ravel(), ds.sum(0).ravel(), 2 * STEP).astype(x.dtype)
+    dq = (ds @ x).reshape(-1, WIDTH)
+    dq /= root
+    g["q"] = xq.T @ dq
+    dx = ds.transpose(0, 2, 1) @ q
+    dx += e.transpose(0, 2, 1) @ dm
     dx[:, STEP:] += (all_dz[:, WIDTH:] + dq @ p["q"].T).reshape(many, STEP, WIDTH)
     # slopes of equal inputs are summed
-    order = np.argsort(keys, axis=None, kind="stable")
-    inputs = keys.ravel()[order]
-    first = np.flatnonzero(np.append(True, inputs[1:] != inputs[:-1]))
-    g["e"] = np.zeros_like(p["e"])
-    g["e"][inputs[first]] = np.add.reduceat(dx.reshape(-1, WIDTH)[order], first, axis=0)
+    at, dx = keys.ravel().astype(np.int64), dx.reshape(-1, WIDTH)
+    g["e"] = np.empty_like(p["e"])
+    for i in range(WIDTH):
+        g["e"][:, i] = np.bincount(at, dx[:, i], len(p["e"]))
     g["e"][pad] = 0
-    return loss, g
+    return loss / n, g
 
 
 class Adam:
@@ -324,14 +377,23 @@ class Adam:
         self.s = {k: np.zeros_like(x) for k, x in p.items()}
 
     def step(self, g: dict[str, np.ndarray]) -> None:
+        """The slopes' arrays are used up."""
         self.n += 1
         a, b = np.float32(self.rate / (1 - 0.9**self.n)), np.float32(1 / (1 - 0.99**self.n))
         for k, x in g.items():
             m, s = self.m[k], self.s[k]
-            m += np.float32(0.1) * (x - m)
+            m *= np.float32(0.9)
+            m += np.float32(0.1) * x
             x *= x
-            s += np.float32(0.01) * (x - s)
-            self.p[k] -= a * m / (np.sqrt(s * b) + np.float32(1e-6))
+            x *= np.float32(0.01)
+            s *= np.float32(0.99)
+            s += x
+            np.multiply(s, b, out=x)
+            np.sqrt(x, out=x)
+            x += np.float32(1e-6)
+            np.divide(m, x, out=x)
+            x *= a
+            self.p[k] -= x
 
 
 class Scorer:
@@ -340,30 +402,26 @@ class Scorer:
     def __init__(self, p: dict[str, np.ndarray], v: Vocabulary) -> None:
         self.vocabulary = v
         self.x = p["e"]
-        self.q, self.k, self.v = p["e"] @ (p["q"] / np.float32(WIDTH**0.5)), p["e"] @ p["k"], p["e"] @ p["v"]
+        self.q = p["e"] @ (p["q"] / np.float32(WIDTH**0.5))
         self.bias = relative_bias(p["r"])
-        self.p = p
+        self.levels = levels(p)
 
     def logs(self, keys: np.ndarray, slots: np.ndarray) -> np.ndarray:
         """log P of the output slots[i] at each prediction of the groups, in order; 0 where it is -1."""
-        q = keys[:, STEP:]
-        _, mixed = attend(self.q[q], self.k[keys], self.v[keys], self.bias, (keys != self.vocabulary.pad).astype(np.float32))
-        out = np.zeros(len(slots))
+        x = self.x.take(keys, axis=0)
+        z = np.empty((len(keys), STEP, 2 * WIDTH), x.dtype)
+        z[:, :, WIDTH:] = x[:, STEP:]
+        z[:, :, :WIDTH] = attend(self.q.take(keys[:, STEP:], axis=0), x, self.bias, keys == self.vocabulary.pad)[2]
         real = np.flatnonzero(slots >= 0)
-        order, spans = by_kind(slots[real])
-        real = real[order]
-        kind, member = slots[real] // MEMBERS, slots[real] % MEMBERS
-        z = np.hstack([mixed.reshape(-1, WIDTH), self.x[q].reshape(-1, WIDTH)])[real]
-        rows = np.arange(len(real))
-        d = z @ self.p["o"]
-        d += self.p["b"]
-        hit = d[rows, kind].astype(np.float64)
-        hit -= exponentials(d)[2]
-        d = self.p["c"][kind]
-        for i, a, b in spans:
-            d[a:b] += z[a:b] @ self.p["m"][i]
-        hit += d[rows, member]
-        hit -= exponentials(d)[2]
+        order, each = by_kind(slots.take(real))
+        real = real.take(order)
+        z = z.reshape(-1, 2 * WIDTH).take(real, axis=0)
+        rows, hit = np.arange(len(real)), np.zeros(len(real))
+        for (w, c), (group, choice, spans) in zip(self.levels, each, strict=True):
+            d = choices(z, w, c, group, spans)
+            hit += d.ravel().take(rows * d.shape[1] + choice)
+            hit -= exponentials(d)[2]
+        out = np.zeros(len(slots))
         out[real] = hit
         return out
 
@@ -436,14 +494,18 @@ CODED = "kind int, slot long, place long, id long, chunk long, ids binary, block
 TEXT, COUNT, WORDS = range(3)
 
 
-def coded(rows: DataFrame, path: str, ranks: str, units: int, bits: int) -> DataFrame:
-    """rows(id, text, place, chunk) -> of all texts TEXT rows (slot: unit, null for those held out; place, id, chunk, ids); of the training texts COUNT rows (sums: counts of ids, texts, words) and WORDS rows (block: bucket; sums: distinct hashes of lower-cased words)."""
+def coded(rows: DataFrame, path: str, ranks: str, units: int, bits: int, size: int) -> DataFrame:
+    """rows(id, text, place) -> of all texts TEXT rows (slot: unit, null for those held out; place, id, chunk, ids); COUNT rows of the training texts (sums: counts of ids, texts, words); WORDS rows of all texts (chunk; block: bucket; ids: distinct hashes of lower-cased words; sums: their counts in training texts).
+
+    A chunk is texts of a task that follow one another, of at most `size` bytes or one text.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = subwords(path, ranks)
         counts = np.zeros(len(code.strings) + 2, np.int64)
-        held = np.zeros(0, _U)
         part = TaskContext.get().partitionId()
+        chunk, filled = part << 32, 0
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def made(kind: int, n: int, **columns: pa.Array) -> pa.RecordBatch:
             kinds = {"kind": pa.int32(), "slot": pa.int64(), "place": pa.int64(), "id": pa.int64(), "chunk": pa.int64(), "ids": pa.binary(), "block": pa.int32(), "part": pa.int32(), "sums": pa.binary()}
@@ -451,33 +513,58 @@ def coded(rows: DataFrame, path: str, ranks: str, units: int, bits: int) -> Data
             return pa.RecordBatch.from_pydict({k: columns.get(k, pa.nulls(n, t)) for k, t in kinds.items()})
 
         def words() -> pa.RecordBatch:
-            cuts = [*np.searchsorted(held, np.arange(1 << bits, dtype=_U) << _U(64 - bits)).tolist(), len(held)]
-            spans = [(i, a, b) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if a < b]
-            return made(WORDS, len(spans), block=pa.array([i for i, _, _ in spans], pa.int32()), sums=pa.array([held[a:b].tobytes() for _, a, b in spans], pa.binary()))
+            distinct, which = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
+            known = np.bincount(which, np.concatenate([n for _, n in held]), len(distinct)).astype(np.int64)
+            spans = in_buckets(distinct, bits)
+            n = len(spans)
+            return made(WORDS, n, chunk=pa.array([chunk] * n, pa.int64()), block=pa.array([i for i, _, _ in spans], pa.int32()), ids=pa.array([low_bytes(distinct[a:b], bits) for _, a, b in spans], pa.binary()), sums=pa.array([pack_counts(known[a:b]) for _, a, b in spans], pa.binary()))
 
-        for batch in pieces(batches):
+        for batch in pieces(batches, most=min(size, PIECE)):
             data, offsets = text_bytes(batch.column(1))
+            if filled and filled + len(data) > size:
+                yield words()
+                chunk, filled, held = chunk + 1, 0, []
+            filled += len(data)
             ids, bounds = code.encode_all(data, offsets)
             learn = ~held_out(batch.column(0))
             counts[:-2] += np.bincount(ids[np.repeat(learn, np.diff(bounds))], minlength=len(counts) - 2)
             found = scan(lowered(data), offsets)
             counts[-2:] += learn.sum(), found.counts()[learn].sum()
-            held = np.union1d(held, found.hashes()[learn[found.doc]])
-            if len(held) >= HELD_WORDS:
-                yield words()
-                held = held[:0]
+            distinct, which = np.unique(found.hashes(), return_inverse=True)
+            held.append((distinct, np.bincount(which, learn[found.doc], len(distinct))))
             place = batch.column(2).to_numpy()
             raw = as_raw(ids, len(code.strings))
-            yield made(TEXT, batch.num_rows, slot=pa.array(place % units, mask=~learn), place=pa.array(place), id=batch.column(0), chunk=batch.column(3), ids=pa.array([raw[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], pa.binary()))
+            yield made(TEXT, batch.num_rows, slot=pa.array(place % units, mask=~learn), place=pa.array(place), id=batch.column(0), chunk=pa.array([chunk] * batch.num_rows, pa.int64()), ids=pa.array([raw[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], pa.binary()))
+        if held:
+            yield words()
         if counts.any():
-            if len(held):
-                yield words()
             cut = np.array_split(counts, BLOCKS)
             yield made(COUNT, BLOCKS, block=pa.array(range(BLOCKS), pa.int32()), sums=pa.array([x.tobytes() for x in cut], pa.binary()))
 
     return rows.mapInArrow(tidy(run, lambda: subwords(path, ranks).forget()), CODED)
 
 
+def in_buckets(distinct: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
+    """(bucket, from, to) of ascending hashes; buckets without a word are left out, so that rows never outnumber words."""
+    cuts = [*np.searchsorted(distinct, np.arange(1 << bits, dtype=_U) << _U(64 - bits)).tolist(), len(distinct)]
+    return [(i, a, b) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if a < b]
+
+
+def low_bytes(hashes: np.ndarray, bits: int) -> bytes:
+    """Of each hash what its bucket does not tell."""
+    return np.ascontiguousarray(hashes).view(np.uint8).reshape(-1, 8)[:, : 8 - bits // 8].tobytes()
+
+
+def from_low_bytes(rows: pa.ChunkedArray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(the hashes of one bucket's rows without the bytes that are left out, how many each row has)."""
+    width = 8 - bits // 8
+    low = [np.frombuffer(x.as_buffer(), np.uint8).reshape(-1, width) for x in rows]
+    sizes = np.array([len(x) for x in low])
+    full = np.zeros((int(sizes.sum()), 8), np.uint8)
+    full[:, :width] = np.concatenate(low)
+    return full.view(_U).ravel(), sizes
+
+
 def as_raw(ids: np.ndarray, many: int) -> np.ndarray:
     return ids.astype("<u4" if many + 2 > 1 << 16 else "<u2")
 
@@ -493,14 +580,14 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 0x41) & (data <= 0x5A), data | 0x20, data)
 
 
-def kinds_of_words(texts: DataFrame) -> int:
+def kinds_of_words(texts: DataFrame, bits: int) -> int:
     """How many distinct words the training texts have: each bucket of hashes counts its own."""
 
     def count(t: pa.Table) -> pa.Table:
-        own = [np.unique(np.frombuffer(x.as_buffer(), _U)) for x in t["sums"]]
-        return pa.table({"n": pa.array([len(np.unique(np.concatenate(own)))], pa.int64())})
+        known = np.concatenate([unpack_counts(x.as_py()) for x in t["sums"]]) > 0
+        return pa.table({"n": pa.array([len(np.unique(from_low_bytes(t["ids"], bits)[0][known]))], pa.int64())})
 
-    found = texts.where(F.col("kind") == WORDS).select("block", "sums").groupBy("block").applyInArrow(count, "n long")
+    found = texts.where(F.col("kind") == WORDS).select("block", "ids", "sums").groupBy("block").applyInArrow(count, "n long")
     return found.agg(F.sum("n")).first()[0] or 0
 
 
@@ -525,23 +612,21 @@ def rounds_of(total: int) -> int:
     return max(1, min(ROUNDS, -(-total // UNIT)))
 
 
-def coded_texts(docs: DataFrame, path: str, ranks: str, total: int, bits: int, chunks: int = 1) -> DataFrame:
+def coded_texts(docs: DataFrame, path: str, ranks: str, total: int, bits: int, size: int = CHUNK) -> DataFrame:
     """docs(id, text), of `total` bytes -> what `coded` makes of them, stored."""
     rounds = rounds_of(total)
     each = max(1, min(MOST_UNITS, -(-total // (UNIT * rounds))))
     # a row's place in the order of training; equal rows are alike
     place = F.pmod(F.xxhash64("text", "id"), F.lit((1 << 62) - 1))
-    # by the text too, so that rows without an id are not all in one chunk
-    chunk = F.pmod(F.xxhash64("id", "text"), F.lit(chunks)).cast("long")
-    return stored(coded(docs.select("id", "text", place.alias("place"), chunk.alias("chunk")), path, ranks, rounds * each, bits), "coded")
+    return stored(coded(docs.select("id", "text", place.alias("place")), path, ranks, rounds * each, bits, size), "coded")
 
 
 def train(docs: DataFrame, path: str, ranks: str, total: int, bits: int) -> Learnt:
     """docs(id, text), of `total` bytes -> both models' training, over all training texts."""
-    return learn(coded_texts(docs, path, ranks, total, bits), path, ranks, rounds_of(total))
+    return learn(coded_texts(docs, path, ranks, total, bits), path, ranks, rounds_of(total), bits)
 
 
-def learn(texts: DataFrame, path: str, ranks: str, rounds: int) -> Learnt:
+def learn(texts: DataFrame, path: str, ranks: str, rounds: int, bits: int) -> Learnt:
     """The same of texts that are coded."""
     spark = texts.sparkSession
     code = subwords(path, ranks)
@@ -556,7 +641,7 @@ def learn(texts: DataFrame, path: str, ranks: str, rounds: int) -> Learnt:
         sums = collected(units.mapInArrow(tidy(units_trained(p, v, RATES[turn], len(code.strings))), "block int, part int, sums binary"))
         if sums is not None:
             p = unflatten(sums[1:] / sums[0] / SCALE, v)
-    return Learnt(p, v, words + ends, kinds_of_words(texts) + (ends > 0), ends)
+    return Learnt(p, v, words + ends, kinds_of_words(texts, bits) + (ends > 0), ends)
 
 
 def units_trained(p: dict[str, np.ndarray], v: Vocabulary, rate: float, many: int):
@@ -625,46 +710,16 @@ def unpack_counts(raw: bytes) -> np.ndarray:
     return out
 
 
-class Bag:
-    """The distinct words of a chunk by bucket, and which of them each word is."""
-
-    def __init__(self, table: pa.Table, bits: int, code: Subwords) -> None:
-        self.ids, self.bounds = from_raw(table["ids"].to_pylist(), len(code.strings))
-        data, offsets = code.texts_of(self.ids, self.bounds)
-        self.words = scan(data, offsets)
-        self.distinct, self.which = np.unique(self.words.hashes(lowered(data)), return_inverse=True)
-        self.held = held_out(table["id"])
-        self.counts = np.bincount(self.which[~self.held[self.words.doc]], minlength=len(self.distinct))
-        cuts = [*np.searchsorted(self.distinct, np.arange(1 << bits, dtype=_U) << _U(64 - bits)).tolist(), len(self.distinct)]
-        #: bucket, from, to; buckets without a word are left out, so that rows never outnumber words
-        self.spans = [(i, a, b) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if a < b]
-
-
-def send(bits: int, path: str, ranks: str):
-    drop = bits // 8
-
-    def run(table: pa.Table) -> pa.Table:
-        bag = Bag(table, bits, subwords(path, ranks))
-        low = np.ascontiguousarray(bag.distinct).view(np.uint8).reshape(-1, 8)[:, : 8 - drop]
-        n = len(bag.spans)
-        return pa.table({"bucket": pa.array([i for i, _, _ in bag.spans], pa.int32()), "chunk": pa.array([table["chunk"][0].as_py()] * n, pa.int64()), "hashes": pa.array([low[a:b].tobytes() for _, a, b in bag.spans], pa.binary()), "counts": pa.array([pack_counts(bag.counts[a:b]) for _, a, b in bag.spans], pa.binary())})
-
-    return run
-
-
 def answer(bits: int):
-    width = 8 - bits // 8
+    """WORDS rows of a bucket -> for each the counts of its words in all training texts."""
 
     def run(table: pa.Table) -> pa.Table:
-        rows = [np.frombuffer(x.as_buffer(), np.uint8).reshape(-1, width) for x in table["hashes"]]
-        sizes = np.array([len(x) for x in rows])
-        full = np.zeros((int(sizes.sum()), 8), np.uint8)
-        full[:, :width] = np.concatenate(rows)
-        distinct, which = np.unique(full.view(_U).ravel(), return_inverse=True)
-        counts = np.concatenate([unpack_counts(x.as_py()) for x in table["counts"]])
+        hashes, sizes = from_low_bytes(table["ids"], bits)
+        distinct, which = np.unique(hashes, return_inverse=True)
+        counts = np.concatenate([unpack_counts(x.as_py()) for x in table["sums"]])
         back = np.bincount(which, counts, len(distinct)).astype(np.int64)[which]
         ends = np.cumsum(sizes)
-        return pa.table({"chunk": table["chunk"], "bucket": table["bucket"], "counts": pa.array([pack_counts(back[e - s : e]) for e, s in zip(ends.tolist(), sizes.tolist(), strict=True)], pa.binary())})
+        return pa.table({"chunk": table["chunk"], "bucket": table["block"], "counts": pa.array([pack_counts(back[e - s : e]) for e, s in zip(ends.tolist(), sizes.tolist(), strict=True)], pa.binary())})
 
     return run
 
@@ -678,18 +733,23 @@ def some_texts(bounds: np.ndarray, most: int = 1 << 19) -> Iterator[tuple[int, i
         lo = hi
 
 
-def judge(bits: int, path: str, ranks: str, learnt: Learnt):
+def judge(path: str, ranks: str, learnt: Learnt):
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        bag = Bag(texts, bits, subwords(path, ranks))
+        code = subwords(path, ranks)
+        ids, bounds = from_raw(texts["ids"].to_pylist(), len(code.strings))
+        data, offsets = code.texts_of(ids, bounds)
+        words = scan(lowered(data), offsets)
+        # the chunk's distinct words in the order in which they were sent
+        which = np.unique(words.hashes(), return_inverse=True)[1]
         order = np.argsort(answers["bucket"].to_numpy())
         counts = np.concatenate([np.zeros(0, np.int64), *(unpack_counts(answers["counts"][i].as_py()) for i in order.tolist())])
         below = np.log10(learnt.tokens + learnt.kinds + 1.0)
         each = np.log10(counts + 1.0) - below
-        doc, docs = bag.words.doc, bag.words.docs
-        base = np.bincount(doc, each[bag.which], docs) + (np.log10(learnt.ends + 1.0) - below)
-        known = np.bincount(doc, counts[bag.which] > 0, docs).astype(np.int64) + (learnt.ends > 0)
-        tokens, held, ids, bounds = bag.words.counts() + 1, bag.held, bag.ids, bag.bounds
-        del bag, doc, each, counts
+        doc, docs = words.doc, words.docs
+        base = np.bincount(doc, each[which], docs) + (np.log10(learnt.ends + 1.0) - below)
+        known = np.bincount(doc, counts[which] > 0, docs).astype(np.int64) + (learnt.ends > 0)
+        tokens, held = words.counts() + 1, held_out(texts["id"])
+        del data, words, which, doc, each, counts
         scorer = Scorer(learnt.params, learnt.vocabulary)
         scores = []
         for lo, hi in some_texts(bounds):
@@ -707,12 +767,12 @@ def score_texts(docs: DataFrame, path: str, ranks: str, key: str = "doc_id", tex
     """One row a document: key, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     texts = docs.select(docs[key].cast("long").alias("id"), docs[text].alias("text"))
     total = texts.select(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    chunks = max(1, -(-total // min(CHUNK, max(LEAST_CHUNK, total // SOME_CHUNKS))))
+    size = min(CHUNK, max(LEAST_CHUNK, total // SOME_CHUNKS))
     bits = min(MOST_BITS, max(8, (total // WORD_BYTES // BUCKET).bit_length()))
-    known = coded_texts(texts, path, ranks, total, bits, chunks)
-    learnt = learn(known, path, ranks, rounds_of(total))
+    known = coded_texts(texts, path, ranks, total, bits, size)
+    learnt = learn(known, path, ranks, rounds_of(total), bits)
     dealt = known.where(F.col("kind") == TEXT).select("id", "chunk", "ids")
-    sent = dealt.groupBy("chunk").applyInArrow(send(bits, path, ranks), "bucket int, chunk long, hashes binary, counts binary")
-    answers = sent.groupBy("bucket").applyInArrow(answer(bits), "chunk long, bucket int, counts binary")
+    sent = known.where(F.col("kind") == WORDS).select("block", "chunk", "ids", "sums")
+    answers = sent.groupBy("block").applyInArrow(answer(bits), "chunk long, bucket int, counts binary")
     schema = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(judge(bits, path, ranks, learnt), schema).withColumnRenamed("id", key)
+    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(judge(path, ranks, learnt), schema).withColumnRenamed("id", key)
