@@ -58,7 +58,7 @@ NOTHING = -50.0
 UNIT, ROUNDS, MOST_UNITS = 6 << 20, 3, 4096
 #: Steps that a unit trains at least, windows a step, learning rate of each round.
 LEAST_STEPS, BATCH = 120, 1024
-RATES = (0.03, 0.015, 0.006)
+RATES = (0.05, 0.03, 0.01)
 #: Of the parameters as integers: sums over 2**36 windows stay within 64 bits up to parameters of 64.
 SCALE, LARGEST = 1 << 20, 60.0
 GROUPS = 1024
