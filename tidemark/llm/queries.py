@@ -1,13 +1,13 @@
-"""The registered queries of the ten operators, with production parameters, over whole tables."""
+"""The registered queries of the operators, with production parameters, over whole tables."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, lm, mixing, neighbours, quality, repeats, secrets, toxicity, urls
+from . import balltree, bpe, centroids, jaccard, lm, mixing, neighbours, phrases, quality, repeats, secrets, toxicity, urls
 from .common import table
 
 
@@ -59,10 +59,27 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, centres = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ",").cast("binary"), 256)
+    total = F.sum("inertia").over(Window.partitionBy(F.lit(0))).cast("long").alias("inertia")
+    told = centres.select("cluster", F.col("inertia").cast("long").alias("cluster_inertia"), total, digest.alias("centroid_sha256"))
+    columns = ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+    return found.join(F.broadcast(told), "cluster", "left").select(*columns)  # 16 rows
+
+
+def op12_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.top_products(table(spark, sf_dir, "embeddings"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {k: f for k, f in globals().items() if k.startswith("op") and k[2:3].isdigit()}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": urls.ORACLE, "op3_substring_dedup": repeats.ORACLE, "op5_mixing": mixing.oracle()}
+    return {"op1_url_filter": urls.ORACLE, "op3_substring_dedup": repeats.ORACLE, "op5_mixing": mixing.oracle(), "op11_centroids": centroids.oracle(), "op12_top_products": balltree.oracle(), "op13_collocations": phrases.ORACLE}
