@@ -11,6 +11,7 @@ import json
 import logging
 import uuid
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 from typing import Protocol
 
@@ -25,11 +26,15 @@ from ..sources import metadata
 from ..sources.catalog import store_schemas
 from ..sources.config import load_entities, load_option_sets
 from ..sources.odata import Authenticator, client_of, register
-from ..sources.store import Store, checkpointed, entity_schema
+from ..sources.store import WHERE, Store, Transaction, checkpointed, entity_schema
 
 STATE, LOG, LOOKUPS = "_sync_state", "_sync_log", "_optionset"
 #: Requests to a service at a time.
 CONCURRENCY = 50
+#: Entities that are loaded at a time.
+AT_ONCE = 4
+#: The part of a junction with the entities that had a multi-select once and have no code now.
+BLANK = "_blank"
 log = logging.getLogger(__name__)
 
 
@@ -117,15 +122,20 @@ def _now() -> str:
     return datetime.now(timezone.utc).isoformat().replace("+00:00", "Z")
 
 
-def _merge_state(store: Store, entity: str, status: str, clock: str, mark: str | None = None, count: int | None = None) -> None:
-    spark = store.spark
-    now = store.read(STATE) if store.exists(STATE) else state.empty_state(spark)
-    store.write(STATE, state.set_state(now, spark.createDataFrame([(entity, status, clock, mark, count)], state.STATE)).coalesce(1))
+def _mark(tx: Transaction, rows: list[tuple]) -> None:
+    """Merges (entity, state, clock, mark, count) rows into the state, which other syncs may write meanwhile."""
+    spark, store = tx.store.spark, tx.store
+
+    def write() -> None:
+        base = store.number(STATE)
+        now = store.read(STATE) if base else state.empty_state(spark)
+        tx.commit(STATE, {"all": state.set_state(now, spark.createDataFrame(rows, state.STATE)).coalesce(1)}, base=base)
+
+    tx.stage(STATE, write)
 
 
-def _append_log(store: Store, row: tuple) -> None:
-    store.commit(LOG, append={"all": store.spark.createDataFrame([row], state.LOG).coalesce(1)})
-    store.compact(LOG, "all")
+def _append_log(tx: Transaction, rows: list[tuple]) -> None:
+    tx.commit(LOG, append={"all": tx.store.spark.createDataFrame(rows, state.LOG).coalesce(1)})
 
 
 def watermark_of(store: Store, entity: str) -> str | None:
@@ -135,13 +145,15 @@ def watermark_of(store: Store, entity: str) -> str | None:
     return row[0] if row else None
 
 
-def load_batch(store: Store, entity: EntityConfig, schema: TableSchema, records: DataFrame, clock: str, option_fields: Iterable[str] = (), mode: str = "fixed") -> tuple[int, int, str | None, int]:
+def load_batch(store: Store, entity: EntityConfig, schema: TableSchema, records: DataFrame, clock: str, option_fields: Iterable[str] = (), mode: str = "fixed", into: Transaction | None = None) -> tuple[int, int, str | None, int]:
     """Applies raw records (seq, raw) to the entity's table, lookups and junctions: (added, updated, largest modifiedon, records).
 
-    History is neither read nor rewritten: the table's note holds the next row id, open versions are
-    replaced, closed ones appended, and junctions take only the versions that the batch made.
+    All of it is one transaction (`into`, if given, which the caller publishes): either the table, its lookups and its junctions
+    have the batch or none has.  Read are the open versions of the batch's keys; written are these and what the batch made, so
+    neither history nor other keys are written again.  The table's note holds the next row id.
     """
     spark, table = store.spark, entity.api_name
+    tx = into or store.transaction()
     records = checkpointed(records.select("seq", "raw"))
     mark = incremental.watermark(records.select(F.get_json_object("raw", "$.modifiedon").alias("modifiedon"))).first()
     if not mark["records_count"]:
@@ -156,62 +168,100 @@ def load_batch(store: Store, entity: EntityConfig, schema: TableSchema, records:
     versions = canonical.to_versions(records, key, {k: v for k, v in types.items() if k not in multi}, clock)
     full = versions.select(*[F.col(c.name) if c.name not in multi else F.lit(None).cast(types[c.name]).alias(c.name) for c in schema.columns], "json_response", "sync_time", "valid_from", "seq")
     base = store.number(table)
-    active = store.read(table, "open") if base else None
     plain = [c for c in full.columns if c != "seq"]
-    before = active.select("row_id", *plain) if active is not None else full.drop("seq").withColumn("row_id", F.lit(None).cast("long")).limit(0)
-    batch = full.withColumn("row_id", F.lit(None).cast("long")).select("row_id", *plain, F.col("seq"))
-    done = checkpointed(scd2.apply(before, batch, key, keep_seq=True))
+    batch = full.select(F.lit(None).cast("long").alias("row_id"), *plain, F.lit(None).cast("string").alias(WHERE[0]), F.lit(None).cast("long").alias(WHERE[1]), "seq")
+    before = store.read(table, "open", keys=full.select(key), places=True) if base else batch.limit(0)
+    done = checkpointed(scd2.apply(before.select("row_id", *plain, *WHERE), batch, key, keep_seq=True))
     first = int(store.note(table) or 1) if base else 1
     keep = ["row_id", *plain, "valid_to"]
     made = scd2.with_row_ids(done.where("row_id is null").drop("row_id"), first, [key, "seq"])
     all_rows = checkpointed(made.select(*keep).unionByName(done.where("row_id is not null").select(*keep)))
     added, updated = scd2.counts(done).first()
-    store.commit(table, {"open": all_rows.where("valid_to is null")}, {"closed": all_rows.where("valid_to is not null")}, str(first + added + updated), base)
-    store.compact(table, "closed")
+    tx.commit(table, append={"open": all_rows.where("valid_to is null"), "closed": all_rows.where("valid_to is not null")}, note=str(first + added + updated), base=base, drop={"open": done.where("from_target")}, key=key)
 
-    _add_labels(store, found.select("field", "code", "label", F.lit(clock).alias("seen_at"), "seq"))
+    seen = found.select("field", "code", "label", F.lit(clock).alias("seen_at"), "seq")
+    tx.stage(LOOKUPS, lambda: _add_labels(tx, seen))
     if added + updated:
         new = done.where("version_created").select(F.col(key).cast("string").alias("id"), "seq", "valid_from")
         for field in multi:
             picks = found.where(F.col("field") == field).select(F.col("_id").alias("id"), "seq", "code", "is_multi")
-            _add_links(store, f"_junction_{table}_{field}", new, picks, mode)
+            _add_links(tx, f"_junction_{table}_{field}", new, picks, mode)
+    if into is None:
+        tx.publish()
     return added, updated, mark["last_timestamp"], mark["records_count"]
 
 
-def _add_labels(store: Store, seen: DataFrame) -> None:
+def _add_labels(tx: Transaction, seen: DataFrame) -> None:
     """Merges seen labels into the lookups, which are written only if that changes them."""
+    store = tx.store
     base = store.number(LOOKUPS)
     old = store.read(LOOKUPS) if base else seen.select("field", "code", "label", F.col("seen_at").alias("first_seen")).limit(0)
     merged = checkpointed(optionsets.merge_lookup(old, seen))
     if not merged.exceptAll(old.select(*merged.columns)).isEmpty():
-        store.commit(LOOKUPS, {"all": merged.coalesce(1)}, base=base)
+        tx.commit(LOOKUPS, {"all": merged.coalesce(1)}, base=base)
 
 
-def _add_links(store: Store, name: str, versions: DataFrame, picks: DataFrame, mode: str) -> None:
+def _add_links(tx: Transaction, name: str, versions: DataFrame, picks: DataFrame, mode: str) -> None:
+    """The batch on a junction: read and written are the links of its entities."""
+    store = tx.store
     base = store.number(name)
-    none = store.spark.createDataFrame([], "entity_id string, option_code long, valid_from string, valid_to string")
-    opened = store.read(name, "open") if base else none
-    blank = (store.read(name, "_blank") if base else none).select("entity_id")
-    after, closed, left = optionsets.junction_batch(opened, blank, versions, picks, "id", mode)
-    store.commit(name, {"open": after, "_blank": left}, {"closed": closed}, base=base)
-    store.compact(name, "closed")
-
-
-def _sync_one(store: Store, entity: EntityConfig, load: Callable[[], tuple[int, int, str | None, int]]) -> tuple[int, int]:
-    run, begun = uuid.uuid4().hex, _now()
-    _merge_state(store, entity.api_name, state.IN_PROGRESS, begun)
-    _append_log(store, (run, entity.api_name, begun, None, 0, 0, state.IN_PROGRESS, None))
+    none = store.spark.createDataFrame([], "entity_id string, option_code long, valid_from string, valid_to string, _file string, _place long")
+    own = versions.select("id")
+    opened = store.read(name, "open", keys=own, places=True) if base else none
+    blank = store.read(name, BLANK, keys=own, places=True) if base else none
+    after, closed, left = optionsets.junction_batch(opened.drop(*WHERE), blank.select("entity_id"), versions, picks, "id", mode)
+    tx.commit(name, append={"open": after, "closed": closed, BLANK: left}, base=base, drop={"open": opened, BLANK: blank} if base else None, key="entity_id")
+
+
+def maintain(store: Store, tables: Iterable[str]) -> None:
+    """Joins and rewrites what has become costly to read. Another writer, or a failure, only puts it off."""
+    for table in tables:
+        for part in ("open", "closed", BLANK, "all"):
+            try:
+                store.compact(table, part)
+            except Exception:
+                log.exception("%s of %s was not compacted", part, table)
+
+
+def _sync_one(store: Store, entity: EntityConfig, run: str, begun: str, load: Callable[[Transaction], tuple[int, int, str | None, int]]) -> tuple[int, int]:
+    """The batch, its state and its log, published together."""
     try:
-        added, updated, mark, count = load()
+        tx = store.transaction()
+        added, updated, mark, count = load(tx)
+        _mark(tx, [(entity.api_name, state.COMPLETED, _now(), mark, count)])
+        _append_log(tx, [(run, entity.api_name, begun, _now(), added, updated, state.COMPLETED, None)])
+        tx.publish()
     except Exception as e:
-        _merge_state(store, entity.api_name, state.FAILED, _now())
-        _append_log(store, (run, entity.api_name, begun, _now(), 0, 0, state.FAILED, str(e)[:2000]))
+        tx = store.transaction()
+        _mark(tx, [(entity.api_name, state.FAILED, _now(), None, None)])
+        _append_log(tx, [(run, entity.api_name, begun, _now(), 0, 0, state.FAILED, str(e)[:2000])])
+        tx.publish()
         raise
-    _merge_state(store, entity.api_name, state.COMPLETED, _now(), mark, count)
-    _append_log(store, (run, entity.api_name, begun, _now(), added, updated, state.COMPLETED, None))
     return added, updated
 
 
+def _begin(store: Store, entities: list[EntityConfig]) -> tuple[str, dict[str, str]]:
+    """Marks entities as begun, in one commit: (when, {entity: run id})."""
+    begun, runs = _now(), {e.api_name: uuid.uuid4().hex for e in entities}
+    if entities:
+        tx = store.transaction()
+        _mark(tx, [(e, state.IN_PROGRESS, begun, None, None) for e in runs])
+        _append_log(tx, [(r, e, begun, None, 0, 0, state.IN_PROGRESS, None) for e, r in runs.items()])
+        tx.publish()
+    return begun, runs
+
+
+def new_references(store: Store, found: list[tuple[str, str, str, str]], table: str, read: dict[tuple[str, str], int]) -> DataFrame | None:
+    """id: what refers to the table in rows that came since the last call; `read` holds the number up to which each referring table has been read."""
+    fresh = {}
+    for source, _ in closure.referencing(found, table):
+        number, before = store.number(source), read.get((table, source), 0)
+        if number > before:
+            fresh[source] = store.read(source, since=before)
+            read[table, source] = number
+    return closure.referenced_ids(fresh, found, table)
+
+
 def run_workflow(store: Store, source: Source, entities: list[EntityConfig], verify_references: bool = False, option_sets: Mapping[str, Iterable[str]] | None = None, rounds: int = closure.ROUNDS, compat: bool = False, clock: str | None = None) -> dict:
     """success, total_added, total_updated, failed_entities, validation_errors, reference_errors, reference_checks."""
     spark = store.spark
@@ -223,16 +273,19 @@ def run_workflow(store: Store, source: Source, entities: list[EntityConfig], ver
     if not passed:
         out["validation_errors"] = [r.asDict(recursive=True) for r in differences.where("severity = 'error'").collect()]
         return out
-    for e in to_create:
-        store.commit(e.api_name, {"open": spark.createDataFrame([], entity_schema(schemas[e.name], options.get(e.name, frozenset())))})
+    if to_create:
+        tx = store.transaction()
+        for e in to_create:
+            tx.commit(e.api_name, {"open": spark.createDataFrame([], entity_schema(schemas[e.name], options.get(e.name, frozenset())))}, key=incremental.resolve_key(schemas[e.name], e.name, required=False))
+        tx.publish()
     found, dropped = closure.edges(schemas, valid)
     for edge in dropped:
         log.warning("no column %s in %s: the reference to %s is not followed", edge[1], edge[0], edge[2])
     mode = "compat" if compat else "fixed"
 
-    def attempt(entity: EntityConfig, records: Callable[[], DataFrame]) -> bool:
+    def attempt(entity: EntityConfig, run: str, begun: str, records: Callable[[], DataFrame]) -> bool:
         try:
-            added, updated = _sync_one(store, entity, lambda: load_batch(store, entity, schemas[entity.name], records(), clock, options.get(entity.name, ()), mode))
+            added, updated = _sync_one(store, entity, run, begun, lambda tx: load_batch(store, entity, schemas[entity.name], records(), clock, options.get(entity.name, ()), mode, tx))
         except Exception as e:  # one entity's failure does not stop the others
             log.exception("sync of %s failed", entity.api_name)
             out["failed_entities"].append((entity.api_name, str(e)))
@@ -241,36 +294,48 @@ def run_workflow(store: Store, source: Source, entities: list[EntityConfig], ver
         out["total_updated"] += updated
         return True
 
-    for entity in (e for e in valid if not e.filtered):
+    def whole(entity: EntityConfig) -> None:
         schema = schemas[entity.name]
         mark = watermark_of(store, entity.api_name) if schema.has("modifiedon") else None
-        attempt(entity, lambda e=entity, s=schema, m=mark: source.scan(e.api_name, incremental.order_column(s), m))
+        attempt(entity, runs[entity.api_name], begun, lambda: source.scan(entity.api_name, incremental.order_column(schema), mark))
 
-    done: dict[str, DataFrame] = {}
     marks = {e.api_name: watermark_of(store, e.api_name) for e in valid if e.filtered}
+    begun, runs = _begin(store, [e for e in valid if not e.filtered])
+    # independent entities at once: each is a few small jobs that leave the cluster idle in between
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        list(pool.map(whole, [e for e in valid if not e.filtered]))
+
+    done: dict[str, DataFrame] = {}
+    failed: dict[str, DataFrame] = {}
+    read: dict[tuple[str, str], int] = {}
     for turn in range(rounds):
         moved = False
-        tables = {t: store.read(t) for t in store.tables() if not t.startswith("_")}
         for entity in (e for e in valid if e.filtered):
-            ids = closure.referenced_ids(tables, found, entity.api_name)
+            name = entity.api_name
+            ids = new_references(store, found, name, read)
+            if name in failed:  # they are asked for again
+                ids = failed.pop(name) if ids is None else ids.unionByName(failed.pop(name)).distinct()
             if ids is None:
                 continue
-            if entity.api_name in done:
-                ids = ids.join(done[entity.api_name], "id", "left_anti")
+            if name in done:
+                ids = ids.join(done[name], "id", "left_anti")
             ids = checkpointed(ids)
             if ids.isEmpty():
                 continue
             moved = True
-            schema, mark = schemas[entity.name], marks[entity.api_name]
+            schema, mark = schemas[entity.name], marks[name]
             key = incremental.resolve_key(schema, entity.name)
-            new, existing = incremental.split_ids(ids, store.read(entity.api_name), key, mark is not None)
-            if not attempt(entity, lambda e=entity, k=key, n=new, x=existing, m=mark: source.by_ids(e.api_name, k, n, x, m)):
-                continue  # its ids are asked for again in the next round
-            done[entity.api_name] = checkpointed(done[entity.api_name].unionByName(ids)) if entity.api_name in done else ids
+            new, existing = incremental.split_ids(ids, store.read(name), key, mark is not None)
+            begun, runs = _begin(store, [entity])
+            if not attempt(entity, runs[name], begun, lambda e=entity, k=key, n=new, x=existing, m=mark: source.by_ids(e.api_name, k, n, x, m)):
+                failed[name] = ids
+                continue
+            done[name] = checkpointed(done[name].unionByName(ids)) if name in done else ids
         if not moved:
             break
     else:
         log.warning("references were still being followed after %d rounds", rounds)
+    maintain(store, store.tables())
 
     if verify_references:
         tables = {t: store.read(t) for t in store.tables() if not t.startswith("_")}

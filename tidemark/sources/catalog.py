@@ -15,7 +15,7 @@ STORED_AS = {"string": "TEXT", "bigint": "INTEGER", "int": "INTEGER", "smallint"
 def store_schemas(store: Store) -> dict[str, TableSchema]:
     out = {}
     for name in store.tables():
-        fields = store.read(name).schema.fields
+        fields = store.state(name).schema().fields
         columns = [Column(f.name, STORED_AS.get(f.dataType.simpleString(), "TEXT"), (f.metadata or {}).get("edm_type") or "", f.nullable) for f in fields]
         out[name] = TableSchema(name, columns, "row_id" if any(f.name == "row_id" for f in fields) else None)
     return out

@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import scd2
-from ..sources.store import Store
+from ..sources.store import WHERE, Store, checkpointed
 
 
 def apply_batch(store: Store, table: str, batch: DataFrame, key: str, payload: str = "json_response", seq: str = "seq", note: str | None = None) -> DataFrame:
-    """The batch on the table's open versions, in one commit: open rows are replaced, closed ones appended. Returns what was applied, re-read from the commit's own plan."""
+    """The batch on the open versions of its keys, in one commit. Returns what was applied."""
     plain = [c for c in batch.columns if c not in (seq, "valid_to")]
-    active = store.read(table, "open") if store.exists(table) else batch.select(*plain).limit(0)
-    done = scd2.apply(active.select(*plain), batch, key, payload, seq)
+    there, base = store.exists(table), store.number(table)
+    rows = batch.withColumns({WHERE[0]: F.lit(None).cast("string"), WHERE[1]: F.lit(None).cast("long")})
+    active = store.read(table, "open", keys=batch.select(key), places=True) if there else rows.limit(0)
+    done = checkpointed(scd2.apply(active.select(*plain, *WHERE), rows, key, payload, seq))
     keep = [*plain, "valid_to"]
-    store.commit(table, {"open": done.where("valid_to is null").select(*keep)}, {"closed": done.where("valid_to is not null").select(*keep)}, note)
+    store.commit(table, append={"open": done.where("valid_to is null").select(*keep), "closed": done.where("valid_to is not null").select(*keep)}, note=note, base=base, drop={"open": done.where("from_target")} if there else None, key=key)
     return done
 
 
