@@ -83,28 +83,25 @@ class Chunk:
         third = self.later(2, self.word + 1)
         same = [one[a] == one[b], (two[a] == two[b]) & (far > 1)]
         same += [same[1] & (far > 2) & (third[a] == third[b]), (four[a] == four[b]) & (far > 3)]
-        lengths, places, counts = [], [], []
+        # hashes of the words' bytes, so that all chunks agree; word by word over all places
+        far = mix(byte_hashes(*_joined(self.langs)) + _STEPS[0])[self.lang]
+        word = byte_hashes(*_joined(self.strings))[self.word]
+        lengths, places, counts, hashes = [], [], [], []
         for size in range(1, LONGEST + 1):
+            far = mix(far ^ (word * _STEPS[size - 1]))
+            word = self.later(1, word)
             new = np.concatenate([[True], ~same[size - 1]])[:n]
             long = np.flatnonzero(left[order] >= size)
             starts = np.flatnonzero(new[long])
             places.append(order[long[starts]])
             counts.append(np.diff(np.append(starts, len(long))))
-            lengths.append(np.full(len(starts), size, np.int64))
-        self.length, self.place, self.count = np.concatenate(lengths), np.concatenate(places), np.concatenate(counts)
-        # of the words' bytes, so that all chunks agree
-        self.hash = self._hashes(byte_hashes(data, words.start, words.end), byte_hashes(*_joined(self.langs)))
+            lengths.append(np.full(len(starts), size, np.int8))
+            hashes.append(mix(far[places[-1]] + _U(size)))
+        self.length, self.place, self.count, self.hash = map(np.concatenate, (lengths, places, counts, hashes))
 
     def later(self, steps: int, values: np.ndarray) -> np.ndarray:
         return np.concatenate([values[steps:], np.zeros(min(steps, len(values)), values.dtype)])
 
-    def _hashes(self, word: np.ndarray, lang: np.ndarray) -> np.ndarray:
-        out = mix(lang + _STEPS[0])[self.lang[self.place]] + self.length.astype(_U) if len(self.place) else np.zeros(0, _U)
-        for j in range(LONGEST):
-            own = np.flatnonzero(self.length > j)
-            out[own] = mix(out[own] ^ (word[self.place[own] + j] * _STEPS[j]))
-        return out
-
     def phrases(self, which: np.ndarray) -> tuple[pa.Array, pa.Array]:
         """(lang, phrase) of these n-grams, which must be of one length."""
         size = int(self.length[which[0]])
@@ -181,22 +178,23 @@ def send_phrases(bits: int):
         if not texts.num_rows:
             return pa.table({"lang": pa.array([], pa.string()), "phrase": pa.array([], pa.string()), "size": pa.array([], pa.int32()), "n": pa.array([], pa.int64())})
         c = Chunk(texts)
-        hashes = np.unique(c.hash)
+        order = np.argsort(c.hash)
+        hashes = c.hash[order]
+        new = np.concatenate([[True], hashes[1:] != hashes[:-1]])[: len(hashes)]
+        hashes = hashes[new]
         told = dict(zip(answers["bucket"].to_pylist(), answers["bits"].to_pylist(), strict=True))
         keep = np.zeros(len(hashes), bool)
         for n, a, b in _cuts(hashes, bits):
             if n in told:
                 keep[a:b] = np.unpackbits(np.frombuffer(told[n], np.uint8), count=b - a).astype(bool)
-        some = hashes[keep]
-        at = np.searchsorted(some, c.hash)
-        which = np.flatnonzero(some[np.minimum(at, len(some) - 1)] == c.hash) if len(some) else np.zeros(0, np.int64)
+        which = np.sort(order[keep[np.cumsum(new) - 1]])
         out = [pa.table({"lang": c.langs, "phrase": pa.nulls(len(c.langs), pa.string()), "size": pa.array([0] * len(c.langs), pa.int32()), "n": pa.array(c.per_lang)})]
         for size in range(1, LONGEST + 1):
             own = which[c.length[which] == size]
             if len(own):
                 lang, phrase = c.phrases(own)
                 out.append(pa.table({"lang": lang, "phrase": phrase, "size": pa.array(np.full(len(own), size), pa.int32()), "n": pa.array(c.count[own])}))
-        del c, hashes, at
+        del c, hashes, order
         release()
         return pa.concat_tables(out)
 
