@@ -139,6 +139,11 @@ def _halves(hash_: Column) -> list[Column]:
     return [hash_.bitwiseAND((1 << BITS) - 1), F.shiftright(hash_, BITS).bitwiseAND((1 << BITS) - 1)]
 
 
+def _places() -> dict[str, Column]:
+    # names of files are unique within a folder; a store may be moved as a whole
+    return {"_file": F.substring_index("_metadata.file_path", "/", -3), "_place": F.col("_metadata.row_index")}
+
+
 class Transaction:
     """Changes of several tables that are published together, or not at all."""
 
@@ -324,7 +329,7 @@ class Store:
         rows = self.spark.read.schema(schema).parquet(*[f"{self.root}/{table}/{f.name}" for f in found])
         gone = [f for p in {f.part for f in found} for f in state.of_part(p, gone=True)]
         if gone or places:
-            rows = rows.withColumns({"_file": F.col("_metadata.file_name"), "_place": F.col("_metadata.row_index")})
+            rows = rows.withColumns(_places())
         if key is not None:
             rows = rows.where(F.col(state.key) == F.lit(key))
         if at is not None:
@@ -390,7 +395,7 @@ class Store:
         if not dead:
             return rows
         out = self.spark.read.parquet(*[f"{self.root}/{table}/{f.name}" for f in dead])
-        return rows.withColumns({"_file": F.col("_metadata.file_name"), "_place": F.col("_metadata.row_index")}).join(out, WHERE, "left_anti").select(*schema.names)
+        return rows.withColumns(_places()).join(out, WHERE, "left_anti").select(*schema.names)
 
     def _buckets(self, table: str, part: str, state: State) -> list[Folder]:
         """The part's rows, written by the hash of their key."""
