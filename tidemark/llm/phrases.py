@@ -73,7 +73,6 @@ class Chunk:
             left[:-1] = np.where(more[:-1], np.minimum(left[1:] + 1, LONGEST), 1)
         kinds = len(strings) + 1
         one = self.lang * kinds + self.word + 1
-        self.one = one
         two = one * kinds + np.where(left > 1, self.later(1, self.word + 1), 0)
         two = dense(two, np.argsort(two))
         four = two * (int(two.max(initial=0)) + 2) + np.where(left > 2, self.later(2, two + 1), 0)
