@@ -65,6 +65,43 @@ def test_strict_time(spark):
     assert ordered == {"old": "2024-02", "new": None}
 
 
+def test_a_late_record_before_the_open_version(spark):
+    active = spark.createDataFrame([("a", "A", "t", "2024-02-01")], COLS.rsplit(",", 1)[0])
+    late = spark.createDataFrame([("a", "B", "t", "2024-01-01", 0)], COLS)
+    got = {r["json_response"]: (r["valid_from"], r["valid_to"], r["is_new_entity"]) for r in scd2.apply(active, late, "k", strict_time=True).collect()}
+    assert got == {"B": ("2024-01-01", "2024-02-01", False), "A": ("2024-02-01", None, False)}
+
+
+def in_time(events):
+    """(key, payload, from, to) of a history whose records came in the order of time."""
+    out = []
+    for k in sorted({e[0] for e in events}):
+        last = {}
+        for _, p, t in sorted(e for e in events if e[0] == k):
+            last[t] = p
+        runs = [(t, p) for n, (t, p) in enumerate(sorted(last.items())) if n == 0 or sorted(last.items())[n - 1][1] != p]
+        out += [(k, p, t, runs[n + 1][0] if n + 1 < len(runs) else None) for n, (t, p) in enumerate(runs)]
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_any_order_of_arrival_gives_one_history(spark, seed):
+    rng = random.Random(seed)
+    events = [(k, rng.choice("xy"), f"2024-{m:02}-{d:02}") for k in "abc" for m, d in rng.sample([(m, d) for m in range(1, 13) for d in (1, 15)], 9)]
+    rng.shuffle(events)
+    known = spark.createDataFrame([], COLS.rsplit(",", 1)[0])
+    for n in range(0, len(events), 9):
+        batch = spark.createDataFrame([(k, p, f"s{n}", t, i) for i, (k, p, t) in enumerate(events[n : n + 9])], COLS)
+        got = scd2.splice(known, batch, "k")
+        keys = {r["k"] for r in batch.collect()}
+        rows = got.collect()
+        rest = [tuple(r) for r in known.collect() if r["k"] not in keys]
+        known = spark.createDataFrame(rest + [(r["k"], r["json_response"], r["sync_time"], r["valid_from"]) for r in rows], known.schema)
+        assert sorted(((r["k"], r["json_response"], r["valid_from"], r["valid_to"]) for r in rows if r["is_version"]), key=str) == [e for e in in_time(events[: n + 9]) if e[0] in keys]
+    again = scd2.splice(known, spark.createDataFrame([("a", "z", "s", known.where("k = 'a'").first()["valid_from"], 0)], COLS), "k")
+    assert again.where("valid_to <= valid_from").count() == 0 and again.where("is_version and json_response = 'z'").count() == 1  # a correction takes its record's place
+
+
 def test_scd1_nulls_what_the_batch_lacks(spark):
     target = spark.createDataFrame([("a", 1, 2), ("b", 3, 4)], "k string, x int, y int")
     batch = spark.createDataFrame([("a", 5, 0), ("a", 6, 1), ("c", 7, 2)], "k string, x int, seq int")
@@ -178,12 +215,38 @@ def test_state(spark):
     assert tuple(now.first()) == ("a", "failed", "t3", "w", 3)
 
 
+def payloads(spark, how, *raws):
+    return [r[0] for r in spark.createDataFrame([(i, x) for i, x in enumerate(raws)], "i int, raw string").orderBy("i").select(how(F.col("raw"))).collect()]
+
+
 def test_canonical(spark):
-    raws = ['{"b": 1, "a": null, "@odata.etag": "x"}', '{"a": null, "@odata.etag": "y", "b": 1}', '{"b": 1}', None]
-    got = [r[0] for r in spark.createDataFrame([(i, x) for i, x in enumerate(raws)], "i int, raw string").orderBy("i").select(canonical.canonical(F.col("raw"))).collect()]
+    got = payloads(spark, canonical.canonical, '{"b": 1, "a": null, "@odata.etag": "x"}', '{"a": null, "@odata.etag": "y", "b": 1}', '{"b": 1}', None)
     assert got[0] == got[1] and got[0] != got[2]
 
 
+def test_different_records_have_different_payloads(spark):
+    long = "123456789012345678901234567890123456789012345"
+    raws = [
+        '{"a":{"b":1,"b":2},"c":1}', '{"a":{"b":1,"b":2},"c":2}', '{"a":{"b":1},"c":1}', f'{{"n":{long}}}', f'{{"n":{long[:-1]}6}}', f'{{"n":"{long}"}}', f'{{"n":"\\u0001{long}"}}', f'{{"n":[{{"m":-{long}}}]}}', f'{{"n":[{{"m":{long}}}]}}',
+        '{"n":0.12345678901234567}', '{"n":0.12345678901234568}', '{"s":"x \\" 1, 2: 12345678901234567890"}', '{"s":"x \\" 1, 2: 12345678901234567891"}', '{"s":"\\u0001\\u00015"}', '{"s":"\\u00015"}', '{"x":[]}', '{"x":{}}', "{}",
+    ]
+    for how in (canonical.canonical, canonical.canonical_exact):
+        got = payloads(spark, how, *raws)
+        assert len(set(got)) == len(raws) and None not in got
+    assert payloads(spark, canonical.canonical, '{"a":{"b":1,"b":2}}', '{"k":1,"k":3,"a":1.0}') == ['{"a": {"b":2}}', '{"a": 1, "k": 3}']
+    assert payloads(spark, canonical.canonical, '{"a":1}', '{"a":1.0}', f'{{"a": {long}}}')[::2] == ['{"a": 1}', f'{{"a": {long}}}']
+
+
+def test_the_exact_payload_is_a_sorted_dump(spark):
+    words = "x" * 200_000 + '\\n"\\\\' * 20_000
+    records = [{"b": [1, -2, {"z": "é😀", "a": None}], "a": {"d": True, "c": "1, 2: 3"}}, {"long": words, "k": 12}, {"n": 10**44 + 1, "s": 'q"uo,te: \\ \t', "": ""}, {"é": {"ü": [], "u": {}}}]
+    got = payloads(spark, canonical.canonical_exact, *(json.dumps({"@odata.x": 1, **r}) for r in records))
+    assert got == [json.dumps(r, sort_keys=True) for r in records]
+    assert payloads(spark, canonical.canonical_exact, '{"b": 1.0, "a": 1.50, "a": 2e5}', '{"b": 1}') == ['{"a": 2e5, "b": 1.0}', '{"b": 1}']
+    plan = spark.createDataFrame([("{}",)], "raw string").select(canonical.canonical_exact("raw"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
+
+
 def test_store_and_stream(spark, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
     rows = [("a", "1", "t", "2024-01", 0), ("a", "2", "t", "2024-02", 1), ("b", "1", "t", "2024-01", 2)]

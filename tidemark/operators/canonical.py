@@ -2,38 +2,63 @@
 
 from __future__ import annotations
 
-import json
-
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ODATA_PREFIX = "@odata."
+#: A JSON string, as a pattern that never goes back, so that texts of any length do; and how much of a number a double holds for certain.
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_SHORT = 15
+#: What comes before a string of digits that stands for a number, and before a string of the record's own that starts so.
+_MARK = r"\\u0001"
 
 
-def canonical(raw: Column) -> Column:
-    """The record without its top-level `@odata.` keys, keys sorted at every level: equal for equal records.
+def _verbatim(raw: Column, all_numbers: bool) -> Column:
+    """raw with numbers as marked strings: all, or those with more digits than a double holds. Strings are passed over whole, so digits in them stay."""
+    own = F.regexp_replace(raw, r'(?<!\\)"' + r"\\u0001", F.lit('"' + _MARK + _MARK))
+    short = "" if all_numbers else rf"|-?[0-9.eE+-]{{1,{_SHORT}}}+(?![0-9.eE+-])"
+    return F.regexp_replace(own, rf'\G((?:[^"0-9-]++|{_STRING}{short})*+)(-?[0-9][0-9.eE+-]*+)', F.lit(f'$1"{_MARK}$2"'))
 
-    Runs in the JVM; numbers are normalised (`1.0` and `1` are the same).  For the exact text of the
-    record's numbers and escapes use canonical_exact.
-    """
-    kept = F.map_filter(F.from_json(raw, "map<string, variant>"), lambda k, _: ~F.startswith(k, F.lit(ODATA_PREFIX)))
-    entries = F.array_sort(F.transform(F.map_entries(kept), lambda e: F.concat(F.to_json(F.named_struct(F.lit("k"), e["key"])), F.lit(":"), F.coalesce(F.to_json(e["value"]), F.lit("null")))))
+
+def _plain(text: Column) -> Column:
+    numbers = F.regexp_replace(text, r'"\\u0001(-?[0-9][0-9.eE+-]*)"', "$1")
+    return F.regexp_replace(numbers, r'(?<!\\)"\\u0001\\u0001', F.lit('"' + _MARK))
+
+
+def _entries(raw: Column) -> Column:
+    """The record's own (key, value) pairs; of a key that comes twice, here or further in, the last."""
+    SparkSession.active().conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    all_ = F.filter(F.map_entries(F.from_json(raw, "map<string, variant>")), lambda e: ~F.startswith(e["key"], F.lit(ODATA_PREFIX)))
+    keys = F.transform(all_, lambda e: e["key"])
+    last = F.filter(all_, lambda e, i: F.array_position(F.reverse(keys), e["key"]) == F.size(keys) - i)
+    return F.when(F.size(F.array_distinct(keys)) < F.size(keys), last).otherwise(all_)
+
+
+def _object(raw: Column, text_of) -> Column:
     # {"k":"name"} -> "name"
-    return F.concat(F.lit("{"), F.concat_ws(", ", F.transform(entries, lambda e: F.regexp_replace(e, r'^\{"k":("(?:[^"\\]|\\.)*")\}:', "$1: "))), F.lit("}"))
+    name = lambda e: F.regexp_replace(F.to_json(F.named_struct(F.lit("k"), e["key"])), r'^\{"k":(.*)\}$', "$1")
+    pairs = F.array_sort(F.transform(_entries(raw), lambda e: F.struct(e["key"].alias("k"), F.concat(name(e), F.lit(": "), text_of(F.coalesce(F.to_json(e["value"]), F.lit("null")))).alias("t"))))
+    return F.concat(F.lit("{"), F.array_join(F.transform(pairs, lambda p: p["t"]), ", "), F.lit("}"))
+
 
+def canonical(raw: Column) -> Column:
+    """The record without its top-level `@odata.` keys, keys sorted at every level: equal for equal records.
 
-@F.pandas_udf(T.StringType())
-def canonical_exact(raw: pd.Series) -> pd.Series:
-    """canonical() byte for byte as a sorted JSON dump writes it (Arrow batches): 1 and 1.0 differ, non-ASCII is escaped, a repeated key keeps its last value."""
+    Of a key that comes twice the last counts, at any level.  Numbers are normalised (`1.0` and `1` are the same) unless they have
+    more digits than a double holds; these keep their text.  For the text of all numbers use canonical_exact.
+    """
+    return _plain(_object(_verbatim(raw, False), lambda x: x))
 
-    def one(x: str | None) -> str | None:
-        if x is None:
-            return None
-        return json.dumps({k: v for k, v in json.loads(x).items() if not k.startswith(ODATA_PREFIX)}, sort_keys=True)
 
-    return raw.map(one)
+def canonical_exact(raw: Column | str) -> Column:
+    """canonical() with each number as the record has it (1 and 1.0 differ), a space after every colon and comma, and non-ASCII characters escaped, as a sorted JSON dump writes them."""
+    raw = F.col(raw) if isinstance(raw, str) else raw
+    spaced = lambda x: F.regexp_replace(x, rf'\G((?:[^",:]++|{_STRING})*+)([:,])', "$1$2 ")
+    text = _plain(_object(_verbatim(raw, True), spaced))
+    units = lambda c: F.regexp_replace(F.lower(F.hex(F.encode(c, "UTF-16BE"))), "(....)", r"\\u$1")
+    ascii_ = F.array_join(F.transform(F.split(text, ""), lambda c: F.when(c > F.lit("\x7f"), units(c)).otherwise(c)), "")
+    return F.when(text.rlike(r"[^\x00-\x7F]"), ascii_).otherwise(text)
 
 
 def effective_time(modified: Column, clock: Column) -> Column:

@@ -26,14 +26,17 @@ def apply(active: DataFrame, batch: DataFrame, key: str, payload: str = "json_re
 
     active: key, columns..., payload, sync_time, valid_from (and valid_to, all null); batch: the same
     with seq.  Result: the columns, valid_from, valid_to, is_new_entity, version_created, from_target.
-    strict_time takes records in the order of valid_from, then seq, instead of arrival; keep_seq adds the
-    seq of the record that each version began with (-1 for those of active).
+    strict_time takes records in the order of valid_from instead of arrival (see splice, which also takes closed versions);
+    keep_seq adds the seq of the record that each version began with (-1 for those of active).
     """
+    if strict_time:
+        told = splice(active, batch, key, payload, seq, keep_seq)
+        return told.where("is_version").drop("is_version")
     columns = [c for c in batch.columns if c not in (seq, "valid_to")]
     old = active.select(*columns).withColumn(seq, F.lit(-1).cast("long")).withColumn("_target", F.lit(True))
     new = batch.select(*columns, F.col(seq).cast("long").alias(seq)).withColumn("_target", F.lit(False))
     rows = old.unionByName(new).where(F.col(key).isNotNull() & (F.col(key).cast("string") != ""))
-    order = [F.col("_target").desc(), "valid_from", seq] if strict_time else [F.col("_target").desc(), F.col(seq)]
+    order = [F.col("_target").desc(), F.col(seq)]
     w = Window.partitionBy(key).orderBy(*order)
     rows = rows.withColumn("_changed", (F.row_number().over(w) == 1) | ~F.col(payload).eqNullSafe(F.lag(payload).over(w)))
     rows = rows.withColumn("_run", F.sum(F.col("_changed").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
@@ -45,6 +48,35 @@ def apply(active: DataFrame, batch: DataFrame, key: str, payload: str = "json_re
     return rows.select(*columns, ends.alias("valid_to"), first_new.alias("is_new_entity"), (~F.col("_target")).alias("version_created"), F.col("_target").alias("from_target"), *([F.col(seq)] if keep_seq else []))
 
 
+def splice(known: DataFrame, batch: DataFrame, key: str, payload: str = "json_response", seq: str = "seq", keep_seq: bool = False) -> DataFrame:
+    """The history of the batch's keys in the order of time, whatever the order of arrival.
+
+    known: all that is known of these keys, open and closed versions and confirmations: key, columns..., payload, sync_time, valid_from; batch: the same with seq.  A late
+    record splits the interval that it falls in; neighbours that become equal are one version.  Of several records of one
+    time the last to arrive counts, so no interval is empty or inverted.  Result: the columns, valid_to, is_new_entity, version_created,
+    from_target, is_version.  Rows that are no version are confirmations: a payload met again at a later time, from which a version
+    may begin once something comes in between; they are kept apart and come again as known.
+    """
+    columns = [c for c in batch.columns if c not in (seq, "valid_to")]
+    old = known.select(*columns).withColumn(seq, F.lit(-1).cast("long")).withColumn("_target", F.lit(True))
+    new = batch.select(*columns, F.col(seq).cast("long").alias(seq)).withColumn("_target", F.lit(False))
+    rows = old.unionByName(new).where(F.col(key).isNotNull() & (F.col(key).cast("string") != "")).repartition(key)
+    moment = Window.partitionBy(key, "valid_from").orderBy(F.desc("_target"), seq)
+    all_of_it = moment.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.withColumns({"_p": F.last(payload).over(all_of_it), "_s": F.last("sync_time").over(all_of_it)}).where(F.col(payload).eqNullSafe(F.col("_p")))
+    rows = rows.withColumn("_n", F.row_number().over(moment)).where("_n = 1").withColumn("sync_time", F.col("_s"))
+    w = Window.partitionBy(key).orderBy("valid_from")
+    rows = rows.withColumns({"is_version": (F.row_number().over(w) == 1) | ~F.col(payload).eqNullSafe(F.lag(payload).over(w)), "is_new_entity": (F.row_number().over(w) == 1) & ~F.max("_target").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))})
+    # the next version's start: the first of those that come after
+    ends = F.first(F.when(F.col("is_version"), F.col("valid_from")), ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))
+    # a run is seen until its last confirmation
+    rows = rows.withColumns({"valid_to": ends, "_run": F.sum(F.col("is_version").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))})
+    run = Window.partitionBy(key, "_run").orderBy("valid_from").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.withColumn("sync_time", F.when(F.col("is_version"), F.max("sync_time").over(run)).otherwise(F.col("sync_time")))
+    created = F.col("is_version") & ~F.col("_target")
+    return rows.select(*columns, "valid_to", "is_new_entity", created.alias("version_created"), F.col("_target").alias("from_target"), *([F.col(seq)] if keep_seq else []), "is_version")
+
+
 def counts(applied: DataFrame) -> DataFrame:
     """added (new keys) and updated (new versions of known keys) of an applied batch."""
     return applied.agg(

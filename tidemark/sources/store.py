@@ -27,6 +27,7 @@ import time
 import uuid
 import zlib
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
@@ -77,6 +78,8 @@ COMMITS, INDEX = "_commits", "_index"
 BLOOM_ROWS, BITS = 10_000, 15
 #: Rows of a bucket, about, when a part is written again, and buckets at most.
 BUCKET_ROWS, MOST_BUCKETS = 500_000, 1 << 16
+#: Folders of a transaction that are written at a time.
+AT_ONCE = 8
 #: Rows that are gone are broadcast up to this many.
 MOST_GONE = 1_000_000
 VALID_FROM, VALID_TO = "valid_from", "valid_to"
@@ -151,17 +154,19 @@ class Transaction:
         self.store = store
         self.changes: dict[str, list[dict]] = {}
         self.staged: dict[str, Callable[[], None]] = {}
+        # folders are small jobs that do not depend on one another
+        self.pool = ThreadPoolExecutor(AT_ONCE)
 
     def commit(self, table: str, replace: dict[str, DataFrame] | None = None, append: dict[str, DataFrame] | None = None, note: str | None = None, base: int | None = None, drop: dict[str, DataFrame] | None = None, key: str | None = None) -> None:
-        """Writes the folders now; publish() makes them the table's.
+        """Begins to write the folders; publish() waits for them and makes them the table's.
 
         replace, append: rows by part; drop: rows of a part, as read with `places`, that are no more.  base: the number at which the caller read what it
         writes: if the table has moved on since, publish() raises Conflict.  key: the column by which the table is indexed; it and the note stay until they are changed.
         """
         replace, append, drop = replace or {}, append or {}, drop or {}
         key = key or self.store.state(table).key
-        folders = [self.store._put(table, part, df, key) for part, df in [*replace.items(), *append.items()]]
-        folders += [self.store._put(table, part, df.select(*WHERE), None, gone=True) for part, df in drop.items()]
+        folders = [self.pool.submit(self.store._put, table, part, df, key) for part, df in [*replace.items(), *append.items()]]
+        folders += [self.pool.submit(self.store._put, table, part, df.select(*WHERE), None, True) for part, df in drop.items()]
         schemas = {part: df.schema for part, df in [*replace.items(), *append.items()]}
         self.changes.setdefault(table, []).append({"replace": set(replace), "folders": folders, "schemas": schemas, "note": note, "base": base, "key": key})
 
@@ -171,6 +176,10 @@ class Transaction:
         write()
 
     def publish(self) -> None:
+        for each in self.changes.values():
+            for c in each:
+                for f in c["folders"]:
+                    f.result()  # a write that failed is raised here, before any table changes
         while self.changes:
             try:
                 if self.store._publish({t: self._after(t) for t in self.changes}):
@@ -187,7 +196,7 @@ class Transaction:
             if c["base"] is not None and c["base"] != first.number:
                 raise Conflict(table)
             kept = tuple(f for f in state.folders if f.part not in c["replace"])
-            new = tuple(dataclasses.replace(f, at=first.number + 1) for f in c["folders"])
+            new = tuple(dataclasses.replace(f.result(), at=first.number + 1) for f in c["folders"])
             # a schema is as it was first declared, unless other columns come
             told = {p: s.json() for p, s in c["schemas"].items() if p not in state.schemas or [(f.name, f.dataType) for f in state.schema(p)] != [(f.name, f.dataType) for f in s]}
             state = State(first.number + 1, state.note if c["note"] is None else c["note"], c["key"], {**state.schemas, **told}, kept + new)
