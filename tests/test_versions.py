@@ -194,7 +194,7 @@ def test_closure_with_a_cycle(spark):
     _, done = closure.closure({"tasks": start}, {"people": (people, "id")}, edges, rounds=2)
     assert not done
     out = export.closed_sample({"tasks": start, "people": people}, {"tasks": "id", "people": "id"}, edges, "tasks", 2, 1)
-    assert out["people"].count() == 3 and "people ||--o{ tasks" in export.diagram(edges)
+    assert out["people"].count() == 4 and "people ||--o{ tasks" in export.diagram(edges)
 
 
 def test_integrity_over_all_versions(spark):
@@ -257,3 +257,22 @@ def test_store_and_stream(spark, tmp_path):
     spark.createDataFrame([("a", "1", "t", "2024-03", 0)], COLS).write.mode("append").parquet(str(tmp_path / "in"))
     feed.history_stream(spark.readStream.schema(COLS).parquet(str(tmp_path / "in")), store, "t", "k", str(tmp_path / "cp")).awaitTermination()
     assert store.read("t").count() == 4 and not store.create("t", store.read("t").schema)
+
+
+def test_a_closed_sample_follows_every_edge_to_the_fixpoint(spark, tmp_path):
+    people = spark.createDataFrame([(1, None, None), (2, 1, 10), (3, 2, None), (4, None, 13), (5, None, None), (6, 6, None)], "id int, boss int, first int")
+    tasks = spark.createDataFrame([(10, 1, 5), (11, 5, None), (12, 4, 4), (13, None, 4)], "id int, owner int, checker int")
+    notes = spark.createDataFrame([(10, "a"), (10, "a"), (12, "b"), (None, "c")], "task int, text string")
+    edges = [("people", "boss", "people", "id"), ("tasks", "owner", "people", "id"), ("tasks", "checker", "people", "id"), ("people", "first", "tasks", "id"), ("notes", "task", "tasks", "id")]
+    tables, keys = {"people": people, "tasks": tasks, "notes": notes}, {"people": "id", "tasks": "id"}
+    got = closure.connected(tables, keys, edges, {"people": people.where("id = 3")})
+    ids = lambda t, c="id": sorted(r[c] for r in got[t].collect())
+    assert ids("people") == [1, 2, 3, 5] and ids("tasks") == [10, 11] and ids("notes", "text") == ["a", "a"]
+    got = closure.reverse_closure({"people": people, "tasks": tasks, "notes": notes}, edges, "people", people.where("id = 5"))
+    assert ids("people") == [2, 3, 5] and ids("tasks") == [10, 11] and ids("notes", "text") == ["a", "a"]
+    out = export.closed_sample(tables, keys, edges, "tasks", 4, 1)
+    assert out["people"].count() == 5 and out["notes"].count() == 3
+    versions = people.withColumn("json_response", F.lit("{}"))
+    export.write_csv({"people": versions, **{n: out[n] for n in ("tasks", "notes")}}, str(tmp_path / "csv"))
+    back = spark.read.option("header", True).schema("id int, boss int, first int").csv(str(tmp_path / "csv" / "people"))
+    assert sorted(back.collect()) == sorted(people.collect()) or sorted(map(str, back.collect())) == sorted(map(str, people.collect()))

@@ -90,16 +90,56 @@ def closure(
     return {n: parts.get(n, s.limit(0)) for n, (s, _) in filtered.items()}, not left
 
 
-def reverse_closure(tables: dict[str, DataFrame], found: list[tuple[str, str, str, str]], start: str, rows: DataFrame) -> dict[str, DataFrame]:
-    """Rows of all tables that refer to the given rows of `start`, directly or through others (an acyclic walk outwards)."""
-    out = {start: rows}
-    queue = [start]
-    while queue:
-        dst = queue.pop(0)
-        for src, col, d, key in found:
-            if d != dst or src in out or src not in tables:
+def connected(tables: dict[str, DataFrame], keys: dict[str, str], found: list[tuple[str, str, str, str]], start: dict[str, DataFrame], outward: bool = True, inward: bool = True) -> dict[str, DataFrame]:
+    """The rows of all tables that references connect with those of `start`, to the fixpoint: inward the rows that a row refers to, outward those that refer to it.
+
+    Every edge is followed, also several between two tables, and from a table to itself; cycles end, as a round asks only about the rows
+    that the round before brought.  keys: what tells a table's rows apart; the rows of a table without a key are told apart by all
+    their columns.  A round reads a table once for all its edges, and only tables that an edge joins to new rows; values meet
+    as distinct (edge, value) pairs, so a value that many rows share is one row in the join.
+    """
+    edges = [e for e in found if e[0] in tables and e[2] in tables]
+
+    def with_id(name: str, rows: DataFrame) -> DataFrame:
+        whole = F.sha2(F.to_json(F.struct(*sorted(rows.columns)), {"ignoreNullFields": "false"}), 256)
+        return rows.withColumn("_id", F.col(keys[name]).cast("string") if keys.get(name) else whole)
+
+    def values(rows: DataFrame, number: int, column: str) -> DataFrame:
+        return rows.select(F.lit(number).alias("edge"), F.col(column).cast("string").alias("value")).where("value is not null")
+
+    all_ = {n: with_id(n, t) for n, t in tables.items()}
+    fresh = {n: checkpointed(with_id(n, t.select(*tables[n].columns))) for n, t in start.items()}
+    done = {n: t.select("_id").distinct() for n, t in fresh.items()}
+    parts = dict(fresh)
+    while fresh:
+        brought = {}
+        for name in tables:
+            asked, columns = None, []
+            for i, (s, c, d, k) in enumerate(edges):
+                sides = ([(2 * i, c, d, k)] if outward and s == name and d in fresh else []) + ([(2 * i + 1, k, s, c)] if inward and d == name and s in fresh else [])
+                for number, own, other, theirs in sides:
+                    columns.append(F.struct(F.lit(number).alias("edge"), F.col(own).cast("string").alias("value")))
+                    wanted = values(fresh[other], number, theirs)
+                    asked = wanted if asked is None else asked.unionByName(wanted)
+            if asked is None:
                 continue
-            ids = out[dst].where(F.col(key).isNotNull()).select(F.col(key).cast("string").alias("_id")).distinct()
-            out[src] = tables[src].join(ids, tables[src][col].cast("string") == ids["_id"], "left_semi")
-            queue.append(src)
-    return out
+            rows = all_[name].join(done[name], "_id", "left_anti") if name in done else all_[name]
+            met = rows.select("_id", F.explode(F.array(*columns)).alias("x")).select("_id", "x.edge", "x.value").join(asked.distinct(), ["edge", "value"], "left_semi")
+            new = checkpointed(all_[name].join(met.select("_id").distinct(), "_id", "left_semi"))
+            if not new.isEmpty():
+                brought[name] = new
+        for name, new in brought.items():
+            ids = new.select("_id").distinct()
+            done[name] = checkpointed(done[name].unionByName(ids)) if name in done else ids
+            parts[name] = parts[name].unionByName(new) if name in parts else new
+        fresh = brought
+    return {n: parts[n].drop("_id") if n in parts else t.limit(0) for n, t in tables.items()}
+
+
+def reverse_closure(tables: dict[str, DataFrame], found: list[tuple[str, str, str, str]], start: str, rows: DataFrame) -> dict[str, DataFrame]:
+    """Rows of all tables that refer to the given rows of `start`, directly or through others, over every key."""
+    got = connected({start: rows, **tables}, {d: k for _, _, d, k in found}, found, {start: rows}, inward=False)
+    reached = {start}
+    while more := {s for s, _, d, _ in found if d in reached and s in tables} - reached:
+        reached |= more
+    return {n: got[n] for n in got if n in reached}

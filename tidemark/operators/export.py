@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .closure import closure, reverse_closure
+from .closure import connected
 
 HIDDEN = "json_response"
 
@@ -16,11 +16,8 @@ def sample(table: DataFrame, rows: int, seed: int, key: str) -> DataFrame:
 
 
 def closed_sample(tables: dict[str, DataFrame], keys: dict[str, str], edges: list[tuple[str, str, str, str]], start: str, rows: int, seed: int) -> dict[str, DataFrame]:
-    """A sample of `start` with all rows that refer to it, and then all rows that those refer to."""
-    out = reverse_closure(tables, edges, start, sample(tables[start], rows, seed, keys[start]))
-    rest = {n: (t, keys[n]) for n, t in tables.items() if n not in out}
-    below, _ = closure(out, rest, edges, rounds=max(5, len(tables)))
-    return {**out, **below}
+    """A sample of `start` with all rows that references connect with it, either way and through others, until nothing is new."""
+    return connected(tables, keys, edges, {start: sample(tables[start], rows, seed, keys[start])})
 
 
 def write_csv(tables: dict[str, DataFrame], folder: str) -> None:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.types_map import normal_type_col
-from ..model import SYSTEM_COLUMNS, TableSchema
+from ..model import SYSTEM_COLUMNS, TableSchema, local_frame
 
 
 def _issue(entity: Column, kind: str, severity: str, description: Column, /, **details: Column) -> list[Column]:
@@ -79,7 +79,7 @@ def compare(spark, expected: dict[str, TableSchema], actual: dict[str, TableSche
     """All differences: tables, then columns, keys and foreign keys of the entities that both have."""
     from ..sources.metadata import column_table, key_table, reference_table
 
-    names = lambda s: spark.createDataFrame([(n,) for n in s], "entity string")
+    names = lambda s: local_frame(spark, [(n,) for n in s], "entity string")
     common = [n for n in expected if n in actual]
     e, a = {n: expected[n] for n in common}, {n: actual[n] for n in common}
     return (
@@ -118,7 +118,7 @@ def gate(spark, expected: dict[str, TableSchema], actual: dict[str, TableSchema]
     Names of tables are the entities' api_name; expected must have been parsed with the same coded fields that the tables were made with.
     """
     valid = [e for e in entities if e.name in expected]
-    unknown = spark.createDataFrame([(e.name,) for e in entities if e.name not in expected], "entity string")
+    unknown = local_frame(spark, [(e.name,) for e in entities if e.name not in expected], "entity string")
     to_create = [e for e in valid if e.api_name not in actual]
     want, have = {}, {}
     for e in valid:
@@ -130,7 +130,7 @@ def gate(spark, expected: dict[str, TableSchema], actual: dict[str, TableSchema]
     found = compare(spark, want, have, dialect).unionByName(
         unknown.select(*_issue(F.col("entity"), "missing_in_metadata", "warning", _says("Entity '", F.col("entity"), "' is not in the metadata"), entity=F.col("entity")))
     )
-    new = spark.createDataFrame([(e.api_name,) for e in to_create], "entity string")
+    new = local_frame(spark, [(e.api_name,) for e in to_create], "entity string")
     found = found.unionByName(new.select(*_issue(F.col("entity"), "new_entity", "info", _says("Table '", F.col("entity"), "' will be made"), entity=F.col("entity"))))
     return valid, to_create, found, passes(found)
 

@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..model import local_frame
+
 STATE = "entity_name string, state string, last_sync_time string, last_timestamp string, records_count long"
 LOG = "id string, entity_name string, start_time string, end_time string, records_added long, records_updated long, status string, error_message string"
 IN_PROGRESS, COMPLETED, FAILED = "in_progress", "completed", "failed"
 
 
 def empty_state(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], STATE)
+    return local_frame(spark, [], STATE)
 
 
 def empty_log(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], LOG)
+    return local_frame(spark, [], LOG)
 
 
 def set_state(state: DataFrame, changes: DataFrame) -> DataFrame:

@@ -132,6 +132,19 @@ def canonical_payload_exact(spark, sf_dir):
     return _raw_events(spark, sf_dir).select("seq", canonical.canonical_exact("raw").alias("payload"))
 
 
+LONG = "1234567890123456789012345678901234567890"
+
+
+@query(f"""SELECT event_id AS seq, '{{"a": {{"b":' || user_id || '}}, "n": {LONG}' || 10000 + event_id || ', "s": "q\\"' || event_type || ': {LONG}, \\\\", "w": [' || event_id || ',{{"x":{LONG}.5}}]}}' AS payload FROM events""")
+def canonical_payload_nested(spark, sf_dir):
+    """Keys that repeat at two levels, numbers of 40 digits and more, escapes (#23)."""
+    e, u = F.col("event_id").cast("string"), F.col("user_id").cast("string")
+    raw = F.concat(
+        F.lit('{"w": [0], "s": "q\\"'), "event_type", F.lit(f': {LONG}, \\\\", "a": {{"b": -1, "b": '), u, F.lit(f'}}, "@odata.etag": "'), e, F.lit(f'", "n": {LONG}'), (F.col("event_id") + 10000).cast("string"), F.lit(', "w": ['), e, F.lit(f', {{"x": {LONG}.5}}]}}'),
+    )
+    return _t(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), canonical.canonical(raw).alias("payload"))
+
+
 @query("SELECT user_id::VARCHAR AS user_id, event_type, event_id AS seq, '2024-06-01T00:00:00Z' AS valid_from FROM events")
 def record_projection(spark, sf_dir):
     rows = canonical.to_versions(_raw_events(spark, sf_dir), "user_id", {"user_id": T.StringType(), "event_type": T.StringType()}, "2024-06-01T00:00:00Z")
@@ -345,6 +358,99 @@ def sync_state_of(spark, sf_dir):
     return state.get_state(_synced(spark, sf_dir).read(workflow.STATE), "buyers").select("entity_name", "state", "last_timestamp", "records_count")
 
 
+def _failing(store: Store, at: int) -> Store:
+    """The store, of whose next writes the one numbered `at` fails."""
+    left = [at]
+
+    class Failing(Store):
+        def _put(self, *args, **named):
+            left[0] -= 1
+            if left[0] == 0:
+                raise OSError("the disk is full")
+            return super()._put(*args, **named)
+
+    return Failing(store.spark, store.root)
+
+
+def _new_store(spark: SparkSession) -> Store:
+    return Store(spark, f"{shared_folder(spark)}/sync-{uuid.uuid4().hex}")
+
+
+@query("""WITH c AS (SELECT c_custkey AS k, CASE c_custkey % 3 WHEN 0 THEN [1, 2] WHEN 1 THEN [2, 3] ELSE [] END AS p FROM customer)
+SELECT 'version' AS kind, k::VARCHAR AS id, NULL::BIGINT AS code, '2024-01-01' AS valid_from, CASE WHEN k % 10 = 0 THEN '2024-02-01' END AS valid_to FROM c UNION ALL SELECT 'version', k::VARCHAR, NULL, '2024-02-01', NULL FROM c WHERE k % 10 = 0
+UNION ALL SELECT 'link', k::VARCHAR, unnest(p)::BIGINT, '2024-01-01', CASE WHEN k % 10 = 0 THEN '2024-02-01' END FROM c UNION ALL SELECT 'link', k::VARCHAR, 3, '2024-02-01', NULL FROM c WHERE k % 10 = 0 AND len(p) > 0""")
+def sync_after_failure(spark, sf_dir):
+    """Versions and links after a sync that failed between them, and the next one (#28, #37)."""
+    store, source = _new_store(spark), sample.source(spark, sf_dir)
+    workflow.run_workflow(store, source, sample.ENTITIES, clock="2024-01-02")
+    source.records["buyers"] = sample.turn(spark, sf_dir, "c_custkey % 10 = 0", "2024-02-01")
+    failed = workflow.run_workflow(_failing(store, 7), source, sample.ENTITIES, clock="2024-02-02")
+    if not failed["failed_entities"] or not workflow.run_workflow(store, source, sample.ENTITIES, clock="2024-02-03")["success"]:
+        raise RuntimeError(f"the failure was not one, or was not mended: {failed}")
+    versions = store.read("buyers").select(F.lit("version").alias("kind"), F.col("buyerid").alias("id"), F.lit(None).cast("long").alias("code"), "valid_from", "valid_to")
+    return versions.unionByName(store.read("_junction_buyers_picks").select(F.lit("link").alias("kind"), F.col("entity_id").alias("id"), F.col("option_code").alias("code"), "valid_from", "valid_to"))
+
+
+_LATE = """l AS (SELECT c_custkey AS k, CASE c_custkey % 3 WHEN 0 THEN [1, 2] WHEN 1 THEN [2, 3] ELSE [] END AS p, '2024-01-01' AS f, CASE WHEN c_custkey % 20 = 0 THEN '2024-02-01' WHEN c_custkey % 10 = 0 THEN '2024-03-01' END AS t FROM customer
+UNION ALL SELECT c_custkey, [3], '2024-02-01', '2024-03-01' FROM customer WHERE c_custkey % 20 = 0 UNION ALL SELECT c_custkey, [3], '2024-03-01', NULL FROM customer WHERE c_custkey % 10 = 0)"""
+
+
+def _late(spark: SparkSession, sf_dir: str) -> Store:
+    """A store in which February's records came after those of January and March."""
+    store, source = _new_store(spark), sample.source(spark, sf_dir)
+    schema = metadata.parse(sample.DOCUMENT)["buyer"]
+    for turn in (source.records["buyers"], sample.turn(spark, sf_dir, "c_custkey % 10 = 0", "2024-03-01"), sample.turn(spark, sf_dir, "c_custkey % 20 = 0", "2024-02-01")):
+        workflow.load_batch(store, sample.ENTITIES[0], schema, turn, "2024-04-01", in_time=True)
+    return store
+
+
+@query(f"WITH {_LATE} SELECT k::VARCHAR AS buyerid, f AS valid_from, t AS valid_to FROM l")
+def sync_late_records(spark, sf_dir):
+    return _late(spark, sf_dir).read("buyers").select("buyerid", "valid_from", "valid_to")
+
+
+@query(f"""WITH {_LATE}, e AS (SELECT *, max(len(p) > 1) OVER (PARTITION BY k ORDER BY f) AS ever FROM l) SELECT k::VARCHAR AS entity_id, unnest(p)::BIGINT AS option_code, f AS valid_from, t AS valid_to FROM e WHERE ever""")
+def sync_late_links(spark, sf_dir):
+    return _late(spark, sf_dir).read("_junction_buyers_picks")
+
+
+@query("""WITH d AS (SELECT user_id, ts, arg_max(event_type, event_id) AS event_type FROM events GROUP BY ALL), c AS (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts) AS p, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS rn FROM d),
+v AS (SELECT * FROM c WHERE rn = 1 OR p IS DISTINCT FROM event_type) SELECT user_id, event_type, ts AS valid_from, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS valid_to FROM v""")
+def scd2_late_records(spark, sf_dir):
+    """Three batches, the oldest events last."""
+    rows = _t(spark, sf_dir, "events").select("user_id", F.col("event_type").alias("json_response"), F.col("ts").alias("sync_time"), F.col("ts").alias("valid_from"), F.col("event_id").alias("seq"))
+    known = rows.drop("seq").limit(0)
+    for n in (2, 1, 0):
+        told = scd2.splice(known, rows.where(f"seq % 3 = {n}"), "user_id")
+        known = told.select(known.columns)
+    return told.where("is_version").select("user_id", F.col("json_response").alias("event_type"), "valid_from", "valid_to")
+
+
+@query("SELECT '7' AS buyerid, c_name AS title, '2024-01-01' AS valid_from, NULL::VARCHAR AS valid_to FROM customer WHERE c_custkey = 7")
+def sync_key_history(spark, sf_dir):
+    """Q2 by the index of the store."""
+    return _synced(spark, sf_dir).read("buyers", key="7").select("buyerid", "title", "valid_from", "valid_to").orderBy("valid_from")
+
+
+@query("SELECT c_custkey::VARCHAR AS buyerid, '2024-01-01' AS valid_from FROM customer")
+def sync_asof(spark, sf_dir):
+    """Q3 by the index of the store."""
+    return _synced(spark, sf_dir).read("buyers", at="2024-01-15").select("buyerid", "valid_from")
+
+
+@query("""WITH c AS (SELECT c_custkey AS k, CASE c_custkey % 3 WHEN 0 THEN [1, 2] WHEN 1 THEN [2, 3] ELSE [] END AS p FROM customer)
+SELECT k::VARCHAR AS entity_id, unnest(p)::BIGINT AS option_code, '2024-01-01' AS valid_from FROM c WHERE k % 10 <> 0 UNION ALL SELECT k::VARCHAR, 3, '2024-02-01' FROM c WHERE k % 10 = 0 AND len(p) > 0""")
+def sync_junction_asof(spark, sf_dir):
+    """Q9 by the index of the store."""
+    return _synced(spark, sf_dir).read("_junction_buyers_picks", at="2024-02-15").select("entity_id", "option_code", "valid_from")
+
+
+@query("SELECT '30' AS entity_id, 3::BIGINT AS option_code")
+def sync_junction_codes(spark, sf_dir):
+    """Q8 by the index of the store."""
+    return _synced(spark, sf_dir).read("_junction_buyers_picks", key="30", is_open=True).select("entity_id", "option_code").orderBy("option_code")
+
+
 # ---- metadata documents (#22a-#22g), keys and order (#42-#44), edges (#50)
 
 
@@ -468,6 +574,28 @@ def fk_closure_reverse(spark, sf_dir):
     return out
 
 
+def _circles(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Customers in tens: the first of ten is the others' boss; orders have two customers, and customers a first order."""
+    orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.expr("o_custkey - o_custkey % 10 + o_orderkey % 10").alias("payer"))
+    first = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.min("o_orderkey").alias("first_order"))
+    people = _t(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", F.expr("if(c_custkey % 10 = 0, null, c_custkey - c_custkey % 10)").alias("boss"))
+    return {"people": people.join(first, "c_custkey", "left"), "orders": orders}
+
+
+@query("""WITH RECURSIVE o AS (SELECT o_orderkey AS k, o_custkey AS c, o_custkey - o_custkey % 10 + o_orderkey % 10 AS payer FROM orders), f AS (SELECT c, min(k) AS k FROM o GROUP BY c), p AS (SELECT c_custkey AS c, c_acctbal AS b FROM customer),
+d AS (SELECT 'orders' AS a, k AS x, 'people' AS b, c AS y FROM o UNION SELECT 'orders', k, 'people', payer FROM o UNION SELECT 'people', c, 'orders', k FROM f UNION SELECT 'people', c, 'people', c - c % 10 FROM p WHERE c % 10 <> 0),
+g AS (SELECT DISTINCT * FROM (SELECT a, x, b, y FROM d UNION ALL SELECT b, y, a, x FROM d) WHERE NOT (b = 'people' AND y NOT IN (SELECT c FROM p)) AND NOT (a = 'people' AND x NOT IN (SELECT c FROM p))),
+r AS (SELECT 'people' AS entity, c AS id FROM p WHERE b > 9900 UNION SELECT g.b, g.y FROM r JOIN g ON g.a = r.entity AND g.x = r.id)
+SELECT entity, id FROM r""")
+def export_closed_sample(spark, sf_dir):
+    """Two keys to one table, a table that refers to itself, and a cycle (#19)."""
+    tables = _circles(spark, sf_dir)
+    found = [("people", "boss", "people", "c_custkey"), ("orders", "o_custkey", "people", "c_custkey"), ("orders", "payer", "people", "c_custkey"), ("people", "first_order", "orders", "o_orderkey")]
+    keys = {"people": "c_custkey", "orders": "o_orderkey"}
+    got = closure.connected(tables, keys, found, {"people": tables["people"].where("c_acctbal > 9900")})
+    return got["people"].select(F.lit("people").alias("entity"), F.col("c_custkey").alias("id")).unionByName(got["orders"].select(F.lit("orders").alias("entity"), F.col("o_orderkey").alias("id")))
+
+
 # ---- integrity (#52-#54)
 
 

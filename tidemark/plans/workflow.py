@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.types_map import spark_type
-from ..model import EntityConfig, TableSchema
+from ..model import EntityConfig, TableSchema, local_frame
 from ..operators import canonical, closure, incremental, integrity, optionsets, schema_diff, scd2, state
 from ..sources import metadata
 from ..sources.catalog import store_schemas
@@ -35,6 +35,8 @@ CONCURRENCY = 50
 AT_ONCE = 4
 #: The part of a junction with the entities that had a multi-select once and have no code now.
 BLANK = "_blank"
+#: The part of a table with the times at which a version was met again, kept where versions follow their own times.
+SAME = "_same"
 log = logging.getLogger(__name__)
 
 
@@ -129,13 +131,13 @@ def _mark(tx: Transaction, rows: list[tuple]) -> None:
     def write() -> None:
         base = store.number(STATE)
         now = store.read(STATE) if base else state.empty_state(spark)
-        tx.commit(STATE, {"all": state.set_state(now, spark.createDataFrame(rows, state.STATE)).coalesce(1)}, base=base)
+        tx.commit(STATE, {"all": state.set_state(now, local_frame(spark, rows, state.STATE)).coalesce(1)}, base=base)
 
     tx.stage(STATE, write)
 
 
 def _append_log(tx: Transaction, rows: list[tuple]) -> None:
-    tx.commit(LOG, append={"all": tx.store.spark.createDataFrame(rows, state.LOG).coalesce(1)})
+    tx.commit(LOG, append={"all": local_frame(tx.store.spark, rows, state.LOG).coalesce(1)})
 
 
 def watermark_of(store: Store, entity: str) -> str | None:
@@ -145,12 +147,13 @@ def watermark_of(store: Store, entity: str) -> str | None:
     return row[0] if row else None
 
 
-def load_batch(store: Store, entity: EntityConfig, schema: TableSchema, records: DataFrame, clock: str, option_fields: Iterable[str] = (), mode: str = "fixed", into: Transaction | None = None) -> tuple[int, int, str | None, int]:
+def load_batch(store: Store, entity: EntityConfig, schema: TableSchema, records: DataFrame, clock: str, option_fields: Iterable[str] = (), mode: str = "fixed", into: Transaction | None = None, in_time: bool = False) -> tuple[int, int, str | None, int]:
     """Applies raw records (seq, raw) to the entity's table, lookups and junctions: (added, updated, largest modifiedon, records).
 
     All of it is one transaction (`into`, if given, which the caller publishes): either the table, its lookups and its junctions
     have the batch or none has.  Read are the open versions of the batch's keys; written are these and what the batch made, so
-    neither history nor other keys are written again.  The table's note holds the next row id.
+    neither history nor other keys are written again.  The table's note holds the next row id.  in_time: versions follow one another by their own
+    times, so that a late record is put where it belongs; the closed versions of the batch's keys are then read and written, too.
     """
     spark, table = store.spark, entity.api_name
     tx = into or store.transaction()
@@ -170,20 +173,36 @@ def load_batch(store: Store, entity: EntityConfig, schema: TableSchema, records:
     base = store.number(table)
     plain = [c for c in full.columns if c != "seq"]
     batch = full.select(F.lit(None).cast("long").alias("row_id"), *plain, F.lit(None).cast("string").alias(WHERE[0]), F.lit(None).cast("long").alias(WHERE[1]), "seq")
-    before = store.read(table, "open", keys=full.select(key), places=True) if base else batch.limit(0)
-    done = checkpointed(scd2.apply(before.select("row_id", *plain, *WHERE), batch, key, keep_seq=True))
+    known: dict[str, DataFrame] = {}
+    if base:
+        known = {part: store.read(table, part, keys=full.select(key), places=True) for part in (("open", "closed", SAME) if in_time else ("open",))}
+    before = batch.limit(0).select("row_id", *plain, *WHERE)
+    for rows in known.values():
+        before = before.unionByName(rows.select("row_id", *plain, *WHERE))
+    if in_time:
+        spliced = checkpointed(scd2.splice(before, batch, key, keep_seq=True))
+        done, same = spliced.where("is_version"), spliced.where("not is_version")
+    else:
+        done, same = checkpointed(scd2.apply(before, batch, key, keep_seq=True)), None
     first = int(store.note(table) or 1) if base else 1
     keep = ["row_id", *plain, "valid_to"]
     made = scd2.with_row_ids(done.where("row_id is null").drop("row_id"), first, [key, "seq"])
     all_rows = checkpointed(made.select(*keep).unionByName(done.where("row_id is not null").select(*keep)))
     added, updated = scd2.counts(done).first()
-    tx.commit(table, append={"open": all_rows.where("valid_to is null"), "closed": all_rows.where("valid_to is not null")}, note=str(first + added + updated), base=base, drop={"open": done.where("from_target")}, key=key)
+    parts = {"open": all_rows.where("valid_to is null"), "closed": all_rows.where("valid_to is not null")} | ({SAME: same.select(*keep)} if in_time else {})
+    tx.commit(table, append=parts, note=str(first + added + updated), base=base, drop=known, key=key)
 
     seen = found.select("field", "code", "label", F.lit(clock).alias("seen_at"), "seq")
-    tx.stage(LOOKUPS, lambda: _add_labels(tx, seen))
+    tx.stage(LOOKUPS, lambda: _add_labels(tx, seen, clock))
     if added + updated:
+        if in_time:
+            versions = all_rows.select(F.col(key).cast("string").alias("id"), F.col("valid_from").alias("seq"), "valid_from", F.col("json_response").alias("raw"))
+            picked = checkpointed(optionsets.detect(versions.select("id", "seq", "raw"), ids=["id", "seq"]))
         new = done.where("version_created").select(F.col(key).cast("string").alias("id"), "seq", "valid_from")
         for field in multi:
+            if in_time:
+                _set_links(tx, f"_junction_{table}_{field}", versions.drop("raw"), picked.where(F.col("field") == field).drop("field"), mode)
+                continue
             picks = found.where(F.col("field") == field).select(F.col("_id").alias("id"), "seq", "code", "is_multi")
             _add_links(tx, f"_junction_{table}_{field}", new, picks, mode)
     if into is None:
@@ -191,11 +210,13 @@ def load_batch(store: Store, entity: EntityConfig, schema: TableSchema, records:
     return added, updated, mark["last_timestamp"], mark["records_count"]
 
 
-def _add_labels(tx: Transaction, seen: DataFrame) -> None:
+def _add_labels(tx: Transaction, seen: DataFrame, clock: str) -> None:
     """Merges seen labels into the lookups, which are written only if that changes them."""
     store = tx.store
     base = store.number(LOOKUPS)
     old = store.read(LOOKUPS) if base else seen.select("field", "code", "label", F.col("seen_at").alias("first_seen")).limit(0)
+    if base and seen.join(old.where(F.col("first_seen") <= F.lit(clock)), ["field", "code", "label"], "left_anti").isEmpty():
+        return  # all of it is there
     merged = checkpointed(optionsets.merge_lookup(old, seen))
     if not merged.exceptAll(old.select(*merged.columns)).isEmpty():
         tx.commit(LOOKUPS, {"all": merged.coalesce(1)}, base=base)
@@ -205,7 +226,7 @@ def _add_links(tx: Transaction, name: str, versions: DataFrame, picks: DataFrame
     """The batch on a junction: read and written are the links of its entities."""
     store = tx.store
     base = store.number(name)
-    none = store.spark.createDataFrame([], "entity_id string, option_code long, valid_from string, valid_to string, _file string, _place long")
+    none = local_frame(store.spark, [], "entity_id string, option_code long, valid_from string, valid_to string, _file string, _place long")
     own = versions.select("id")
     opened = store.read(name, "open", keys=own, places=True) if base else none
     blank = store.read(name, BLANK, keys=own, places=True) if base else none
@@ -213,10 +234,20 @@ def _add_links(tx: Transaction, name: str, versions: DataFrame, picks: DataFrame
     tx.commit(name, append={"open": after, "closed": closed, BLANK: left}, base=base, drop={"open": opened, BLANK: blank} if base else None, key="entity_id")
 
 
+def _set_links(tx: Transaction, name: str, versions: DataFrame, picks: DataFrame, mode: str) -> None:
+    """All links of these entities anew, from all their versions."""
+    base = tx.store.number(name)
+    rows = checkpointed(optionsets.junction(versions, picks, "id", "", mode))
+    opened = rows.where("valid_to is null")
+    blank = picks.where("is_multi").select(F.col("id").alias("entity_id")).distinct().join(opened, "entity_id", "left_anti")
+    old = {part: tx.store.read(name, part, keys=versions.select("id"), places=True) for part in ("open", "closed", BLANK)} if base else None
+    tx.commit(name, append={"open": opened, "closed": rows.where("valid_to is not null"), BLANK: blank}, base=base, drop=old, key="entity_id")
+
+
 def maintain(store: Store, tables: Iterable[str]) -> None:
     """Joins and rewrites what has become costly to read. Another writer, or a failure, only puts it off."""
     for table in tables:
-        for part in ("open", "closed", BLANK, "all"):
+        for part in ("open", "closed", BLANK, SAME, "all"):
             try:
                 store.compact(table, part)
             except Exception:
@@ -262,7 +293,7 @@ def new_references(store: Store, found: list[tuple[str, str, str, str]], table:
     return closure.referenced_ids(fresh, found, table)
 
 
-def run_workflow(store: Store, source: Source, entities: list[EntityConfig], verify_references: bool = False, option_sets: Mapping[str, Iterable[str]] | None = None, rounds: int = closure.ROUNDS, compat: bool = False, clock: str | None = None) -> dict:
+def run_workflow(store: Store, source: Source, entities: list[EntityConfig], verify_references: bool = False, option_sets: Mapping[str, Iterable[str]] | None = None, rounds: int = closure.ROUNDS, compat: bool = False, clock: str | None = None, in_time: bool = False) -> dict:
     """success, total_added, total_updated, failed_entities, validation_errors, reference_errors, reference_checks."""
     spark = store.spark
     clock = clock or _now()
@@ -285,7 +316,7 @@ def run_workflow(store: Store, source: Source, entities: list[EntityConfig], ver
 
     def attempt(entity: EntityConfig, run: str, begun: str, records: Callable[[], DataFrame]) -> bool:
         try:
-            added, updated = _sync_one(store, entity, run, begun, lambda tx: load_batch(store, entity, schemas[entity.name], records(), clock, options.get(entity.name, ()), mode, tx))
+            added, updated = _sync_one(store, entity, run, begun, lambda tx: load_batch(store, entity, schemas[entity.name], records(), clock, options.get(entity.name, ()), mode, tx, in_time))
         except Exception as e:  # one entity's failure does not stop the others
             log.exception("sync of %s failed", entity.api_name)
             out["failed_entities"].append((entity.api_name, str(e)))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.types_map import db_type
-from ..model import METADATA, Column, ForeignKey, TableSchema
+from ..model import METADATA, Column, ForeignKey, TableSchema, local_frame
 
 #: Fixed values.
 EDM_NAMESPACE = "{http://docs.oasis-open.org/odata/ns/edm}"
@@ -90,13 +90,13 @@ def requested(schemas: dict[str, TableSchema], names: Iterable[str]) -> tuple[di
 
 
 def column_table(spark: SparkSession, schemas: Mapping[str, TableSchema]) -> DataFrame:
-    return spark.createDataFrame([(n, c.name, c.edm_type, c.db_type, c.nullable, c.max_length) for n, s in schemas.items() for c in s.columns], METADATA)
+    return local_frame(spark, [(n, c.name, c.edm_type, c.db_type, c.nullable, c.max_length) for n, s in schemas.items() for c in s.columns], METADATA)
 
 
 def key_table(spark: SparkSession, schemas: Mapping[str, TableSchema]) -> DataFrame:
-    return spark.createDataFrame([(n, s.primary_key) for n, s in schemas.items()], "entity string, primary_key string")
+    return local_frame(spark, [(n, s.primary_key) for n, s in schemas.items()], "entity string, primary_key string")
 
 
 def reference_table(spark: SparkSession, schemas: Mapping[str, TableSchema]) -> DataFrame:
     rows = [(n, fk.column, fk.referenced_table, fk.referenced_column, i) for n, s in schemas.items() for i, fk in enumerate(s.foreign_keys)]
-    return spark.createDataFrame(rows, "entity string, column string, referenced_table string, referenced_column string, seq int")
+    return local_frame(spark, rows, "entity string, column string, referenced_table string, referenced_column string, seq int")

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.types_map import spark_type
-from ..model import TableSchema
+from ..model import TableSchema, local_frame
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -462,4 +462,4 @@ class Store:
     def columns(self) -> DataFrame:
         """The catalogue: entity, column, db_type, nullable, position of every table, as declared."""
         rows = [(t, f.name, f.dataType.simpleString(), f.nullable, i) for t in self.tables() for i, f in enumerate(self.state(t).schema().fields)]
-        return self.spark.createDataFrame(rows, "entity string, column string, db_type string, nullable boolean, position int")
+        return local_frame(self.spark, rows, "entity string, column string, db_type string, nullable boolean, position int")
