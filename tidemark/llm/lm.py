@@ -59,8 +59,9 @@ UNIT, ROUNDS, MOST_UNITS = 6 << 20, 3, 4096
 #: Steps that a unit trains at least, windows a step, learning rate of each round.
 LEAST_STEPS, BATCH = 120, 1024
 RATES = (0.05, 0.03, 0.01)
-#: Of the parameters as integers: sums over 2**36 windows stay within 64 bits up to parameters of 64.
-SCALE, LARGEST = 1 << 20, 60.0
+#: Of the parameters as integers, and the bits of the lower of the two numbers that their sums are kept in: both stay within 64 bits
+#: up to 2**36 windows a unit and 2**60 in all.
+SCALE, LARGEST, LIMB = 1 << 20, 60.0, 24
 GROUPS = 1024
 #: Logarithms below this in size need no maximum taken off before their exponentials, in 32 bits.
 MODERATE = 40.0
@@ -485,9 +486,19 @@ class Trainer:
                 self.step(keys[at], goal[at])
 
     def sums(self) -> np.ndarray:
-        """The windows, then the parameters as integers, times the windows."""
-        whole = np.rint(np.clip(flatten(self.p), -LARGEST, LARGEST) * SCALE).astype(np.int64)
-        return np.append(self.windows, whole * self.windows)
+        return weighted(flatten(self.p), self.windows)
+
+
+def weighted(params: np.ndarray, windows: int) -> np.ndarray:
+    """The windows, then the parameters as integers, times the windows: their upper and then their lower bits."""
+    whole = np.rint(np.clip(params, -LARGEST, LARGEST) * SCALE).astype(np.int64) * windows
+    return np.concatenate([[windows], whole >> LIMB, whole & ((1 << LIMB) - 1)])
+
+
+def averaged(sums: np.ndarray) -> np.ndarray:
+    """The parameters of a sum of `weighted`, of whatever size."""
+    upper, lower = np.split(sums[1:].astype(object), 2)
+    return ((upper * (1 << LIMB) + lower) / (int(sums[0]) * SCALE)).astype(np.float64)
 
 
 CODED = "kind int, slot long, place long, id long, chunk long, ids binary, block int, part int, sums binary"
@@ -640,7 +651,7 @@ def learn(texts: DataFrame, path: str, ranks: str, rounds: int, bits: int) -> Le
         units = units.repartition(parts(spark), "slot").sortWithinPartitions("slot", "place", "ids")
         sums = collected(units.mapInArrow(tidy(units_trained(p, v, RATES[turn], len(code.strings))), "block int, part int, sums binary"))
         if sums is not None:
-            p = unflatten(sums[1:] / sums[0] / SCALE, v)
+            p = unflatten(averaged(sums), v)
     return Learnt(p, v, words + ends, kinds_of_words(texts, bits) + (ends > 0), ends)
 
 
