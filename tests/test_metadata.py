@@ -6,7 +6,7 @@ from tidemark.functions import types_map
 from tidemark.model import Column, EntityConfig, ForeignKey, TableSchema
 from tidemark.operators import closure, incremental, schema_diff
 from tidemark.plans import report
-from tidemark.sources import config, metadata
+from tidemark.sources import catalog, config, metadata
 from tidemark.sources.store import create_table_sql, entity_schema
 
 DOCUMENT = """<?xml version="1.0"?>
@@ -106,3 +106,21 @@ def test_config(tmp_path):
     with pytest.raises(ValueError, match="DATAVERSE_SCOPE"):
         config.load_settings(str(env), {})
     assert config.load_settings(str(env), {"DATAVERSE_SCOPE": "q"}).api_url == "https://h/api"
+
+
+def test_postgres_views_with_one_constraint_name_on_two_tables(spark):
+    make = lambda rows, kind: spark.createDataFrame([("public", *r) for r in rows], "table_schema string, " + kind)
+    columns = [("ship", "a", "integer", "NO", None, 1), ("ship", "b", "integer", "NO", None, 2), ("ship", "title", "character varying", "YES", 40, 3), ("trip", "id", "integer", "NO", None, 1), ("trip", "ship_b", "integer", "YES", None, 2), ("trip", "ship_a", "integer", "YES", None, 3), ("trip", "port", "integer", "YES", None, 4), ("port", "id", "integer", "NO", None, 1)]
+    held = [("ship", "key", "PRIMARY KEY"), ("trip", "key", "PRIMARY KEY"), ("port", "port_key", "PRIMARY KEY"), ("trip", "of_ship", "FOREIGN KEY"), ("trip", "of_port", "FOREIGN KEY")]
+    used = [("ship", "key", "b", 2, None), ("ship", "key", "a", 1, None), ("trip", "key", "id", 1, None), ("port", "port_key", "id", 1, None), ("trip", "of_ship", "ship_a", 1, 1), ("trip", "of_ship", "ship_b", 2, 2), ("trip", "of_port", "port", 1, 1)]
+    target = [("ship", "key", "a"), ("ship", "key", "b"), ("trip", "key", "id"), ("port", "port_key", "id"), ("ship", "of_ship", "a"), ("ship", "of_ship", "b"), ("port", "of_port", "id")]
+    views = {
+        "columns": make(columns, "table_name string, column_name string, data_type string, is_nullable string, character_maximum_length int, ordinal_position int"),
+        "table_constraints": make(held, "table_name string, constraint_name string, constraint_type string"),
+        "key_column_usage": make(used, "table_name string, constraint_name string, column_name string, ordinal_position int, position_in_unique_constraint int"),
+        "constraint_column_usage": make(target, "table_name string, constraint_name string, column_name string"),
+    }
+    got = catalog.postgres_schemas(views)
+    assert [got[t].primary_key for t in ("ship", "trip", "port")] == ["a", "id", "id"]
+    assert got["trip"].foreign_keys == [ForeignKey("port", "port", "id"), ForeignKey("ship_a", "ship", "a"), ForeignKey("ship_b", "ship", "b")]
+    assert got["ship"].columns[2] == Column("title", "CHARACTER VARYING", "", True, 40) and not got["ship"].foreign_keys

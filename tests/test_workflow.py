@@ -247,7 +247,9 @@ def test_sync_from_a_service(spark, service, tmp_path, monkeypatch, capsys):
     handler.asked.clear()
     handler.records["vessels"][0] = vessel(1, "V1 again", 3, "Waiting", "2024-02-01", _pilot_value="p7", **cargoes("2", "Steel"))
     assert workflow.run_sync(spark, root, source, str(entities))
-    assert ("vessels", {"$orderby": "vesselid", "$filter": "modifiedon gt 2024-01-07"}) in handler.asked
+    columns = "vesselid,callsign,remarks,berthstate,hull,cargoes,modifiedon,_pilot_value,tonnage,dockid"
+    assert ("vessels", {"$select": columns, "$orderby": "vesselid", "$filter": "modifiedon gt 2024-01-07"}) in handler.asked
+    assert {t["$select"] for e, t in handler.asked if e == "pilots"} == {"pilotid,badge"}
     rows = store.read("vessels")
     assert rows.count() == 8 and rows.where("vesselid = 'a1' and valid_to = '2024-02-01'").count() == 1
     assert sorted(r["row_id"] for r in rows.collect()) == list(range(1, 9)) and store.read("pilots").count() == 4

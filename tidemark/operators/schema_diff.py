@@ -46,15 +46,15 @@ def column_differences(expected: DataFrame, actual: DataFrame, dialect: str = "s
         j,
         (a.isNull(), _issue(n, "missing_column", "info", _says("Column '", e["column"], "' missing in the store"), column_name=e["column"], expected_type=e["db_type"], edm_type=e["edm_type"])),
         (e.isNull(), _issue(n, "extra_column", "warning", _says("Column '", a["column"], "' is not in the metadata"), column_name=a["column"], actual_type=a["db_type"])),
-        (here & (e_norm != a_norm), _issue(n, "type_mismatch", "error", _says("Column '", e["column"], "' type mismatch"), column_name=e["column"], expected_type=e["db_type"], actual_type=a["db_type"], expected_normalized=e_norm, actual_normalized=a_norm, edm_type=e["edm_type"])),
-        (here & (e["nullable"] != a["nullable"]), _issue(n, "nullable_mismatch", "warning", _says("Column '", e["column"], "' nullable mismatch"), column_name=e["column"], expected_nullable=e["nullable"], actual_nullable=a["nullable"])),
+        (here & (e_norm != a_norm), _issue(n, "type_mismatch", "error", _says("Column '", e["column"], "' is stored as another type"), column_name=e["column"], expected_type=e["db_type"], actual_type=a["db_type"], expected_normalized=e_norm, actual_normalized=a_norm, edm_type=e["edm_type"])),
+        (here & (e["nullable"] != a["nullable"]), _issue(n, "nullable_mismatch", "warning", _says("Column '", e["column"], "' differs in whether it may be null"), column_name=e["column"], expected_nullable=e["nullable"], actual_nullable=a["nullable"])),
     )
 
 
 def key_differences(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """entity, primary_key of both sides: errors where they differ, whatever their case; null equals null."""
     j = expected.join(actual.select("entity", F.col("primary_key").alias("actual_key")), "entity").where(~F.lower("primary_key").eqNullSafe(F.lower("actual_key")))
-    return j.select(*_issue(F.col("entity"), "pk_mismatch", "error", F.lit("Primary key mismatch"), expected_pk=F.col("primary_key"), actual_pk=F.col("actual_key")))
+    return j.select(*_issue(F.col("entity"), "pk_mismatch", "error", F.lit("The stored key is another column"), expected_pk=F.col("primary_key"), actual_pk=F.col("actual_key")))
 
 
 def reference_differences(expected: DataFrame, actual: DataFrame) -> DataFrame:

@@ -31,6 +31,8 @@ from ..sources.store import WHERE, Store, Transaction, checkpointed, entity_sche
 STATE, LOG, LOOKUPS = "_sync_state", "_sync_log", "_optionset"
 #: Requests to a service at a time.
 CONCURRENCY = 50
+#: Characters of the names of columns in a request.
+LONGEST_SELECT = 4000
 #: Entities that are loaded at a time.
 AT_ONCE = 4
 #: The part of a junction with the entities that had a multi-select once and have no code now.
@@ -79,6 +81,7 @@ class ODataRecords:
 
     def __init__(self, spark: SparkSession, url: str, token: Authenticator | Callable[[], str], concurrency: int = CONCURRENCY) -> None:
         self.spark, self.url, self.token, self.concurrency = spark, url, token, concurrency
+        self.columns: dict[str, str] = {}
         register(spark)
 
     def _options(self, entity: str, **more: str | None) -> dict[str, str]:
@@ -89,16 +92,21 @@ class ODataRecords:
             own = {"token": self.token()}
         return {k: v for k, v in {"url": self.url, "entity": entity, **own, **more}.items() if v}
 
+    def narrow(self, columns: Mapping[str, Iterable[str]]) -> None:
+        """From now on requests name these columns of an entity, unless that makes too long an address; what annotates a column comes with it."""
+        told = {e: ",".join(c) for e, c in columns.items()}
+        self.columns = {e: c for e, c in told.items() if len(c) <= LONGEST_SELECT}
+
     def metadata(self) -> str:
         return client_of(self._options("")).metadata()
 
     def scan(self, entity: str, order: str | None, since: str | None) -> DataFrame:
-        told = self._options(entity, orderby=order, pushdown="true")
+        told = self._options(entity, orderby=order, pushdown="true", select=self.columns.get(entity))
         rows = self.spark.read.format("odata").options(**told).load()
         return (rows if since is None else rows.where(F.col("modifiedon") > F.lit(since))).select("seq", "raw")
 
     def by_ids(self, entity: str, key: str, new: DataFrame, existing: DataFrame, since: str | None) -> DataFrame:
-        options, size = self._options(entity), incremental.IDS_A_REQUEST
+        options, size, select = self._options(entity), incremental.IDS_A_REQUEST, self.columns.get(entity)
 
         def run(batches):
             import pyarrow as pa
@@ -111,7 +119,7 @@ class ODataRecords:
                 asked = incremental.id_filters(key, [i for i, k in zip(ids, known, strict=True) if not k], None, size)
                 asked += incremental.id_filters(key, [i for i, k in zip(ids, known, strict=True) if k], since, size)
                 for f in asked:
-                    for page in client.pages(entity, filter=f):
+                    for page in client.pages(entity, filter=f, select=select):
                         yield pa.RecordBatch.from_pydict({"seq": pa.array(range(seq, seq + len(page)), pa.int64()), "raw": pa.array([json.dumps(r) for r in page], pa.string())})
                         seq += len(page)
 
@@ -309,6 +317,8 @@ def run_workflow(store: Store, source: Source, entities: list[EntityConfig], ver
         for e in to_create:
             tx.commit(e.api_name, {"open": spark.createDataFrame([], entity_schema(schemas[e.name], options.get(e.name, frozenset())))}, key=incremental.resolve_key(schemas[e.name], e.name, required=False))
         tx.publish()
+    if isinstance(source, ODataRecords):
+        source.narrow({e.api_name: [c.name for c in schemas[e.name].columns] for e in valid})
     found, dropped = closure.edges(schemas, valid)
     for edge in dropped:
         log.warning("no column %s in %s: the reference to %s is not followed", edge[1], edge[0], edge[2])

@@ -32,7 +32,7 @@ EXPIRES, REFRESH = 3599, 3000
 
 class HttpError(RuntimeError):
     def __init__(self, status: int, text: str) -> None:
-        super().__init__(f"API request failed: {status} - {text}")
+        super().__init__(f"the service answered {status}: {text}")
         self.status, self.text = status, text
 
     def __reduce__(self) -> tuple:  # a task's error travels to the driver
@@ -68,7 +68,7 @@ class Client:
             try:
                 status, headers, body = self.transport(url, self._headers(accept))
             except (OSError, TimeoutError) as e:
-                problem = f"Network error: {e}"
+                problem = f"no connection ({e})"
             else:
                 if status == 200:
                     if accept != "application/json":
@@ -76,24 +76,24 @@ class Client:
                     try:
                         return json.loads(body)
                     except ValueError as e:
-                        problem = f"JSON parse failed: {e}"
+                        problem = f"the answer is no JSON ({e})"
                 elif status == 401:
                     if self.renew is None or renewed:
                         raise HttpError(status, "the service does not accept this token")
                     self.renew()
-                    renewed, problem, wait = True, "Unauthorised", 0 if delay is not None else None
+                    renewed, problem, wait = True, "the token was refused", 0 if delay is not None else None
                 elif status == 429:
-                    problem = "Rate limited"
+                    problem = "the service asks to wait"
                     told = {k.lower(): v for k, v in headers.items()}.get("retry-after", "")
                     wait = int(told) if delay is not None and told.strip().isdigit() else delay
                 elif status >= 500:
-                    problem = f"Server error: {status} - {body[:500]!r}"
+                    problem = f"the service failed with {status}: {body[:500]!r}"
                 else:
                     raise HttpError(status, body.decode("utf-8", "replace"))
             if wait is None:
                 break
             self.sleep(wait)
-        raise RuntimeError(f"{problem} after {len(DELAYS) + 1} attempts")
+        raise RuntimeError(f"{problem}; no more tries after {len(DELAYS) + 1} attempts")
 
     def url(self, entity: str, **options: str | None) -> str:
         told = {f"${k}": v for k, v in options.items() if v}
@@ -156,7 +156,7 @@ class Authenticator:
         status, _, body = self.transport(TOKEN_URL.format(tenant=self.tenant), {"Content-Type": "application/x-www-form-urlencoded"}, urllib.parse.urlencode(form).encode())
         got = json.loads(body) if status == 200 else {}
         if not got.get("access_token"):
-            raise RuntimeError(f"Authentication failed: {status}")
+            raise RuntimeError(f"no token: the sign-in answered {status}")
         self.token, self.expiry = got["access_token"], self.clock() + got.get("expires_in", EXPIRES)
         return self.token
 
