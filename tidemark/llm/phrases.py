@@ -25,7 +25,7 @@ from .common import parts, stored
 from .kernel import SPACE, byte_hashes, distinct_strings, mix, release, scan, text_bytes
 
 #: Text bytes of a chunk: at most CHUNK, less for small inputs, so that there are some tasks.
-CHUNK, LEAST_CHUNK, SOME_CHUNKS = 8 << 20, 1 << 18, 64
+CHUNK, LEAST_CHUNK, SOME_CHUNKS = 6 << 20, 1 << 18, 64
 #: N-grams of a bucket, about; bytes of text an n-gram, about. Buckets are a power of two.
 BUCKET, GRAM_BYTES, MOST_BITS = 1 << 19, 2, 31
 #: Bytes of a print besides its bucket's bits.
