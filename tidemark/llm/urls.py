@@ -28,6 +28,8 @@ PREFIX_HEX = 8
 LABELS, PREFIX = 8, 255
 #: Rules up to this many are broadcast; beyond it both sides are shuffled, salted.
 MOST_BROADCAST, SALTS = 200_000, 32
+#: Copies of a row that one task gives back.
+MOST_COPIES = 100_000
 
 
 def host_of(url: Column) -> Column:
@@ -87,7 +89,12 @@ def judge(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: str = "
     fits = F.endswith(F.concat(F.lit("."), F.col("host")), F.concat(F.lit("."), F.col("rule_host"))) & F.startswith("path", F.col("rule_path"))
     best = F.max(F.when(fits, F.struct(F.length(rule).alias("a"), F.length("rule_host").alias("b"), F.col("rule_verdict").alias("verdict"), rule.alias("rule"))))
     judged = joined.groupBy("id", "url").agg(F.first("copies").alias("copies"), F.first("host").alias("host"), F.first("path").alias("path"), best.alias("best"))
-    once = judged.withColumn("again", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    few = judged.where(F.col("copies") <= MOST_COPIES)
+    # rows of very many copies come back from several tasks
+    piece = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {MOST_COPIES}")))
+    many = judged.where(F.col("copies") > MOST_COPIES).withColumn("piece", piece).repartition("id", "url", "piece")
+    many = many.withColumn("copies", F.least(F.lit(MOST_COPIES), F.col("copies") - F.col("piece") * MOST_COPIES)).drop("piece")
+    once = few.unionByName(many).withColumn("again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     return once.select(F.col("id").alias(key), "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
 
 
