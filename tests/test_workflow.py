@@ -1,6 +1,7 @@
 import json
 import re
 import threading
+import time
 import urllib.parse
 from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 
@@ -232,6 +233,67 @@ def test_spark_reads_a_service(spark, service):
     assert parts.count() == 3 and parts.rdd.getNumPartitions() == 2
 
 
+def test_an_entity_is_read_in_ranges_at_once(spark):
+    """A service with counts, edges and ranges, of 200 records over 90 days, some at one time and some without one."""
+    days = [f"2024-0{1 + i % 3}-{1 + i % 28:02}T{i % 24:02}:00:00Z" for i in range(150)] + ["2024-02-02T02:02:02Z"] * 40 + [None] * 10
+    records = [{"vesselid": f"v{i:03}", "modifiedon": d} for i, d in enumerate(days)]
+
+    def holds(r, told):
+        found = re.findall(r"modifiedon (ge|lt|gt|eq|ne) ([^\s)]+)", told or "")
+        m = r["modifiedon"]
+        test = {"ge": lambda x: m is not None and m >= x, "lt": lambda x: m is not None and m < x, "gt": lambda x: m is not None and m > x, "eq": lambda x: m is None, "ne": lambda x: m is not None}
+        return all(test[op](x) for op, x in found)
+
+    class Handler(BaseHTTPRequestHandler):
+        open_now, most_open, lock = 0, 0, threading.Lock()
+
+        def do_GET(self):
+            cls = type(self)
+            with cls.lock:
+                cls.open_now += 1
+                cls.most_open = max(cls.most_open, cls.open_now)
+            path, _, query = self.path.partition("?")
+            told = dict(urllib.parse.parse_qsl(query))
+            rows = [r for r in records if holds(r, told.get("$filter"))]
+            if path.endswith("/$count"):
+                body = str(min(len(rows), 20)).encode()  # it counts no further than a page
+            else:
+                time.sleep(0.05)
+                if "$top" in told:
+                    rows = sorted(rows, key=lambda r: r["modifiedon"], reverse=told["$orderby"].endswith("desc"))[:1]
+                at = int(told.get("at", 0))
+                page = {"value": rows[at : at + 20]}
+                if at + 20 < len(rows):
+                    page["@odata.nextLink"] = f"http://127.0.0.1:{self.server.server_port}{path}?" + urllib.parse.urlencode({**told, "at": at + 20})
+                body = json.dumps(page).encode()
+            with cls.lock:
+                cls.open_now -= 1
+            self.send_response(200)
+            self.send_header("Content-Length", str(len(body)))
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *args):
+            pass
+
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    odata.register(spark)
+    read = lambda **more: spark.read.format("odata").options(url=f"http://127.0.0.1:{server.server_port}", entity="vessels", token="t", orderby="vesselid", **more).load()
+    one, many = read(), read(ranges="12", rangerows="20")
+    assert one.rdd.getNumPartitions() == 1 and 4 <= many.rdd.getNumPartitions() <= 13
+    Handler.most_open = 0
+    rows = many.collect()
+    assert 1 < Handler.most_open <= 4  # as many as there are cores in the test
+    assert sorted(r["raw"] for r in rows) == sorted(r["raw"] for r in one.collect()) and len({r["seq"] for r in rows}) == len(records)
+    late = read(ranges="12", rangerows="20", pushdown="true").where("modifiedon > '2024-02-02T02:02:02Z'")
+    assert sorted(r["modifiedon"] for r in late.collect()) == sorted(d for d in days if d and d > "2024-02-02T02:02:02Z")
+    client = odata.Client(f"http://127.0.0.1:{server.server_port}", "t")
+    assert odata.ranges(client, "vessels", "modifiedon", 12, most=300) == [None] and odata.ranges(client, "vessels", "modifiedon", 1) == [None]
+    assert odata.ranges(client, "vessels", "modifiedon", 12, "modifiedon eq null", 5) == ["modifiedon eq null"]
+    server.shutdown()
+
+
 def test_sync_from_a_service(spark, service, tmp_path, monkeypatch, capsys):
     url, handler = service
     handler.records["vessels"] = [vessel(i, f"V{i}", 1 + i % 2, ["Away", "Moored"][i % 2], f"2024-01-0{i}", _pilot_value=f"p{i % 3}", **cargoes("1,2", "Grain;Steel")) for i in range(1, 8)]

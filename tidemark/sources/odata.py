@@ -1,6 +1,6 @@
 """An OData service as a Spark data source (#1-#9).
 
-One input partition an id batch, or one for a whole entity, whose pages are followed one by one and
+One input partition an id batch, or a range of a time column of an entity, found by counting, or the whole entity; its pages are followed one by one and
 streamed out as rows, never held together.  Requests retry on 429 (as long as the service says), on 5xx, on
 network errors and on truncated JSON; fetching is idempotent, so a task may be run again.  A request that the
 service refuses as unauthorised is sent once more with a new token, where the reader can get one.  A task has
@@ -15,8 +15,10 @@ import time
 import urllib.error
 import urllib.parse
 import urllib.request
+from collections import deque
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, InputPartition
@@ -118,8 +120,13 @@ class Client:
                 return
             got = self.fetch(link)
 
-    def count(self, entity: str) -> int:
-        return int(self.fetch(f"{self.base}/{entity}/$count", "text/plain").strip().lstrip("﻿"))
+    def count(self, entity: str, filter: str | None = None) -> int:
+        return int(self.fetch(self.url(f"{entity}/$count", filter=filter), "text/plain").strip().lstrip("﻿"))
+
+    def edge(self, entity: str, column: str, way: str, filter: str | None = None) -> str | None:
+        """The least (asc) or largest (desc) value of a column that is not null."""
+        got = self.fetch(self.url(entity, select=column, orderby=f"{column} {way}", top="1", filter=both(filter, f"{column} ne null"))).get("value", [])
+        return got[0].get(column) if got else None
 
     def metadata(self) -> str:
         return self.fetch(f"{self.base}/$metadata", "application/xml")
@@ -166,6 +173,43 @@ class Authenticator:
         return self.token
 
 
+def both(*filters: str | None) -> str | None:
+    own = [f for f in filters if f]
+    return " and ".join(f"({f})" for f in own) if len(own) > 1 else "".join(own) or None
+
+
+def ranges(client: Client, entity: str, column: str, parts: int, filter: str | None = None, most: int = PAGE_SIZE) -> list[str | None]:
+    """Filters of at most `parts` ranges of a time column, and of its nulls, that together select what `filter` does, each row once.
+
+    Ranges are halved, the oldest of those in question first, while they count `most` rows or more (services stop counting at a page); the first has no lower bound and the last
+    no upper one, so rows that change meanwhile are not missed.
+    """
+    if parts < 2 or client.count(entity, filter) < most:
+        return [filter]
+    ends = [client.edge(entity, column, way, filter) for way in ("asc", "desc")]
+    if None in ends:
+        return [filter]
+    try:
+        first, last = (datetime.fromisoformat(x) for x in ends)
+    except ValueError:  # no times after all
+        return [filter]
+    text = lambda t: t.strftime("%Y-%m-%dT%H:%M:%SZ")
+    whole = lambda t: (t if t.tzinfo else t.replace(tzinfo=timezone.utc)).astimezone(timezone.utc).replace(microsecond=0)
+    todo, done = deque([(whole(first), whole(last) + timedelta(seconds=1))]), []
+    while todo:
+        a, b = todo.popleft()
+        middle = a + timedelta(seconds=(b - a) // timedelta(seconds=2))
+        if middle > a and len(todo) + len(done) + 2 <= parts and client.count(entity, both(filter, f"{column} ge {text(a)}", f"{column} lt {text(b)}")) >= most:
+            todo += [(a, middle), (middle, b)]
+        else:
+            done.append(a)
+    starts = sorted(done)
+    bounds = [(None if n == 0 else a, starts[n + 1] if n + 1 < len(starts) else None) for n, a in enumerate(starts)]
+    told = [both(filter, a and f"{column} ge {text(a)}", b and f"{column} lt {text(b)}") for a, b in bounds]
+    # comparisons leave nulls out; where one range is left it has no comparison
+    return [*told, both(filter, f"{column} eq null")] if len(told) > 1 else [filter]
+
+
 def client_of(options: dict[str, str]) -> Client:
     """A client by the source's options: with credentials (client_id, client_secret, scope) it gets its own tokens, else it keeps `token`."""
     base = options["url"].rstrip("/")
@@ -177,12 +221,12 @@ def client_of(options: dict[str, str]) -> Client:
 
 
 class Batch(InputPartition):
-    def __init__(self, filter: str | None) -> None:
-        self.filter = filter
+    def __init__(self, filter: str | None, number: int = 0) -> None:
+        self.filter, self.number = filter, number
 
 
 class Reader(DataSourceReader):
-    """Rows (entity, seq, raw, modifiedon) of the entity that the options name; seq counts within a partition."""
+    """Rows (entity, seq, raw, modifiedon) of the entity that the options name; seq counts within a partition, and partitions follow one another."""
 
     def __init__(self, options: dict) -> None:
         self.options = options
@@ -190,12 +234,14 @@ class Reader(DataSourceReader):
 
     def partitions(self) -> list[Batch]:
         batches = json.loads(self.options.get("filters", "[]")) or [self.options.get("filter")]
-        parts = [[x for x in (b, *self.pushed) if x] for b in batches]
-        return [Batch(" and ".join(f"({x})" for x in p) if len(p) > 1 else "".join(p) or None) for p in parts]
+        filters = [both(b, *self.pushed) for b in batches]
+        if self.options.get("ranges") and len(filters) == 1:
+            filters = ranges(client_of(self.options), self.options["entity"], self.options.get("rangecolumn", "modifiedon"), int(self.options["ranges"]), filters[0], int(self.options.get("rangerows", PAGE_SIZE)))
+        return [Batch(f, n) for n, f in enumerate(filters)]
 
     def read(self, partition: Batch) -> Iterator[tuple]:
         o = self.options
-        seq = 0
+        seq = partition.number << 40
         for page in client_of(o).pages(o["entity"], o.get("orderby"), partition.filter, o.get("select")):
             for record in page:
                 yield o["entity"], seq, json.dumps(record), record.get("modifiedon")
@@ -215,7 +261,7 @@ class PushingReader(Reader):
 
 
 class ODataSource(DataSource):
-    """spark.read.format("odata") with url, entity, orderby, filter or filters (a JSON list, one partition each), select, and token or credentials. pushdown=true hands Spark's filters to the service; Spark refuses that unless register() has switched it on."""
+    """spark.read.format("odata") with url, entity, orderby, filter or filters (a JSON list, one partition each), select, ranges (so many partitions at most by ranges of rangecolumn, each of rangerows rows or more), and token or credentials. pushdown=true hands Spark's filters to the service; Spark refuses that unless register() has switched it on."""
 
     @classmethod
     def name(cls) -> str:
