@@ -7,12 +7,14 @@ from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.model import EntityConfig
 from tidemark.operators.optionsets import SUFFIX
 from tidemark.plans import cli, workflow
 from tidemark.sources import odata
 from tidemark.sources.store import Conflict, Store
+from tidemark.streaming import feed
 
 from .test_metadata import DOCUMENT
 
@@ -294,6 +296,63 @@ def test_an_entity_is_read_in_ranges_at_once(spark):
     server.shutdown()
 
 
+def test_changes_of_a_service_as_a_stream(spark, tmp_path, monkeypatch):
+    """Each record once in the history, though a run fails before it reads, and one after its commit; records of the mark's own time that come late are not lost."""
+    records = []
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_GET(self):
+            told = dict(urllib.parse.parse_qsl(self.path.partition("?")[2]))
+            test = {"ge": lambda m, x: m >= x, "gt": lambda m, x: m > x, "le": lambda m, x: m <= x, "ne": lambda m, x: True}
+            rows = [r for r in records if all(test[op](r["modifiedon"], x) for op, x in re.findall(r"modifiedon (ge|gt|le|ne) ([^\s)]+)", told.get("$filter", "")))]
+            if "$top" in told:
+                rows = sorted(rows, key=lambda r: r["modifiedon"], reverse=True)[:1]
+            body = json.dumps({"value": rows}).encode()
+            self.send_response(200)
+            self.send_header("Content-Length", str(len(body)))
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *args):
+            pass
+
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    store, apply = Store(spark, str(tmp_path / "store")), feed.apply_batch
+
+    def run():
+        changes = feed.changes(spark, "vesselid", {"vesselid": T.StringType(), "callsign": T.StringType()}, "now", url=f"http://127.0.0.1:{server.server_port}", entity="vessels", token="t")
+        feed.history_stream(changes, store, "vessels", "vesselid", str(tmp_path / "cp")).awaitTermination()
+
+    def fails(after):
+        def one(*args):
+            if after:
+                apply(*args)
+            raise RuntimeError("stopped")
+
+        monkeypatch.setattr(feed, "apply_batch", one)
+        with pytest.raises(Exception, match="stopped"):
+            run()
+        monkeypatch.setattr(feed, "apply_batch", apply)
+
+    history = lambda: sorted((r["vesselid"], r["callsign"], r["valid_from"], r["valid_to"]) for r in store.read("vessels").fillna("-").collect())
+    records += [{"vesselid": "a", "callsign": "A", "modifiedon": "2024-01-01"}, {"vesselid": "b", "callsign": "B", "modifiedon": "2024-01-02"}]
+    fails(after=False)
+    assert not store.exists("vessels")
+    run()
+    assert history() == [("a", "A", "2024-01-01", "-"), ("b", "B", "2024-01-02", "-")]
+    # one more of the mark's time, and a change
+    records += [{"vesselid": "c", "callsign": "C", "modifiedon": "2024-01-02"}]
+    records[0] = {"vesselid": "a", "callsign": "A2", "modifiedon": "2024-01-05"}
+    fails(after=True)
+    want = [("a", "A", "2024-01-01", "2024-01-05"), ("a", "A2", "2024-01-05", "-"), ("b", "B", "2024-01-02", "-"), ("c", "C", "2024-01-02", "-")]
+    assert history() == want
+    run()
+    run()
+    assert history() == want
+    server.shutdown()
+
+
 def test_sync_from_a_service(spark, service, tmp_path, monkeypatch, capsys):
     url, handler = service
     handler.records["vessels"] = [vessel(i, f"V{i}", 1 + i % 2, ["Away", "Moored"][i % 2], f"2024-01-0{i}", _pilot_value=f"p{i % 3}", **cargoes("1,2", "Grain;Steel")) for i in range(1, 8)]

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, GreaterThan, InputPartition
 
 #: Fixed values of the protocol.
 DELAYS = (1, 2, 4, 8, 16)
@@ -260,8 +260,40 @@ class PushingReader(Reader):
             yield f
 
 
+class ChangeReader(DataSourceStreamReader):
+    """The changes of an entity as a stream: an offset is the largest `modifiedon` seen, a batch the records from the one offset to the next.
+
+    Both ends are in the batch, since records of the offset's own time may come after it was read: these come again with the next batch,
+    which a merge by key takes for no change.  Offsets are in the stream's checkpoint, so a batch that was read but not
+    committed is read again, with the same bounds.  Records without the time are not in the stream.
+    """
+
+    def __init__(self, options: dict) -> None:
+        self.options = options
+
+    def initialOffset(self) -> dict:
+        return {"mark": self.options.get("since", "")}
+
+    def latestOffset(self) -> dict:
+        o = self.options
+        return {"mark": client_of(o).edge(o["entity"], "modifiedon", "desc", o.get("filter")) or o.get("since", "")}
+
+    def partitions(self, start: dict, end: dict) -> list[Batch]:
+        if not end["mark"]:
+            return []
+        # a record of the mark that the caller gives has been read already
+        after = start["mark"] and f"modifiedon {'gt' if start == self.initialOffset() else 'ge'} {start['mark']}"
+        return [Batch(both(self.options.get("filter"), after, f"modifiedon le {end['mark']}"))]
+
+    def read(self, partition: Batch) -> Iterator[tuple]:
+        return Reader(self.options).read(partition)
+
+    def commit(self, end: dict) -> None:
+        """Nothing is kept at the service."""
+
+
 class ODataSource(DataSource):
-    """spark.read.format("odata") with url, entity, orderby, filter or filters (a JSON list, one partition each), select, ranges (so many partitions at most by ranges of rangecolumn, each of rangerows rows or more), and token or credentials. pushdown=true hands Spark's filters to the service; Spark refuses that unless register() has switched it on."""
+    """spark.read.format("odata"), or readStream for the changes after `since`, with url, entity, orderby, filter or filters (a JSON list, one partition each), select, ranges (so many partitions at most by ranges of rangecolumn, each of rangerows rows or more), and token or credentials. pushdown=true hands Spark's filters to the service; Spark refuses that unless register() has switched it on."""
 
     @classmethod
     def name(cls) -> str:
@@ -270,6 +302,9 @@ class ODataSource(DataSource):
     def schema(self) -> str:
         return "entity string, seq long, raw string, modifiedon string"
 
+    def streamReader(self, schema) -> ChangeReader:
+        return ChangeReader(dict(self.options))
+
     def reader(self, schema) -> Reader:
         options = dict(self.options)
         return (PushingReader if str(options.get("pushdown")).lower() == "true" else Reader)(options)

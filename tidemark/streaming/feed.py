@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import scd2
+from ..operators import canonical, scd2
+from ..sources.odata import register
 from ..sources.store import WHERE, Store, checkpointed
 
 
@@ -22,6 +24,13 @@ def apply_batch(store: Store, table: str, batch: DataFrame, key: str, payload: s
     return done
 
 
+def changes(spark: SparkSession, key: str, columns: dict[str, T.DataType], clock: str, **options: str) -> DataFrame:
+    """A service's changes (options of the `odata` format) as a feed for history_stream."""
+    register(spark)
+    raw = spark.readStream.format("odata").options(**options).load().select("seq", "raw")
+    return canonical.to_versions(raw, key, columns, clock)
+
+
 def history_stream(feed: DataFrame, store: Store, table: str, key: str, checkpoint: str, payload: str = "json_response", seq: str = "seq", once: bool = True) -> StreamingQuery:
     """feed: a streaming DataFrame of key, columns..., payload, sync_time, valid_from, seq. The commit notes its batch, so one that comes again is skipped: exactly once."""
 
