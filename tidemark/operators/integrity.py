@@ -61,6 +61,35 @@ def _of_table(tables: dict[str, DataFrame], groups: list[list[tuple[str, str, st
     return rows.select(F.lit(groups[0][0][0]).alias("src_table"), name[0].alias("fk_col"), name[1].alias("dst_table"), "dangling_count", "total_checked", "samples")
 
 
+def grouped(edges: list[tuple[str, str, str, str]]) -> dict[str, list[tuple[str, str, str, str]]]:
+    """Edges by what refers, `table.column`: those of one column to several targets are one reference."""
+    out: dict[str, list[tuple[str, str, str, str]]] = {}
+    for e in sorted(dict.fromkeys(edges)):
+        out.setdefault(f"{e[0]}.{e[1]}", []).append(e)
+    return out
+
+
+def followed_up(dangling: DataFrame, references: DataFrame, keys: DataFrame, held: DataFrame) -> DataFrame:
+    """edge, fk_value, n of what dangles after a batch, from what dangled before.
+
+    dangling: edge, fk_value, n as it was; references: the same of the batch's new rows; keys: edge, fk_value that the batch's rows
+    hold as targets; held: edge, fk_value of those of `references` that a target holds.  Versions stay, so a value that is held once is held for good,
+    and one that never was is among `dangling` already: nothing else need be read.
+    """
+    on = ["edge", "fk_value"]
+    left = dangling.join(keys.distinct(), on, "left_anti").unionByName(references.join(held.distinct(), on, "left_anti"))
+    return left.groupBy(*on).agg(F.sum("n").alias("n"))
+
+
+def told(dangling: DataFrame, totals: DataFrame, edges: dict[str, list[tuple[str, str, str, str]]]) -> list[dict]:
+    """The report's rows of what followed_up keeps: at most one a reference."""
+    turn = F.row_number().over(Window.partitionBy("edge").orderBy("fk_value"))
+    first = dangling.withColumn("turn", turn).where(F.col("turn") <= SAMPLES).groupBy("edge").agg(F.sort_array(F.collect_list("fk_value")).alias("samples"))
+    rows = dangling.groupBy("edge").agg(F.sum("n").alias("dangling_count")).join(totals.select("edge", F.col("n").alias("total_checked")), "edge").join(first, "edge")
+    out = {r["edge"]: r for r in rows.collect()}
+    return [{"src_table": g[0][0], "fk_col": g[0][1], "dst_table": ",".join(e[2] for e in g), **{c: out[n][c] for c in ("dangling_count", "total_checked", "samples")}} for n, g in edges.items() if n in out]
+
+
 def report_text(rows: list, checks: int, shown: int = 5) -> str:
     """The report of collected rows, at most one an edge."""
     if not rows:

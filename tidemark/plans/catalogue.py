@@ -615,6 +615,19 @@ def dangling_polymorphic(spark, sf_dir):
     return integrity.dangling(_t(spark, sf_dir, "orders"), "o_custkey", [(_t(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'"), "c_custkey"), (_t(spark, sf_dir, "supplier"), "s_suppkey")])
 
 
+@query("SELECT o_custkey::VARCHAR AS fk_value, count(*) AS n FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') GROUP BY ALL")
+def dangling_followed_up(spark, sf_dir):
+    """What dangles after two batches of orders and customers, of which the second was checked by itself."""
+    store = _new_store(spark)
+    for turn in (0, 1):
+        for name, key, rows in (("orders", "o_orderkey", _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")), ("customer", "c_custkey", _t(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select("c_custkey"))):
+            first = int(store.note(name) or 1)
+            new = rows.where(f"{key} % 2 = {turn}")
+            store.commit(name, append={"open": scd2.with_row_ids(new, first, [key])}, note=str(first + new.count()), base=store.number(name), key=key)
+        workflow.verify_changes(store, [("orders", "o_custkey", "customer", "c_custkey")])
+    return store.read(workflow.DANGLING, "all").select("fk_value", "n")
+
+
 @query("""WITH b AS (SELECT o_custkey::VARCHAR AS v, count(*) AS n FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') GROUP BY ALL)
 SELECT 'orders' AS src_table, 'o_custkey' AS fk_col, 'customer' AS dst_table, (SELECT sum(n) FROM b)::BIGINT AS dangling_count, (SELECT count(o_custkey) FROM orders) AS total_checked,
 (SELECT string_agg(v, ',' ORDER BY v) FROM (SELECT v FROM b ORDER BY v LIMIT 10)) AS samples""")

@@ -28,7 +28,7 @@ from ..sources.config import load_entities, load_option_sets
 from ..sources.odata import Authenticator, client_of, register
 from ..sources.store import WHERE, Store, Transaction, checkpointed, entity_schema
 
-STATE, LOG, LOOKUPS = "_sync_state", "_sync_log", "_optionset"
+STATE, LOG, LOOKUPS, DANGLING = "_sync_state", "_sync_log", "_optionset", "_dangling"
 #: Requests to a service at a time.
 CONCURRENCY = 50
 #: Characters of the names of columns in a request.
@@ -305,8 +305,46 @@ def new_references(store: Store, found: list[tuple[str, str, str, str]], table:
     return closure.referenced_ids(fresh, found, table)
 
 
-def run_workflow(store: Store, source: Source, entities: list[EntityConfig], verify_references: bool = False, option_sets: Mapping[str, Iterable[str]] | None = None, rounds: int = closure.ROUNDS, compat: bool = False, clock: str | None = None, in_time: bool = False) -> dict:
-    """success, total_added, total_updated, failed_entities, validation_errors, reference_errors, reference_checks."""
+def verify_changes(store: Store, edges: list[tuple[str, str, str, str]]) -> list[dict]:
+    """The rows of integrity.report, from what dangled when this was last called and the versions that came since; the first call, and one with other edges, reads all.
+
+    The table of what dangles notes up to which commit and row id each table has been read. Versions must stay, so this is not for tables that are kept `in_time`.
+    """
+    spark, base = store.spark, store.number(DANGLING)
+    groups = {n: g for n, g in integrity.grouped(edges).items() if all(store.exists(t) for e in g for t in (e[0], e[2]))}
+    noted = json.loads(store.note(DANGLING) or "{}") if base else {}
+    again = noted.get("edges") == [list(e) for g in groups.values() for e in g]
+    seen = noted["tables"] if again else {}
+    now = {t: [store.number(t), int(store.note(t) or 1)] for g in groups.values() for e in g for t in (e[0], e[2])}
+    fresh = {t: store.read(t, since=seen.get(t, [0, 1])[0]).where(F.col("row_id") >= seen.get(t, [0, 1])[1]) for t, n in now.items() if n[0] > seen.get(t, [0, 1])[0]}
+    if again and not fresh:
+        return integrity.told(store.read(DANGLING, "all"), store.read(DANGLING, "_totals"), groups)
+    counted, valued = "edge string, fk_value string, n long", "edge string, fk_value string"
+    values = lambda rows, edge, column: rows.where(F.col(column).isNotNull()).select(F.lit(edge).alias("edge"), F.col(column).cast("string").alias("fk_value"))
+    references, keys, held = local_frame(spark, [], counted), local_frame(spark, [], valued), local_frame(spark, [], valued)
+    for name, group in groups.items():
+        if group[0][0] in fresh:
+            references = references.unionByName(values(fresh[group[0][0]], name, group[0][1]).groupBy("edge", "fk_value").agg(F.count(F.lit(1)).alias("n")))
+    references = checkpointed(references)
+    for name, group in groups.items():
+        asked = references.where(F.col("edge") == name).select("fk_value")
+        for _, _, target, key in group:
+            if target in fresh:
+                keys = keys.unionByName(values(fresh[target], name, key))
+            # by the target's index, where it is indexed by this column
+            rows = store.read(target, keys=asked) if store.state(target).key == key else store.read(target).join(asked.select(F.col("fk_value").alias("_v")).distinct(), F.col(key).cast("string") == F.col("_v"), "left_semi")
+            held = held.unionByName(values(rows, name, key))
+    old = store.read(DANGLING, "all") if again else local_frame(spark, [], counted)
+    sums = store.read(DANGLING, "_totals") if again else local_frame(spark, [], "edge string, n long")
+    after = checkpointed(integrity.followed_up(old, references, keys, held))
+    totals = checkpointed(sums.unionByName(references.groupBy("edge").agg(F.sum("n").alias("n"))).groupBy("edge").agg(F.sum("n").alias("n")))
+    note = json.dumps({"edges": [e for g in groups.values() for e in g], "tables": now})
+    store.commit(DANGLING, {"all": after, "_totals": totals}, note=note, base=base)
+    return integrity.told(after, totals, groups)
+
+
+def run_workflow(store: Store, source: Source, entities: list[EntityConfig], verify_references: bool | str = False, option_sets: Mapping[str, Iterable[str]] | None = None, rounds: int = closure.ROUNDS, compat: bool = False, clock: str | None = None, in_time: bool = False) -> dict:
+    """verify_references: True for all versions of all tables, `changes` for what came since the last time. Result: success, total_added, total_updated, failed_entities, validation_errors, reference_errors, reference_checks."""
     spark = store.spark
     clock = clock or _now()
     options = {k: frozenset(v) for k, v in (option_sets or {}).items()}
@@ -382,7 +420,9 @@ def run_workflow(store: Store, source: Source, entities: list[EntityConfig], ver
         log.warning("references were still being followed after %d rounds", rounds)
     maintain(store, store.tables())
 
-    if verify_references:
+    if verify_references == "changes" and not compat and not in_time:
+        out["reference_errors"], out["reference_checks"] = verify_changes(store, found), len(found)
+    elif verify_references:
         tables = {t: store.read(t) for t in store.tables() if not t.startswith("_")}
         report, out["reference_checks"], missing = integrity.report(tables, found, compat)
         out["reference_errors"] = [r.asDict() for r in report.collect()] if report is not None else []
