@@ -39,7 +39,7 @@ def test_stages_take_effect(spark):
 def test_registered():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "secrets", "mixing", "encoding"]
     found = queries.queries()
-    assert [n.split("_")[0] for n in found] == [f"op{i}" for i in range(1, 11)] and set(queries.oracle_sql()) <= set(found)
+    assert [n.split("_")[0] for n in found] == [f"op{i}" for i in range(1, 14)] and set(queries.oracle_sql()) <= set(found)
     assert list(corpus_pipeline.queries()) == ["pipeline"]
 
 
