@@ -194,6 +194,8 @@ def service():
             type(self).asked.append((name, told))
             if name == "$metadata":
                 return self.send(DOCUMENT.encode())
+            if name.endswith("/$count"):
+                return self.send(str(len(type(self).records[name.split("/")[0]])).encode())
             rows = type(self).records[name]
             wanted = told.get("$filter", "")
             if mark := re.search(r"modifiedon gt (\S+?)\)?$", wanted):

@@ -184,7 +184,12 @@ def ranges(client: Client, entity: str, column: str, parts: int, filter: str | N
     Ranges are halved, the oldest of those in question first, while they count `most` rows or more (services stop counting at a page); the first has no lower bound and the last
     no upper one, so rows that change meanwhile are not missed.
     """
-    if parts < 2 or client.count(entity, filter) < most:
+    if parts < 2:
+        return [filter]
+    try:
+        if client.count(entity, filter) < most:
+            return [filter]
+    except (RuntimeError, ValueError):  # a service that does not count is read whole
         return [filter]
     ends = [client.edge(entity, column, way, filter) for way in ("asc", "desc")]
     if None in ends:
