@@ -173,6 +173,24 @@ def test_a_batch_that_fails_at_any_step_leaves_nothing_behind(spark, tmp_path, m
     assert steps >= 10 and whole(store) == want
 
 
+def test_records_that_come_in_one_task_are_dealt_out(spark, tmp_path, monkeypatch):
+    parts = []
+
+    def counted(df):
+        out = storage.checkpointed(df)
+        if "raw" in out.columns:
+            parts.append(out.rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(workflow, "checkpointed", counted)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert sync(Store(spark, str(tmp_path / "store")), ships(spark, 1, range(200), "1,2", 1).coalesce(1), 1) == (200, 0)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert parts == [4]
+
+
 def test_a_few_changes_write_as_little_whatever_the_table_holds(spark, tmp_path):
     wrote = []
     for n in (200, 4000):

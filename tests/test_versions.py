@@ -150,6 +150,13 @@ def test_detection_equals_the_rule(spark):
     assert found == {(i, *k): v for i, r in enumerate(records) for k, v in detected(r).items()}
 
 
+def test_detection_reads_a_record_and_splits_a_value_once(spark):
+    """A filter on the rows would be moved below the columns that it names and compute them again."""
+    found = optionsets.detect(spark.createDataFrame([(1, "{}")], "seq long, raw string").repartition(2))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1 and plan.count("rlike(_k") + plan.count("RLIKE(_k") <= 1 and plan.count("split(") == 2
+
+
 def test_junction_modes(spark):
     versions = spark.createDataFrame([("a", 1, "2024-01"), ("a", 2, "2024-02"), ("a", 3, "2024-03")], "id string, seq int, valid_from string")
     picks = spark.createDataFrame([("a", 1, c, True) for c in (1, 2)] + [("a", 2, 2, False)], "id string, seq int, code long, is_multi boolean")

@@ -39,9 +39,12 @@ def detect(records: DataFrame, raw: str = "raw", ids: list[str] | None = None) -
     # labels and raw values of one record meet inside the row: no join, no shuffle
     label_of = F.map_from_entries(F.filter("_e", lambda e: e["key"].endswith(SUFFIX)))
     pairs = pairs.withColumn("_l", label_of)
-    each = pairs.select(*ids, "_l", F.explode(F.filter("_e", lambda e: ~e["key"].endswith(SUFFIX))).alias("_p"))
-    each = each.select(*ids, F.col("_p.key").alias("field"), F.col("_p.value").alias("_v"), F.try_element_at("_l", F.concat(F.col("_p.key"), F.lit(SUFFIX))).alias("_lv"))
-    each = each.where("_v is not null and _lv is not null and not is_variant_null(_v) and not is_variant_null(_lv)")
+    # what does not count is left out inside the arrays: a filter on the rows would be moved below the columns that it names, which are then computed once more for each mention
+    label_at = lambda e: F.try_element_at("_l", F.concat(e["key"], F.lit(SUFFIX)))
+    counts = lambda v: v.isNotNull() & ~F.is_variant_null(v)
+    coded = F.filter("_e", lambda e: ~e["key"].endswith(SUFFIX) & counts(e["value"]) & counts(label_at(e)))
+    each = pairs.select(*ids, "_l", F.explode(coded).alias("_p"))
+    each = each.select(*ids, F.col("_p.key").alias("field"), F.col("_p.value").alias("_v"), label_at(F.col("_p")).alias("_lv"))
     kind, label_kind = F.schema_of_variant("_v"), F.schema_of_variant("_lv")
     text = F.try_variant_get("_v", "$", "string")
     label = F.coalesce(F.try_variant_get("_lv", "$", "string"), F.to_json("_lv"))
@@ -52,17 +55,15 @@ def detect(records: DataFrame, raw: str = "raw", ids: list[str] | None = None) -
     each = each.withColumn("_raws", F.when(many, _tokens(F.col("_t"), ",")).otherwise(F.array("_t")))
     each = each.withColumn("_labels", F.when(F.col("is_multi"), _tokens(F.col("_label"), ";")).otherwise(F.array("_label")))
     each = each.withColumn("_codes", F.transform("_raws", lambda t: _code(t, F.col("_k"))))
-    each = each.where(~F.exists("_codes", lambda c: c.isNull()))
     n = F.least(F.size("_codes"), F.size("_labels"))
-    each = each.where(n > 0)
     zipped = F.transform(F.slice("_codes", 1, n), lambda c, i: F.struct(i.alias("pos"), c.alias("code"), F.get("_labels", i).alias("label")))
-    each = each.withColumn("_z", zipped)
+    each = each.withColumn("_z", F.when(~F.exists("_codes", lambda c: c.isNull()) & (n > 0), zipped))
     # within a field a code's first position and last label count; the costly rule runs only where a code repeats
     first = F.filter("_z", lambda z, i: F.array_position("_codes", z["code"]) == i + 1)
     last = F.transform(first, lambda z: F.struct(z["pos"].alias("pos"), z["code"].alias("code"), F.element_at(F.filter("_z", lambda y: y["code"] == z["code"]), -1)["label"].alias("label")))
     repeats = F.size(F.array_distinct("_codes")) < F.size("_codes")
-    each = each.withColumn("_z", F.when(repeats, last).otherwise(F.col("_z")))
-    return each.select(*ids, "field", "is_multi", F.explode("_z").alias("_o")).select(*ids, "field", "is_multi", F.col("_o.pos").alias("pos"), F.col("_o.code").alias("code"), F.col("_o.label").alias("label"))
+    chosen = F.when(repeats, last).otherwise(F.col("_z"))
+    return each.select(*ids, "field", "is_multi", F.explode(chosen).alias("_o")).select(*ids, "field", "is_multi", F.col("_o.pos").alias("pos"), F.col("_o.code").alias("code"), F.col("_o.label").alias("label"))
 
 
 def merge_lookup(old: DataFrame, seen: DataFrame) -> DataFrame:

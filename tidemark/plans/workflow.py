@@ -169,7 +169,8 @@ def load_batch(store: Store, entity: EntityConfig, schema: TableSchema, records:
     """
     spark, table = store.spark, entity.api_name
     tx = into or store.transaction()
-    records = checkpointed(records.select("seq", "raw"))
+    # dealt out, as a source may give all in one task (a small file of few row groups, an entity without ranges) and what follows is the sync's main work
+    records = checkpointed(records.select("seq", "raw").repartition("seq"))
     mark = incremental.watermark(records.select(F.get_json_object("raw", "$.modifiedon").alias("modifiedon"))).first()
     if not mark["records_count"]:
         return 0, 0, None, 0
