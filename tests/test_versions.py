@@ -231,6 +231,14 @@ def test_canonical(spark):
     assert got[0] == got[1] and got[0] != got[2]
 
 
+def test_a_payload_reads_its_record_once(spark):
+    rows = spark.createDataFrame([("{}",)], "raw string").repartition(2)
+    for how in (canonical.canonical, canonical.canonical_exact):
+        assert rows.select(how(F.col("raw")).alias("x"))._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    repeated = '{"b": 1, "@odata.etag": "x", "a": 2, "b": {"z": 1, "y": 2, "z": 3}}'
+    assert payloads(spark, canonical.canonical, repeated, None, "{}") == ['{"a": 2, "b": {"y":2,"z":3}}', None, "{}"]
+
+
 def test_different_records_have_different_payloads(spark):
     long = "123456789012345678901234567890123456789012345"
     raws = [

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,13 +28,21 @@ def _plain(text: Column) -> Column:
     return F.regexp_replace(numbers, r'(?<!\\)"\\u0001\\u0001', F.lit('"' + _MARK))
 
 
+def once(x: Column, then: Callable[[Column], Column]) -> Column:
+    """then(x), where x is evaluated once however often `then` names it: Spark shares nothing below a function of arrays."""
+    return F.get(F.transform(F.array(x), then), F.lit(0))
+
+
 def _entries(raw: Column) -> Column:
     """The record's own (key, value) pairs; of a key that comes twice, here or further in, the last."""
     SparkSession.active().conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    all_ = F.filter(F.map_entries(F.from_json(raw, "map<string, variant>")), lambda e: ~F.startswith(e["key"], F.lit(ODATA_PREFIX)))
-    keys = F.transform(all_, lambda e: e["key"])
-    last = F.filter(all_, lambda e, i: F.array_position(F.reverse(keys), e["key"]) == F.size(keys) - i)
-    return F.when(F.size(F.array_distinct(keys)) < F.size(keys), last).otherwise(all_)
+    own = F.filter(F.map_entries(F.from_json(raw, "map<string, variant>")), lambda e: ~F.startswith(e["key"], F.lit(ODATA_PREFIX)))
+
+    def distinct(all_: Column, keys: Column) -> Column:
+        last = lambda: F.filter(all_, lambda e, i: F.array_position(F.reverse(keys), e["key"]) == F.size(keys) - i)
+        return F.when(F.size(F.array_distinct(keys)) < F.size(keys), last()).otherwise(all_)
+
+    return once(own, lambda all_: once(F.transform(all_, lambda e: e["key"]), lambda keys: distinct(all_, keys)))
 
 
 def _object(raw: Column, text_of) -> Column:
@@ -57,8 +67,8 @@ def canonical_exact(raw: Column | str) -> Column:
     spaced = lambda x: F.regexp_replace(x, rf'\G((?:[^",:]++|{_STRING})*+)([:,])', "$1$2 ")
     text = _plain(_object(_verbatim(raw, True), spaced))
     units = lambda c: F.regexp_replace(F.lower(F.hex(F.encode(c, "UTF-16BE"))), "(....)", r"\\u$1")
-    ascii_ = F.array_join(F.transform(F.split(text, ""), lambda c: F.when(c > F.lit("\x7f"), units(c)).otherwise(c)), "")
-    return F.when(text.rlike(r"[^\x00-\x7F]"), ascii_).otherwise(text)
+    ascii_ = lambda t: F.array_join(F.transform(F.split(t, ""), lambda c: F.when(c > F.lit("\x7f"), units(c)).otherwise(c)), "")
+    return once(text, lambda t: F.when(t.rlike(r"[^\x00-\x7F]"), ascii_(t)).otherwise(t))
 
 
 def effective_time(modified: Column, clock: Column) -> Column:
