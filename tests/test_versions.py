@@ -291,3 +291,16 @@ def test_a_closed_sample_follows_every_edge_to_the_fixpoint(spark, tmp_path):
     export.write_csv({"people": versions, **{n: out[n] for n in ("tasks", "notes")}}, str(tmp_path / "csv"))
     back = spark.read.option("header", True).schema("id int, boss int, first int").csv(str(tmp_path / "csv" / "people"))
     assert sorted(back.collect()) == sorted(people.collect()) or sorted(map(str, back.collect())) == sorted(map(str, people.collect()))
+
+
+def test_rows_that_lead_no_further_are_not_made_by_the_closure(spark, monkeypatch):
+    people = spark.createDataFrame([(1, None), (2, 1), (3, None)], "id int, boss int")
+    notes = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (3, "c"), (None, "d")], "person int, text string")
+    made = []
+    monkeypatch.setattr(closure, "checkpointed", lambda df: made.append(df.columns) or df.localCheckpoint())
+    edges = [("people", "boss", "people", "id"), ("notes", "person", "people", "id")]
+    got = closure.reverse_closure({"people": people, "notes": notes}, edges, "people", people.where("id = 1"))
+    assert sorted(r["text"] for r in got["notes"].collect()) == ["a", "b", "b"] and sorted(r["id"] for r in got["people"].collect()) == [1, 2]
+    assert not any("text" in c for c in made)
+    read = [line for line in got["notes"].select("person")._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line or "text" in line]
+    assert sum("LeftSemi" in line for line in read) == 2 and not any("<text" in line for line in read)  # one a round

@@ -95,7 +95,7 @@ def connected(tables: dict[str, DataFrame], keys: dict[str, str], found: list[tu
 
     Every edge is followed, also several between two tables, and from a table to itself; cycles end, as a round asks only about the rows
     that the round before brought.  keys: what tells a table's rows apart; the rows of a table without a key are told apart by all
-    their columns.  A round reads a table once for all its edges, and only tables that an edge joins to new rows; values meet
+    their columns.  Rows of tables that lead no further are not made here but where they are read.  A round reads a table once for all its edges, and only tables that an edge joins to new rows; values meet
     as distinct (edge, value) pairs, so a value that many rows share is one row in the join.
     """
     edges = [e for e in found if e[0] in tables and e[2] in tables]
@@ -107,33 +107,58 @@ def connected(tables: dict[str, DataFrame], keys: dict[str, str], found: list[tu
     def values(rows: DataFrame, number: int, column: str) -> DataFrame:
         return rows.select(F.lit(number).alias("edge"), F.col(column).cast("string").alias("value")).where("value is not null")
 
-    all_ = {n: with_id(n, t) for n, t in tables.items()}
-    fresh = {n: checkpointed(with_id(n, t.select(*tables[n].columns))) for n, t in start.items()}
-    done = {n: t.select("_id").distinct() for n, t in fresh.items()}
+    def ids(name: str) -> DataFrame:
+        """_id of the table's rows so far, made when the table is asked again."""
+        for part in late.pop(name, []):
+            told = with_id(name, part).select("_id").distinct()
+            done[name] = done[name].unionByName(told) if name in done else told
+        done[name] = checkpointed(done[name])
+        return done[name]
+
+    fresh = {n: checkpointed(t.select(*tables[n].columns)) for n, t in start.items()}
+    done: dict[str, DataFrame] = {}
+    late = {n: [t] for n, t in fresh.items()}
     parts = dict(fresh)
     while fresh:
         brought = {}
         for name in tables:
-            asked, columns = None, []
+            sides = []
             for i, (s, c, d, k) in enumerate(edges):
-                sides = ([(2 * i, c, d, k)] if outward and s == name and d in fresh else []) + ([(2 * i + 1, k, s, c)] if inward and d == name and s in fresh else [])
+                sides += ([(2 * i, c, d, k)] if outward and s == name and d in fresh else []) + ([(2 * i + 1, k, s, c)] if inward and d == name and s in fresh else [])
+            if not sides:
+                continue
+            if not keys.get(name) and len(sides) == 1:
+                # rows that are equal have equal values: they meet these as they are, in one shuffle
+                number, own, other, theirs = sides[0]
+                asked = values(fresh[other], number, theirs).select("value").distinct()
+                rows = tables[name]
+                if name in parts:
+                    rows = with_id(name, rows).join(ids(name), "_id", "left_anti").drop("_id")
+                new = rows.join(asked, F.col(own).cast("string") == asked["value"], "left_semi")
+            else:
+                asked, columns = None, []
                 for number, own, other, theirs in sides:
                     columns.append(F.struct(F.lit(number).alias("edge"), F.col(own).cast("string").alias("value")))
                     wanted = values(fresh[other], number, theirs)
                     asked = wanted if asked is None else asked.unionByName(wanted)
-            if asked is None:
+                rows = whole = with_id(name, tables[name])
+                if name in parts:
+                    rows = whole.join(ids(name), "_id", "left_anti")
+                met = rows.select("_id", F.explode(F.array(*columns)).alias("x")).select("_id", "x.edge", "x.value").join(asked.distinct(), ["edge", "value"], "left_semi")
+                new = whole.join(met.select("_id").distinct(), "_id", "left_semi").drop("_id")
+            if not any(outward and d == name or inward and s == name for s, _, d, _ in edges):
+                # no round asks about these rows, so they are left to the plan of who reads them, with the columns that this needs
+                parts[name] = parts[name].unionByName(new) if name in parts else new
+                late.setdefault(name, []).append(new)
                 continue
-            rows = all_[name].join(done[name], "_id", "left_anti") if name in done else all_[name]
-            met = rows.select("_id", F.explode(F.array(*columns)).alias("x")).select("_id", "x.edge", "x.value").join(asked.distinct(), ["edge", "value"], "left_semi")
-            new = checkpointed(all_[name].join(met.select("_id").distinct(), "_id", "left_semi"))
+            new = checkpointed(new)
             if not new.isEmpty():
                 brought[name] = new
         for name, new in brought.items():
-            ids = new.select("_id").distinct()
-            done[name] = checkpointed(done[name].unionByName(ids)) if name in done else ids
+            late.setdefault(name, []).append(new)
             parts[name] = parts[name].unionByName(new) if name in parts else new
         fresh = brought
-    return {n: parts[n].drop("_id") if n in parts else t.limit(0) for n, t in tables.items()}
+    return {n: parts[n] if n in parts else t.limit(0) for n, t in tables.items()}
 
 
 def reverse_closure(tables: dict[str, DataFrame], found: list[tuple[str, str, str, str]], start: str, rows: DataFrame) -> dict[str, DataFrame]:
