@@ -150,6 +150,23 @@ def test_detection_equals_the_rule(spark):
     assert found == {(i, *k): v for i, r in enumerate(records) for k, v in detected(r).items()}
 
 
+def test_detection_of_some_fields_is_that_of_all_without_the_others(spark):
+    label = optionsets.SUFFIX
+    raws = [
+        {"a": "1, 2\u00a0,,+3", f"a{label}": "x; y\u00a0;z", "b": 7, f"b{label}": "q", "c": "no"},
+        {"a": "-4,1_0,-4", f"a{label}": "x;y;z", "b": 1.5, f"b{label}": "q"},
+        {"a": None, f"a{label}": "x", "b": "12\n", f"b{label}": "q"},
+        {"a": "9223372036854775807,9223372036854775808", f"a{label}": "x;y", "b": -999999999999999999, f"b{label}": "q"},
+        {"a": "5", "b": True, f"b{label}": None}, {"a": [1], f"a{label}": "x"}, {f"a{label}": "x"}, {},
+    ]
+    rows = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(raws)], "seq long, raw string")
+    told = lambda df: sorted(tuple(r) for r in df.collect())
+    every = told(optionsets.detect(rows))
+    assert told(optionsets.detect(rows, fields=("b", "a"))) == every and {r[1] for r in every} == {"a", "b"}
+    assert told(optionsets.detect(rows, fields=("a",))) == [r for r in every if r[1] == "a"]
+    assert [r[4] for r in every if r[1] == "a"] == [1, 2, 3, -4, 10] and [r[4] for r in every if r[1] == "b"] == [7, 1, 12, -999999999999999999]
+
+
 def test_detection_reads_a_record_and_splits_a_value_once(spark):
     """A filter on the rows would be moved below the columns that it names and compute them again."""
     found = optionsets.detect(spark.createDataFrame([(1, "{}")], "seq long, raw string").repartition(2))
@@ -239,6 +256,15 @@ def test_a_payload_reads_its_record_once(spark):
     assert payloads(spark, canonical.canonical, repeated, None, "{}") == ['{"a": 2, "b": {"y":2,"z":3}}', None, "{}"]
 
 
+def test_payloads_without_marks_meet_one_pattern(spark):
+    rows = spark.createDataFrame([("{}",)], "raw string").repartition(2)
+    plan = rows.select(canonical.canonical(F.col("raw")).alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+    # the other patterns are for texts that hold a mark; names need none, and the order no function of arrays
+    assert plan.count("regexp_replace(") == 4 and plan.count("Contains(") == 2 and "array_sort(" not in plan
+    odd = '{"a\\"b\\\\c\\u0007\u00e9": 1, "\\u0001k": "\\u000112345678901234567", "z": {"y": 12345678901234567890, "x": "\\u0001" }}'
+    assert payloads(spark, canonical.canonical, odd) == ['{"\\u0001k": "\\u000112345678901234567", "a\\"b\\\\c\\u0007\u00e9": 1, "z": {"x":"\\u0001","y":12345678901234567890}}']
+
+
 def test_different_records_have_different_payloads(spark):
     long = "123456789012345678901234567890123456789012345"
     raws = [

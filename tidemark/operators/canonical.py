@@ -18,14 +18,19 @@ _MARK = r"\\u0001"
 
 def _verbatim(raw: Column, all_numbers: bool) -> Column:
     """raw with numbers as marked strings: all, or those with more digits than a double holds. Strings are passed over whole, so digits in them stay."""
-    own = F.regexp_replace(raw, r'(?<!\\)"' + r"\\u0001", F.lit('"' + _MARK + _MARK))
+    own = F.when(_marked(raw), F.regexp_replace(raw, r'(?<!\\)"' + r"\\u0001", F.lit('"' + _MARK + _MARK))).otherwise(raw)
     short = "" if all_numbers else rf"|-?[0-9.eE+-]{{1,{_SHORT}}}+(?![0-9.eE+-])"
     return F.regexp_replace(own, rf'\G((?:[^"0-9-]++|{_STRING}{short})*+)(-?[0-9][0-9.eE+-]*+)', F.lit(f'$1"{_MARK}$2"'))
 
 
 def _plain(text: Column) -> Column:
-    numbers = F.regexp_replace(text, r'"\\u0001(-?[0-9][0-9.eE+-]*)"', "$1")
-    return F.regexp_replace(numbers, r'(?<!\\)"\\u0001\\u0001', F.lit('"' + _MARK))
+    numbers = lambda t: F.regexp_replace(t, r'"\\u0001(-?[0-9][0-9.eE+-]*)"', "$1")
+    return once(text, lambda t: F.when(_marked(t), F.regexp_replace(numbers(t), r'(?<!\\)"\\u0001\\u0001', F.lit('"' + _MARK))).otherwise(t))
+
+
+def _marked(text: Column) -> Column:
+    """Most texts hold no mark, and to look for one costs next to nothing beside a pattern."""
+    return F.contains(text, F.lit(r"\u0001"))
 
 
 def once(x: Column, then: Callable[[Column], Column]) -> Column:
@@ -46,10 +51,10 @@ def _entries(raw: Column) -> Column:
 
 
 def _object(raw: Column, text_of) -> Column:
-    # {"k":"name"} -> "name"
-    name = lambda e: F.regexp_replace(F.to_json(F.named_struct(F.lit("k"), e["key"])), r'^\{"k":(.*)\}$', "$1")
-    pairs = F.array_sort(F.transform(_entries(raw), lambda e: F.struct(e["key"].alias("k"), F.concat(name(e), F.lit(": "), text_of(F.coalesce(F.to_json(e["value"]), F.lit("null")))).alias("t"))))
-    return F.concat(F.lit("{"), F.array_join(F.transform(pairs, lambda p: p["t"]), ", "), F.lit("}"))
+    name = lambda e: F.to_json(e["key"].cast("variant"))
+    # sort_array compares without a function of arrays
+    pairs = F.sort_array(F.transform(_entries(raw), lambda e: F.struct(e["key"].alias("k"), F.concat(name(e), F.lit(": "), text_of(F.coalesce(F.to_json(e["value"]), F.lit("null")))).alias("t"))))
+    return F.concat(F.lit("{"), F.array_join(pairs["t"], ", "), F.lit("}"))
 
 
 def canonical(raw: Column) -> Column:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: The annotation's suffix, and what an integer may look like in a string.
 SUFFIX = "@OData.Community.Display.V1.FormattedValue"
@@ -18,22 +19,22 @@ _SPACE = r"(?U)^\s+|\s+$"
 
 
 def _tokens(x: Column, separator: str) -> Column:
-    return F.filter(F.transform(F.split(x, separator, -1), lambda t: F.regexp_replace(t, _SPACE, "")), lambda t: t != "")
+    # between two plain characters there is nothing to cut off, and the pattern is costly
+    plain = lambda c: F.ascii(c).between(33, 126)
+    trimmed = lambda t: F.when(plain(t) & plain(F.right(t, F.lit(1))), t).otherwise(F.regexp_replace(t, _SPACE, ""))
+    return F.filter(F.transform(F.split(x, separator, -1), trimmed), lambda t: t != "")
 
 
 def _code(token: Column, kind: Column) -> Column:
     """The token of a raw value of a JSON kind as a 64-bit integer, or null."""
-    text = F.when(token.rlike(INTEGER), F.regexp_replace(token, r"[_\s]", "").try_cast("bigint"))
-    cut = F.when(F.abs(token.try_cast("double")) < 9.3e18, F.regexp_replace(token.try_cast("decimal(38,10)").cast("string"), r"\..*$", "").try_cast("bigint"))
+    short = token.rlike(r"^-?[0-9]{1,18}$")  # as nearly all are: the rest is for others
+    text = F.when(short, token.try_cast("bigint")).when(token.rlike(INTEGER), F.regexp_replace(token, r"[_\s]", "").try_cast("bigint"))
+    cut = F.when(short, token.try_cast("bigint")).when(F.abs(token.try_cast("double")) < 9.3e18, F.regexp_replace(token.try_cast("decimal(38,10)").cast("string"), r"\..*$", "").try_cast("bigint"))
     return F.when(kind == "BOOLEAN", F.when(token == "true", 1).when(token == "false", 0).cast("bigint")).when(kind == "STRING", text).when(kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|INT|TINYINT|SMALLINT)"), cut)
 
 
-def detect(records: DataFrame, raw: str = "raw", ids: list[str] | None = None) -> DataFrame:
-    """ids..., field, is_multi, pos, code, label: one row a code of each coded field of each record.
-
-    ids must identify a record. Within a field a repeated code keeps its first position and last label.
-    """
-    ids = ids or [c for c in records.columns if c != raw]
+def _coded(records: DataFrame, raw: str, ids: list[str]) -> DataFrame:
+    """ids..., field, _v, _lv: value and label of each field that has both."""
     entries = F.map_entries(F.from_json(F.col(raw), "map<string, variant>"))
     pairs = records.select(*ids, entries.alias("_e"))
     # labels and raw values of one record meet inside the row: no join, no shuffle
@@ -41,10 +42,31 @@ def detect(records: DataFrame, raw: str = "raw", ids: list[str] | None = None) -
     pairs = pairs.withColumn("_l", label_of)
     # what does not count is left out inside the arrays: a filter on the rows would be moved below the columns that it names, which are then computed once more for each mention
     label_at = lambda e: F.try_element_at("_l", F.concat(e["key"], F.lit(SUFFIX)))
-    counts = lambda v: v.isNotNull() & ~F.is_variant_null(v)
-    coded = F.filter("_e", lambda e: ~e["key"].endswith(SUFFIX) & counts(e["value"]) & counts(label_at(e)))
+    coded = F.filter("_e", lambda e: ~e["key"].endswith(SUFFIX) & _counts(e["value"]) & _counts(label_at(e)))
     each = pairs.select(*ids, "_l", F.explode(coded).alias("_p"))
-    each = each.select(*ids, F.col("_p.key").alias("field"), F.col("_p.value").alias("_v"), label_at(F.col("_p")).alias("_lv"))
+    return each.select(*ids, F.col("_p.key").alias("field"), F.col("_p.value").alias("_v"), label_at(F.col("_p")).alias("_lv"))
+
+
+def _counts(value: Column) -> Column:
+    return value.isNotNull() & ~F.is_variant_null(value)
+
+
+def _coded_of(records: DataFrame, raw: str, ids: list[str], fields: tuple[str, ...]) -> DataFrame:
+    """The same of these fields only: nothing else of a record, which must name none twice, is made a value."""
+    kind = T.StructType([T.StructField(n, T.VariantType()) for f in fields for n in (f, f + SUFFIX)])
+    told = records.select(*ids, F.from_json(F.col(raw), kind).alias("_e"))
+    own = F.array(*[F.struct(F.lit(f).alias("field"), F.col("_e").getField(f).alias("_v"), F.col("_e").getField(f + SUFFIX).alias("_lv")) for f in fields])
+    each = told.select(*ids, F.explode(F.filter(own, lambda e: _counts(e["_v"]) & _counts(e["_lv"]))).alias("_p"))
+    return each.select(*ids, "_p.field", "_p._v", "_p._lv")
+
+
+def detect(records: DataFrame, raw: str = "raw", ids: list[str] | None = None, fields: tuple[str, ...] | None = None) -> DataFrame:
+    """ids..., field, is_multi, pos, code, label: one row a code of each coded field, or of these `fields`, of each record.
+
+    ids must identify a record. Within a field a repeated code keeps its first position and last label.
+    """
+    ids = ids or [c for c in records.columns if c != raw]
+    each = _coded(records, raw, ids) if fields is None else _coded_of(records, raw, ids, fields)
     kind, label_kind = F.schema_of_variant("_v"), F.schema_of_variant("_lv")
     text = F.try_variant_get("_v", "$", "string")
     label = F.coalesce(F.try_variant_get("_lv", "$", "string"), F.to_json("_lv"))

@@ -208,9 +208,9 @@ def load_batch(store: Store, entity: EntityConfig, schema: TableSchema, records:
     seen = found.select("field", "code", "label", F.lit(clock).alias("seen_at"), "seq")
     tx.stage(LOOKUPS, lambda: _add_labels(tx, seen, clock))
     if added + updated:
-        if in_time:
+        if in_time and multi:
             versions = all_rows.select(F.col(key).cast("string").alias("id"), F.col("valid_from").alias("seq"), "valid_from", F.col("json_response").alias("raw"))
-            picked = checkpointed(optionsets.detect(versions.select("id", "seq", "raw"), ids=["id", "seq"]))
+            picked = checkpointed(optionsets.detect(versions.select("id", "seq", "raw"), ids=["id", "seq"], fields=multi))
         new = done.where("version_created").select(F.col(key).cast("string").alias("id"), "seq", "valid_from")
         for field in multi:
             if in_time:
