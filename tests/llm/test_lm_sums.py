@@ -1,6 +1,7 @@
 import numpy as np
+import pytest
 
-from tidemark.llm import lm
+from tidemark.llm import kernel, lm
 
 
 def test_sums_of_parameters_stay_exact_at_the_target_size():
@@ -13,3 +14,11 @@ def test_sums_of_parameters_stay_exact_at_the_target_size():
     # units weigh by their windows
     mixed = lm.weighted(np.array([1.0, -50.0]), 3) + lm.weighted(np.array([5.0, -10.0]), 1)
     assert lm.averaged(mixed).tolist() == [2.0, -40.0]
+
+
+@pytest.mark.parametrize("size, most", [(0, 1), (1, 1), (5000, 50), (5000, 2**63)])
+def test_distinct_numbers_are_those_of_a_sort(size, most):
+    x = np.random.default_rng(7).integers(0, most, size).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    found, which = kernel.distinct_numbers(x)
+    want, places = np.unique(x, return_inverse=True)
+    assert found.dtype == want.dtype and np.array_equal(found, want) and np.array_equal(which, places)

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from .bpe import Coder
 from .common import parts, stored, sum_blocks
-from .kernel import pieces, release, scan, spread, text_bytes, tidy
+from .kernel import distinct_numbers, pieces, release, scan, spread, text_bytes, tidy
 from .repeats import BUCKET, CHUNK, LEAST_CHUNK, MOST_BITS, SOME_CHUNKS, WORD_BYTES
 
 PARTS, HELD = 7, 2
@@ -541,7 +541,7 @@ def coded(rows: DataFrame, path: str, ranks: str, units: int, bits: int, size: i
             counts[:-2] += np.bincount(ids[np.repeat(learn, np.diff(bounds))], minlength=len(counts) - 2)
             found = scan(lowered(data), offsets)
             counts[-2:] += learn.sum(), found.counts()[learn].sum()
-            distinct, which = np.unique(found.hashes(), return_inverse=True)
+            distinct, which = distinct_numbers(found.hashes())
             held.append((distinct, np.bincount(which, learn[found.doc], len(distinct))))
             place = batch.column(2).to_numpy()
             raw = as_raw(ids, len(code.strings))
@@ -595,8 +595,10 @@ def kinds_of_words(texts: DataFrame, bits: int) -> int:
     """How many distinct words the training texts have: each bucket of hashes counts its own."""
 
     def count(t: pa.Table) -> pa.Table:
+        from pandas import unique  # np.unique has a slower hash table
+
         known = np.concatenate([unpack_counts(x.as_py()) for x in t["sums"]]) > 0
-        return pa.table({"n": pa.array([len(np.unique(from_low_bytes(t["ids"], bits)[0][known]))], pa.int64())})
+        return pa.table({"n": pa.array([len(unique(from_low_bytes(t["ids"], bits)[0][known]))], pa.int64())})
 
     found = texts.where(F.col("kind") == WORDS).select("block", "ids", "sums").groupBy("block").applyInArrow(count, "n long")
     return found.agg(F.sum("n")).first()[0] or 0
@@ -751,7 +753,7 @@ def judge(path: str, ranks: str, learnt: Learnt):
         data, offsets = code.texts_of(ids, bounds)
         words = scan(lowered(data), offsets)
         # the chunk's distinct words in the order in which they were sent
-        which = np.unique(words.hashes(), return_inverse=True)[1]
+        which = distinct_numbers(words.hashes())[1]
         order = np.argsort(answers["bucket"].to_numpy())
         counts = np.concatenate([np.zeros(0, np.int64), *(unpack_counts(answers["counts"][i].as_py()) for i in order.tolist())])
         below = np.log10(learnt.tokens + learnt.kinds + 1.0)
