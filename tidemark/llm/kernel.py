@@ -86,17 +86,6 @@ def distinct_strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tu
     return coded.dictionary.to_numpy(zero_copy_only=False), coded.indices.to_numpy()
 
 
-def distinct_numbers(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """As np.unique(x, return_inverse=True), but only the distinct numbers are sorted."""
-    from pandas import factorize
-
-    which, found = factorize(x)
-    order = np.argsort(found)
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    return found[order], place[which]
-
-
 def byte_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each string data[start[i]:end[i]]: of up to SHORT bytes without collisions, else SipHash."""
     from pandas.util import hash_array
